@@ -6,13 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import text_lines
+from .ordinal import with_ordinal
 
 CHUNK_SIZE = 100
 
 
+# Up to this many ids one task may sort out; beyond it the cut-off comes from the distributed numbering.
+TOP_N = 1_000_000
+
+
 def limit_articles(df: DataFrame, n: int | None, order_by: str = "doc_id") -> DataFrame:
-    """The first ``n`` articles; 0 or None means all."""
-    return df.orderBy(order_by).limit(n) if n else df
+    """The first ``n`` articles by their unique id; 0 or None means all.
+
+    Only ids are ordered. The n-th id is then a plain upper bound for the scan
+    of the texts, so no text is sorted or moved.
+    """
+    if not n:
+        return df
+    ids = df.select(order_by)
+    if n <= TOP_N:
+        first = ids.orderBy(order_by).limit(n)
+    else:
+        first = with_ordinal(ids, [order_by], "_rank").filter(F.col("_rank") <= n)
+    last = first.agg(F.max(order_by)).scalar()
+    return df.filter(F.col(order_by) <= last)
 
 
 def chunk_number(ordinal: Column | str, size: int = CHUNK_SIZE, base: int = 0) -> Column:

@@ -91,16 +91,20 @@ def train_language_model(
     return LanguageModel(profile, {r["lang"]: r["unseen"] for r in rows})
 
 
-def distinct_words(df: DataFrame, text_col: str) -> DataFrame:
-    """Bare words of a column with their frequency; combined map-side."""
+def count_words(df: DataFrame, words_col: Column | str) -> DataFrame:
+    """``(word, n)``: in how many rows of ``df`` each non-empty word stands; combined map-side."""
     return (
-        df.select(F.explode(F.array_distinct(bare_words(text_col))).alias("word"))
+        df.select(F.explode(words_col).alias("word"))
         .filter("word <> ''")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def distinct_words(df: DataFrame, text_col: str) -> DataFrame:
+    return count_words(df, F.array_distinct(bare_words(text_col)))
+
+
 def classify_words(vocabulary: DataFrame, model: LanguageModel) -> DataFrame:
     """``lang`` for every row of ``vocabulary(word, n)``: best total score, then name."""
     langs = sorted(model.unseen)
@@ -135,29 +139,17 @@ def flag_english(
 ) -> DataFrame:
     """Add ``is_english``: true when the sentence has words and all are English.
 
-    A token without letters can't be detected, which keeps the sentence. Each
-    sentence sends its distinct words to the dictionary once; frequent words
-    are resolved without a shuffle and English ones leave no row behind.
-    ``sentences`` is read three times and should be a written table.
+    A token without letters can't be detected, which keeps the sentence. Words
+    are cut once and written; frequent ones are then resolved without a shuffle,
+    and English words leave no row behind. ``sentences`` is read twice.
     """
-    dictionary = stage(
-        classify_words(distinct_words(sentences, sentence_col), model).withColumn(
-            "foreign", F.col("lang") != F.lit(english)
-        ),
-        "word-language",
-    )
-    exploded = sentences.select(*keys, F.explode(F.array_distinct(bare_words(sentence_col))).alias("word"))
-    spotted = (
-        lookup_words(exploded.filter("word <> ''"), dictionary, "word", "foreign")
-        .filter("foreign")
-        .select(*keys)
-        .distinct()
-        .withColumn("_foreign", F.lit(True))
-    )
-    bare = bare_words(sentence_col)
-    plain = (F.size(bare) > 0) & ~F.array_contains(bare, "")
+    cut = stage(sentences.select(*keys, F.array_distinct(bare_words(sentence_col)).alias("_words")), "words")
+    classified = classify_words(count_words(cut, "_words"), model)
+    dictionary = stage(classified.withColumn("foreign", F.col("lang") != F.lit(english)), "word-language")
+    exploded = cut.select(*keys, F.explode("_words").alias("word")).filter("word <> ''")
+    foreign = lookup_words(exploded, dictionary, "word", "foreign").filter("foreign").select(*keys)
+    letterless = cut.filter((F.size("_words") == 0) | F.array_contains("_words", "")).select(*keys)
+    other = foreign.unionByName(letterless).distinct().withColumn("_other", F.lit(True))
     return (
-        sentences.join(spotted, keys, "left")
-        .withColumn("is_english", plain & F.col("_foreign").isNull())
-        .drop("_foreign")
+        sentences.join(other, keys, "left").withColumn("is_english", F.col("_other").isNull()).drop("_other")
     )

@@ -152,11 +152,11 @@ def _strip_none() -> str:
 for _profile in ("prod", "drop_punct", "full", "full_lookahead", "simple"):
     ORACLES[f"split_{_profile}"] = _sentences(_profile)
 
-ORACLES["protected_text"] = "SELECT doc_id, " + ", ".join(
+ORACLES["protect_abbreviations"] = "SELECT doc_id, " + ", ".join(
     f"{_token_text(p)} AS text_{p}" for p in ("simple", "full", "full_lookahead", "drop_punct", "prod")
 ) + " FROM documents"
 
-ORACLES["abbreviation_offsets"] = f"""
+ORACLES["abbreviation_matches"] = f"""
 WITH pieces AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
   FROM (SELECT doc_id, string_split({_sub(_spanned(extras=True), f'[{SO}{SC}]', CUT)}, '{CUT}') AS p FROM documents)),
@@ -226,8 +226,8 @@ ORACLES["english_ratio_lexicon"] = f"""
 WITH sents AS MATERIALIZED ({_sentences('drop_punct')})
 SELECT doc_id, pos, CAST({_hits('sentence')} + {_indicator_hits('sentence')} AS INTEGER) AS hits,
        {_is_english('sentence', _indicator_hits('sentence'))} AS is_english FROM sents"""
-ORACLES["filter_min_length_10"] = f"WITH {PROD} SELECT * FROM sents WHERE length(sentence) >= 10"
-ORACLES["filter_english_sentences"] = f"WITH {KEPT} SELECT * FROM kept"
+ORACLES["filter_min_length"] = f"WITH {PROD} SELECT * FROM sents WHERE length(sentence) >= 10"
+ORACLES["filter_english"] = f"WITH {KEPT} SELECT * FROM kept"
 
 
 # --- word-level language detection
@@ -280,8 +280,8 @@ SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS
 FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> ''"""
 ORACLES["scan_pairs_jsonl"] = """
 SELECT doc_id AS seq_id, '[en] ' || text AS english, text AS source_text, CAST(1 AS BIGINT) AS chunk_id FROM documents"""
-ORACLES["chunk_lines_reread"] = f"WITH {LINES} SELECT chunk_id, line_no, line FROM lines"
-ORACLES["chunk_manifest_counts"] = f"WITH {NUMBERED} SELECT *, FALSE AS is_translated FROM manifest"
+ORACLES["chunk_lines"] = f"WITH {LINES} SELECT chunk_id, line_no, line FROM lines"
+ORACLES["chunk_manifest"] = f"WITH {NUMBERED} SELECT *, FALSE AS is_translated FROM manifest"
 ORACLES["manifest_scan"] = (
     f"WITH {NUMBERED} SELECT *, FALSE AS is_translated, CAST(NULL AS VARCHAR) AS translated_file FROM manifest"
 )
@@ -293,10 +293,10 @@ SELECT row_number() OVER (ORDER BY doc_id, pos) + {BASE_MS - 1} AS seq_id, doc_i
 # --- chunks, batches and totals
 
 ORACLES["untranslated_chunks"] = f"WITH {STRICT} SELECT chunk_id, sentence_count FROM manifest ANTI JOIN done USING (chunk_id)"
-ORACLES["chunk_progress"] = (
+ORACLES["chunk_status"] = (
     f"WITH {STRICT} SELECT (SELECT count(*) FROM done) AS translated, (SELECT count(*) FROM manifest) AS total"
 )
-ORACLES["mark_translated_chunks"] = f"""
+ORACLES["mark_translated"] = f"""
 WITH {STRICT}
 SELECT m.chunk_id, m.sentence_count, d.chunk_id IS NOT NULL AS is_translated,
        CASE WHEN d.chunk_id IS NOT NULL THEN 'chunks/translated_chunk_' || m.chunk_id || '.txt' END AS translated_file
@@ -316,8 +316,8 @@ BATCHES = (
     f"{NUMBERED}, ranked AS (SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS r FROM manifest), "
     f"batches AS (SELECT chunk_id, CAST(r % {NUM_BATCHES} AS INTEGER) AS batch_number, r // {NUM_BATCHES} AS batch_pos FROM ranked)"
 )
-ORACLES["round_robin"] = f"WITH {BATCHES} SELECT * FROM batches"
-ORACLES["batch_manifests"] = f"""
+ORACLES["round_robin_batches"] = f"WITH {BATCHES} SELECT * FROM batches"
+ORACLES["batch_manifest"] = f"""
 WITH {BATCHES},
 parts AS (SELECT batch_number, batch_pos // 10000 AS part, string_agg(chunk_id, ',' ORDER BY chunk_id) AS ids FROM batches GROUP BY ALL),
 whole AS (SELECT batch_number, count(*) AS n, min(chunk_id) AS a, max(chunk_id) AS b FROM batches GROUP BY ALL)
@@ -327,7 +327,7 @@ SELECT CAST(i AS INTEGER) AS batch_number, {NUM_BATCHES} AS total_batches, CAST(
 FROM range({NUM_BATCHES}) t(i) LEFT JOIN whole ON whole.batch_number = i LEFT JOIN parts ON parts.batch_number = i"""
 ORACLES["batch_work_selection"] = f"""
 WITH {BATCHES} SELECT chunk_id, sentence_count FROM manifest SEMI JOIN (SELECT * FROM batches WHERE batch_number = 1) USING (chunk_id)"""
-ORACLES["article_stats"] = f"""
+ORACLES["article_split_stats"] = f"""
 WITH {PROD}, judged AS (SELECT *, {_is_english('sentence')} AS english FROM sents),
 counted AS (SELECT doc_id, count(*) AS found, count(*) FILTER (NOT english) AS kept, count(*) FILTER (english) AS skipped,
   string_agg(array_to_string(regexp_split_to_array({_strip('sentence')}, '{S}+')[:3], ' '), '|' ORDER BY pos) FILTER (english) AS heads
@@ -340,10 +340,10 @@ WITH {STRICT}
 SELECT (SELECT count(*) FROM kept) AS sentences, (SELECT count(*) FROM sents) - (SELECT count(*) FROM kept) AS skipped,
        (SELECT count(*) FROM manifest) AS chunks, (SELECT count(*) FROM pairs) AS pairs, (SELECT count(*) FROM pairs) AS samples"""
 ORACLES["global_ordinal"] = f"WITH {NUMBERED} SELECT doc_id, pos, ordinal FROM numbered"
-ORACLES["assign_chunk_ids"] = f"WITH {NUMBERED} SELECT doc_id, pos, ordinal, chunk_id, chunk_line AS line_no FROM chunked"
+ORACLES["assign_chunks"] = f"WITH {NUMBERED} SELECT doc_id, pos, ordinal, chunk_id, chunk_line AS line_no FROM chunked"
 ORACLES["stream_chunk_ingest"] = f"WITH {NUMBERED} SELECT doc_id, pos, chunk_id, chunk_line AS line_no, sentence FROM chunked"
-ORACLES["sequence_ids"] = f"WITH {NUMBERED} SELECT ordinal + {BASE_MS} AS seq_id, doc_id, pos FROM numbered"
-ORACLES["first_articles"] = "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100"
+ORACLES["assign_seq_id"] = f"WITH {NUMBERED} SELECT ordinal + {BASE_MS} AS seq_id, doc_id, pos FROM numbered"
+ORACLES["limit_articles"] = "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100"
 ORACLES["resume_chunks"] = f"""
 WITH {KEPT},
 first_run AS (SELECT doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) AS o FROM kept SEMI JOIN labels USING (doc_id)),
@@ -365,14 +365,14 @@ WITH sents AS MATERIALIZED ({_sentences('drop_punct')})
 SELECT doc_id AS article_index, CAST(pos AS BIGINT) AS sentence_index, sentence AS source_text,
        CASE WHEN left(md5(sentence), 2) IN ('00', '01', '02') THEN sentence ELSE '[en] ' || sentence END AS english
 FROM sents WHERE NOT {_is_english('sentence', _indicator_hits('sentence'))}"""
-ORACLES["assembled_pairs"] = f"""
+ORACLES["assemble_pairs"] = f"""
 WITH {STRICT}
 SELECT row_number() OVER (ORDER BY chunk_id, line_no) + {BASE_MS} AS seq_id, translated AS english, line AS source_text, chunk_id FROM pairs"""
 TURNS = """turns AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS k FROM conversations),
 zipped AS (SELECT u.conv_id, u.k, u.text AS source_text, a.text AS english FROM turns u JOIN turns a USING (conv_id, k)
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 ORACLES["zip_pairs"] = f"WITH {TURNS} SELECT * FROM zipped"
-ORACLES["dataset_concat"] = f"""
+ORACLES["concat_datasets"] = f"""
 WITH {PAIRS}, {TURNS} SELECT english, source_text FROM demo UNION ALL SELECT english, source_text FROM zipped"""
 ORACLES["translation_memory_join"] = rf"""
 WITH cut AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
@@ -382,13 +382,13 @@ lines AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k)
 memory AS (SELECT DISTINCT line FROM lines SEMI JOIN labels USING (doc_id))
 SELECT doc_id, pos, CASE WHEN m.line IS NOT NULL THEN '[en] ' || m.line END AS translated, m.line IS NOT NULL AS ok
 FROM lines LEFT JOIN memory m ON m.line = lines.line"""
-ORACLES["training_slice_ids"] = f"WITH {NUMBERED} SELECT ordinal AS seq_id, (ordinal - 1) // 1000 AS batch_index FROM numbered"
-ORACLES["training_batches"] = f"WITH {KEPT} SELECT count(*) AS n_samples, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_batches FROM kept"
-ORACLES["training_progress"] = f"""
+ORACLES["training_slices"] = f"WITH {NUMBERED} SELECT ordinal AS seq_id, (ordinal - 1) // 1000 AS batch_index FROM numbered"
+ORACLES["training_batch_summary"] = f"WITH {KEPT} SELECT count(*) AS n_samples, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_batches FROM kept"
+ORACLES["progress_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)
 SELECT n AS total_samples, b AS batches_trained, greatest(b - 1, 0) AS current_batch,
        strftime(make_timestamp((b - 1) * 60 * 1000000), '%Y-%m-%d %H:%M:%S') AS last_update FROM n"""
-ORACLES["corpus_progress"] = f"""
+ORACLES["pipeline_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)
 SELECT (SELECT count(*) FROM sents) AS extracted, n AS translated, b AS batches_trained, greatest(b - 1, 0) * 1000 AS training_index FROM n"""
 VOCAB = (
@@ -398,7 +398,7 @@ VOCAB = (
     "vocab AS MATERIALIZED (SELECT token, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, token) + "
     f"{len(CONTROL_TOKENS) - 1} AS token_id FROM tokens GROUP BY token)"
 )
-ORACLES["vocabulary"] = f"WITH {VOCAB} SELECT token, n, token_id FROM vocab"
+ORACLES["build_vocab"] = f"WITH {VOCAB} SELECT token, n, token_id FROM vocab"
 ORACLES["encode_pad"] = f"""
 WITH {VOCAB},
 coded AS (SELECT seq_id, side, list(token_id ORDER BY k) AS ids FROM tokens JOIN vocab USING (token) WHERE k <= 126 GROUP BY ALL),
@@ -408,7 +408,7 @@ padded AS (SELECT seq_id, side, array_to_string(list_resize(ids, 128, 1), ' ') A
 SELECT s.seq_id, s.ids AS input_ids, s.mask AS attention_mask, t.ids AS labels
 FROM (SELECT * FROM padded WHERE side = 's') s JOIN (SELECT * FROM padded WHERE side = 't') t USING (seq_id)"""
 SAMPLE = f"(SELECT * FROM benchmark ORDER BY md5('{SAMPLE_SEED}:' || item_id), item_id LIMIT 10)"
-ORACLES["sample_for_spot_check"] = f"SELECT item_id, text FROM {SAMPLE}"
-ORACLES["spot_check_results"] = f"""
+ORACLES["spot_check_sample"] = f"SELECT item_id, text FROM {SAMPLE}"
+ORACLES["spot_check_compare"] = f"""
 SELECT item_id AS sample_id, text AS english_input, text AS reference,
        CASE WHEN left(md5(text), 2) IN ('00', '01', '02') THEN text ELSE '[en] ' || text END AS predicted FROM {SAMPLE}"""

@@ -48,6 +48,7 @@ from ..operators.translate import (
     translate_chunks,
 )
 from ..session import scratch_path, stage
+from ..sources.articles import spread_rows
 from ..sources.files import read_pairs_jsonl, write_json_arrays, write_manifest_json, write_pairs_jsonl
 from ..sources.json_files import read_manifest_json, read_text_records
 from ..streaming.ingest import ingest_articles, read_ingested
@@ -64,7 +65,8 @@ SAMPLE_SEED = 7
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register under the function's name; a leading ``run_`` only avoids a clash with the operator."""
+    QUERIES[build.__name__.removeprefix("run_")] = build
     return build
 
 
@@ -72,6 +74,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _articles(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    return spread_rows(load_documents(spark, sf_dir, *keep))
+
+
 def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.chunked_sentences(load_documents(spark, sf_dir))
 
@@ -138,12 +144,12 @@ def scan_pairs_jsonl(spark, sf_dir):
 
 
 @query
-def chunk_lines_reread(spark, sf_dir):
+def run_chunk_lines(spark, sf_dir):
     return _lines(spark, sf_dir)
 
 
 @query
-def chunk_manifest_counts(spark, sf_dir):
+def run_chunk_manifest(spark, sf_dir):
     return chunk_manifest(_chunked(spark, sf_dir)).select("chunk_id", "file_path", "sentence_count", "is_translated")
 
 
@@ -164,13 +170,13 @@ def extracted_sentences(spark, sf_dir):
 
 
 @query
-def filter_min_length_10(spark, sf_dir):
-    return filter_min_length(split_sentences(load_documents(spark, sf_dir)))
+def run_filter_min_length(spark, sf_dir):
+    return filter_min_length(split_sentences(_articles(spark, sf_dir)))
 
 
 @query
-def filter_english_sentences(spark, sf_dir):
-    return filter_english(split_sentences(load_documents(spark, sf_dir)), method="patterns")
+def run_filter_english(spark, sf_dir):
+    return filter_english(split_sentences(_articles(spark, sf_dir)), method="patterns")
 
 
 @query
@@ -180,7 +186,7 @@ def untranslated_chunks(spark, sf_dir):
 
 @query
 def english_ratio_patterns(spark, sf_dir):
-    return split_sentences(load_documents(spark, sf_dir)).select(
+    return split_sentences(_articles(spark, sf_dir)).select(
         "doc_id",
         "pos",
         function_word_count("sentence").alias("hits"),
@@ -191,7 +197,7 @@ def english_ratio_patterns(spark, sf_dir):
 
 @query
 def english_ratio_lexicon(spark, sf_dir):
-    return split_sentences(load_documents(spark, sf_dir), profile="drop_punct").select(
+    return split_sentences(_articles(spark, sf_dir), profile="drop_punct").select(
         "doc_id",
         "pos",
         (function_word_count("sentence") + indicator_count("sentence")).alias("hits"),
@@ -203,7 +209,7 @@ def english_ratio_lexicon(spark, sf_dir):
 
 
 def _split_query(profile: str) -> None:
-    QUERIES[f"split_{profile}"] = lambda spark, sf_dir: split_sentences(load_documents(spark, sf_dir), profile=profile)
+    QUERIES[f"split_{profile}"] = lambda spark, sf_dir: split_sentences(_articles(spark, sf_dir), profile=profile)
 
 
 for _profile in ("prod", "drop_punct", "full", "full_lookahead", "simple"):
@@ -211,22 +217,22 @@ for _profile in ("prod", "drop_punct", "full", "full_lookahead", "simple"):
 
 
 @query
-def protected_text(spark, sf_dir):
-    docs = load_documents(spark, sf_dir)
+def run_protect_abbreviations(spark, sf_dir):
+    docs = _articles(spark, sf_dir)
     profiles = ("simple", "full", "full_lookahead", "drop_punct", "prod")
     return docs.select("doc_id", *[protect_abbreviations("text", p).alias(f"text_{p}") for p in profiles])
 
 
 @query
-def abbreviation_offsets(spark, sf_dir):
-    return abbreviation_matches(load_documents(spark, sf_dir))
+def run_abbreviation_matches(spark, sf_dir):
+    return abbreviation_matches(_articles(spark, sf_dir))
 
 
 # --- word-level language detection
 
 
 def _model(spark: SparkSession, sf_dir: str):
-    return train_language_model(load_documents(spark, sf_dir, "lang"))
+    return train_language_model(_articles(spark, sf_dir, "lang"))
 
 
 @query
@@ -237,12 +243,12 @@ def lang_profile(spark, sf_dir):
 @query
 def word_language(spark, sf_dir):
     model = _model(spark, sf_dir)
-    return classify_words(distinct_words(split_sentences(load_documents(spark, sf_dir)), "sentence"), model)
+    return classify_words(distinct_words(split_sentences(_articles(spark, sf_dir)), "sentence"), model)
 
 
 @query
 def english_all_words(spark, sf_dir):
-    sentences = stage(split_sentences(load_documents(spark, sf_dir)), "sentences")
+    sentences = stage(split_sentences(_articles(spark, sf_dir)), "sentences")
     flagged = flag_english(sentences, _model(spark, sf_dir), ["doc_id", "pos"])
     return flagged.select("doc_id", "pos", "is_english")
 
@@ -251,14 +257,14 @@ def english_all_words(spark, sf_dir):
 
 
 @query
-def article_stats(spark, sf_dir):
-    articles = load_documents(spark, sf_dir).select("doc_id", sentence_array("text").alias("sentences"))
+def run_article_split_stats(spark, sf_dir):
+    articles = _articles(spark, sf_dir).select("doc_id", sentence_array("text").alias("sentences"))
     stats = article_split_stats(articles)
     return stats.withColumn("skipped_heads", F.array_join("skipped_heads", "|"))
 
 
 @query
-def chunk_progress(spark, sf_dir):
+def run_chunk_status(spark, sf_dir):
     return chunk_status(_finished_manifest(spark, sf_dir))
 
 
@@ -297,12 +303,12 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def round_robin(spark, sf_dir):
+def run_round_robin_batches(spark, sf_dir):
     return _batches(spark, sf_dir)
 
 
 @query
-def batch_manifests(spark, sf_dir):
+def run_batch_manifest(spark, sf_dir):
     manifest = batch_manifest(_batches(spark, sf_dir), NUM_BATCHES)
     return manifest.select(
         "batch_number",
@@ -322,7 +328,7 @@ def batch_work_selection(spark, sf_dir):
 
 
 @query
-def run_totals(spark, sf_dir):
+def run_run_totals(spark, sf_dir):
     docs = load_documents(spark, sf_dir)
     flags = split_sentences(docs).agg(
         F.count_if(~is_english_by_patterns("sentence")).alias("sentences"),
@@ -348,23 +354,23 @@ def global_ordinal(spark, sf_dir):
 
 
 @query
-def assign_chunk_ids(spark, sf_dir):
+def run_assign_chunks(spark, sf_dir):
     return _chunked(spark, sf_dir).select("doc_id", "pos", "ordinal", "chunk_id", "line_no")
 
 
 @query
-def sequence_ids(spark, sf_dir):
-    kept = filter_english(split_sentences(load_documents(spark, sf_dir)), method="patterns")
+def run_assign_seq_id(spark, sf_dir):
+    kept = filter_english(split_sentences(_articles(spark, sf_dir)), method="patterns")
     return assign_seq_id(kept, ["doc_id", "pos"], BASE_MS).select("seq_id", "doc_id", "pos")
 
 
 @query
-def first_articles(spark, sf_dir):
+def run_limit_articles(spark, sf_dir):
     return limit_articles(load_documents(spark, sf_dir), 100)
 
 
 @query
-def sample_for_spot_check(spark, sf_dir):
+def run_spot_check_sample(spark, sf_dir):
     return spot_check_sample(_table(spark, sf_dir, "benchmark"), "item_id", 10, SAMPLE_SEED)
 
 
@@ -383,12 +389,12 @@ def zip_pairs(spark, sf_dir):
 
 
 @query
-def assembled_pairs(spark, sf_dir):
+def run_assemble_pairs(spark, sf_dir):
     return corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, delay=0, base_ms=BASE_MS)[1]
 
 
 @query
-def dataset_concat(spark, sf_dir):
+def run_concat_datasets(spark, sf_dir):
     talk = _turns(spark, sf_dir).select("english", "source_text")
     return concat_datasets(_demo_pairs(spark, sf_dir).select("english", "source_text"), talk)
 
@@ -418,20 +424,20 @@ def resume_chunks(spark, sf_dir):
 
 
 @query
-def mark_translated_chunks(spark, sf_dir):
+def run_mark_translated(spark, sf_dir):
     manifest = _finished_manifest(spark, sf_dir)
     return manifest.select("chunk_id", "sentence_count", "is_translated", "translated_file")
 
 
 @query
-def training_progress(spark, sf_dir):
+def run_progress_status(spark, sf_dir):
     slices = training_slices(_demo_pairs(spark, sf_dir))
     log = progress_log(slices, F.timestamp_seconds(F.col("batch_index") * 60))
     return progress_status(log).withColumn("last_update", F.date_format("last_update", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
-def corpus_progress(spark, sf_dir):
+def run_pipeline_status(spark, sf_dir):
     docs = load_documents(spark, sf_dir)
     pairs = stage(_demo_pairs(spark, sf_dir), "pairs")
     log = progress_log(training_slices(pairs), F.timestamp_seconds(F.col("batch_index") * 60))
@@ -453,24 +459,24 @@ def translate_keep_source(spark, sf_dir):
 
 @query
 def article_pairs(spark, sf_dir):
-    return corpus.article_pairs(load_documents(spark, sf_dir), DemoTranslator, delay=0)
+    return corpus.article_pairs(_articles(spark, sf_dir), DemoTranslator, delay=0)
 
 
 # --- training data
 
 
 @query
-def training_slice_ids(spark, sf_dir):
+def run_training_slices(spark, sf_dir):
     return training_slices(_demo_pairs(spark, sf_dir)).select("seq_id", "batch_index")
 
 
 @query
-def training_batches(spark, sf_dir):
+def run_training_batch_summary(spark, sf_dir):
     return training_batch_summary(_demo_pairs(spark, sf_dir))
 
 
 @query
-def vocabulary(spark, sf_dir):
+def run_build_vocab(spark, sf_dir):
     return build_vocabulary(_demo_pairs(spark, sf_dir))
 
 
@@ -482,7 +488,7 @@ def encode_pad(spark, sf_dir):
 
 
 @query
-def spot_check_results(spark, sf_dir):
+def run_spot_check_compare(spark, sf_dir):
     items = _table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("sample_id"), F.col("text").alias("english"), F.col("text").alias("source_text")
     )

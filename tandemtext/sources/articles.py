@@ -56,3 +56,13 @@ def read_articles(
         F.monotonically_increasing_id().alias("_line"),
     )
     return with_ordinal(placed, ["_file", "_block", "_line"], "doc_id", start=0).select("doc_id", "text", *keep)
+
+
+def spread_rows(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Give every core work when a small input comes in fewer splits than there are cores.
+
+    Splitting text is heavy per row, and one Parquet row group is one task. Inputs
+    with enough splits pass through unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
