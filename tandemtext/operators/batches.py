@@ -31,7 +31,7 @@ def batch_manifest(batches: DataFrame, num_batches: int, ids_per_part: int = IDS
     limits describe the whole batch on every part.
     """
     part = F.floor(F.col("batch_pos") / ids_per_part).cast("int")
-    ids = F.array_sort(F.collect_list("chunk_id"))
+    ids = F.sort_array(F.collect_list("chunk_id"))
     parts = batches.groupBy("batch_number", part.alias("part")).agg(ids.alias("chunk_ids"))
     whole = batches.groupBy("batch_number").agg(
         F.count(F.lit(1)).alias("chunk_count"), F.min("chunk_id").alias("first"), F.max("chunk_id").alias("last")

@@ -67,7 +67,7 @@ def pack_chunks(chunked: DataFrame) -> DataFrame:
 
     A group never exceeds the chunk size.
     """
-    entries = F.array_sort(F.collect_list(F.struct("ordinal", "sentence")))
+    entries = F.sort_array(F.collect_list(F.struct("ordinal", "sentence")))
     return chunked.groupBy("chunk_id").agg(F.transform(entries, lambda e: e["sentence"]).alias("sentences"))
 
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import _col, words
 from ..session import stage
-from .lookup import lookup_words
+from .lookup import SMALL_ROWS, lookup_words
 
-NGRAM_SIZES = (1, 2, 3)
+NGRAM_SIZES = (3,)
 SCALE = 10000
 MAX_LANGUAGES = 500
 
@@ -33,7 +33,10 @@ def bare_words(c: Column | str) -> Column:
 
 
 def word_ngrams(word: Column | str, sizes: tuple[int, ...] = NGRAM_SIZES) -> Column:
-    """All n-grams of a word with ``_`` at both ends, repeats included."""
+    """All n-grams of a word with ``_`` at both ends, repeats included.
+
+    Sizes up to 3 give a non-empty result for every non-empty word.
+    """
     padded = F.concat(F.lit("_"), _col(word), F.lit("_"))
 
     def of_size(k: int) -> Column:
@@ -50,6 +53,7 @@ class LanguageModel:
 
     profile: DataFrame
     unseen: dict[str, int]
+    sizes: tuple[int, ...] = NGRAM_SIZES
 
 
 def _score(count: Column, total: Column, vocabulary: Column) -> Column:
@@ -88,7 +92,7 @@ def train_language_model(
     profile = grams.join(F.broadcast(per_lang), "lang").select(
         "lang", "ngram", "n", _score(F.col("n"), F.col("total"), F.col("vocabulary")).alias("score")
     )
-    return LanguageModel(profile, {r["lang"]: r["unseen"] for r in rows})
+    return LanguageModel(profile, {r["lang"]: r["unseen"] for r in rows}, sizes)
 
 
 def count_words(df: DataFrame, words_col: Column | str) -> DataFrame:
@@ -112,15 +116,16 @@ def classify_words(vocabulary: DataFrame, model: LanguageModel) -> DataFrame:
         raise ValueError("the language model was trained on no text")
     scores = [F.max(F.when(F.col("lang") == lang, F.col("score"))) for lang in langs]
     wide = model.profile.groupBy("ngram").agg(F.array(*scores).alias("scores"))
-    grams = vocabulary.select("word", "n", F.explode(word_ngrams("word")).alias("ngram"))
+    grams = vocabulary.select("word", "n", F.explode(word_ngrams("word", model.sizes)).alias("ngram"))
     # How often each n-gram is about to be looked up, so the frequent ones are not shuffled.
     used = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("uses"))
     dictionary = stage(used.join(wide, "ngram", "left"), "ngram-scores")
+    small = SMALL_ROWS // len(langs)
     sums = [
         F.sum(F.coalesce(F.get("scores", F.lit(i)), F.lit(model.unseen[lang]))).alias(f"_t{i}")
         for i, lang in enumerate(langs)
     ]
-    totals = lookup_words(grams, dictionary, "ngram", "scores", "uses").groupBy("word", "n").agg(*sums)
+    totals = lookup_words(grams, dictionary, "ngram", "scores", "uses", small).groupBy("word", "n").agg(*sums)
     best = F.greatest(*[F.col(f"_t{i}") for i in range(len(langs))]) if len(langs) > 1 else F.col("_t0")
     name = reduce(
         lambda rest, i: F.when(F.col(f"_t{i}") == best, F.lit(langs[i])).otherwise(rest),

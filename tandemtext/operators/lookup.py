@@ -11,23 +11,36 @@ HOT_SHARE = 5000
 MAX_HOT_KEY_LENGTH = 256
 
 
-def lookup_words(rows: DataFrame, dictionary: DataFrame, key: str, value: str, count: str = "n") -> DataFrame:
+# A dictionary of no more rows than this, none with a long key, is broadcast whole.
+SMALL_ROWS = 50_000
+
+
+def lookup_words(
+    rows: DataFrame, dictionary: DataFrame, key: str, value: str, count: str = "n", small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """``rows`` left-joined with ``dictionary(key, value, count)`` on a word-like key.
 
-    ``count`` is how often the key occurs in the rows. Word frequencies are
-    steep: hot keys are resolved by a broadcast of at most ``HOT_SHARE`` short
-    rows and never shuffled; the others go through an ordinary join, in which no
-    single key is large. ``dictionary`` should be a written table, it is read twice.
+    ``count`` is how often the key occurs in the rows. A dictionary whose measured
+    size is small is broadcast. Otherwise, word frequencies being steep, hot keys
+    are resolved by a broadcast of at most ``HOT_SHARE`` short rows and never
+    shuffled; the others go through a shuffled hash join, in which no single key
+    is large and only the dictionary's share of a partition, one row per key, is
+    held in memory. ``dictionary`` should be a written table, it is read more than once.
     """
-    total = dictionary.agg(F.sum(count)).scalar()
-    hot_rule = (F.col(count) * HOT_SHARE >= total) & (F.length(key) <= MAX_HOT_KEY_LENGTH)
+    size = dictionary.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.length(key)).alias("longest"), F.sum(count).alias("total")
+    ).first()
+    if size["rows"] <= small_rows and (size["longest"] or 0) <= MAX_HOT_KEY_LENGTH:
+        return rows.join(F.broadcast(dictionary.select(key, value)), key, "left")
+
+    hot_rule = (F.col(count) * HOT_SHARE >= size["total"]) & (F.length(key) <= MAX_HOT_KEY_LENGTH)
     flagged = dictionary.select(key, value, hot_rule.alias("_hot"))
     hot = flagged.filter("_hot").select(key, F.struct(value).alias("_found"))
     cold = flagged.filter(~F.col("_hot")).select(key, F.col(value).alias("_value"))
 
     tried = rows.join(F.broadcast(hot), key, "left")
     resolved = tried.filter(F.col("_found").isNotNull()).select(*rows.columns, F.col(f"_found.{value}").alias(value))
-    pending = tried.filter(F.col("_found").isNull()).drop("_found").join(cold, key, "left")
+    pending = tried.filter(F.col("_found").isNull()).drop("_found").join(cold.hint("shuffle_hash"), key, "left")
     return resolved.unionByName(pending.select(*rows.columns, F.col("_value").alias(value)))
 
 

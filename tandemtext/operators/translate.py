@@ -103,7 +103,7 @@ def memory_translation(lines: DataFrame, memory: DataFrame, keys: list[str], col
 def atomic_chunks(lines: DataFrame) -> DataFrame:
     """Chunks in which every line succeeded; one failure voids its chunk, others go on."""
     good = F.bool_and(F.coalesce("ok", F.lit(False)))
-    entries = F.array_sort(F.collect_list(F.struct("line_no", "line", "translated")))
+    entries = F.sort_array(F.collect_list(F.struct("line_no", "line", "translated")))
     return (
         lines.groupBy("chunk_id")
         .agg(good.alias("_ok"), entries.alias("_lines"))

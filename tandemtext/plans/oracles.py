@@ -9,6 +9,7 @@ from __future__ import annotations
 from ..functions.language import INDICATORS, WORD_GROUPS
 from ..functions.sentences import EXTRA_BUSINESS, LONG_LIST, PERIOD_TOKEN, SHORT_LIST
 from ..functions.text import SPACE_CHARS
+from ..operators.language_model import NGRAM_SIZES
 from ..operators.training import CONTROL_TOKENS
 from .queries import BASE_MS, NUM_BATCHES, SAMPLE_SEED
 
@@ -245,7 +246,7 @@ def _grams(table: str, keys: str) -> str:
     sizes = " UNION ALL ".join(
         f"SELECT {keys}, substr('_' || word || '_', CAST(i AS INTEGER), {k}) AS ngram "
         f"FROM (SELECT *, unnest(range(1, length(word) + 4 - {k})) AS i FROM {table})"
-        for k in (1, 2, 3)
+        for k in NGRAM_SIZES
     )
     return f"({sizes})"
 

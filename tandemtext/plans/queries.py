@@ -290,7 +290,7 @@ def chunk_early_stop(spark, sf_dir):
 @query
 def contamination_check(spark, sf_dir):
     lenient = _translated(spark, sf_dir, KEEP_SOURCE)
-    entries = F.array_sort(F.collect_list(F.struct("line_no", "line", "translated")))
+    entries = F.sort_array(F.collect_list(F.struct("line_no", "line", "translated")))
     packed = lenient.groupBy("chunk_id").agg(entries.alias("e"))
     source = packed.select("chunk_id", F.transform("e", lambda x: x["line"]).alias("sentences"), F.transform("e", lambda x: x["translated"]).alias("translated_lines"))
     written = stage(source, "lenient")

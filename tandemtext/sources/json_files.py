@@ -71,7 +71,7 @@ def json_segments(spark: SparkSession, path: str, depth: int) -> DataFrame:
         deep.join(bases, _BLOCK)
         .withColumn("segment", segment)
         .groupBy("file", "segment")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("_l"))
         .select(
             "file",
             "segment",
