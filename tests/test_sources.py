@@ -1,0 +1,237 @@
+import json
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tandemtext.session import scratch_root
+from tandemtext.sources.articles import pick_text_column, read_articles, spread_rows
+from tandemtext.sources.files import (
+    default_pairs_path,
+    export_chunk_text,
+    read_chunk_text,
+    read_chunks,
+    read_pairs_jsonl,
+    write_article_pairs,
+    write_batch_manifests,
+    write_chunks,
+    write_json_arrays,
+    write_manifest_json,
+    write_pairs_jsonl,
+    write_spot_check,
+)
+from tandemtext.sources.json_files import read_json_array, read_manifest_json, read_text_records
+
+
+def test_text_column_choice():
+    assert pick_text_column(["id", "body", "text"]) == "text"
+    assert pick_text_column(["data", "hil"]) == "hil"
+    assert pick_text_column(["id", "lang", "story", "other"]) == "story"
+    assert pick_text_column(["text", "articles"], "articles") == "articles"
+    with pytest.raises(ValueError):
+        pick_text_column(["id", "index", "idx", "split", "source", "lang"])
+    with pytest.raises(ValueError):
+        pick_text_column(["text"], "articles")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json", "csv"])
+def test_articles_without_ids_are_numbered_in_file_order(spark, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    rows = [(f"t{i:03}", "x") for i in range(300)]
+    options = {"header": "true"} if fmt == "csv" else {}
+    spark.createDataFrame(rows, "content STRING, source STRING").coalesce(1).write.format(fmt).options(**options).save(path)
+    got = read_articles(spark, path, fmt, id_column=None, **options).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["text"]) for r in got] == [(i, t) for i, (t, _) in enumerate(rows)]
+
+
+def test_only_the_needed_columns_are_read(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.createDataFrame([(1, "t", "en", 3)], "doc_id BIGINT, text STRING, lang STRING, n_chars INT").write.parquet(path)
+    plan = read_articles(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
+    assert spread_rows(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, 1, 9)
+    assert spread_rows(many, "id") is many
+
+
+MIXED = [
+    {"hiligaynon": "una \"quoted\" [x] {y}, \\ \n", "article_index": 3, "sentence_index": 4},
+    "a string with {braces} and , commas",
+    {"hiligaynon": "ikaduha", "nested": {"a": [1, {"b": "]"}]}},
+    {"hiligaynon": ""},
+    {"other": 1},
+    {"hiligaynon": None},
+    7,
+    None,
+    [{"hiligaynon": "inside a list"}],
+    {"hiligaynon": "ikatlo", "article_index": None},
+]
+EXPECTED = [(3, 4, MIXED[0]["hiligaynon"]), (0, 0, "ikaduha"), (0, 0, "ikatlo")]
+
+
+@pytest.mark.parametrize("layout", [{}, {"indent": 2}, {"indent": 0}, {"separators": (",\n", ":")}, {"separators": ("\n,", ": ")}])
+def test_json_array_layouts(spark, tmp_path, layout):
+    file = tmp_path / "in.json"
+    file.write_text(json.dumps(MIXED, ensure_ascii=False, **layout), encoding="utf-8")
+    rows = read_text_records(spark, str(file)).orderBy("segment", "item").collect()
+    assert [(r["article_index"], r["sentence_index"], r["text"]) for r in rows] == EXPECTED
+
+
+def test_json_array_over_many_file_blocks(spark, tmp_path):
+    file = tmp_path / "big.json"
+    items = [{"hiligaynon": f"text {i} " + "x" * (i % 97), "article_index": i} for i in range(3000)]
+    file.write_text(json.dumps(items, indent=1), encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = read_text_records(spark, str(file)).orderBy("segment", "item").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r["article_index"], r["text"]) for r in rows] == [(i["article_index"], i["hiligaynon"]) for i in items]
+
+
+@pytest.mark.parametrize(
+    "body",
+    ['[{"hiligaynon": "a"}, {"hiligaynon": ]', '[\n{"hiligaynon": "a"},\n{"hiligaynon" "b"}\n]', '[\n{"hiligaynon": "a"},\n]',
+     '[\n{"hiligaynon": "a"},\n', '{"hiligaynon": "a"}', '["a"]]', "nonsense"],
+)
+def test_a_malformed_file_yields_nothing_and_spares_the_others(spark, tmp_path, body):
+    (tmp_path / "bad.json").write_text(body, encoding="utf-8")
+    (tmp_path / "good.json").write_text('[{"hiligaynon": "good"}]', encoding="utf-8")
+    assert [r["text"] for r in read_text_records(spark, str(tmp_path)).collect()] == ["good"]
+
+
+def test_empty_arrays(spark, tmp_path):
+    (tmp_path / "a.json").write_text("[]", encoding="utf-8")
+    (tmp_path / "b.json").write_text("[\n]\n", encoding="utf-8")
+    assert read_json_array(spark, str(tmp_path)).count() == 0
+
+
+def test_written_arrays_read_back(spark, tmp_path):
+    path = str(tmp_path / "arrays")
+    df = spark.range(0, 30000, 1, 3).select(F.to_json(F.struct(F.col("id").cast("string").alias("hiligaynon"))).alias("value"))
+    write_json_arrays(df.union(df.limit(0)), path)
+    for file in (tmp_path / "arrays").glob("*.txt"):
+        json.loads(file.read_text())
+    assert read_text_records(spark, path).select(F.count_distinct("text"), F.count("text")).first() == (30000, 30000)
+
+
+def manifest_entries():
+    return {
+        "2": {"file_path": "c/2.txt", "sentence_count": 100, "is_translated": True, "created_at": "t0", "translated_at": "t1", "translated_file": "c/x.txt"},
+        "10": {"file_path": "c/10.txt", "sentence_count": 87, "is_translated": False, "created_at": "t0", "translated_at": None},
+        "3": {"file_path": "c/{3}.txt"},
+    }
+
+
+@pytest.mark.parametrize("indent", [None, 1, 2])
+@pytest.mark.parametrize("first", ["chunks", "metadata"])
+def test_manifest_json(spark, tmp_path, indent, first):
+    doc = {"chunks": manifest_entries(), "metadata": {"created_at": "t0", "last_updated": "t9"}}
+    file = tmp_path / "manifest.json"
+    file.write_text(json.dumps({first: doc[first], **doc}, indent=indent), encoding="utf-8")
+    rows = read_manifest_json(spark, str(file)).orderBy("chunk_id").collect()
+    assert [r["chunk_id"] for r in rows] == [2, 3, 10]
+    assert rows[0]["translated_file"] == "c/x.txt" and rows[0]["is_translated"] is True
+    assert rows[1]["is_translated"] is None and rows[1]["file_path"] == "c/{3}.txt" and rows[2]["sentence_count"] == 87
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_empty_and_missing_manifests(spark, tmp_path, indent):
+    file = tmp_path / "manifest.json"
+    file.write_text(json.dumps({"chunks": {}, "metadata": {"created_at": "t"}}, indent=indent), encoding="utf-8")
+    assert read_manifest_json(spark, str(file)).count() == 0
+    assert read_manifest_json(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_a_malformed_manifest_fails(spark, tmp_path):
+    file = tmp_path / "manifest.json"
+    file.write_text('{\n"chunks": {\n"1": {"file_path" "x"}\n}\n}', encoding="utf-8")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_manifest_json(spark, str(file)).collect()
+
+
+def test_written_manifest_reads_back(spark, tmp_path):
+    manifest = spark.range(1, 500).select(
+        F.col("id").alias("chunk_id"), F.lit("f").alias("file_path"), F.lit(5).alias("sentence_count"),
+        F.lit(False).alias("is_translated"), F.lit(None).cast("string").alias("translated_file"),
+    )
+    write_manifest_json(manifest, str(tmp_path / "m"))
+    got = read_manifest_json(spark, str(tmp_path / "m")).select(manifest.columns)
+    assert got.exceptAll(manifest).count() == 0 and got.count() == 499
+
+
+def test_pairs_jsonl(spark, tmp_path):
+    file = tmp_path / "pairs.jsonl"
+    good = {"seq_id": 5, "english": "café", "hiligaynon": "balay", "chunk_id": 1}
+    file.write_text(json.dumps(good, ensure_ascii=False) + "\n\n   \n" + json.dumps(good) + "\n", encoding="utf-8")
+    rows = read_pairs_jsonl(spark, str(file), "hiligaynon").collect()
+    assert [tuple(r) for r in rows] == [(5, "café", "balay", 1)] * 2
+    file.write_text(json.dumps(good) + "\n{broken\n", encoding="utf-8")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_pairs_jsonl(spark, str(file)).collect()
+    with pytest.raises(PySparkException):
+        read_pairs_jsonl(spark, str(tmp_path / "none.jsonl")).collect()
+
+
+def test_pairs_round_trip_in_order_and_unescaped(spark, tmp_path):
+    path = tmp_path / "out"
+    pairs = spark.range(0, 5000).select(
+        (5000 - F.col("id")).alias("seq_id"), F.lit("é\nline").alias("english"), F.lit(None).cast("string").alias("source_text"), F.lit(1).cast("bigint").alias("chunk_id")
+    )
+    write_pairs_jsonl(pairs, str(path), "hiligaynon")
+    lines = [line for f in sorted(path.glob("*.json")) for line in f.read_text(encoding="utf-8").splitlines()]
+    assert [json.loads(line)["seq_id"] for line in lines] == list(range(1, 5001))
+    assert "é" in lines[0] and '"hiligaynon":null' in lines[0]
+    assert read_pairs_jsonl(spark, str(path), "hiligaynon").exceptAll(pairs).count() == 0
+
+
+def test_article_pairs_file(spark, tmp_path):
+    rows = [(1, 0, "b", "B"), (0, 1, "a", "A")]
+    df = spark.createDataFrame(rows, "article_index BIGINT, sentence_index BIGINT, source_text STRING, english STRING")
+    write_article_pairs(df, str(tmp_path / "deep" / "out"))
+    assert spark.read.json(str(tmp_path / "deep" / "out")).count() == 2
+    assert default_pairs_path("data/part_1.json") == "data/translated_part_1.jsonl"
+    assert default_pairs_path("part.x.json") == "translated_part.x.jsonl"
+
+
+def test_chunks_are_stored_in_buckets(spark, tmp_path):
+    chunked = spark.range(1, 1001).select((F.col("id") % 50 + 1).alias("chunk_id"), F.col("id").alias("ordinal"))
+    write_chunks(chunked, str(tmp_path / "c"), chunks_per_bucket=10)
+    part = read_chunks(spark, str(tmp_path / "c"), (11, 20), 10)
+    assert part.count() == 200 and "chunk_bucket" not in part.columns
+    assert "PartitionFilters: [isnotnull(chunk_bucket" in part._jdf.queryExecution().executedPlan().toString()
+    assert read_chunks(spark, str(tmp_path / "c")).count() == 1000
+
+
+def test_chunk_text_files(spark, tmp_path):
+    folder = tmp_path / "chunks"
+    folder.mkdir()
+    (folder / "source_chunk_2.txt").write_text(" a \n\nb\r\nc\rd\n", encoding="utf-8")
+    (folder / "source_chunk_10.txt").write_text("e", encoding="utf-8")
+    rows = read_chunk_text(spark, str(folder)).orderBy("chunk_id", "line_no").collect()
+    assert [tuple(r) for r in rows] == [(2, 1, "a"), (2, 2, "b"), (2, 3, "c"), (2, 4, "d"), (10, 1, "e")]
+
+
+def test_exported_chunk_text_reads_back(spark, tmp_path):
+    packed = spark.createDataFrame([(1, ["x", "y\nz"]), (12, ["w"])], "chunk_id BIGINT, sentences ARRAY<STRING>")
+    export_chunk_text(packed, str(tmp_path / "t"))
+    rows = read_chunk_text(spark, str(tmp_path / "t")).orderBy("chunk_id", "line_no").collect()
+    assert [tuple(r) for r in rows] == [(1, 1, "x"), (1, 2, "y"), (1, 3, "z"), (12, 1, "w")]
+
+
+def test_batch_manifest_and_spot_check_files(spark, tmp_path):
+    manifest = spark.createDataFrame([(0, 2, [1, 2]), (1, 2, [])], "batch_number INT, total_batches INT, chunk_ids ARRAY<BIGINT>")
+    write_batch_manifests(manifest, str(tmp_path / "b"), F.timestamp_seconds(F.lit(0)))
+    assert sorted(p.name for p in (tmp_path / "b").glob("batch_number=*")) == ["batch_number=0", "batch_number=1"]
+    assert spark.read.json(str(tmp_path / "b")).count() == 2
+    write_spot_check(spark.createDataFrame([(1, None)], "sample_id INT, predicted STRING"), str(tmp_path / "s"))
+    assert "predicted" in spark.read.json(str(tmp_path / "s")).columns
+
+
+def test_scratch_folder_comes_from_the_session(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -1,0 +1,143 @@
+import sys
+import time
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from tandemtext.operators.assemble import assemble_pairs, contamination, zip_by_rank, zip_chunks
+from tandemtext.operators.translate import (
+    KEEP_SOURCE,
+    STRICT,
+    _attempt,
+    apply_translator,
+    atomic_chunks,
+    memory_translation,
+    translate_chunks,
+)
+
+# Tasks can't import a test module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Scripted:
+    """Answers by text; counts its calls."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def __call__(self, text):
+        self.calls += 1
+        if text == "down":
+            raise RuntimeError("down")
+        if text == "flaky" and self.calls % 3:
+            raise RuntimeError("busy")
+        return {"same": " same ", "none": None, "empty": ""}.get(text, "t:" + text)
+
+
+def run(spark, values, policy, **kwargs):
+    df = spark.createDataFrame([(v,) for v in values], "line STRING").coalesce(1)
+    out = apply_translator(df, Scripted, policy=policy, delay=0, **kwargs).collect()
+    return {r["line"]: (r["translated"], r["ok"], r["attempts"]) for r in out}
+
+
+def test_strict_never_returns_the_source(spark):
+    got = run(spark, ["flaky", "fine", "same", "none", "empty", "down"], STRICT)
+    assert got["flaky"] == ("t:flaky", True, 3)
+    assert got["fine"] == ("t:fine", True, 1)
+    assert all(got[k] == (None, False, 3) for k in ("same", "none", "empty", "down"))
+
+
+def test_keep_source(spark):
+    got = run(spark, ["flaky", "fine", "same", "none", "empty", "down"], KEEP_SOURCE)
+    assert got["flaky"] == ("t:flaky", True, 3)
+    assert got["same"] == (" same ", True, 1)
+    # an empty result is not tried again
+    assert got["none"] == ("none", True, 1) and got["empty"] == ("empty", True, 1)
+    assert got["down"] == ("down", True, 3)
+
+
+def test_errors_show_the_start_of_the_text(spark):
+    df = spark.createDataFrame([("down",)], "line STRING")
+    assert apply_translator(df, Scripted, delay=0).first()["error"] == "down: down"
+
+
+def test_pauses_before_calls_and_grows_between_tries(monkeypatch):
+    pauses = []
+    monkeypatch.setattr(time, "sleep", pauses.append)
+    assert _attempt(Scripted(), "down", STRICT, 2.5, 3)[1:3] == (False, 3)
+    assert pauses == [2.5, 2.5, 2.5, 5.0, 2.5]
+
+
+def test_workers_set_the_number_of_tasks(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("line"))
+    assert apply_translator(df, Scripted, delay=0, workers=3).rdd.getNumPartitions() == 3
+
+
+def test_arguments_are_checked(spark):
+    df = spark.createDataFrame([("a",)], "line STRING")
+    with pytest.raises(ValueError):
+        apply_translator(df, Scripted, policy="other")
+    with pytest.raises(ValueError):
+        apply_translator(df, Scripted, retries=0)
+
+
+def test_one_failure_voids_its_chunk_only(spark):
+    rows = [(1, 1, "a", "t", True), (1, 2, "b", None, False), (2, 1, "c", "u", True), (2, 2, "d", "v", True)]
+    df = spark.createDataFrame(rows, "chunk_id BIGINT, line_no INT, line STRING, translated STRING, ok BOOLEAN")
+    assert [tuple(r) for r in atomic_chunks(df).collect()] == [(2, ["c", "d"], ["u", "v"])]
+
+
+def test_a_chunk_stops_at_its_first_failure(spark):
+    packed = spark.createDataFrame([(1, ["a", "down", "b", "c"]), (2, ["x", "y"]), (3, [])], "chunk_id BIGINT, lines ARRAY<STRING>")
+    got = {r["chunk_id"]: r for r in translate_chunks(packed, Scripted, delay=0).collect()}
+    assert (got[1]["ok"], got[1]["attempts"], got[1]["translated_lines"]) == (False, 4, None)
+    assert got[2]["translated_lines"] == ["t:x", "t:y"] and got[3]["ok"]
+
+
+def test_memory_join(spark):
+    lines = spark.createDataFrame([(i, t) for i, t in enumerate(["a"] * 50 + ["b", "c", "e"])], "id BIGINT, line STRING")
+    memory = spark.createDataFrame([("a", "A2"), ("a", "A1"), ("b", "B"), ("d", "D"), ("e", "")], "source_text STRING, translated STRING")
+    got = {r["id"]: (r["translated"], r["ok"]) for r in memory_translation(lines, memory, ["id"]).collect()}
+    assert got == {**{i: ("A1", True) for i in range(50)}, 50: ("B", True), 51: (None, False), 52: ("", False)}
+
+
+def chunk_tables(spark):
+    source = spark.createDataFrame(
+        [(1, ["a", "b", "c", "d", "e"]), (2, ["f", "g\nh"]), (3, ["same", "x"]), (4, ["lost"]), (5, ["not done"])],
+        "chunk_id BIGINT, sentences ARRAY<STRING>",
+    )
+    translated = spark.createDataFrame(
+        [(1, ["A", "B", "C", "D"]), (2, ["F", " ", "G", "H"]), (3, [" same", "X"]), (5, ["N"]), (6, ["?"])],
+        "chunk_id BIGINT, translated_lines ARRAY<STRING>",
+    )
+    flags = [(1, True), (2, True), (3, True), (4, True), (5, None), (6, True)]
+    return spark.createDataFrame(flags, "chunk_id BIGINT, is_translated BOOLEAN"), source, translated
+
+
+def test_zip_cuts_to_the_shorter_side(spark):
+    _, source, translated = chunk_tables(spark)
+    got = {r["chunk_id"]: [tuple(p) for p in r["pairs"]] for r in zip_chunks(source, translated).collect()}
+    assert got[1] == [("a", "A"), ("b", "B"), ("c", "C"), ("d", "D")]
+    # a sentence with a line break is two lines, a blank line is none
+    assert got[2] == [("f", "F"), ("g", "G"), ("h", "H")]
+
+
+def test_contaminated_chunks(spark):
+    _, source, translated = chunk_tables(spark)
+    got = {r["chunk_id"]: (r["identical"], r["contaminated"]) for r in contamination(zip_chunks(source, translated)).collect()}
+    assert got[3] == (1, True) and got[1] == (0, False)
+
+
+def test_assembly(spark):
+    rows = assemble_pairs(*chunk_tables(spark), base_ms=1000).orderBy("seq_id").collect()
+    assert [r["seq_id"] for r in rows] == list(range(1001, 1008))
+    assert [(r["chunk_id"], r["source_text"], r["english"]) for r in rows][3:5] == [(1, "d", "D"), (2, "f", "F")]
+    assert {r["chunk_id"] for r in rows} == {1, 2}
+
+
+def test_zip_by_rank(spark):
+    left = spark.createDataFrame([("c", 0, "q1"), ("c", 4, "q2"), ("d", 1, "q3"), ("d", 3, "q4")], "g STRING, t INT, text STRING")
+    right = spark.createDataFrame([("c", 1, "a1"), ("c", 2, "a2"), ("c", 9, "a3"), ("d", 2, "a4")], "g STRING, t INT, text STRING")
+    got = sorted(tuple(r) for r in zip_by_rank(left, right, "g", "t", "text", "text").collect())
+    assert got == [("c", 1, "q1", "a1"), ("c", 2, "q2", "a2"), ("d", 1, "q3", "a4")]
