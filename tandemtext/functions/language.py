@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WORD_ENDS, WORD_STARTS, _col, strip, word_count
+from .text import NO_WORD, _col, bind, strip, word_count
 
 THRESHOLD = 0.3
 
@@ -47,21 +47,27 @@ def _words_by_weight() -> dict[int, list[str]]:
     return weights
 
 
-def function_word_count(c: Column | str) -> Column:
-    """Whole-word hits over all groups: one pass per weight instead of one per group."""
-    low = F.lower(_col(c))
-    hits = [
-        F.regexp_count(low, F.lit(rf"{WORD_STARTS}(?:{'|'.join(listed)}){WORD_ENDS}"))
-        for listed in _words_by_weight().values()
-    ]
+def _function_words(tokens: Column) -> Column:
+    def hits(listed: list[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(*listed)))
+
+    first, *rest = [hits(listed) for listed in _words_by_weight().values()]
+    return sum(rest, first)
+
+
+def _indicators(low: Column) -> Column:
+    hits = [F.contains(low, F.lit(word)).cast("int") for word in INDICATORS]
     return sum(hits[1:], hits[0])
 
 
+def function_word_count(c: Column | str) -> Column:
+    """Whole-word hits over all groups, from runs of word characters cut once."""
+    return bind(F.split(F.lower(_col(c)), NO_WORD + "+"), _function_words)
+
+
 def indicator_count(c: Column | str) -> Column:
     """Indicator entries contained anywhere in the text, one per entry."""
-    low = F.lower(_col(c))
-    hits = [F.contains(low, F.lit(word)).cast("int") for word in INDICATORS]
-    return sum(hits[1:], hits[0])
+    return bind(F.lower(_col(c)), _indicators)
 
 
 def _reaches(count: Column, c: Column | str, threshold: float) -> Column:

@@ -6,6 +6,8 @@ engine needs no Unicode flag and agrees with code-point semantics elsewhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ SPACE_CHARS = (
 )
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 WORD = r"[\p{L}\p{N}_]"
+NO_WORD = r"[^\p{L}\p{N}_]"
 WORD_STARTS = rf"(?<!{WORD})"
 WORD_ENDS = rf"(?!{WORD})"
 
@@ -25,6 +28,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once per row.
+
+    A filter repeats a sub-expression wherever it is used; a lambda variable is not repeated.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Remove white space of any kind from both ends."""
     return F.btrim(_col(c), F.lit(SPACE_CHARS))
