@@ -96,10 +96,49 @@ def article_pairs(
     Row-local from scan to result; the filter runs before the translator.
     """
     kept = filter_english(split_sentences(articles.select("doc_id", "text"), profile="drop_punct"), method="lexicon")
+    keys = (F.col("doc_id").alias("article_index"), F.col("pos").cast("bigint").alias("sentence_index"))
+    return _lenient_pairs(kept, make_translator, delay, retries, workers, *keys)
+
+
+def _lenient_pairs(
+    kept: DataFrame, make_translator: Callable[[], Translator], delay: float, retries: int, workers: int | None, *keys
+) -> DataFrame:
     translated = apply_translator(kept, make_translator, "sentence", KEEP_SOURCE, delay, retries, workers)
-    return translated.select(
-        F.col("doc_id").alias("article_index"),
-        F.col("pos").cast("bigint").alias("sentence_index"),
-        F.col("sentence").alias("source_text"),
-        F.col("translated").alias("english"),
-    )
+    return translated.select(*keys, F.col("sentence").alias("source_text"), F.col("translated").alias("english"))
+
+
+def record_pairs(
+    records: DataFrame,
+    make_translator: Callable[[], Translator],
+    delay: float = DELAY,
+    retries: int = RETRIES,
+    workers: int | None = None,
+) -> DataFrame:
+    """Text records (``article_index, sentence_index, text``) to pairs.
+
+    Records are taken as sentences already; English ones are dropped, and the
+    source text stands in where the translator fails.
+    """
+    sentences = records.select("article_index", "sentence_index", F.col("text").alias("sentence"))
+    kept = filter_english(sentences, method="lexicon")
+    return _lenient_pairs(kept, make_translator, delay, retries, workers, "article_index", "sentence_index")
+
+
+def sequence_pairs(
+    articles: DataFrame,
+    make_translator: Callable[[], Translator],
+    base_ms: int = 0,
+    delay: float = DELAY,
+    retries: int = RETRIES,
+    workers: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``(extracted, pairs)``: all sentences with sequence ids, and pairs of those that are not English.
+
+    Ids are given before the filter, so the ids of pairs have gaps. Article
+    indices are the article ids.
+    """
+    numbered = numbered_sentences(articles, "drop_punct")
+    extracted = numbered.select((F.col("ordinal") + (base_ms - 1)).alias("seq_id"), "doc_id", "sentence")
+    kept = filter_english(extracted, method="patterns")
+    keys = (F.col("seq_id").alias("sequence_id"), F.col("doc_id").alias("article_index"))
+    return extracted, _lenient_pairs(kept, make_translator, delay, retries, workers, *keys)

@@ -267,10 +267,14 @@ scored AS (SELECT w.word, u.lang, sum(w.times * coalesce(p.score, u.missing)) AS
 best AS MATERIALIZED (SELECT word, lang FROM scored QUALIFY row_number() OVER (PARTITION BY word ORDER BY score DESC, lang) = 1)"""
 ORACLES["lang_profile"] = f"WITH {MODEL} SELECT lang, ngram, n, score FROM profile"
 ORACLES["word_language"] = f"WITH {WORD_LANG} SELECT word, n, lang FROM vocab JOIN best USING (word)"
-ORACLES["english_all_words"] = f"""WITH {WORD_LANG},
+FLAGS = f"""{WORD_LANG},
 used AS (SELECT doc_id, pos, unnest(list_distinct({_word_list('sentence')})) AS word FROM sents),
-flags AS (SELECT doc_id, pos, bool_and(coalesce(lang = 'en', FALSE)) AS is_english FROM used LEFT JOIN best USING (word) GROUP BY doc_id, pos)
-SELECT doc_id, pos, coalesce(is_english, FALSE) AS is_english FROM sents LEFT JOIN flags USING (doc_id, pos)"""
+flags AS (SELECT doc_id, pos, bool_and(coalesce(lang = 'en', FALSE)) AS is_english FROM used LEFT JOIN best USING (word) GROUP BY doc_id, pos),
+flagged AS (SELECT doc_id, pos, coalesce(is_english, FALSE) AS is_english FROM sents LEFT JOIN flags USING (doc_id, pos))"""
+ORACLES["english_all_words"] = f"WITH {FLAGS} SELECT doc_id, pos, is_english FROM flagged"
+ORACLES["chunk_articles_by_words"] = f"""
+WITH {FLAGS}, ranked AS (SELECT doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) - 1 AS r FROM flagged WHERE NOT is_english)
+SELECT doc_id, pos, r // 100 + 1 AS chunk_id, CAST(r % 100 + 1 AS INTEGER) AS line_no FROM ranked"""
 
 
 # --- sources
@@ -279,6 +283,10 @@ ORACLES["scan_articles"] = "SELECT doc_id, text FROM documents"
 ORACLES["scan_json_array"] = """
 SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS BIGINT) AS sentence_index, text
 FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> ''"""
+ORACLES["record_pairs"] = f"""
+SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS BIGINT) AS sentence_index, text AS source_text,
+       CASE WHEN left(md5(text), 2) IN ('00', '01', '02') THEN text ELSE '[en] ' || text END AS english
+FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> '' AND NOT {_is_english('text', _indicator_hits('text'))}"""
 ORACLES["scan_pairs_jsonl"] = """
 SELECT doc_id AS seq_id, '[en] ' || text AS english, text AS source_text, CAST(1 AS BIGINT) AS chunk_id FROM documents"""
 ORACLES["chunk_lines"] = f"WITH {LINES} SELECT chunk_id, line_no, line FROM lines"
@@ -290,6 +298,12 @@ ORACLES["extracted_sentences"] = f"""
 WITH sents AS ({_sentences('drop_punct')})
 SELECT row_number() OVER (ORDER BY doc_id, pos) + {BASE_MS - 1} AS seq_id, doc_id, sentence FROM sents"""
 
+ORACLES["sequence_pairs"] = f"""
+WITH sents AS MATERIALIZED ({_sentences('drop_punct')}),
+ids AS (SELECT row_number() OVER (ORDER BY doc_id, pos) + {BASE_MS - 1} AS seq_id, doc_id, sentence FROM sents)
+SELECT seq_id AS sequence_id, doc_id AS article_index, sentence AS source_text,
+       CASE WHEN left(md5(sentence), 2) IN ('00', '01', '02') THEN sentence ELSE '[en] ' || sentence END AS english
+FROM ids WHERE NOT {_is_english('sentence')}"""
 
 # --- chunks, batches and totals
 
@@ -388,10 +402,12 @@ ORACLES["training_batch_summary"] = f"WITH {KEPT} SELECT count(*) AS n_samples,
 ORACLES["progress_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)
 SELECT n AS total_samples, b AS batches_trained, greatest(b - 1, 0) AS current_batch,
-       strftime(make_timestamp((b - 1) * 60 * 1000000), '%Y-%m-%d %H:%M:%S') AS last_update FROM n"""
+       (b - 1) * 60 AS last_update FROM n"""
 ORACLES["pipeline_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)
-SELECT (SELECT count(*) FROM sents) AS extracted, n AS translated, b AS batches_trained, greatest(b - 1, 0) * 1000 AS training_index FROM n"""
+SELECT (SELECT count(*) FROM sents) AS extracted, n AS translated, b AS batches_trained,
+       greatest(b - 1, 0) AS batch_index, greatest(b - 1, 0) * 1000 AS training_index,
+       (b - 1) * 60 AS last_training FROM n"""
 VOCAB = (
     f"{PAIRS}, tokens AS MATERIALIZED (SELECT seq_id, side, unnest(p) AS token, generate_subscripts(p, 1) AS k FROM ("
     f"SELECT seq_id, 's' AS side, regexp_split_to_array({_strip('english')}, '{S}+') AS p FROM demo UNION ALL "

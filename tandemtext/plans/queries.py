@@ -113,9 +113,8 @@ def scan_articles(spark, sf_dir):
     return load_documents(spark, sf_dir)
 
 
-@query
-def scan_json_array(spark, sf_dir):
-    """Documents as array files with gaps: German without an index, French as non-objects, Spanish without text."""
+def _json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as array files with gaps: German without an index, French as non-objects, Spanish without text."""
     docs = load_documents(spark, sf_dir, "lang")
     text = F.col("text").alias("hiligaynon")
     element = (
@@ -126,7 +125,17 @@ def scan_json_array(spark, sf_dir):
     )
     path = scratch_path(spark, "json-arrays")
     write_json_arrays(docs.select(element.alias("value")), path)
-    return read_text_records(spark, path).select("article_index", "sentence_index", "text")
+    return read_text_records(spark, path)
+
+
+@query
+def scan_json_array(spark, sf_dir):
+    return _json_records(spark, sf_dir).select("article_index", "sentence_index", "text")
+
+
+@query
+def record_pairs(spark, sf_dir):
+    return corpus.record_pairs(_json_records(spark, sf_dir), DemoTranslator, delay=0)
 
 
 @query
@@ -162,8 +171,12 @@ def manifest_scan(spark, sf_dir):
 
 @query
 def extracted_sentences(spark, sf_dir):
-    numbered = corpus.numbered_sentences(load_documents(spark, sf_dir), "drop_punct")
-    return numbered.select((F.col("ordinal") + BASE_MS - 1).alias("seq_id"), "doc_id", "sentence")
+    return corpus.sequence_pairs(load_documents(spark, sf_dir), DemoTranslator, BASE_MS, delay=0)[0]
+
+
+@query
+def sequence_pairs(spark, sf_dir):
+    return corpus.sequence_pairs(load_documents(spark, sf_dir), DemoTranslator, BASE_MS, delay=0)[1]
 
 
 # --- filters and predicates
@@ -253,6 +266,13 @@ def english_all_words(spark, sf_dir):
     return flagged.select("doc_id", "pos", "is_english")
 
 
+@query
+def chunk_articles_by_words(spark, sf_dir):
+    """The whole first phase with the word-level filter."""
+    chunked = corpus.chunked_sentences(_articles(spark, sf_dir), method="words", model=_model(spark, sf_dir))
+    return chunked.select("doc_id", "pos", "chunk_id", "line_no")
+
+
 # --- aggregates
 
 
@@ -433,7 +453,7 @@ def run_mark_translated(spark, sf_dir):
 def run_progress_status(spark, sf_dir):
     slices = training_slices(_demo_pairs(spark, sf_dir))
     log = progress_log(slices, F.timestamp_seconds(F.col("batch_index") * 60))
-    return progress_status(log).withColumn("last_update", F.date_format("last_update", "yyyy-MM-dd HH:mm:ss"))
+    return progress_status(log).withColumn("last_update", F.unix_seconds("last_update"))
 
 
 @query
@@ -441,7 +461,8 @@ def run_pipeline_status(spark, sf_dir):
     docs = load_documents(spark, sf_dir)
     pairs = stage(_demo_pairs(spark, sf_dir), "pairs")
     log = progress_log(training_slices(pairs), F.timestamp_seconds(F.col("batch_index") * 60))
-    return pipeline_status(split_sentences(docs), pairs, log)
+    status = pipeline_status(split_sentences(docs), pairs, log)
+    return status.withColumn("last_training", F.unix_seconds("last_training"))
 
 
 # --- translation

@@ -41,22 +41,26 @@ def export_chunk_text(packed: DataFrame, path: str, column: str = "sentences", m
     packed.select("chunk_id", F.explode(column).alias("value")).write.mode(mode).partitionBy("chunk_id").text(path)
 
 
-def read_chunk_text(spark: SparkSession, path: str, number: str = r"chunk(?:_id=|_)(\d+)") -> DataFrame:
+def read_chunk_text(
+    spark: SparkSession, path: str, number: str = r"chunk(?:_id=|_)(\d+)", files: str = "*.txt"
+) -> DataFrame:
     """Non-blank, stripped lines of chunk text files; the chunk id is the number in the path.
 
-    Lines of one chunk keep their order; a chunk is bounded by the chunk size.
+    ``files`` tells source from translated chunks that share a folder, and files
+    without a number are none. Lines of one chunk keep their order; a chunk is
+    bounded by the chunk size.
     """
     # The last number in the path wins: folder names above may hold one too.
     found = F.regexp_extract_all(F.col("_metadata.file_path"), F.lit(number))
-    raw = spark.read.text(path, recursiveFileLookup=True).select(
-        F.element_at(found, -1).cast("bigint").alias("chunk_id"),
+    raw = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter=files).select(
+        F.try_element_at(found, F.lit(-1)).cast("bigint").alias("chunk_id"),
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_r"),
         strip("value").alias("line"),
     )
     order = Window.partitionBy("chunk_id").orderBy("_f", "_b", "_r")
-    return raw.filter("line <> ''").select("chunk_id", F.row_number().over(order).alias("line_no"), "line")
+    return raw.filter("line <> '' and chunk_id is not null").select("chunk_id", F.row_number().over(order).alias("line_no"), "line")
 
 
 def read_pairs_jsonl(spark: SparkSession, path: str, source_field: str = "source_text") -> DataFrame:
@@ -70,6 +74,11 @@ def read_pairs_jsonl(spark: SparkSession, path: str, source_field: str = "source
     return read.withColumnRenamed(source_field, "source_text")
 
 
+def write_extracted_sentences(extracted: DataFrame, path: str, mode: str = "append") -> None:
+    """Sentences with their sequence ids as they were before any language filter."""
+    extracted.select("seq_id", "doc_id", "sentence").write.mode(mode).parquet(path)
+
+
 def _write_lines(df: DataFrame, path: str, order: list[str], mode: str) -> None:
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.write.mode(mode).option("ignoreNullFields", "false").json(path)

@@ -32,7 +32,8 @@ def chunk_sink(
     Sentences and a one-row total are stored under the batch id and overwritten
     when the batch is replayed. Chunk numbers go on after the totals of earlier
     batches only, so a replay writes the same rows again. The total is written
-    last: it marks the batch as complete.
+    last: it marks the batch as complete. A sink belongs to one stream, since batch ids
+    start over with a new checkpoint.
     """
     keep = keep or (lambda sentences: filter_english(sentences, method="patterns"))
 
@@ -76,5 +77,6 @@ def ingest_articles(
 
 
 def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
-    """All ingested sentences with their chunk ids."""
-    return spark.read.parquet(f"{sink}/sentences")
+    """Sentences with their chunk ids, of complete batches only."""
+    complete = spark.read.parquet(f"{sink}/totals").select("batch_id")
+    return spark.read.parquet(f"{sink}/sentences").join(complete, "batch_id", "left_semi")
