@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunking import unfinished
-from .ordinal import with_ordinal
+from .ordinal import whole_div, with_ordinal
 
 IDS_PER_PART = 10000
 
@@ -19,7 +19,7 @@ def round_robin_batches(chunks: DataFrame, num_batches: int) -> DataFrame:
     return ranked.select(
         "chunk_id",
         F.pmod(F.col("_rank"), F.lit(num_batches)).cast("int").alias("batch_number"),
-        F.floor(F.col("_rank") / num_batches).alias("batch_pos"),
+        whole_div("_rank", num_batches).alias("batch_pos"),
     )
 
 
@@ -30,7 +30,7 @@ def batch_manifest(batches: DataFrame, num_batches: int, ids_per_part: int = IDS
     with the corpus; a batch that fits has the single part 0. Counts and
     limits describe the whole batch on every part.
     """
-    part = F.floor(F.col("batch_pos") / ids_per_part).cast("int")
+    part = whole_div("batch_pos", ids_per_part).cast("int")
     ids = F.sort_array(F.collect_list("chunk_id"))
     parts = batches.groupBy("batch_number", part.alias("part")).agg(ids.alias("chunk_ids"))
     whole = batches.groupBy("batch_number").agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import text_lines
-from .ordinal import with_ordinal
+from .ordinal import whole_div, with_ordinal
 
 CHUNK_SIZE = 100
 
@@ -37,7 +37,7 @@ def chunk_number(ordinal: Column | str, size: int = CHUNK_SIZE, base: int = 0) -
     if size <= 0:
         raise ValueError("chunk size must be >= 1")
     column = F.col(ordinal) if isinstance(ordinal, str) else ordinal
-    return F.floor((column - 1) / size) + 1 + F.lit(base)
+    return whole_div(column - 1, size) + 1 + F.lit(base)
 
 
 def assign_chunks(numbered: DataFrame, size: int = CHUNK_SIZE, base: int = 0) -> DataFrame:

@@ -1,8 +1,8 @@
 """The corpus pipeline as compositions of the operators.
 
 Order matters for cost: English sentences are dropped before anything is sent
-to a translator, and articles are range-partitioned before they are split,
-so the splitting expressions run once although range bounds are sampled.
+to a translator, and articles are put in order before they are split, so the
+splitting expressions run once, on rows that are already where they belong.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ..operators.assemble import assemble_pairs
 from ..operators.chunking import CHUNK_SIZE, assign_chunks, chunk_manifest, mark_translated, pack_chunks, reread_lines
 from ..operators.filters import filter_english
 from ..operators.language_model import LanguageModel
-from ..operators.ordinal import arrange, with_ordinal
+from ..operators.ordinal import arrange_ids, with_ordinal
 from ..operators.translate import DELAY, KEEP_SOURCE, RETRIES, Translator, apply_translator, translate_chunks
 from ..session import stage
 from ..sources.articles import read_articles
@@ -35,7 +35,7 @@ def numbered_sentences(
 
     ``keep`` must be row-local: it runs between the sort and the numbering.
     """
-    sentences = split_sentences(arrange(articles.select("doc_id", "text"), ["doc_id"]), profile=profile)
+    sentences = split_sentences(arrange_ids(articles.select("doc_id", "text"), "doc_id"), profile=profile)
     kept = keep(sentences) if keep else sentences
     return with_ordinal(kept, ["doc_id", "pos"], arranged=True)
 

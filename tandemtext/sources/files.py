@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.text import strip
+from ..operators.ordinal import whole_div
 
 CHUNKS_PER_BUCKET = 100_000
 
 
 def write_chunks(chunked: DataFrame, path: str, chunks_per_bucket: int = CHUNKS_PER_BUCKET, mode: str = "append") -> None:
     """Chunk rows as Parquet in folders of neighbouring chunk ids, so one chunk is found without a full scan."""
-    bucket = F.floor((F.col("chunk_id") - 1) / chunks_per_bucket)
+    bucket = whole_div(F.col("chunk_id") - 1, chunks_per_bucket)
     chunked.withColumn("chunk_bucket", bucket).write.mode(mode).partitionBy("chunk_bucket").parquet(path)
 
 

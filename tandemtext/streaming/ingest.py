@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..operators.chunking import CHUNK_SIZE, assign_chunks
 from ..operators.filters import filter_english
+from ..operators.ordinal import whole_div
 from ..plans.corpus import numbered_sentences
 
 
@@ -46,7 +47,7 @@ def chunk_sink(
         chunked.write.mode("overwrite").parquet(f"{path}/sentences/batch_id={batch_id}")
         written = spark.read.parquet(f"{path}/sentences/batch_id={batch_id}")
         n = F.count(F.lit(1))
-        written.agg(n.alias("n_sentences"), F.ceil(n / size).cast("bigint").alias("n_chunks")).coalesce(1).write.mode(
+        written.agg(n.alias("n_sentences"), whole_div(n + (size - 1), size).alias("n_chunks")).coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{path}/totals/batch_id={batch_id}")
 

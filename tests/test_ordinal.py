@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandemtext.operators.lookup import lookup_words, salted_left_join
-from tandemtext.operators.ordinal import with_ordinal
+from tandemtext.operators.ordinal import arrange_ids, with_ordinal
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 16])
@@ -65,3 +65,16 @@ def test_salted_join_equals_a_plain_join(spark):
     assert sorted(map(tuple, salted.select("id", F.coalesce("v", F.lit(""))).collect())) == sorted(
         map(tuple, left.join(right, "key", "left").select("id", F.coalesce("v", F.lit(""))).collect())
     )
+
+
+@pytest.mark.parametrize("ids", [list(range(5, 3005)), [i * i * 7919 for i in range(3000)], [3], [], [1, None, 2]])
+def test_arranged_ids_are_in_order(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "id BIGINT").repartition(5)
+    placed = arrange_ids(df, "id").withColumn("at", F.monotonically_increasing_id()).collect()
+    got = [r["id"] for r in sorted(placed, key=lambda r: r["at"])]
+    assert got == sorted(ids, key=lambda i: (i is not None, i or 0))
+
+
+def test_dense_ids_are_spread_evenly(spark):
+    placed = arrange_ids(spark.range(10, 8010), "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(placed) == 4 and max(r["count"] for r in placed) == 2000
