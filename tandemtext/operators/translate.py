@@ -12,10 +12,11 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..functions.text import SPACE_CHARS, head
 from ..session import stage
 from .lookup import salted_left_join
@@ -75,7 +76,7 @@ def apply_translator(
         raise ValueError(f"unknown policy {policy!r}")
     if retries < 1:
         raise ValueError("retries must be >= 1")
-    added = T.StructType.fromDDL("translated STRING, ok BOOLEAN, attempts INT, error STRING")
+    added = T.StructType.fromDDL(schemas.TRANSLATION)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = make_translator()
@@ -150,13 +151,3 @@ def translate_chunks(
     source = packed.select("chunk_id", "lines")
     spread = source.repartition(workers) if workers else source
     return stage(spread.mapInPandas(run, schema), "translated-chunks")
-
-
-def best_effort_pairs(translated: DataFrame, keys: list[str], col: str = "sentence") -> DataFrame:
-    return translated.select(*keys, F.col(col).alias("source_text"), F.col("translated").alias("english"))
-
-
-def per_article_index(pairs: DataFrame, article: str, order: str, name: str) -> DataFrame:
-    """0-based position of a pair in its article; an article comes from one input row."""
-    w = Window.partitionBy(article).orderBy(order)
-    return pairs.withColumn(name, F.row_number().over(w) - 1)

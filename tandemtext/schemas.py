@@ -1,9 +1,10 @@
 """Table layouts shared by sources, operators and the stream."""
 
-ARTICLES = "doc_id BIGINT, text STRING"
+from __future__ import annotations
 
-SENTENCES = "doc_id BIGINT, pos INT, sentence STRING"
+ARTICLES = "doc_id BIGINT, text STRING"
 
+# One entry of a chunk manifest, next to its chunk id.
 MANIFEST_ENTRY = (
     "file_path STRING, sentence_count INT, is_translated BOOLEAN, created_at STRING, "
     "translated_at STRING, translated_file STRING"
@@ -11,8 +12,5 @@ MANIFEST_ENTRY = (
 
 PAIRS = "seq_id BIGINT, english STRING, source_text STRING, chunk_id BIGINT"
 
-ARTICLE_PAIRS = "article_index BIGINT, sentence_index BIGINT, source_text STRING, english STRING"
-
-PROGRESS = "batch_index BIGINT, n_samples BIGINT, completed_at TIMESTAMP"
-
+# What a translator's policy adds to a row.
 TRANSLATION = "translated STRING, ok BOOLEAN, attempts INT, error STRING"

@@ -12,6 +12,7 @@ from tandemtext.functions.sentences import EXTRA_BUSINESS, LONG_LIST, SHORT_LIST
 
 
 def _recogniser(profile: str) -> re.Pattern:
+    # The patterns of the rule sets, in their order.
     if profile == "prod":
         names = "|".join(SHORT_LIST)
         return re.compile(rf"\b[A-Z]\.\s(?=[A-Z])|\b[A-Z]{{1,3}}\.\b|etc\.|(?:{names})\.")
