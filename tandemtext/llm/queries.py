@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, line_dedup, merge_encoding
 from .common import table
 
+# Where the vocabulary files are, read on the driver only; the bytes, about a MB, travel with the job.
+PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,3 +35,15 @@ def op1(spark, sf_dir):
 @query("op4_line_dedup", line_dedup.ORACLE)
 def op4(spark, sf_dir):
     return line_dedup.line_dedup_report(table(spark, sf_dir, "documents"))
+
+
+def vocabulary(name: str) -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+@query("op9_piece_encoding")
+def op9(spark, sf_dir):
+    return merge_encoding.encoding_digests(table(spark, sf_dir, "documents"), vocabulary(PIECE_MODEL))
