@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,6 +40,17 @@ def per_text(
     return given.mapInArrow(run, schema)
 
 
+def kept_in_worker(name: str, make: Callable):
+    """What ``make()`` gives, built once per Python worker: Spark uses a worker for many tasks.
+
+    Functions travel by value here, so the modules' own globals don't outlive a task.
+    """
+    holder = sys.modules.setdefault("_tandemtext_worker", types.ModuleType("_tandemtext_worker"))
+    if name not in vars(holder):
+        setattr(holder, name, make())
+    return getattr(holder, name)
+
+
 class Remembered(dict):
     """A dictionary that computes what it lacks and starts anew when it is full."""
 

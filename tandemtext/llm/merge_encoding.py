@@ -4,7 +4,7 @@ Longest matches come from an Aho-Corasick automaton. A token may follow another
 merging their joined characters anew gives the same two tokens; otherwise a shorter match is
 tried, and a position from which all matches failed is marked in a bit field and left
 for good. Vocabularies in which no piece has a word mark inside are cut before every run
-of word marks without changing the result, so each distinct word is encoded once per task.
+of word marks without changing the result, so each distinct word is encoded once per worker.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .arrow import Remembered, per_text
+from .arrow import Remembered, kept_in_worker, per_text
 
 MARK = "▁"
-# Cached words and token pairs of one task.
+# Cached words and token pairs of one Python worker.
 MOST_WORDS = 500_000
 MOST_PAIRS = 300_000
 
@@ -172,16 +172,19 @@ def _without_lead(parts) -> str:
     return "".join([text for _, text in parts])[1:]
 
 
-def _maker(model: bytes, finish):
-    def make():
-        encoder = Encoder(Vocabulary(model))
-        units = unit_pattern(encoder.v).findall
+def _words(model: bytes):
+    encoder = Encoder(Vocabulary(model))
+
+    def word(unit: str) -> tuple[str, str]:
+        ids = encoder.tokens(unit)
+        return ",".join(map(str, ids)), encoder.decoded(ids)
 
-        def word(unit: str) -> tuple[str, str]:
-            ids = encoder.tokens(unit)
-            return ",".join(map(str, ids)), encoder.decoded(ids)
+    return Remembered(word, MOST_WORDS), unit_pattern(encoder.v).findall
 
-        words = Remembered(word, MOST_WORDS)
+
+def _maker(model: bytes, finish):
+    def make():
+        words, units = kept_in_worker(f"pieces_{hashlib.sha256(model).hexdigest()}", lambda: _words(model))
 
         def step(text: str | None) -> tuple:
             if not text:

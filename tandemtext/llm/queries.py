@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, merge_encoding
+from . import exact_dedup, line_dedup, merge_encoding, packing
 from .common import table
 
 # Where the vocabulary files are, read on the driver only; the bytes, about a MB, travel with the job.
@@ -47,3 +47,8 @@ def vocabulary(name: str) -> bytes:
 @query("op9_piece_encoding")
 def op9(spark, sf_dir):
     return merge_encoding.encoding_digests(table(spark, sf_dir, "documents"), vocabulary(PIECE_MODEL))
+
+
+@query("op10_packing")
+def op10(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
