@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, merge_encoding, packing
+from . import exact_dedup, language_id, line_dedup, merge_encoding, packing
 from .common import table
 
 # Where the vocabulary files are, read on the driver only; the bytes, about a MB, travel with the job.
@@ -52,3 +52,8 @@ def op9(spark, sf_dir):
 @query("op10_packing")
 def op10(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_MODEL))
+
+
+@query("op8_language_id")
+def op8(spark, sf_dir):
+    return language_id.held_out_predictions(table(spark, sf_dir, "documents"))
