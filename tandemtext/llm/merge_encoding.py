@@ -55,6 +55,8 @@ class Encoder:
         self.v = vocabulary
         self.characters = {p for p in vocabulary.ids if len(p) == 1}
         self.codes = {i: b for b, i in vocabulary.byte_ids.items()} if vocabulary.has_bytes else {}
+        # Neighbours that no piece holds are never merged across: texts may be cut between them.
+        self.joined = {a + b for piece in vocabulary.ids for a, b in zip(piece, piece[1:])}
         self.pairs = Remembered(lambda pair: self.merge(pair[0] + pair[1]) == list(pair), MOST_PAIRS)
         self.found = ahocorasick.Automaton()
         for piece in vocabulary.ids:
@@ -112,6 +114,12 @@ class Encoder:
             left = len(starts[at]) if at < size else 0
         return taken
 
+    def cut(self, text: str) -> list[str]:
+        """The text in parts that are encoded independently."""
+        joined = self.joined
+        places = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in joined]
+        return [text[a:b] for a, b in zip([0, *places], [*places, len(text)])]
+
     def tokens(self, text: str) -> list[int]:
         """Ids of a text with marks in place; characters outside the vocabulary become byte tokens."""
         piece_ids = self.v.ids
@@ -176,10 +184,15 @@ def _words(model: bytes):
     encoder = Encoder(Vocabulary(model))
 
     def word(unit: str) -> tuple[str, str]:
+        parts = encoder.cut(unit) if len(unit) > 1 else [unit]
+        if len(parts) > 1:
+            found = [words[part] for part in parts]
+            return ",".join([ids for ids, _ in found]), "".join([text for _, text in found])
         ids = encoder.tokens(unit)
         return ",".join(map(str, ids)), encoder.decoded(ids)
 
-    return Remembered(word, MOST_WORDS), unit_pattern(encoder.v).findall
+    words = Remembered(word, MOST_WORDS)
+    return words, unit_pattern(encoder.v).findall
 
 
 def _maker(model: bytes, finish):
