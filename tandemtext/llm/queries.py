@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, merge_encoding, packing
+from . import exact_dedup, language_id, line_dedup, merge_encoding, packing, url_filter
 from .common import table
 
 # Where the vocabulary files are, read on the driver only; the bytes, about a MB, travel with the job.
@@ -57,3 +58,21 @@ def op10(spark, sf_dir):
 @query("op8_language_id")
 def op8(spark, sf_dir):
     return language_id.held_out_predictions(table(spark, sf_dir, "documents"))
+
+
+# The labels of the query: hosts that hold one of these words count as bad, all others as good.
+BAD_WORDS = ("adult", "bets", "casino", "spam")
+
+
+def labelled_urls(pages: DataFrame) -> DataFrame:
+    host = url_filter.host_of(F.col("url"))
+    bad = F.lit(False)
+    for word in BAD_WORDS:
+        bad = bad | host.contains(word)
+    return pages.filter("url IS NOT NULL").select("url", bad.cast("int").alias("bad"))
+
+
+@query("op2_url_filter")
+def op2(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, labelled_urls(pages))
