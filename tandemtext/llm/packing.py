@@ -13,13 +13,13 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+import unicodedata
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 from tokenizers import Tokenizer
 
-from .arrow import kept_in_worker
+from .arrow import Remembered, kept_in_worker
 
 SIZE = 2048
 END_ID = 1
@@ -35,11 +35,21 @@ END_ID = 1
 SENTENCE_CUT, HARD_CUT, SEQUENCE = 4, 24, 48
 # Tokens whose cuts are decided together; the last window is carried over to the next ones.
 BLOCK = 1 << 20
-MOST_WORDS = 500_000
-# How the byte-level model splits text before its merges (a fixed value of the format).
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Up to here the character classes of all Unicode versions agree.
-FAMILIAR = regex.compile("[\x00-ɏ]*")
+# Words kept by a Python worker, about 200 bytes each.
+MOST_WORDS = 1_000_000
+# Up to this character all Unicode versions agree on what letters and numbers are.
+LAST_FAMILIAR = 0x24F
+
+
+def _word_pattern() -> re.Pattern:
+    """How the byte-level format splits text before its merges, for texts of familiar characters."""
+    familiar = [chr(i) for i in range(LAST_FAMILIAR + 1)]
+    kind = lambda k: re.escape("".join(c for c in familiar if unicodedata.category(c)[0] == k))
+    letters, numbers, spaces = kind("L"), kind("N"), "\t-\r \x85\xa0"
+    return re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
+        f"|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
+    )
 
 
 class CachedTokenizer:
@@ -48,8 +58,10 @@ class CachedTokenizer:
     def __init__(self, model: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         self.tokenizer = Tokenizer.from_buffer(model)
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(self._whole, MOST_WORDS)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split = _word_pattern().findall
+        self.unfamiliar = re.compile(f"[^\\x00-{chr(LAST_FAMILIAR)}]").search
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether its token ends a sentence or a line."""
@@ -58,16 +70,13 @@ class CachedTokenizer:
             ends[i] = token.rstrip("\"')]").endswith((".", "!", "?", "Ċ"))
         return ends
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
-        if not FAMILIAR.fullmatch(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        found, words = WORDS.findall(text), self.words
-        if len(words) > MOST_WORDS:
-            words.clear()
-        new = [w for w in set(found) if w not in words]
-        for word, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            words[word] = np.array(encoded.ids, dtype="<u4").tobytes()
-        return b"".join(map(words.__getitem__, found))
+        if not text.isascii() and self.unfamiliar(text) or any(s in text for s in self.special):
+            return self._whole(text)
+        return b"".join(map(self.words.__getitem__, self.split(text)))
 
 
 def best_cuts(positions: np.ndarray, penalties: np.ndarray, size: int) -> list[int]:
@@ -75,30 +84,33 @@ def best_cuts(positions: np.ndarray, penalties: np.ndarray, size: int) -> list[i
     at, penalty, n = positions.tolist(), penalties.tolist(), len(positions)
     index = np.full(at[-1] + 1, -1, dtype=np.int64)
     index[positions] = np.arange(n)
-    exact: dict[int, list[int]] = {}
-    power = 1
-    while power <= size:
-        ends = np.flatnonzero(positions >= power)
-        starts = index[positions[ends] - power]
-        for j, i in zip(ends[starts >= 0].tolist(), starts[starts >= 0].tolist()):
-            exact.setdefault(j, []).append(i)
-        power *= 2
-    cost, back = [0] * n, [0] * n
-    queue: deque[int] = deque()
+    # Pairs (end, start) that a power of two lies between, by their ends.
+    pairs = []
+    for power in (1 << k for k in range(size.bit_length())):
+        ends = np.searchsorted(positions, power) + np.flatnonzero(index[positions[positions >= power] - power] >= 0)
+        pairs.append(np.stack([ends, index[positions[ends] - power]]))
+    ends, starts = np.concatenate(pairs, axis=1)
+    order = np.argsort(ends, kind="stable")
+    ends, starts, p = [*ends[order].tolist(), n], starts[order].tolist(), 0
+    back = [0] * n
+    keys = [0] * n  # cost of the best cuts up to a position, plus the position
+    queue, head, tail = [0] * n, 0, 0  # starts with ascending keys
     for j in range(1, n):
-        i = j - 1
-        key = cost[i] + at[i]
-        while queue and cost[queue[-1]] + at[queue[-1]] >= key:
-            queue.pop()
-        queue.append(i)
-        while at[j] - at[queue[0]] > size:
-            queue.popleft()
-        start = queue[0]
-        least = cost[start] + size - (at[j] - at[start])
-        for i in exact.get(j, ()):
-            if cost[i] < least:
-                least, start = cost[i], i
-        cost[j], back[j] = least + SEQUENCE + penalty[j], start
+        key, here = keys[j - 1], at[j]
+        while tail > head and keys[queue[tail - 1]] >= key:
+            tail -= 1
+        queue[tail] = j - 1
+        tail += 1
+        while at[queue[head]] < here - size:
+            head += 1
+        start = queue[head]
+        least = keys[start] + size - here
+        while ends[p] == j:
+            i = starts[p]
+            if keys[i] - at[i] < least:
+                least, start = keys[i] - at[i], i
+            p += 1
+        keys[j], back[j] = least + here + SEQUENCE + penalty[j], start
     cuts = [n - 1]
     while cuts[-1]:
         cuts.append(back[cuts[-1]])
