@@ -20,7 +20,7 @@ from .arrow import Remembered, kept_in_worker, per_text
 
 MARK = "▁"
 # Cached words and token pairs of one Python worker.
-MOST_WORDS = 500_000
+MOST_WORDS = 1_200_000
 MOST_PAIRS = 300_000
 
 
@@ -60,10 +60,10 @@ class Encoder:
         self.pairs = Remembered(lambda pair: self.merge(pair[0] + pair[1]) == list(pair), MOST_PAIRS)
         self.found = ahocorasick.Automaton()
         for piece in vocabulary.ids:
-            self.found.add_word(piece, piece)
+            # Pieces that merging never builds from their own characters can't be in any result.
+            if self.merge(piece) == [piece]:
+                self.found.add_word(piece, piece)
         self.found.make_automaton()
-        # Pieces that merging never builds from their own characters can't be in any result.
-        self.whole = Remembered(lambda piece: self.merge(piece) == [piece], 2 * len(vocabulary.ids))
 
     def merge(self, text: str) -> list[str]:
         """Merge neighbours by the best score, the leftmost first, until nothing merges."""
@@ -85,12 +85,12 @@ class Encoder:
             return [text]
         # Compatible neighbours throughout mean the one exact result, and longest matches often are.
         longest = [piece for _, piece in self.found.iter_long(text)]
-        if all(map(self.pairs.__getitem__, zip(longest, longest[1:]))) and all(map(self.whole.__getitem__, longest)):
+        if all(map(self.pairs.__getitem__, zip(longest, longest[1:]))):
             return longest
         starts: list[list[str]] = [[] for _ in text]
         for end, piece in self.found.iter(text):  # ends ascend, so each start gets its matches by length
             starts[end - len(piece) + 1].append(piece)
-        size, pairs, whole = len(text), self.pairs, self.whole
+        size, pairs = len(text), self.pairs
         failed = bytearray(size + 1)  # as a field of bits; a byte each is as small as it needs to be here
         taken: list[str] = []
         tried: list[int] = []  # for each taken piece, how many shorter matches are left at its start
@@ -100,7 +100,7 @@ class Encoder:
             while left:
                 left -= 1
                 piece = options[left]
-                if not failed[at + len(piece)] and whole[piece] and (not taken or pairs[taken[-1], piece]):
+                if not failed[at + len(piece)] and (not taken or pairs[taken[-1], piece]):
                     chosen = piece
                     break
             if chosen is None:
