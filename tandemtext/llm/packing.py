@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ SENTENCE_CUT, HARD_CUT, SEQUENCE = 4, 24, 48
 # Tokens whose cuts are decided together; the last window is carried over to the next ones.
 BLOCK = 1 << 20
 # Words kept by a Python worker, about 200 bytes each.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 1_500_000
 # Up to this character all Unicode versions agree on what letters and numbers are.
 LAST_FAMILIAR = 0x24F
 
@@ -71,7 +72,8 @@ class CachedTokenizer:
         return ends
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if not text.isascii() and self.unfamiliar(text) or any(s in text for s in self.special):
