@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, line_dedup, lm_score, merge_encoding, minhash_dedup, packing, url_filter
+from . import embedding_dedup, exact_dedup, language_id, line_dedup, lm_score, merge_encoding, minhash_dedup, packing, pii, url_filter
 from .common import table
 
 # Where the vocabulary files are, read on the driver only; the bytes, about a MB, travel with the job.
@@ -91,3 +91,9 @@ def op5(spark, sf_dir):
 @query("op6_embedding_dedup", embedding_dedup.ORACLE)
 def op6(spark, sf_dir):
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_personal_data")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.train_tagger(docs))
