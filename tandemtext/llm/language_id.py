@@ -130,7 +130,8 @@ def held_out_predictions(docs: DataFrame, folds: int = 5) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, predictions: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language of enough score. Ids must identify rows."""
-    good = predictions.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return docs.join(good.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language of enough score; each row is judged where it lies."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_column).alias("text"))
+    judged = predict(rows, model, "row").filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return judged.select(*[F.col("doc_id")[c].alias(c) for c in docs.columns])
