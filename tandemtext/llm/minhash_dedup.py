@@ -4,10 +4,11 @@
    8-bit signature. Equal sets form a class; only the class's smallest id goes on.
 2. In the first bands every document is compared with the smallest one of its bucket. So a group of
    any size costs one comparison per document and band, and grows together at once.
+   Links are checked on the full sets of both texts and joined to components.
 3. What is left are buckets of any band that hold more than one component. There, members of
-   different components are compared by signature, in blocks of bounded size, and pairs
-   that may be similar enough go to the exact check.
-4. Links are checked on the full sets of both texts, then joined to components.
+   different components are compared by signature, in blocks of bounded size; those alike, directly or
+   through others, form a family. Inside a family, what isn't in its largest component is
+   compared on full sets, again in blocks, and only links that join components are written.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ MINIMA = BANDS * ROWS
 LEAST_SHARED = 76
 BLOCK = 512
 MOST_WORDS = 1_000_000
+LINKS = "u bigint, v bigint"
 
 
 def _constants(count: int, seed: int) -> np.ndarray:
@@ -93,7 +95,7 @@ def _shingler() -> Shingler:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key, bands, signature; of documents without words the last three are NULL."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, set_key binary, bands array<bigint>, signature binary"
+    schema = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, signature binary"
     fields = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +129,6 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full shingle sets are similar enough."""
     with_u = pairs.join(docs.select(F.col("doc_id").alias("u"), F.col("text").alias("_u")), "u")
     both = with_u.join(docs.select(F.col("doc_id").alias("v"), F.col("text").alias("_v")), "v").select("u", "v", "_u", "_v")
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = _shingler()
@@ -137,7 +138,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             good = [similar_enough(sets[u.as_py()], sets[v.as_py()]) for u, v in texts]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, f"u {kind}, v {kind}").distinct()
+    return both.mapInArrow(run, LINKS).distinct()
 
 
 def _shared(a: bytes, b: bytes) -> int:
@@ -168,15 +169,62 @@ def first_candidates(nodes: DataFrame) -> DataFrame:
             good = [_shared(a, b) >= LEAST_SHARED for a, b in signatures]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    kind = nodes.schema["node"].dataType.simpleString()
-    return both.select("u", "v", "_su", "_sv").mapInArrow(run, f"u {kind}, v {kind}")
+    return both.select("u", "v", "_su", "_sv").mapInArrow(run, LINKS)
 
 
-def left_candidates(nodes: DataFrame) -> DataFrame:
-    """(u, v) from all bands: nodes of different components in one bucket whose signatures agree enough.
+class Sets:
+    """Disjoint sets of labels."""
 
-    ``nodes`` has ``component``. A bucket of n nodes is cut into blocks of ``BLOCK``, and every
+    def __init__(self) -> None:
+        self.parent: dict = {}
+
+    def root(self, x):
+        up = self.parent.setdefault(x, x)
+        while up != x:
+            self.parent[x] = self.parent[up]
+            x, up = up, self.parent[up]
+        return x
+
+    def join(self, x, y) -> bool:
+        """Whether the two were apart."""
+        x, y = self.root(x), self.root(y)
+        self.parent[x] = y
+        return x != y
+
+
+def _by_group(batches: Iterator[pa.RecordBatch], width: int, answer) -> Iterator[pa.RecordBatch]:
+    """(u, v) rows of ``answer(group)`` for each run of rows that are equal in the first ``width`` columns."""
+    group: list[tuple] = []
+    found: list[tuple] = []
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["u", "v"])
+
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if group and row[:width] != group[0][:width]:
+                found += answer(group)
+                group = []
+            group.append(row)
+        if found:
+            yield batch_of(found)
+            found = []
+    if group and (found := list(answer(group))):
+        yield batch_of(found)
+
+
+def _alike(signs: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` whose signatures agree enough with signature ``i``."""
+    return others[np.count_nonzero(signs[others] == signs[i], axis=1) >= LEAST_SHARED]
+
+
+def families(nodes: DataFrame) -> DataFrame:
+    """(node, family): nodes that may still be linked across components have the same family.
+
+    ``nodes`` has ``component``. In the buckets of all bands that hold several components, members of different
+    ones are compared by signature. A bucket of n nodes is cut into blocks of ``BLOCK``, and every
     two blocks meet in a group of their own, so no task holds more than two blocks of a bucket.
+    A group answers with pairs that span what it found alike, at most one for each of its nodes.
     """
     rows = nodes.select("node", "component", F.explode("bands").alias("_bucket")).withColumn(
         "_salt", salt(F.xxhash64("node"))
@@ -199,48 +247,81 @@ def left_candidates(nodes: DataFrame) -> DataFrame:
         .join(nodes.select("node", "signature"), "node")
         .withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
     )
-    groups = placed.select(
-        "_bucket",
-        F.least("_block", "_other").alias("_a"),
-        F.greatest("_block", "_other").alias("_b"),
-        "_block",
-        "node",
-        "component",
-        "signature",
-    )
+    first, second = F.least("_block", "_other").alias("_a"), F.greatest("_block", "_other").alias("_b")
+    groups = placed.select("_bucket", first, second, "node", "component", "signature")
     keys = ["_bucket", "_a", "_b"]
     together = groups.repartition(*keys).sortWithinPartitions(*keys, "node")
-    kind = nodes.schema["node"].dataType.simpleString()
 
-    def pairs_of(group: list[tuple]) -> Iterator[tuple]:
-        _, a, b, blocks, ids, components, signatures = zip(*group)
-        blocks, components = np.array(blocks), np.array(components)
+    def spanning(group: list[tuple]) -> Iterator[tuple]:
+        _, _, _, ids, components, signatures = zip(*group)
+        components = np.array(components)
         signs = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(group), -1)
+        sets = Sets()
         for i in range(len(group) - 1):
-            good = components[i + 1 :] != components[i]
-            if a[0] != b[0]:
-                good &= blocks[i + 1 :] != blocks[i]
-            rest = i + 1 + np.flatnonzero(good)
-            if len(rest):
-                shared = np.count_nonzero(signs[rest] == signs[i], axis=1)
-                for j in rest[shared >= LEAST_SHARED].tolist():
-                    yield min(ids[i], ids[j]), max(ids[i], ids[j])
+            rest = i + 1 + np.flatnonzero(components[i + 1 :] != components[i])
+            for j in _alike(signs, i, rest).tolist():
+                if sets.join(i, j):
+                    yield ids[i], ids[j]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        for batch in batches:
-            found: list[tuple] = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if group and row[:3] != group[0][:3]:
-                    found += pairs_of(group)
-                    group = []
-                group.append(row)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, batch.column(4).type) for c in zip(*found)], names=["u", "v"])
-        if group and (found := list(pairs_of(group))):
-            yield pa.RecordBatch.from_arrays([pa.array(c, batch.column(4).type) for c in zip(*found)], names=["u", "v"])
+    pairs = together.mapInArrow(lambda batches: _by_group(batches, 3, spanning), LINKS)
+    return connected_components(pairs).withColumnRenamed("component", "family")
+
+
+def linked_in_families(nodes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v): links between components, found in families of any size by comparing full sets.
+
+    The largest component of a family is linked in itself already; only the others are compared, with each other
+    and with the largest one, in blocks of ``BLOCK``. Texts go once to each block they meet. A group
+    answers with links that join components, at most one for each.
+    """
+    held = stage(members.join(nodes.select("node", "component", "signature"), "node"), "families")
+    sizes = held.groupBy("family", "component").count()
+    largest = sizes.groupBy("family").agg(
+        F.max_by("component", F.struct("count", "component")).alias("_main"),
+        F.max("count").alias("_n_main"),
+        F.sum("count").alias("_n"),
+    )
+    placed = (
+        held.join(largest, "family")
+        .withColumn("_other", F.col("component") != F.col("_main"))
+        .withColumn("_others", F.ceil((F.col("_n") - F.col("_n_main")) / BLOCK).cast("int"))
+        .withColumn("_mains", F.ceil(F.col("_n_main") / BLOCK).cast("int"))
+        .withColumn("_block", F.pmod(F.xxhash64("node"), F.when(F.col("_other"), F.col("_others")).otherwise(F.col("_mains"))).cast("int"))
+    )
+    # Group (a, b): block a of the others, with a later block b of them or a block of the largest, numbered after them.
+    as_first = F.transform(F.expr("sequence(_block, _others + _mains - 1)"), lambda b: F.struct(F.col("_block").alias("a"), b.alias("b"), F.lit(True).alias("first")))
+    as_second = F.transform(F.expr("sequence(0, _block)"), lambda a: F.struct(a.alias("a"), F.col("_block").alias("b"), F.lit(False).alias("first")))
+    as_main = F.transform(
+        F.expr("sequence(0, _others - 1)"),
+        lambda a: F.struct(a.alias("a"), (F.col("_others") + F.col("_block")).alias("b"), F.lit(False).alias("first")),
+    )
+    earlier = F.filter(as_second, lambda g: g["a"] < g["b"])
+    dealt = placed.withColumn("_g", F.explode(F.when(F.col("_other"), F.concat(as_first, earlier)).otherwise(as_main)))
+    dealt = dealt.select("family", "_g.a", "_g.b", "_g.first", "node", "component", "signature")
+    # Written first: with its size known, Spark broadcasts it if it is small, and the texts stay where they are.
+    texts = stage(dealt.select("node").distinct(), "family_nodes").join(
+        docs.select(F.col("doc_id").alias("node"), "text"), "node"
+    )
+    keys = ["family", "a", "b"]
+    together = dealt.join(texts, "node").select(*keys, "first", "node", "component", "signature", "text")
+    together = together.repartition(*keys).sortWithinPartitions(*keys, "node")
+
+    def links(group: list[tuple]) -> Iterator[tuple]:
+        shingle = _shingler()
+        _, a, b, first, ids, components, signatures, texts = zip(*group)
+        signs = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(group), -1)
+        full = Remembered(lambda i: shingle(texts[i].encode()), 2 * BLOCK)
+        first, sets = np.array(first), Sets()
+        for i in np.flatnonzero(first).tolist():
+            # A block by itself: each pair once. Two blocks: all pairs across.
+            rest = np.arange(i + 1, len(group)) if a[0] == b[0] else np.flatnonzero(~first)
+            for j in _alike(signs, i, rest).tolist():
+                u, v = components[i], components[j]
+                if sets.root(u) != sets.root(v) and similar_enough(full[i], full[j]):
+                    sets.join(u, v)
+                    yield ids[i], ids[j]
 
-    return together.mapInArrow(run, f"u {kind}, v {kind}").distinct()
+    return together.mapInArrow(lambda batches: _by_group(batches, 3, links), LINKS)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -249,9 +330,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Links are pairs whose sets of five-word shingles have a Jaccard similarity of 0.75 or more. NULL
     texts and those without words have an empty set, link with nothing and stay; so do rows with
     a NULL id. Texts of fewer than five words are one shingle. Rows that repeat an id are one
-    document, which links with what any of its rows links with. Other columns are ignored.
+    document, which links with what any of its rows links with. Ids are integers; other columns are ignored.
     """
-    given = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    given = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     prints = stage(fingerprints(given), "prints").withColumn("_salt", salt(F.xxhash64("doc_id")))
     with_set = prints.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = stage(
@@ -264,10 +345,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     nodes = stage(nodes.drop("set_key").dropDuplicates(["node", "bands"]), "nodes")
 
     texts = given.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    links = stage(confirmed(first_candidates(nodes), texts), "confirmed")
+    links = stage(confirmed(stage(first_candidates(nodes), "candidates"), texts), "confirmed")
     components = connected_components(links)
     joined = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = stage(confirmed(left_candidates(stage(joined, "nodes")), texts), "confirmed")
+    joined = stage(joined, "nodes")
+    more = stage(linked_in_families(joined, families(joined), texts), "confirmed")
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
 
