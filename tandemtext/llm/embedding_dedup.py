@@ -29,7 +29,9 @@ SAMPLE, MOST_LISTS, SUBSPACES, CODES = 10_000, 2_048, 8, 64
 ROUNDS = 8
 BLOCK = 1_024
 # A neighbour's offset has this many standard deviations of its length along a given direction at most.
-DEVIATIONS = 5.0
+DEVIATIONS = 3.0
+# Estimates are 32-bit sums of a few numbers below one.
+ROUNDING = 1e-5
 
 
 def _centres(points: np.ndarray, count: int, random: np.random.Generator) -> np.ndarray:
@@ -92,10 +94,10 @@ class Quantiser:
 
     def estimates(self, queries: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Dot products of queries with the coded vectors of one list, by table look-ups."""
-        total = np.repeat((queries @ self.coarse[which])[:, None], len(codes), axis=1)
+        total = np.repeat((queries @ self.coarse[which]).astype(np.float32)[None, :], len(codes), axis=0)
         for i, (cut, book) in enumerate(zip(self.cuts, self.books)):
-            total += (queries[:, cut] @ book.T)[:, codes[:, i]]
-        return total
+            total += (book @ queries[:, cut].T).astype(np.float32)[codes[:, i]]  # whole rows of the table
+        return total.T
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -124,7 +126,7 @@ def _spread(adjacent: np.ndarray, queries: np.ndarray, members: np.ndarray) -> t
 
 def compare(quantiser: Quantiser, which: int, q_ids, q_units, m_ids, m_units, m_codes, m_least, m_sizes) -> list[tuple]:
     """(id, linked vectors, smallest id reached) of one group of queries and members of a list."""
-    rows, columns = np.nonzero(quantiser.estimates(q_units, which, m_codes) >= m_least[None, :] - 1e-9)
+    rows, columns = np.nonzero(quantiser.estimates(q_units, which, m_codes) >= (m_least - ROUNDING).astype(np.float32)[None, :])
     adjacent = np.zeros((len(q_ids), len(m_ids)), dtype=bool)
     for begin in range(0, len(rows), 1 << 16):
         r, c = rows[begin : begin + (1 << 16)], columns[begin : begin + (1 << 16)]
@@ -144,32 +146,34 @@ def _array(column: pa.ChunkedArray | pa.Array, width: int, kind=np.float64) -> n
 
 def linked_groups(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
     """(id, links, least) from every group of every list; ``nodes`` has node, vector, members."""
+    kind = np.float32 if nodes.schema["vector"].dataType.elementType.typeName() == "float" else np.float64
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            units = _units(np.array(batch.column(1).to_pylist(), dtype=np.float64))
+            vectors = np.array(batch.column(1).to_pylist(), dtype=np.float64)
+            units = _units(vectors)
             own, visits = quantiser.place(units)
             codes, least = quantiser.code(units, own)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([u.tobytes() for u in units], pa.binary()),
+                    pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary()),
                     batch.column(2),
                     pa.array(own, pa.int32()),
                     pa.array(visits, pa.list_(pa.int32())),
                     pa.array([c.tobytes() for c in codes], pa.binary()),
                     pa.array(least, pa.float64()),
                 ],
-                names=["node", "unit", "members", "list", "visits", "codes", "least"],
+                names=["node", "raw", "members", "list", "visits", "codes", "least"],
             )
 
-    schema = "node bigint, unit binary, members bigint, list int, visits array<int>, codes binary, least double"
+    schema = "node bigint, raw binary, members bigint, list int, visits array<int>, codes binary, least double"
     indexed = stage(nodes.select("node", "vector", "members").mapInArrow(index, schema), "indexed")
 
     visiting = indexed.select(
-        F.col("node").alias("asking"), F.col("unit").alias("asking_unit"), F.explode("visits").alias("list")
+        F.col("node").alias("asking"), F.col("raw").alias("asking_raw"), F.explode("visits").alias("list")
     )
     # One row for each list, of which there are at most MOST_LISTS.
     sizes = F.broadcast(
@@ -180,10 +184,10 @@ def linked_groups(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
     block = lambda of, name: F.pmod(F.xxhash64(of), F.col(name)).alias(name[0])
     every = lambda name: F.explode(F.expr(f"sequence(0L, {name} - 1)")).alias(name[0])
     queries = visiting.join(sizes, "list").select(
-        "list", block("asking", "q_blocks"), every("m_blocks"), "asking", "asking_unit"
+        "list", block("asking", "q_blocks"), every("m_blocks"), "asking", "asking_raw"
     )
     members = indexed.join(sizes, "list").select(
-        "list", block("node", "m_blocks"), every("q_blocks"), "node", "unit", "members", "codes", "least"
+        "list", block("node", "m_blocks"), every("q_blocks"), "node", "raw", "members", "codes", "least"
     )
     width, parts = quantiser.width, len(quantiser.cuts)
 
@@ -194,9 +198,9 @@ def linked_groups(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
                 quantiser,
                 key[0].as_py(),
                 np.array(asking.column("asking")),
-                _array(asking.column("asking_unit"), width),
+                _units(_array(asking.column("asking_raw"), width, kind)),
                 np.array(held.column("node")),
-                _array(held.column("unit"), width),
+                _units(_array(held.column("raw"), width, kind)),
                 _array(held.column("codes"), parts, np.uint8),
                 np.array(held.column("least")),
                 np.array(held.column("members")),
