@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .arrow import Remembered, kept_in_worker
+from .arrow import Remembered
 from .common import give_back, salt, salt_mask
 from .components import connected_components
 
@@ -36,7 +36,6 @@ MINIMA = BANDS * ROWS
 # Of 128 minima a pair at 0.75 shares 96 on average, and fewer than 76 with probability 2e-5.
 LEAST_SHARED = 76
 BLOCK = 512
-MOST_WORDS = 1_000_000
 LINKS = "u bigint, v bigint"
 
 
@@ -53,24 +52,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class Shingler:
-    """Texts to sorted distinct 64-bit hashes of their shingles."""
-
-    def __init__(self) -> None:
-        self.words = Remembered(xxhash.xxh3_64_intdigest, MOST_WORDS)
-
-    def __call__(self, text: bytes | None, width: int = WORDS) -> np.ndarray:
-        # Bytes: lower() and split() then know just ASCII letters and white space.
-        words = text.lower().split() if text else []
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        hashes = np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
-        width = min(width, len(words))
-        count = len(words) - width + 1
-        total = np.full(count, width, dtype=np.uint64)
-        for i in range(width):
-            total = _mixed(total + hashes[i : i + count])
-        return np.unique(total)
+def shingle_set(text: bytes | None, width: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text."""
+    # Bytes: lower() and split() then know just ASCII letters and white space.
+    words = text.lower().split() if text else []
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    width = min(width, len(words))
+    count = len(words) - width + 1
+    total = np.full(count, width, dtype=np.uint64)
+    for i in range(width):
+        total = _mixed(total + hashes[i : i + count])
+    return np.unique(total)
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
@@ -89,21 +83,16 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _shingler() -> Shingler:
-    return kept_in_worker("shingler", Shingler)
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key, bands, signature; of documents without words the last three are NULL."""
     schema = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, signature binary"
     fields = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = _shingler()
         for batch in batches:
             rows = []
             for text in batch.column(1).cast(pa.binary()):
-                found = shingle(text.as_py())
+                found = shingle_set(text.as_py())
                 if len(found):
                     least = minima(found)
                     digest = hashlib.md5(found.tobytes()).digest()
@@ -131,8 +120,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     both = with_u.join(docs.select(F.col("doc_id").alias("v"), F.col("text").alias("_v")), "v").select("u", "v", "_u", "_v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = _shingler()
-        sets = Remembered(shingle, 64)
+        sets = Remembered(shingle_set, 64)
         for batch in batches:
             texts = zip(batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary()))
             good = [similar_enough(sets[u.as_py()], sets[v.as_py()]) for u, v in texts]
@@ -307,10 +295,9 @@ def linked_in_families(nodes: DataFrame, members: DataFrame, docs: DataFrame) ->
     together = together.repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def links(group: list[tuple]) -> Iterator[tuple]:
-        shingle = _shingler()
         _, a, b, first, ids, components, signatures, texts = zip(*group)
         signs = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(group), -1)
-        full = Remembered(lambda i: shingle(texts[i].encode()), 2 * BLOCK)
+        full = Remembered(lambda i: shingle_set(texts[i].encode()), 2 * BLOCK)
         first, sets = np.array(first), Sets()
         for i in np.flatnonzero(first).tolist():
             # A block by itself: each pair once. Two blocks: all pairs across.
