@@ -43,12 +43,14 @@ def per_text(
 def kept_in_worker(name: str, make: Callable):
     """What ``make()`` gives, built once per Python worker: Spark uses a worker for many tasks.
 
-    Functions travel by value here, so the modules' own globals don't outlive a task.
+    Functions travel by value here, so the modules' own globals don't outlive a task. A worker
+    keeps one thing: the next operator's takes the place of the last one's.
     """
     holder = sys.modules.setdefault("_tandemtext_worker", types.ModuleType("_tandemtext_worker"))
-    if name not in vars(holder):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    if getattr(holder, "name", None) != name:
+        holder.name, holder.kept = name, None
+        holder.kept = make()
+    return holder.kept
 
 
 class Remembered(dict):

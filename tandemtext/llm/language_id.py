@@ -8,14 +8,17 @@ prediction then reads each text once, whole, where it lies.
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import per_text
+from .arrow import kept_in_worker, per_text
 from .common import crc_remainder
 
 SAMPLE_DOCS = 5_000
@@ -33,6 +36,7 @@ class Model:
 
     def __init__(self, counts: list[tuple[str, str, int]]) -> None:
         """``counts``: (language, word, count)."""
+        self.key = hashlib.sha256(repr(sorted(counts)).encode()).hexdigest()
         self.languages = sorted({lang for lang, _, _ in counts})
         column = {lang: i for i, lang in enumerate(self.languages)}
         tables: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(column))) for _ in range(1 + len(ORDERS))]
@@ -94,6 +98,10 @@ class Predictor:
         return self.model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
+def _predictor(model: Model) -> Predictor:
+    return kept_in_worker(f"language_{model.key}", lambda: Predictor(model))
+
+
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
     """Fit on a bounded sample of rows that have a text and a label; no labelled rows give a model that knows nothing."""
     held = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
@@ -119,7 +127,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     language by name. Every row stands alone: repeated rows and NULL ids are fine, other columns
     are ignored, texts are read whole.
     """
-    return per_text(docs, lambda: Predictor(model), "lang_pred string, score double", id_column, text_column)
+    return per_text(docs, lambda: _predictor(model), "lang_pred string, score double", id_column, text_column)
 
 
 def held_out_predictions(docs: DataFrame, folds: int = 5) -> DataFrame:
@@ -132,6 +140,12 @@ def held_out_predictions(docs: DataFrame, folds: int = 5) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a language of enough score; each row is judged where it lies."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_column).alias("text"))
-    judged = predict(rows, model, "row").filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return judged.select(*[F.col("doc_id")[c].alias(c) for c in docs.columns])
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict_one = _predictor(model)
+        for batch in batches:
+            found = [predict_one(text.as_py()) for text in batch.column(place)]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -333,7 +333,14 @@ def find_personal_data(
 
 def redact_personal_data(docs: DataFrame, tagger: Tagger | None, text_column: str = "text") -> DataFrame:
     """``docs`` with personal data in the text replaced by ``<KIND>``; NULL texts stay NULL, other columns too."""
-    given = docs.select(F.struct(*docs.columns).alias("_key"), F.col(text_column).alias("text"))
-    found = _mapped(given, tagger, lambda text, base, spans: (redacted(text, spans),), "_clean string", [pa.string()])
-    clean = F.when(F.col("_key")[text_column].isNotNull(), F.col("_clean")).alias(text_column)
-    return found.select(*[clean if c == text_column else F.col("_key")[c].alias(c) for c in docs.columns])
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            spans = all_spans([t or "" for t in texts], tagger)
+            clean = [t and redacted(t, found) for t, (_, found) in zip(texts, spans)]
+            field = batch.schema.field(place)
+            yield batch.set_column(place, field, pa.array(clean, field.type))
+
+    return docs.mapInArrow(run, docs.schema)
