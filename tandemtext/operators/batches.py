@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from .chunking import unfinished
 from .ordinal import whole_div, with_ordinal
 
-IDS_PER_PART = 10000
-
 
 def round_robin_batches(chunks: DataFrame, num_batches: int) -> DataFrame:
     """Deal chunks, in id order, to ``num_batches`` batches numbered from 0."""
     if num_batches <= 0:
-        raise ValueError("num_batches must be >= 1")
+        raise ValueError("at least one batch is needed")
     ranked = with_ordinal(chunks.select("chunk_id"), ["chunk_id"], "_rank", start=0)
     return ranked.select(
         "chunk_id",
@@ -23,48 +21,44 @@ def round_robin_batches(chunks: DataFrame, num_batches: int) -> DataFrame:
     )
 
 
-def batch_manifest(batches: DataFrame, num_batches: int, ids_per_part: int = IDS_PER_PART) -> DataFrame:
-    """One manifest per batch, empty batches included.
+# The texts of a batch manifest.
+PURPOSE = "parallel_translation"
+SPAN, EMPTY = ("Translate chunks ", " to "), "Empty batch"
+
+
+def batch_manifest(batches: DataFrame, num_batches: int) -> DataFrame:
+    """One header row per batch, empty batches included: how many chunks, which first and last.
 
-    A batch's id list is cut into parts of ``ids_per_part`` ids, so no row grows
-    with the corpus; a batch that fits has the single part 0. Counts and
-    limits describe the whole batch on every part.
+    The ids themselves are the rows of ``batches``: no row grows with the corpus at any size.
     """
-    part = whole_div("batch_pos", ids_per_part).cast("int")
-    ids = F.sort_array(F.collect_list("chunk_id"))
-    parts = batches.groupBy("batch_number", part.alias("part")).agg(ids.alias("chunk_ids"))
     whole = batches.groupBy("batch_number").agg(
-        F.count(F.lit(1)).alias("chunk_count"), F.min("chunk_id").alias("first"), F.max("chunk_id").alias("last")
+        F.count(F.lit(1)).alias("chunk_count"), F.min("chunk_id").alias("first_chunk"), F.max("chunk_id").alias("last_chunk")
     )
     numbers = batches.sparkSession.range(num_batches).select(F.col("id").cast("int").alias("batch_number"))
     span = F.concat(
-        F.lit("Translate chunks "), F.col("first").cast("string"), F.lit(" to "), F.col("last").cast("string")
+        F.lit(SPAN[0]), F.col("first_chunk").cast("string"), F.lit(SPAN[1]), F.col("last_chunk").cast("string")
     )
-    return (
-        numbers.join(whole, "batch_number", "left")
-        .join(parts, "batch_number", "left")
-        .select(
-            "batch_number",
-            F.lit(num_batches).alias("total_batches"),
-            F.coalesce("part", F.lit(0)).alias("part"),
-            F.coalesce("chunk_ids", F.array().cast("array<bigint>")).alias("chunk_ids"),
-            F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"),
-            F.struct(
-                F.lit("parallel_translation").alias("purpose"),
-                F.when(F.col("chunk_count") > 0, span).otherwise(F.lit("Empty batch")).alias("instructions"),
-            ).alias("metadata"),
-        )
+    return numbers.join(whole, "batch_number", "left").select(
+        "batch_number",
+        F.lit(num_batches).alias("total_batches"),
+        F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"),
+        "first_chunk",
+        "last_chunk",
+        F.struct(
+            F.lit(PURPOSE).alias("purpose"),
+            F.when(F.col("chunk_count") > 0, span).otherwise(F.lit(EMPTY)).alias("instructions"),
+        ).alias("metadata"),
     )
 
 
-def batch_work(chunks: DataFrame, manifest: DataFrame | None = None, batch_number: int | None = None) -> DataFrame:
+def batch_work(chunks: DataFrame, batches: DataFrame | None = None, batch_number: int | None = None) -> DataFrame:
     """The chunks to work on.
 
-    With a batch manifest its ids are taken as they are, finished or not;
-    without one, all unfinished chunks.
+    With ``batches(batch_number, chunk_id)`` their ids are taken as they are, finished or not;
+    without, all unfinished chunks.
     """
-    if manifest is None:
+    if batches is None:
         return unfinished(chunks)
     if batch_number is not None:
-        manifest = manifest.filter(F.col("batch_number") == batch_number)
-    return chunks.join(manifest.select(F.explode("chunk_ids").alias("chunk_id")), "chunk_id", "left_semi")
+        batches = batches.filter(F.col("batch_number") == batch_number)
+    return chunks.join(batches.select("chunk_id"), "chunk_id", "left_semi")

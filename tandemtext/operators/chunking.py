@@ -6,30 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import text_lines
-from .ordinal import whole_div, with_ordinal
+from .ordinal import whole_div
 
 CHUNK_SIZE = 100
 
 
-# Up to this many ids one task may sort out; beyond it the cut-off comes from the distributed numbering.
-TOP_N = 1_000_000
+# Ids are counted in this many ranges at a time.
+RANGES = 1024
 
 
 def limit_articles(df: DataFrame, n: int | None, order_by: str = "doc_id") -> DataFrame:
-    """The first ``n`` articles by their unique id; 0 or None means all.
+    """The first ``n`` articles by their unique integer id; 0 or None means all, NULL ids come last.
 
-    Only ids are ordered. The n-th id is then a plain upper bound for the scan
-    of the texts, so no text is sorted or moved.
+    The n-th id is found by counting ids in ever narrower ranges, so nothing is sorted or
+    gathered, and is then a plain upper bound for the scan of the texts.
     """
     if not n:
         return df
-    ids = df.select(order_by)
-    if n <= TOP_N:
-        first = ids.orderBy(order_by).limit(n)
-    else:
-        first = with_ordinal(ids, [order_by], "_rank").filter(F.col("_rank") <= n)
-    last = first.agg(F.max(order_by)).scalar()
-    return df.filter(F.col(order_by) <= last)
+    ids = df.select(F.col(order_by).cast("decimal(20,0)").alias("id"))
+    low, high, known = ids.agg(F.min("id"), F.max("id"), F.count("id")).first()
+    if n >= known:
+        unknown = df.filter(F.col(order_by).isNull())
+        return df.filter(F.col(order_by).isNotNull()).unionByName(unknown.limit(n - known))
+    low, high, before = int(low), int(high), 0
+    while low < high:
+        width = -(-(high - low + 1) // RANGES)
+        place = F.expr(f"CAST((id - {low}) DIV {width} AS BIGINT)")
+        counts = ids.filter(F.col("id").between(low, high)).groupBy(place.alias("place")).count()
+        for place, count in sorted(map(tuple, counts.collect())):
+            if before + count >= n:
+                break
+            before += count
+        low, high = low + place * width, min(high, low + (place + 1) * width - 1)
+    return df.filter(F.col(order_by) <= F.lit(high))
 
 
 def chunk_number(ordinal: Column | str, size: int = CHUNK_SIZE, base: int = 0) -> Column:
@@ -47,17 +56,33 @@ def assign_chunks(numbered: DataFrame, size: int = CHUNK_SIZE, base: int = 0) ->
     )
 
 
-def chunk_manifest(chunked: DataFrame, chunks_dir: str = "chunks") -> DataFrame:
-    """One entry per chunk, not yet translated. Counts are combined map-side."""
+def _path(chunk_id: Column | str, stem: str, chunks_dir: str) -> Column:
+    column = F.col(chunk_id) if isinstance(chunk_id, str) else chunk_id
+    return F.concat(F.lit(f"{chunks_dir}/{stem}chunk_"), column.cast("string"), F.lit(".txt"))
+
+
+def source_path(chunk_id: Column | str = "chunk_id", chunks_dir: str = "chunks") -> Column:
+    return _path(chunk_id, "", chunks_dir)
+
+
+def translated_path(chunk_id: Column | str = "chunk_id", chunks_dir: str = "chunks") -> Column:
+    return _path(chunk_id, "translated_", chunks_dir)
+
+
+def chunk_manifest(chunked: DataFrame, chunks_dir: str = "chunks", run_ts: Column | None = None) -> DataFrame:
+    """One entry per chunk, not yet translated, created at ``run_ts``. Counts are combined map-side."""
+    created = F.lit(None) if run_ts is None else run_ts
     return (
         chunked.groupBy("chunk_id")
         .agg(F.count(F.lit(1)).cast("int").alias("sentence_count"))
         .select(
             "chunk_id",
-            F.concat(F.lit(f"{chunks_dir}/chunk_"), F.col("chunk_id").cast("string"), F.lit(".txt")).alias("file_path"),
+            source_path("chunk_id", chunks_dir).alias("file_path"),
             "sentence_count",
             F.lit(False).alias("is_translated"),
             F.lit(None).cast("string").alias("translated_file"),
+            created.cast("timestamp").alias("created_at"),
+            F.lit(None).cast("timestamp").alias("translated_at"),
         )
     )
 
@@ -65,10 +90,13 @@ def chunk_manifest(chunked: DataFrame, chunks_dir: str = "chunks") -> DataFrame:
 def pack_chunks(chunked: DataFrame) -> DataFrame:
     """One row per chunk with its sentences in order: the content of a chunk file.
 
-    A group never exceeds the chunk size.
+    A group never exceeds the chunk size. Chunks come in ranges of ids, sorted, from the one
+    exchange that packing needs anyway, so what follows can number their lines in place.
     """
     entries = F.sort_array(F.collect_list(F.struct("ordinal", "sentence")))
-    return chunked.groupBy("chunk_id").agg(F.transform(entries, lambda e: e["sentence"]).alias("sentences"))
+    ranged = chunked.select("chunk_id", "ordinal", "sentence").repartitionByRange("chunk_id")
+    packed = ranged.groupBy("chunk_id").agg(F.transform(entries, lambda e: e["sentence"]).alias("sentences"))
+    return packed.sortWithinPartitions("chunk_id")
 
 
 def reread_lines(sentences: Column | str) -> Column:
@@ -96,17 +124,23 @@ def chunk_status(manifest: DataFrame) -> DataFrame:
     )
 
 
-def mark_translated(manifest: DataFrame, done: DataFrame) -> DataFrame:
-    """Upsert by chunk: ``done(chunk_id, translated_file)`` marks its chunks finished.
+def mark_translated(manifest: DataFrame, done: DataFrame, run_ts: Column | None = None) -> DataFrame:
+    """Upsert by chunk: ``done(chunk_id, translated_file)`` marks its chunks finished at ``run_ts``.
 
     Unknown ids have no effect. Every version is derived from keys, so parallel
-    workers can't overwrite one another's entries.
+    workers can't overwrite one another's entries. A manifest of an older run may lack the times.
     """
+    for name in ("created_at", "translated_at"):
+        if name not in manifest.columns:
+            manifest = manifest.withColumn(name, F.lit(None).cast("timestamp"))
+    at = (F.lit(None) if run_ts is None else run_ts).cast("timestamp")
     finished = done.groupBy("chunk_id").agg(F.max("translated_file").alias("_file"), F.lit(True).alias("_done"))
+    changed = ("is_translated", "translated_file", "translated_at")
     return manifest.join(finished, "chunk_id", "left").select(
-        *[c for c in manifest.columns if c not in ("is_translated", "translated_file")],
+        *[c for c in manifest.columns if c not in changed],
         (F.coalesce("is_translated", F.lit(False)) | F.coalesce("_done", F.lit(False))).alias("is_translated"),
         F.coalesce("_file", "translated_file").alias("translated_file"),
+        F.when(F.col("_done"), F.coalesce(at, "translated_at")).otherwise(F.col("translated_at")).alias("translated_at"),
     )
 
 

@@ -26,13 +26,12 @@ def filter_english(
 ) -> DataFrame:
     """Drop English sentences.
 
-    ``method="words"`` asks a trained model about every word (``model`` and the
-    row ``keys`` are needed); ``"patterns"`` and ``"lexicon"`` are row-local
+    ``method="words"`` asks a trained model about every word; ``"patterns"`` and ``"lexicon"`` are row-local
     function-word ratios.
     """
     if method == "words":
-        if model is None or not keys:
-            raise ValueError("method='words' needs a language model and the row keys")
+        if model is None:
+            raise ValueError("method='words' needs a language model")
         return flag_english(df, model, keys, col).filter(~F.col("is_english")).drop("is_english")
     if method not in PREDICATES:
         raise ValueError(f"unknown method {method!r}")

@@ -9,18 +9,16 @@ not depend on the order in which partial results arrive.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import _col, words
 from ..session import stage
-from .lookup import SMALL_ROWS, lookup_words
+from .lookup import lookup_words, split_hot
 
 NGRAM_SIZES = (3,)
 SCALE = 10000
-MAX_LANGUAGES = 500
 
 
 def bare_word(c: Column | str) -> Column:
@@ -49,10 +47,10 @@ def word_ngrams(word: Column | str, sizes: tuple[int, ...] = NGRAM_SIZES) -> Col
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``profile(lang, ngram, n, score)`` plus the score of an unseen n-gram per language."""
+    """``profile(lang, ngram, n, score)`` and ``unseen(lang, unseen)``, the score of an n-gram that a language lacks."""
 
     profile: DataFrame
-    unseen: dict[str, int]
+    unseen: DataFrame
     sizes: tuple[int, ...] = NGRAM_SIZES
 
 
@@ -82,17 +80,13 @@ def train_language_model(
     )
     vocabulary = grams.agg(F.count_distinct("ngram")).scalar()
     totals = grams.groupBy("lang").agg(F.sum("n").alias("total")).withColumn("vocabulary", vocabulary)
-    # One row per language: a label set, not data.
-    rows = totals.select(
-        "lang", "total", "vocabulary", _score(F.lit(0), F.col("total"), F.col("vocabulary")).alias("unseen")
-    ).take(MAX_LANGUAGES + 1)
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values; is it a language label?")
-    per_lang = labelled.sparkSession.createDataFrame(rows, "lang string, total bigint, vocabulary bigint, unseen bigint")
-    profile = grams.join(F.broadcast(per_lang), "lang").select(
+    per_lang = stage(
+        totals.withColumn("unseen", _score(F.lit(0), F.col("total"), F.col("vocabulary"))), "languages"
+    )
+    profile = grams.join(per_lang, "lang").select(
         "lang", "ngram", "n", _score(F.col("n"), F.col("total"), F.col("vocabulary")).alias("score")
     )
-    return LanguageModel(profile, {r["lang"]: r["unseen"] for r in rows}, sizes)
+    return LanguageModel(profile, per_lang.select("lang", "unseen"), sizes)
 
 
 def count_words(df: DataFrame, words_col: Column | str) -> DataFrame:
@@ -110,51 +104,81 @@ def distinct_words(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def classify_words(vocabulary: DataFrame, model: LanguageModel) -> DataFrame:
-    """``lang`` for every row of ``vocabulary(word, n)``: best total score, then name."""
-    langs = sorted(model.unseen)
-    if not langs:
+    """``lang`` for every row of ``vocabulary(word, n)``: best total score, then name.
+
+    A known n-gram always scores above the language's score of an unseen one. So of the
+    languages that know none of a word's n-grams only the one with the best such score,
+    the fallback, can win, and no word is compared with every language.
+    """
+    fallback = model.unseen.orderBy(F.desc("unseen"), "lang").first()
+    if fallback is None:
         raise ValueError("the language model was trained on no text")
-    scores = [F.max(F.when(F.col("lang") == lang, F.col("score"))) for lang in langs]
-    wide = model.profile.groupBy("ngram").agg(F.array(*scores).alias("scores"))
+    known = model.profile.join(model.unseen, "lang").select(
+        "ngram", F.struct("lang", (F.col("score") - F.col("unseen")).alias("gain"), "unseen").alias("_entry")
+    )
+    wide = known.groupBy("ngram").agg(F.collect_list("_entry").alias("entries"))  # one entry per language
     grams = vocabulary.select("word", "n", F.explode(word_ngrams("word", model.sizes)).alias("ngram"))
     # How often each n-gram is about to be looked up, so the frequent ones are not shuffled.
     used = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("uses"))
     dictionary = stage(used.join(wide, "ngram", "left"), "ngram-scores")
-    small = SMALL_ROWS // len(langs)
-    sums = [
-        F.sum(F.coalesce(F.get("scores", F.lit(i)), F.lit(model.unseen[lang]))).alias(f"_t{i}")
-        for i, lang in enumerate(langs)
-    ]
-    totals = lookup_words(grams, dictionary, "ngram", "scores", "uses", small).groupBy("word", "n").agg(*sums)
-    best = F.greatest(*[F.col(f"_t{i}") for i in range(len(langs))]) if len(langs) > 1 else F.col("_t0")
-    name = reduce(
-        lambda rest, i: F.when(F.col(f"_t{i}") == best, F.lit(langs[i])).otherwise(rest),
-        reversed(range(len(langs))),
-        F.lit(None).cast("string"),
+    entries = lookup_words(grams, dictionary, "ngram", "entries", "uses")
+    missing = F.array(F.struct(F.lit(fallback["lang"]).alias("lang"), F.lit(0).cast("bigint").alias("gain"), F.lit(fallback["unseen"]).alias("unseen")))
+    # The fallback takes part with every n-gram, so each word has it once at least.
+    per_lang = (
+        entries.select("word", "n", F.explode(F.concat(F.coalesce("entries", F.array().cast(dictionary.schema["entries"].dataType)), missing)).alias("_e"))
+        .groupBy("word", "n", F.col("_e.lang").alias("lang"), F.col("_e.unseen").alias("unseen"))
+        .agg(F.sum("_e.gain").alias("gain"))
     )
-    return totals.select("word", "n", name.alias("lang"))
+    length = F.size(word_ngrams("word", model.sizes))
+    total = F.col("gain") + length * F.col("unseen")
+    best = F.min(F.struct((-total).alias("_loss"), "lang")).alias("_best")
+    return per_lang.groupBy("word", "n").agg(best).select("word", "n", F.col("_best.lang").alias("lang"))
 
 
 def flag_english(
     sentences: DataFrame,
     model: LanguageModel,
-    keys: list[str],
+    keys: list[str] | None = None,
     sentence_col: str = "sentence",
     english: str = "en",
 ) -> DataFrame:
     """Add ``is_english``: true when the sentence has words and all are English.
 
-    A token without letters can't be detected, which keeps the sentence. Words
-    are cut once and written; frequent ones are then resolved without a shuffle,
-    and English words leave no row behind. ``sentences`` is read twice.
+    NULL and blank sentences aren't English, nor are those with a token without letters, which can't be
+    detected. Sentences are written once with a row number of their own, so no key needs to
+    be unique or known; ``keys`` is ignored. Most sentences are decided where they
+    are: one frequent foreign word or letterless token is enough, as are frequent
+    English words only. Only the others look up their rarer words and are shuffled.
     """
-    cut = stage(sentences.select(*keys, F.array_distinct(bare_words(sentence_col)).alias("_words")), "words")
+    cut = stage(
+        sentences.select(
+            "*",
+            F.monotonically_increasing_id().alias("_row"),
+            F.coalesce(F.array_distinct(bare_words(sentence_col)), F.array().cast("array<string>")).alias("_words"),
+        ),
+        "words",
+    )
     classified = classify_words(count_words(cut, "_words"), model)
     dictionary = stage(classified.withColumn("foreign", F.col("lang") != F.lit(english)), "word-language")
-    exploded = cut.select(*keys, F.explode("_words").alias("word")).filter("word <> ''")
-    foreign = lookup_words(exploded, dictionary, "word", "foreign").filter("foreign").select(*keys)
-    letterless = cut.filter((F.size("_words") == 0) | F.array_contains("_words", "")).select(*keys)
-    other = foreign.unionByName(letterless).distinct().withColumn("_other", F.lit(True))
-    return (
-        sentences.join(other, keys, "left").withColumn("is_english", F.col("_other").isNull()).drop("_other")
+    look_up, rare = split_hot(dictionary, "word", "foreign")
+    found = F.transform("_words", lambda w: F.struct(w.alias("word"), look_up(w)["foreign"].alias("foreign")))
+    letterless = (F.size("_words") == 0) | F.array_contains("_words", "")
+    tried = cut.withColumn("_found", F.when(~letterless, found))
+    settled = F.col("_found").isNull() | F.exists("_found", lambda e: F.coalesce(e["foreign"], F.lit(False)))
+    unknown = F.transform(F.filter("_found", lambda e: e["foreign"].isNull()), lambda e: e["word"])
+    judged = tried.withColumn("_rest", F.when(~settled, unknown))
+    flag = F.when(F.col("_rest").isNull(), False).when(F.size("_rest") == 0, True)
+    decided = judged.filter("_rest IS NULL OR size(_rest) = 0").select(*sentences.columns, flag.alias("is_english"))
+
+    open_rows = judged.filter("size(_rest) > 0")
+    foreign = (
+        open_rows.select("_row", F.explode("_rest").alias("word"))
+        .join(rare.filter("foreign").select("word").hint("shuffle_hash"), "word")
+        .select("_row")
+        .distinct()
+        .withColumn("_other", F.lit(True))
+    )
+    looked_up = open_rows.join(foreign, "_row", "left").select(
+        *sentences.columns, F.col("_other").isNull().alias("is_english")
     )
+    return decided.unionByName(looked_up)

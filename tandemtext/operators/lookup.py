@@ -2,74 +2,107 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds at least 1/HOT_SHARE of all rows, so no more than HOT_SHARE keys can be.
 HOT_SHARE = 5000
-# Longer keys are never broadcast, which bounds the broadcast table in bytes too.
-MAX_HOT_KEY_LENGTH = 256
+# Hot keys are found by two 64-bit hashes, in a table of this many slots; so their length doesn't matter.
+SLOTS = 8192
+# A dictionary of no more rows and characters than this is broadcast whole.
+SMALL_ROWS, SMALL_CHARS = 50_000, 2_000_000
+
+
+def _hashes(key: Column) -> tuple[Column, Column]:
+    return F.xxhash64(key), F.xxhash64(F.lit("second"), key)
+
 
+def split_hot(
+    dictionary: DataFrame, key: str, value: str, count: str = "n"
+) -> tuple[Callable[[Column], Column], DataFrame]:
+    """A look-up of hot keys inside a row, and the cold rest of ``dictionary(key, value, count)``.
 
-# A dictionary of no more rows than this, none with a long key, is broadcast whole.
-SMALL_ROWS = 50_000
+    The look-up gives a struct with ``value``, NULL for a key that isn't hot. At most ``HOT_SHARE``
+    hashes and values pass the driver. ``dictionary`` should be a written table, it is read three times.
+    """
+    total = dictionary.agg(F.sum(count)).first()[0] or 0
+    first, second = _hashes(F.col(key))
+    hot = F.col(count) * HOT_SHARE >= F.lit(total)
+    rows = dictionary.filter(hot).select(first.alias("a"), second.alias("b"), F.col(value).alias(value))
+    slots: list[list[str]] = [[] for _ in range(SLOTS)]
+    for place, entry in rows.select(F.pmod("a", F.lit(SLOTS)), F.to_json(F.struct("*"))).collect():
+        slots[place].append(entry)
+    kind = dictionary.schema[value].dataType
+    entry = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField(value, kind)])
+    # Parsed once, when the plan is made.
+    held = F.from_json(F.lit(f"[{','.join(f'[{','.join(s)}]' for s in slots)}]"), T.ArrayType(T.ArrayType(entry)))
+
+    def look_up(word: Column) -> Column:
+        a, b = _hashes(word)
+        slot = F.get(held, F.pmod(a, F.lit(SLOTS)).cast("int"))
+        return F.get(F.filter(slot, lambda e: (e["a"] == a) & (e["b"] == b)), F.lit(0))
+
+    return look_up, dictionary.filter(~hot)
 
 
 def lookup_words(
-    rows: DataFrame, dictionary: DataFrame, key: str, value: str, count: str = "n", small_rows: int = SMALL_ROWS
+    rows: DataFrame,
+    dictionary: DataFrame,
+    key: str,
+    value: str,
+    count: str = "n",
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """``rows`` left-joined with ``dictionary(key, value, count)`` on a word-like key.
 
     ``count`` is how often the key occurs in the rows. A dictionary whose measured
     size is small is broadcast. Otherwise, word frequencies being steep, hot keys
-    are resolved by a broadcast of at most ``HOT_SHARE`` short rows and never
-    shuffled; the others go through a shuffled hash join, in which no single key
-    is large and only the dictionary's share of a partition, one row per key, is
-    held in memory. ``dictionary`` should be a written table, it is read more than once.
+    are resolved where the rows are and never shuffled; the others go through a
+    shuffled hash join, in which no single key is large and only the dictionary's share
+    of a partition, one row per key, is held in memory.
     """
-    size = dictionary.agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.length(key)).alias("longest"), F.sum(count).alias("total")
-    ).first()
-    if size["rows"] <= small_rows and (size["longest"] or 0) <= MAX_HOT_KEY_LENGTH:
+    size = dictionary.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length(key)).alias("chars")).first()
+    if size["rows"] <= small_rows and (size["chars"] or 0) <= SMALL_CHARS:
         return rows.join(F.broadcast(dictionary.select(key, value)), key, "left")
 
-    hot_rule = (F.col(count) * HOT_SHARE >= size["total"]) & (F.length(key) <= MAX_HOT_KEY_LENGTH)
-    flagged = dictionary.select(key, value, hot_rule.alias("_hot"))
-    hot = flagged.filter("_hot").select(key, F.struct(value).alias("_found"))
-    cold = flagged.filter(~F.col("_hot")).select(key, F.col(value).alias("_value"))
-
-    tried = rows.join(F.broadcast(hot), key, "left")
+    look_up, rest = split_hot(dictionary, key, value, count)
+    tried = rows.withColumn("_found", look_up(F.col(key)))
     resolved = tried.filter(F.col("_found").isNotNull()).select(*rows.columns, F.col(f"_found.{value}").alias(value))
-    pending = tried.filter(F.col("_found").isNull()).drop("_found").join(cold.hint("shuffle_hash"), key, "left")
+    cold = rest.select(key, F.col(value).alias("_value")).hint("shuffle_hash")
+    pending = tried.filter(F.col("_found").isNull()).drop("_found").join(cold, key, "left")
     return resolved.unionByName(pending.select(*rows.columns, F.col("_value").alias(value)))
 
 
 def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread_by: list[str],
-    hot_share: int = 1000,
-    salts: int = 64,
+    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], hot_share: int = 1000
 ) -> DataFrame:
     """Left equi-join that splits keys holding more than 1/``hot_share`` of the left rows.
 
-    Hot keys are found by a map-side combined count over a 64-bit hash, so at
-    most ``hot_share`` numbers are broadcast; a hash clash only salts one more
-    key. Hot left rows spread over ``salts`` by a hash of ``spread_by`` (their row
-    key, so retried tasks agree), and the few matching right rows are repeated
-    once per salt. Nothing is dropped.
+    Hot keys are found by a map-side combined count over a 64-bit hash, so fewer than
+    ``hot_share`` numbers pass the driver; a hash clash only salts one more
+    key. A hot key gets as many salts as it holds shares of 1/``hot_share``: left rows spread over them
+    by a hash of ``spread_by`` (their row key, so retried tasks agree), and the
+    few matching right rows are repeated once per salt. Nothing is dropped.
+    ``left`` is read twice and should be a written table.
     """
     hashed = F.xxhash64(*on)
     counts = left.select(hashed.alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = F.broadcast(counts.filter(F.col("_n") * hot_share > total).select("_key", F.lit(True).alias("_hot")))
+    total = F.col("_total")
+    shares = F.ceil(F.col("_n") * hot_share / total).cast("int")
+    rows = left.agg(F.count(F.lit(1))).first()[0]
+    hot_rows = (
+        counts.withColumn("_total", F.lit(rows)).filter(F.col("_n") * hot_share > total).select("_key", shares.alias("_salts"))
+    ).collect()
+    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, "_key bigint, _salts int"))
 
     def flag(df: DataFrame) -> DataFrame:
         return df.withColumn("_key", hashed).join(hot, "_key", "left").drop("_key")
 
-    spread: Column = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = flag(left).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = flag(right).withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread: Column = F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")
+    salted = flag(left).withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")
+    copies = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
+    repeated = flag(right).withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], "left").drop("_salt")

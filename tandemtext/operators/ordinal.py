@@ -40,9 +40,9 @@ def arrange_ids(df: DataFrame, key: str) -> DataFrame:
     low, high, n, rows = stats.first()
     if n == 0 or n < rows or high - low + 1 > DENSE * n:
         return arrange(df, [key])
-    spark = df.sparkSession
-    wanted = max(spark.sparkContext.defaultParallelism, -(-n // IDS_PER_PARTITION))
-    parts = min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # As many partitions as the scan has splits, which follow its bytes; the setting is a floor for large inputs.
+    floor = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // IDS_PER_PARTITION))
+    parts = max(df.rdd.getNumPartitions(), floor)
     width = -(-(high - low + 1) // parts)
     place = whole_div(F.col(key) - F.lit(low), width).cast("int")
     return df.repartitionById(parts, place).sortWithinPartitions(key)

@@ -8,10 +8,12 @@ built here. Calls are dear and need not repeat themselves, so write the result
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,8 +96,9 @@ def memory_translation(lines: DataFrame, memory: DataFrame, keys: list[str], col
     """Translate from a table ``memory(source_text, translated)``; a miss is a failure.
 
     One hit per text: of several, the smallest translation. Joined on the text
-    itself; a text that fills much of the corpus is salted.
+    itself; a text that fills much of the corpus is salted. ``lines`` are written once.
     """
+    lines = stage(lines, "lines")
     best = memory.groupBy(F.col("source_text").alias(col)).agg(F.min("translated").alias("translated"))
     joined = salted_left_join(lines, best, [col], keys)
     return joined.withColumn("ok", F.col("translated").isNotNull() & (F.col("translated") != ""))
@@ -117,6 +120,15 @@ def atomic_chunks(lines: DataFrame) -> DataFrame:
     )
 
 
+_BREAKS = re.compile(r"\r\n|\r|\n")
+
+
+def _reread(lines: list[str]) -> list[str]:
+    """What reading written lines back yields: non-blank lines, stripped."""
+    cut = (part.strip(SPACE_CHARS) for line in lines for part in _BREAKS.split(line))
+    return [line for line in cut if line]
+
+
 def translate_chunks(
     packed: DataFrame,
     make_translator: Callable[[], Translator],
@@ -127,13 +139,19 @@ def translate_chunks(
     """Strictly translate whole chunks, giving up a chunk at its first failed line.
 
     ``packed(chunk_id, lines)`` has one chunk per row, so no shuffle is needed to
-    keep a chunk whole and no call is made after a failure. The result is
-    written at once: ``(chunk_id, translated_lines, ok, attempts, error)``.
+    keep a chunk whole and no call is made after a failure. The result is written at once:
+    ``(chunk_id, lines, translated_lines, ok, attempts, error, part, before, pairs)``. A chunk that is
+    done has as many ``pairs`` as both its sides have lines when read back, none if any of them are
+    the same; ``before`` counts those of earlier chunks in the same ``part``. Where ``packed`` is in
+    order by range, as from ``pack_chunks``, parts and their rows are too.
     """
-    schema = "chunk_id BIGINT, translated_lines ARRAY<STRING>, ok BOOLEAN, attempts INT, error STRING"
+    schema = (
+        "chunk_id BIGINT, lines ARRAY<STRING>, translated_lines ARRAY<STRING>, ok BOOLEAN, attempts INT, error STRING, "
+        "part INT, before BIGINT, pairs INT"
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = make_translator()
+        call, part, before = make_translator(), TaskContext.get().partitionId(), 0
         for batch in batches:
             rows = []
             for chunk_id, lines in zip(batch["chunk_id"], batch["lines"]):
@@ -145,9 +163,14 @@ def translate_chunks(
                         failure = f"{error}: {line[:50]}"
                         break
                     done.append(translated)
-                rows.append((chunk_id, None if failure else done, failure is None, calls, failure))
-            yield pd.DataFrame(rows, columns=["chunk_id", "translated_lines", "ok", "attempts", "error"])
+                both = [] if failure else list(zip(_reread(lines), _reread(done)))
+                pairs = 0 if any(a == b for a, b in both) else len(both)
+                done = None if failure else done
+                rows.append((chunk_id, lines, done, failure is None, calls, failure, part, before, pairs))
+                before += pairs
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
 
     source = packed.select("chunk_id", "lines")
-    spread = source.repartition(workers) if workers else source
-    return stage(spread.mapInPandas(run, schema), "translated-chunks")
+    if workers:
+        source = source.repartitionByRange(workers, "chunk_id").sortWithinPartitions("chunk_id")
+    return stage(source.mapInPandas(run, schema), "translated-chunks")

@@ -9,13 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.language import THRESHOLD
 from ..functions.sentences import split_sentences
-from ..operators.assemble import assemble_pairs
-from ..operators.chunking import CHUNK_SIZE, assign_chunks, chunk_manifest, mark_translated, pack_chunks, reread_lines
+from ..operators.assemble import assemble_translated
+from ..operators.chunking import (
+    CHUNK_SIZE,
+    assign_chunks,
+    chunk_manifest,
+    limit_articles,
+    mark_translated,
+    pack_chunks,
+    reread_lines,
+    translated_path,
+)
 from ..operators.filters import filter_english
 from ..operators.language_model import LanguageModel
 from ..operators.ordinal import arrange_ids, with_ordinal
@@ -48,14 +57,16 @@ def chunked_sentences(
     model: LanguageModel | None = None,
     size: int = CHUNK_SIZE,
     base: int = 0,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Articles to chunked, non-English sentences.
+    """Articles to chunked, non-English sentences; with ``limit`` only of the first articles.
 
     The word-level method joins, so its sentences are written first and arranged after the filter.
     """
+    articles = limit_articles(articles, limit)
     if method == "words":
-        sentences = stage(split_sentences(articles.select("doc_id", "text"), profile=profile), "sentences")
-        kept = filter_english(sentences, model=model, keys=["doc_id", "pos"])
+        sentences = split_sentences(articles.select("doc_id", "text"), profile=profile)
+        kept = filter_english(sentences, model=model)
         numbered = with_ordinal(kept, ["doc_id", "pos"])
     else:
         numbered = numbered_sentences(
@@ -67,21 +78,18 @@ def chunked_sentences(
 def translate_and_assemble(
     chunked: DataFrame,
     make_translator: Callable[[], Translator],
+    base_ms: int,
     delay: float = DELAY,
     retries: int = RETRIES,
     workers: int | None = None,
-    base_ms: int = 0,
+    run_ts: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Chunked sentences to ``(manifest, pairs)``."""
-    packed = stage(pack_chunks(chunked), "chunks")
-    lines = packed.select("chunk_id", reread_lines("sentences").alias("lines"))
+    """Chunked sentences to ``(manifest, pairs)``; ``base_ms`` must differ from other runs' (``next_base``)."""
+    lines = pack_chunks(chunked).select("chunk_id", reread_lines("sentences").alias("lines"))
     translated = translate_chunks(lines, make_translator, delay, retries, workers)
-    done = translated.filter("ok").select("chunk_id", "translated_lines")
-    files = done.select(
-        "chunk_id", F.concat(F.lit("chunks/translated_chunk_"), F.col("chunk_id").cast("string"), F.lit(".txt")).alias("translated_file")
-    )
-    manifest = mark_translated(chunk_manifest(chunked), files)
-    return manifest, assemble_pairs(manifest, packed, done, base_ms)
+    done = translated.filter("ok").select("chunk_id", translated_path("chunk_id").alias("translated_file"))
+    manifest = mark_translated(chunk_manifest(chunked, run_ts=run_ts), done, run_ts)
+    return manifest, assemble_translated(translated, base_ms)
 
 
 def article_pairs(
@@ -127,7 +135,7 @@ def record_pairs(
 def sequence_pairs(
     articles: DataFrame,
     make_translator: Callable[[], Translator],
-    base_ms: int = 0,
+    base_ms: int,
     delay: float = DELAY,
     retries: int = RETRIES,
     workers: int | None = None,

@@ -11,7 +11,7 @@ from ..functions.sentences import EXTRA_BUSINESS, LONG_LIST, PERIOD_TOKEN, SHORT
 from ..functions.text import SPACE_CHARS
 from ..operators.language_model import NGRAM_SIZES
 from ..operators.training import CONTROL_TOKENS
-from .queries import BASE_MS, NUM_BATCHES, SAMPLE_SEED
+from .queries import BASE_MS, NUM_BATCHES, RUN_TIME, SAMPLE_SEED
 
 ORACLES: dict[str, str] = {}
 
@@ -272,6 +272,10 @@ used AS (SELECT doc_id, pos, unnest(list_distinct({_word_list('sentence')})) AS
 flags AS (SELECT doc_id, pos, bool_and(coalesce(lang = 'en', FALSE)) AS is_english FROM used LEFT JOIN best USING (word) GROUP BY doc_id, pos),
 flagged AS (SELECT doc_id, pos, coalesce(is_english, FALSE) AS is_english FROM sents LEFT JOIN flags USING (doc_id, pos))"""
 ORACLES["english_all_words"] = f"WITH {FLAGS} SELECT doc_id, pos, is_english FROM flagged"
+ORACLES["english_all_words_null_keys"] = f"""
+WITH {FLAGS}
+SELECT CASE WHEN doc_id % 97 = 0 THEN NULL ELSE doc_id END AS doc_id, is_english, count(*) AS n, CAST(sum(length(sentence)) AS BIGINT) AS chars
+FROM flagged JOIN sents USING (doc_id, pos) GROUP BY ALL"""
 ORACLES["chunk_articles_by_words"] = f"""
 WITH {FLAGS}, ranked AS (SELECT doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) - 1 AS r FROM flagged WHERE NOT is_english)
 SELECT doc_id, pos, r // 100 + 1 AS chunk_id, CAST(r % 100 + 1 AS INTEGER) AS line_no FROM ranked"""
@@ -283,14 +287,21 @@ ORACLES["scan_articles"] = "SELECT doc_id, text FROM documents"
 ORACLES["scan_json_array"] = """
 SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS BIGINT) AS sentence_index, text
 FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> ''"""
+ORACLES["scan_json_one_line"] = """
+SELECT doc_id AS article_index, CAST(0 AS BIGINT) AS sentence_index, text FROM documents WHERE text <> ''"""
 ORACLES["record_pairs"] = f"""
-SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS BIGINT) AS sentence_index, text AS source_text,
+SELECT doc_id AS article_index, CAST(0 AS BIGINT) AS sentence_index, text AS source_text,
        CASE WHEN left(md5(text), 2) IN ('00', '01', '02') THEN text ELSE '[en] ' || text END AS english
-FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> '' AND NOT {_is_english('text', _indicator_hits('text'))}"""
+FROM documents WHERE text <> '' AND NOT {_is_english('text', _indicator_hits('text'))}"""
 ORACLES["scan_pairs_jsonl"] = """
 SELECT doc_id AS seq_id, '[en] ' || text AS english, text AS source_text, CAST(1 AS BIGINT) AS chunk_id FROM documents"""
 ORACLES["chunk_lines"] = f"WITH {LINES} SELECT chunk_id, line_no, line FROM lines"
-ORACLES["chunk_manifest"] = f"WITH {NUMBERED} SELECT *, FALSE AS is_translated FROM manifest"
+ORACLES["chunk_manifest"] = f"WITH {NUMBERED} SELECT *, FALSE AS is_translated, CAST({RUN_TIME} AS BIGINT) AS created_at FROM manifest"
+ORACLES["manifest_layouts"] = f"WITH {NUMBERED} SELECT chunk_id, sentence_count, CAST({RUN_TIME} AS BIGINT) AS created_at FROM manifest"
+ORACLES["chunk_files_roundtrip"] = f"""
+WITH {STRICT}
+SELECT chunk_id, 'source' AS kind, line_no, line FROM pairs UNION ALL
+SELECT chunk_id, 'translated', line_no, translated FROM pairs"""
 ORACLES["manifest_scan"] = (
     f"WITH {NUMBERED} SELECT *, FALSE AS is_translated, CAST(NULL AS VARCHAR) AS translated_file FROM manifest"
 )
@@ -314,7 +325,8 @@ ORACLES["chunk_status"] = (
 ORACLES["mark_translated"] = f"""
 WITH {STRICT}
 SELECT m.chunk_id, m.sentence_count, d.chunk_id IS NOT NULL AS is_translated,
-       CASE WHEN d.chunk_id IS NOT NULL THEN 'chunks/translated_chunk_' || m.chunk_id || '.txt' END AS translated_file
+       CASE WHEN d.chunk_id IS NOT NULL THEN 'chunks/translated_chunk_' || m.chunk_id || '.txt' END AS translated_file,
+       CASE WHEN d.chunk_id IS NOT NULL THEN CAST({RUN_TIME} AS BIGINT) END AS translated_at
 FROM manifest m LEFT JOIN done d USING (chunk_id)"""
 ORACLES["chunk_atomic_translate"] = f"WITH {STRICT} SELECT chunk_id, line_no, line, translated FROM pairs"
 ORACLES["chunk_early_stop"] = f"""
@@ -334,12 +346,11 @@ BATCHES = (
 ORACLES["round_robin_batches"] = f"WITH {BATCHES} SELECT * FROM batches"
 ORACLES["batch_manifest"] = f"""
 WITH {BATCHES},
-parts AS (SELECT batch_number, batch_pos // 10000 AS part, string_agg(chunk_id, ',' ORDER BY chunk_id) AS ids FROM batches GROUP BY ALL),
 whole AS (SELECT batch_number, count(*) AS n, min(chunk_id) AS a, max(chunk_id) AS b FROM batches GROUP BY ALL)
-SELECT CAST(i AS INTEGER) AS batch_number, {NUM_BATCHES} AS total_batches, CAST(coalesce(part, 0) AS INTEGER) AS part,
-       coalesce(ids, '') AS chunk_ids, coalesce(n, 0) AS chunk_count,
+SELECT CAST(i AS INTEGER) AS batch_number, {NUM_BATCHES} AS total_batches, coalesce(n, 0) AS chunk_count,
+       a AS first_chunk, b AS last_chunk,
        CASE WHEN n > 0 THEN 'Translate chunks ' || a || ' to ' || b ELSE 'Empty batch' END AS instructions
-FROM range({NUM_BATCHES}) t(i) LEFT JOIN whole ON whole.batch_number = i LEFT JOIN parts ON parts.batch_number = i"""
+FROM range({NUM_BATCHES}) t(i) LEFT JOIN whole ON whole.batch_number = i"""
 ORACLES["batch_work_selection"] = f"""
 WITH {BATCHES} SELECT chunk_id, sentence_count FROM manifest SEMI JOIN (SELECT * FROM batches WHERE batch_number = 1) USING (chunk_id)"""
 ORACLES["article_split_stats"] = f"""
@@ -359,6 +370,10 @@ ORACLES["assign_chunks"] = f"WITH {NUMBERED} SELECT doc_id, pos, ordinal, chunk_
 ORACLES["stream_chunk_ingest"] = f"WITH {NUMBERED} SELECT doc_id, pos, chunk_id, chunk_line AS line_no, sentence FROM chunked"
 ORACLES["assign_seq_id"] = f"WITH {NUMBERED} SELECT ordinal + {BASE_MS} AS seq_id, doc_id, pos FROM numbered"
 ORACLES["limit_articles"] = "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100"
+ORACLES["limit_articles_nulls"] = """
+WITH ids AS (SELECT CASE WHEN doc_id % 10 = 3 THEN NULL ELSE doc_id END AS doc_id FROM documents),
+taken AS (SELECT doc_id FROM ids QUALIFY row_number() OVER (ORDER BY doc_id NULLS LAST) <= (SELECT count(*) // 2 FROM ids))
+SELECT doc_id, count(*) AS n FROM taken GROUP BY doc_id"""
 ORACLES["resume_chunks"] = f"""
 WITH {KEPT},
 first_run AS (SELECT doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) AS o FROM kept SEMI JOIN labels USING (doc_id)),
@@ -397,12 +412,21 @@ lines AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k)
 memory AS (SELECT DISTINCT line FROM lines SEMI JOIN labels USING (doc_id))
 SELECT doc_id, pos, CASE WHEN m.line IS NOT NULL THEN '[en] ' || m.line END AS translated, m.line IS NOT NULL AS ok
 FROM lines LEFT JOIN memory m ON m.line = lines.line"""
+ORACLES["memory_hot_line"] = rf"""
+WITH cut AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
+  FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS p FROM documents)),
+stripped AS (SELECT doc_id, k, {_strip('piece')} AS line FROM cut),
+own AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER) AS pos, line FROM stripped WHERE line <> ''),
+lines AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 2 = 0 THEN 'the one frequent line' ELSE line END AS line FROM own),
+memory AS (SELECT DISTINCT line FROM own WHERE length(line) % 3 = 0 UNION SELECT 'the one frequent line')
+SELECT doc_id, pos, m.line IS NOT NULL AS ok FROM lines LEFT JOIN memory m ON m.line = lines.line"""
 ORACLES["training_slices"] = f"WITH {NUMBERED} SELECT ordinal AS seq_id, (ordinal - 1) // 1000 AS batch_index FROM numbered"
 ORACLES["training_batch_summary"] = f"WITH {KEPT} SELECT count(*) AS n_samples, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_batches FROM kept"
 ORACLES["progress_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)
-SELECT n AS total_samples, b AS batches_trained, greatest(b - 1, 0) AS current_batch,
-       (b - 1) * 60 AS last_update FROM n"""
+SELECT n AS total_samples, greatest(b - 1, 0) AS batches_trained, greatest(b - 1, 0) AS current_batch,
+       CASE WHEN b > 1 THEN 'models/batch_' || (b - 2) END AS model_dir, CAST(0 AS BIGINT) AS start_time,
+       greatest(b - 1, 0) * 60 AS last_update FROM n"""
 ORACLES["pipeline_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)
 SELECT (SELECT count(*) FROM sents) AS extracted, n AS translated, b AS batches_trained,
@@ -424,8 +448,23 @@ padded AS (SELECT seq_id, side, array_to_string(list_resize(ids, 128, 1), ' ') A
   array_to_string(list_resize(list_transform(ids, lambda x: 1), 128, 0), ' ') AS mask FROM framed)
 SELECT s.seq_id, s.ids AS input_ids, s.mask AS attention_mask, t.ids AS labels
 FROM (SELECT * FROM padded WHERE side = 's') s JOIN (SELECT * FROM padded WHERE side = 't') t USING (seq_id)"""
+ORACLES["encode_concat"] = f"""
+WITH {PAIRS}, {TURNS},
+together AS (SELECT seq_id, english, source_text FROM demo UNION ALL SELECT seq_id, english, source_text FROM demo
+  UNION ALL SELECT k, english, source_text FROM zipped),
+rows AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM together),
+tokens AS MATERIALIZED (SELECT r, seq_id, side, unnest(p) AS token, generate_subscripts(p, 1) AS k FROM (
+  SELECT r, seq_id, 's' AS side, CASE WHEN {_strip('english')} = '' THEN [] ELSE regexp_split_to_array({_strip('english')}, '{S}+') END AS p FROM rows
+  UNION ALL
+  SELECT r, seq_id, 't', CASE WHEN {_strip('source_text')} = '' THEN [] ELSE regexp_split_to_array({_strip('source_text')}, '{S}+') END FROM rows)),
+vocab AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + {len(CONTROL_TOKENS) - 1} AS token_id FROM tokens GROUP BY token),
+coded AS (SELECT r, side, sum(token_id) AS s, count(*) AS n FROM tokens JOIN vocab USING (token) WHERE k <= 126 GROUP BY ALL),
+sides AS (SELECT rows.r, seq_id, coalesce(e.s, 0) AS es, coalesce(e.n, 0) AS en, coalesce(t.s, 0) AS ts, coalesce(t.n, 0) AS tn
+  FROM rows LEFT JOIN coded e ON e.r = rows.r AND e.side = 's' LEFT JOIN coded t ON t.r = rows.r AND t.side = 't')
+SELECT seq_id, count(*) AS n, CAST(sum(4 + es + 2 + 126 - en) AS BIGINT) AS input_sum, CAST(sum(5 + ts + 2 + 126 - tn) AS BIGINT) AS label_sum,
+       CAST(sum(en + 2) AS BIGINT) AS mask_sum FROM sides GROUP BY seq_id"""
 SAMPLE = f"(SELECT * FROM benchmark ORDER BY md5('{SAMPLE_SEED}:' || item_id), item_id LIMIT 10)"
 ORACLES["spot_check_sample"] = f"SELECT item_id, text FROM {SAMPLE}"
 ORACLES["spot_check_compare"] = f"""
 SELECT item_id AS sample_id, text AS english_input, text AS reference,
-       CASE WHEN left(md5(text), 2) IN ('00', '01', '02') THEN text ELSE '[en] ' || text END AS predicted FROM {SAMPLE}"""
+       CASE WHEN left(md5(text), 2) NOT IN ('00', '01', '02') THEN '[en] ' || text END AS predicted FROM {SAMPLE}"""

@@ -34,8 +34,10 @@ from ..operators.training import (
     pipeline_status,
     progress_log,
     progress_status,
+    run_record,
     spot_check_compare,
     spot_check_sample,
+    start_records,
     training_batch_summary,
     training_slices,
 )
@@ -49,7 +51,15 @@ from ..operators.translate import (
 )
 from ..session import scratch_path, stage
 from ..sources.articles import spread_rows
-from ..sources.files import read_pairs_jsonl, write_json_arrays, write_manifest_json, write_pairs_jsonl
+from ..sources.files import (
+    TRANSLATED,
+    export_chunk_text,
+    read_exported_text,
+    read_pairs_jsonl,
+    write_json_arrays,
+    write_manifest_json,
+    write_pairs_jsonl,
+)
 from ..sources.json_files import read_manifest_json, read_text_records
 from ..streaming.ingest import ingest_articles, read_ingested
 from . import corpus
@@ -62,6 +72,12 @@ QUERIES: dict[str, Query] = {}
 NUM_BATCHES = 4
 BASE_MS = 1_700_000_000_000
 SAMPLE_SEED = 7
+# The time of the run, and of everything that it records.
+RUN_TIME = 1_767_225_600
+
+
+def run_ts():
+    return F.timestamp_seconds(F.lit(RUN_TIME))
 
 
 def query(build: Query) -> Query:
@@ -91,7 +107,7 @@ def _translated(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
 
 
 def _finished_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, delay=0)[0]
+    return corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, BASE_MS, delay=0, run_ts=run_ts())[0]
 
 
 def _demo_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,9 +149,27 @@ def scan_json_array(spark, sf_dir):
     return _json_records(spark, sf_dir).select("article_index", "sentence_index", "text")
 
 
+@query
+def scan_json_one_line(spark, sf_dir):
+    """Whole documents as array files without any line break."""
+    docs = load_documents(spark, sf_dir)
+    element = F.to_json(F.struct(F.col("text").alias("hiligaynon"), F.col("doc_id").alias("article_index")))
+    path = scratch_path(spark, "json-one-line")
+    entry = F.sort_array(F.collect_list(F.struct("doc_id", element.alias("e"))))
+    files = docs.groupBy(F.floor(F.col("doc_id") / 100)).agg(F.transform(entry, lambda e: e["e"]).alias("es"))
+    files.select(F.concat(F.lit("["), F.array_join("es", ","), F.lit("]")).alias("value")).repartition(16).write.option(
+        "maxRecordsPerFile", 1
+    ).text(path)
+    return read_text_records(spark, path).select("article_index", "sentence_index", "text")
+
+
 @query
 def record_pairs(spark, sf_dir):
-    return corpus.record_pairs(_json_records(spark, sf_dir), DemoTranslator, delay=0)
+    docs = load_documents(spark, sf_dir)
+    element = F.to_json(F.struct(F.col("text").alias("hiligaynon"), F.col("doc_id").alias("article_index")))
+    path = scratch_path(spark, "json-records")
+    write_json_arrays(docs.select(element.alias("value")), path)
+    return corpus.record_pairs(read_text_records(spark, path), DemoTranslator, delay=0)
 
 
 @query
@@ -159,7 +193,8 @@ def run_chunk_lines(spark, sf_dir):
 
 @query
 def run_chunk_manifest(spark, sf_dir):
-    return chunk_manifest(_chunked(spark, sf_dir)).select("chunk_id", "file_path", "sentence_count", "is_translated")
+    manifest = chunk_manifest(_chunked(spark, sf_dir), run_ts=run_ts())
+    return manifest.select("chunk_id", "file_path", "sentence_count", "is_translated", F.unix_seconds("created_at").alias("created_at"))
 
 
 @query
@@ -169,6 +204,32 @@ def manifest_scan(spark, sf_dir):
     return read_manifest_json(spark, path).select("chunk_id", "file_path", "sentence_count", "is_translated", "translated_file")
 
 
+@query
+def manifest_layouts(spark, sf_dir):
+    """A manifest of all chunks on one line, its metadata first, read back with its times."""
+    manifest = chunk_manifest(_chunked(spark, sf_dir), run_ts=run_ts())
+    entry = F.to_json(F.struct(*[c for c in manifest.columns if c != "chunk_id"]))
+    member = F.concat(F.lit('"'), F.col("chunk_id").cast("string"), F.lit('":'), entry).alias("m")
+    path = scratch_path(spark, "manifest-line")
+    # Files of a thousand chunks each.
+    files = manifest.select(F.floor(F.col("chunk_id") / 1000).alias("f"), member).groupBy("f").agg(F.array_join(F.collect_list("m"), ",").alias("ms"))
+    line = F.concat(F.lit('{"metadata":{"made":{"by":"a run"}},"chunks":{'), "ms", F.lit("}}"))
+    files.select(line.alias("value")).repartition(4, "value").write.option("maxRecordsPerFile", 1).text(path)
+    read = read_manifest_json(spark, path)
+    return read.select("chunk_id", "sentence_count", F.unix_seconds(F.to_timestamp("created_at")).alias("created_at"))
+
+
+@query
+def chunk_files_roundtrip(spark, sf_dir):
+    """Source and translated chunks written to one folder of text files and read back."""
+    path = scratch_path(spark, "chunk-text")
+    lines = pack_chunks(_chunked(spark, sf_dir)).select("chunk_id", reread_lines("sentences").alias("lines"))
+    done = translate_chunks(lines, DemoTranslator, delay=0).filter("ok")
+    export_chunk_text(done, path, "lines")
+    export_chunk_text(done, path, "translated_lines", TRANSLATED, mode="append")
+    return read_exported_text(spark, path)
+
+
 @query
 def extracted_sentences(spark, sf_dir):
     return corpus.sequence_pairs(load_documents(spark, sf_dir), DemoTranslator, BASE_MS, delay=0)[0]
@@ -261,11 +322,18 @@ def word_language(spark, sf_dir):
 
 @query
 def english_all_words(spark, sf_dir):
-    sentences = stage(split_sentences(_articles(spark, sf_dir)), "sentences")
-    flagged = flag_english(sentences, _model(spark, sf_dir), ["doc_id", "pos"])
+    flagged = flag_english(split_sentences(_articles(spark, sf_dir)), _model(spark, sf_dir))
     return flagged.select("doc_id", "pos", "is_english")
 
 
+@query
+def english_all_words_null_keys(spark, sf_dir):
+    """Every 97th document without its id: no sentence is lost, whatever its keys."""
+    sentences = split_sentences(_articles(spark, sf_dir)).withColumn("doc_id", F.expr("IF(doc_id % 97 = 0, NULL, doc_id)"))
+    flagged = flag_english(sentences, _model(spark, sf_dir))
+    return flagged.groupBy("doc_id", "is_english").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("sentence")).alias("chars"))
+
+
 @query
 def chunk_articles_by_words(spark, sf_dir):
     """The whole first phase with the word-level filter."""
@@ -333,9 +401,9 @@ def run_batch_manifest(spark, sf_dir):
     return manifest.select(
         "batch_number",
         "total_batches",
-        "part",
-        F.array_join("chunk_ids", ",").alias("chunk_ids"),
         "chunk_count",
+        "first_chunk",
+        "last_chunk",
         F.col("metadata.instructions").alias("instructions"),
     )
 
@@ -343,8 +411,7 @@ def run_batch_manifest(spark, sf_dir):
 @query
 def batch_work_selection(spark, sf_dir):
     chunks = chunk_manifest(_chunked(spark, sf_dir))
-    manifest = batch_manifest(round_robin_batches(chunks, NUM_BATCHES), NUM_BATCHES)
-    return batch_work(chunks, manifest, 1).select("chunk_id", "sentence_count")
+    return batch_work(chunks, round_robin_batches(chunks, NUM_BATCHES), 1).select("chunk_id", "sentence_count")
 
 
 @query
@@ -354,14 +421,18 @@ def run_run_totals(spark, sf_dir):
         F.count_if(~is_english_by_patterns("sentence")).alias("sentences"),
         F.count_if(is_english_by_patterns("sentence")).alias("skipped"),
     )
-    manifest, pairs = corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, delay=0)
+    manifest, pairs = corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, BASE_MS, delay=0, run_ts=run_ts())
+    path = scratch_path(spark, "totals-jsonl")
+    write_pairs_jsonl(pairs, path)
     one = F.lit(1)
     totals = (
-        flags.select("sentences", "skipped", F.lit(0).alias("chunks"), F.lit(0).alias("pairs"))
+        flags.select("sentences", "skipped")
         .unionByName(manifest.agg(F.count(one).alias("chunks")), allowMissingColumns=True)
         .unionByName(pairs.agg(F.count(one).alias("pairs")), allowMissingColumns=True)
+        # Samples are what training loads from the written file.
+        .unionByName(read_pairs_jsonl(spark, path).agg(F.count("seq_id").alias("samples")), allowMissingColumns=True)
     )
-    return totals.agg(*[F.sum(c).alias(c) for c in ("sentences", "skipped", "chunks", "pairs")], F.sum("pairs").alias("samples"))
+    return totals.agg(*[F.sum(c).alias(c) for c in ("sentences", "skipped", "chunks", "pairs", "samples")])
 
 
 # --- ordinals
@@ -389,6 +460,14 @@ def run_limit_articles(spark, sf_dir):
     return limit_articles(load_documents(spark, sf_dir), 100)
 
 
+@query
+def limit_articles_nulls(spark, sf_dir):
+    """Half the articles, and NULL ids that come last."""
+    docs = load_documents(spark, sf_dir).withColumn("doc_id", F.expr("IF(doc_id % 10 = 3, NULL, doc_id)"))
+    n = docs.count() // 2
+    return limit_articles(docs, n).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def run_spot_check_sample(spark, sf_dir):
     return spot_check_sample(_table(spark, sf_dir, "benchmark"), "item_id", 10, SAMPLE_SEED)
@@ -410,7 +489,7 @@ def zip_pairs(spark, sf_dir):
 
 @query
 def run_assemble_pairs(spark, sf_dir):
-    return corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, delay=0, base_ms=BASE_MS)[1]
+    return corpus.translate_and_assemble(_chunked(spark, sf_dir), DemoTranslator, BASE_MS, delay=0)[1]
 
 
 @query
@@ -430,6 +509,34 @@ def translation_memory_join(spark, sf_dir):
     return memory_translation(lines, memory, ["doc_id", "pos"]).select("doc_id", "pos", "translated", "ok")
 
 
+@query
+def memory_hot_line(spark, sf_dir):
+    """One line in every second row: the memory join spreads it."""
+    docs = load_documents(spark, sf_dir)
+    lines = docs.select("doc_id", F.posexplode(text_lines("text")).alias("pos", "own")).select(
+        "doc_id", "pos", F.expr("IF((doc_id + pos) % 2 = 0, 'the one frequent line', own)").alias("line")
+    )
+    memory = docs.select(F.explode(text_lines("text")).alias("source_text")).filter("length(source_text) % 3 = 0").distinct()
+    memory = memory.unionByName(memory.limit(1).select(F.lit("the one frequent line").alias("source_text")))
+    memory = memory.withColumn("translated", F.upper("source_text"))
+    return memory_translation(lines, memory, ["doc_id", "pos"]).select("doc_id", "pos", "ok")
+
+
+@query
+def encode_concat(spark, sf_dir):
+    """Pairs of two runs with the same ids and of conversations, encoded together."""
+    runs = _demo_pairs(spark, sf_dir).select("seq_id", "english", "source_text")
+    talk = _turns(spark, sf_dir).select(F.col("k").alias("seq_id"), "english", "source_text")
+    pairs = stage(concat_datasets(runs, runs, talk), "pairs")
+    encoded = encode_pairs(pairs, stage(build_vocabulary(pairs), "vocabulary"))
+    return encoded.groupBy("seq_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("input_sum"),
+        F.sum(F.aggregate("labels", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("label_sum"),
+        F.sum(F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)).alias("mask_sum"),
+    )
+
+
 # --- resuming
 
 
@@ -446,14 +553,22 @@ def resume_chunks(spark, sf_dir):
 @query
 def run_mark_translated(spark, sf_dir):
     manifest = _finished_manifest(spark, sf_dir)
-    return manifest.select("chunk_id", "sentence_count", "is_translated", "translated_file")
+    return manifest.select(
+        "chunk_id", "sentence_count", "is_translated", "translated_file", F.unix_seconds("translated_at").alias("translated_at")
+    )
 
 
 @query
 def run_progress_status(spark, sf_dir):
+    """All slices but the last are done, the last has begun."""
     slices = training_slices(_demo_pairs(spark, sf_dir))
-    log = progress_log(slices, F.timestamp_seconds(F.col("batch_index") * 60))
-    return progress_status(log).withColumn("last_update", F.unix_seconds("last_update"))
+    at = F.timestamp_seconds(F.col("batch_index") * 60)
+    last = slices.agg(F.max("batch_index")).first()[0]
+    done = slices.filter(F.col("batch_index") < F.lit(last))
+    folder = F.concat(F.lit("models/batch_"), F.col("batch_index").cast("string"))
+    log = run_record(slices, F.timestamp_seconds(F.lit(0))).unionByName(start_records(slices, at)).unionByName(progress_log(done, at, folder))
+    status = progress_status(log)
+    return status.withColumn("last_update", F.unix_seconds("last_update")).withColumn("start_time", F.unix_seconds("start_time"))
 
 
 @query
@@ -514,7 +629,7 @@ def run_spot_check_compare(spark, sf_dir):
         F.col("item_id").alias("sample_id"), F.col("text").alias("english"), F.col("text").alias("source_text")
     )
     sample = spot_check_sample(items, "sample_id", 10, SAMPLE_SEED)
-    return spot_check_compare(sample, DemoTranslator, retries=3)
+    return spot_check_compare(sample, DemoTranslator, retries=3).drop("error")
 
 
 # --- streaming

@@ -67,42 +67,45 @@ def test_pending_articles(texts):
     assert [r["doc_id"] for r in pending_articles(articles, articles.filter("doc_id = 1")).orderBy("doc_id").collect()] == [0, 2]
 
 
-@pytest.mark.parametrize("top_n", [1_000_000, 1])
-def test_limit_articles(texts, monkeypatch, top_n):
-    monkeypatch.setattr("tandemtext.operators.chunking.TOP_N", top_n)
+@pytest.mark.parametrize("ranges", [1024, 2, 3])
+def test_limit_articles(texts, monkeypatch, ranges):
+    monkeypatch.setattr("tandemtext.operators.chunking.RANGES", ranges)
     articles = texts(list("edcba"))
     assert sorted(r["text"] for r in limit_articles(articles, 2).collect()) == ["d", "e"]
     assert limit_articles(articles, 0).count() == limit_articles(articles, None).count() == limit_articles(articles, 9).count() == 5
 
 
+def test_limit_with_null_and_scattered_ids(spark):
+    ids = [None, -(2**63), 2**63 - 1, 0, 5, None, 6]
+    articles = spark.createDataFrame([(i, "t") for i in ids], "doc_id BIGINT, text STRING")
+    ordered = sorted(i for i in ids if i is not None) + [None, None]
+    for n in range(1, 9):
+        got = [r["doc_id"] for r in limit_articles(articles, n).collect()]
+        assert sorted(got, key=lambda i: (i is None, i or 0)) == ordered[:n]
+
+
 def chunk_ids(spark, n):
     return spark.range(1, n + 1).select(F.col("id").alias("chunk_id"), F.lit(False).alias("is_translated"))
 
 
-def ids_by_batch(spark, n, batches, **kwargs):
-    rows = batch_manifest(round_robin_batches(chunk_ids(spark, n), batches), batches, **kwargs)
-    return {(r["batch_number"], r["part"]): r for r in rows.collect()}
+def by_batch(spark, n, batches):
+    dealt = round_robin_batches(chunk_ids(spark, n), batches)
+    ids = {b: sorted(r["chunk_id"] for r in dealt.filter(F.col("batch_number") == b).collect()) for b in range(batches)}
+    return {r["batch_number"]: r for r in batch_manifest(dealt, batches).collect()}, ids
 
 
 def test_round_robin(spark):
-    got = ids_by_batch(spark, 10, 4)
-    assert [got[b, 0]["chunk_ids"] for b in range(4)] == [[1, 5, 9], [2, 6, 10], [3, 7], [4, 8]]
-    assert got[1, 0]["metadata"]["instructions"] == "Translate chunks 2 to 10"
-    assert got[1, 0]["metadata"]["purpose"] == "parallel_translation"
-    assert got[1, 0]["chunk_count"] == 3 and got[1, 0]["total_batches"] == 4
+    got, ids = by_batch(spark, 10, 4)
+    assert [ids[b] for b in range(4)] == [[1, 5, 9], [2, 6, 10], [3, 7], [4, 8]]
+    assert got[1]["metadata"]["instructions"] == "Translate chunks 2 to 10"
+    assert got[1]["metadata"]["purpose"] == "parallel_translation"
+    assert (got[1]["chunk_count"], got[1]["total_batches"], got[1]["first_chunk"], got[1]["last_chunk"]) == (3, 4, 2, 10)
 
 
 def test_more_batches_than_chunks(spark):
-    got = ids_by_batch(spark, 2, 3)
-    assert [got[b, 0]["chunk_ids"] for b in range(3)] == [[1], [2], []]
-    assert got[2, 0]["metadata"]["instructions"] == "Empty batch" and got[2, 0]["chunk_count"] == 0
-
-
-def test_long_id_lists_come_in_parts(spark):
-    got = ids_by_batch(spark, 25, 2, ids_per_part=5)
-    assert got[0, 0]["chunk_ids"] == [1, 3, 5, 7, 9] and got[0, 2]["chunk_ids"] == [21, 23, 25]
-    assert all(got[k]["chunk_count"] == (13 if k[0] == 0 else 12) for k in got)
-    assert sorted(i for r in got.values() for i in r["chunk_ids"]) == list(range(1, 26))
+    got, ids = by_batch(spark, 2, 3)
+    assert [ids[b] for b in range(3)] == [[1], [2], []]
+    assert got[2]["metadata"]["instructions"] == "Empty batch" and got[2]["chunk_count"] == 0
 
 
 def test_batch_count_must_be_positive(spark):
@@ -112,8 +115,8 @@ def test_batch_count_must_be_positive(spark):
 
 def test_work_selection(spark):
     chunks = chunk_ids(spark, 6).withColumn("is_translated", F.col("chunk_id") < 4)
-    manifest = batch_manifest(round_robin_batches(chunks, 2), 2)
-    # ids of a manifest are taken as they are, finished or not
+    manifest = round_robin_batches(chunks, 2)
+    # ids of a batch are taken as they are, finished or not
     assert sorted(r["chunk_id"] for r in batch_work(chunks, manifest, 0).collect()) == [1, 3, 5]
     assert sorted(r["chunk_id"] for r in batch_work(chunks, manifest).collect()) == [1, 2, 3, 4, 5, 6]
     assert sorted(r["chunk_id"] for r in batch_work(chunks).collect()) == [4, 5, 6]

@@ -65,3 +65,22 @@ def test_a_sentence_is_english_only_if_every_word_is(spark):
     assert got == {0: True, 1: False, 2: False, 3: False, 4: True}
     kept = filter_english(df, model=model, keys=["doc_id"])
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3]
+
+
+def test_null_keys_and_texts_are_kept(spark):
+    model = train_language_model(spark.createDataFrame(LABELLED, "lang STRING, text STRING"))
+    rows = [(1, None), (None, "ang balay sang tawo"), (None, "the weather is there"), (1, "brother"), (None, None)]
+    got = flag_english(spark.createDataFrame(rows, "doc_id BIGINT, sentence STRING"), model).collect()
+    assert sorted((r["sentence"] or "", r["is_english"]) for r in got) == [
+        ("", False), ("", False), ("ang balay sang tawo", False), ("brother", True), ("the weather is there", True)
+    ]
+
+
+def test_hundreds_of_languages(spark):
+    labelled = [(f"l{i:03}", f"q{i:03}q z{i:03}z") for i in range(600)]
+    model = train_language_model(spark.createDataFrame(labelled, "lang STRING, text STRING"))
+    letters = spark.createDataFrame([("aa", "ab"), ("bb", "ba")], "lang STRING, text STRING")
+    small = train_language_model(letters)
+    assert model.unseen.count() in (0, 600)  # digits are no letters: all words are alike
+    got = {r["word"]: r["lang"] for r in classify_words(distinct_words(spark.createDataFrame([("ab ba zz",)], "t STRING"), "t"), small).collect()}
+    assert got == {"ab": "aa", "ba": "bb", "zz": "aa"}

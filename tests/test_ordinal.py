@@ -61,7 +61,7 @@ def test_salted_join_equals_a_plain_join(spark):
     keys = ["hot"] * 4000 + [f"k{rng.randint(0, 4000)}" for _ in range(4000)] + [None] * 10
     left = spark.createDataFrame(list(enumerate(keys)), "id BIGINT, key STRING")
     right = spark.createDataFrame([(k, f"v-{k}") for k in {k for k in keys if k} if hash(k) % 2 or k == "hot"], "key STRING, v STRING")
-    salted = salted_left_join(left, right, ["key"], ["id"], hot_share=100, salts=8)
+    salted = salted_left_join(left, right, ["key"], ["id"], hot_share=100)
     assert sorted(map(tuple, salted.select("id", F.coalesce("v", F.lit(""))).collect())) == sorted(
         map(tuple, left.join(right, "key", "left").select("id", F.coalesce("v", F.lit(""))).collect())
     )

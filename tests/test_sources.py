@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -12,6 +13,7 @@ from tandemtext.sources.files import (
     export_chunk_text,
     read_chunk_text,
     read_chunks,
+    read_exported_text,
     read_pairs_jsonl,
     write_article_pairs,
     write_batch_manifests,
@@ -81,10 +83,11 @@ def test_json_array_layouts(spark, tmp_path, layout):
     assert [(r["article_index"], r["sentence_index"], r["text"]) for r in rows] == EXPECTED
 
 
-def test_json_array_over_many_file_blocks(spark, tmp_path):
+@pytest.mark.parametrize("layout", [{"indent": 1}, {}, {"separators": (",", ":")}])
+def test_json_array_over_many_file_blocks(spark, tmp_path, layout):
     file = tmp_path / "big.json"
-    items = [{"hiligaynon": f"text {i} " + "x" * (i % 97), "article_index": i} for i in range(3000)]
-    file.write_text(json.dumps(items, indent=1), encoding="utf-8")
+    items = [{"hiligaynon": f"text {i} " + "}x\"" * (i % 97), "article_index": i} for i in range(3000)]
+    file.write_text(json.dumps(items, **layout), encoding="utf-8")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
@@ -94,10 +97,24 @@ def test_json_array_over_many_file_blocks(spark, tmp_path):
     assert [(r["article_index"], r["text"]) for r in rows] == [(i["article_index"], i["hiligaynon"]) for i in items]
 
 
+def test_an_index_that_is_no_integer_is_kept_as_text(spark, tmp_path):
+    file = tmp_path / "in.json"
+    file.write_text(json.dumps([{"hiligaynon": "a", "article_index": "art-7"}, {"hiligaynon": "b", "article_index": 8}]), encoding="utf-8")
+    rows = read_text_records(spark, str(file)).orderBy("segment", "item").collect()
+    assert [(r["article_index"], r["article_ref"], r["sentence_index"]) for r in rows] == [(None, "art-7", 0), (8, "8", 0)]
+
+
+def test_elements_are_parsed_once(spark, tmp_path):
+    file = tmp_path / "in.json"
+    file.write_text('[{"hiligaynon": "a"}]', encoding="utf-8")
+    assert "from_json" not in read_text_records(spark, str(file))._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize(
     "body",
     ['[{"hiligaynon": "a"}, {"hiligaynon": ]', '[\n{"hiligaynon": "a"},\n{"hiligaynon" "b"}\n]', '[\n{"hiligaynon": "a"},\n]',
-     '[\n{"hiligaynon": "a"},\n', '{"hiligaynon": "a"}', '["a"]]', "nonsense"],
+     '[\n{"hiligaynon": "a"},\n', '{"hiligaynon": "a"}', '["a"]]', "nonsense", '[{"hiligaynon": "a"} {"hiligaynon": "b"}]', '[{"hiligaynon": "a"},]',
+     '[{"hiligaynon": "a"}] 1', '[{"hiligaynon": "a"}][]', '[,{"hiligaynon": "a"}]', '[{"hiligaynon": "a}]'],
 )
 def test_a_malformed_file_yields_nothing_and_spares_the_others(spark, tmp_path, body):
     (tmp_path / "bad.json").write_text(body, encoding="utf-8")
@@ -140,6 +157,18 @@ def test_manifest_json(spark, tmp_path, indent, first):
     assert rows[1]["is_translated"] is None and rows[1]["file_path"] == "c/{3}.txt" and rows[2]["sentence_count"] == 87
 
 
+@pytest.mark.parametrize("layout", [
+    '{"chunks": %s,\n"metadata": {"a": {"b": 1}}}', '{"metadata":{"a":{"9":{"file_path":"no"}}},"chunks":%s\n}\n', '{"x":[{"y":1}],\n"chunks"\n:\n%s}',
+    '{"chunks":%s}',
+])
+def test_manifests_in_any_layout(spark, tmp_path, layout):
+    file = tmp_path / "manifest.json"
+    for body in (json.dumps(manifest_entries()), json.dumps(manifest_entries(), indent=1, separators=("\n,", ":"))):
+        file.write_text(layout % body, encoding="utf-8")
+        rows = read_manifest_json(spark, str(file)).orderBy("chunk_id").collect()
+        assert [(r["chunk_id"], r["file_path"]) for r in rows] == [(2, "c/2.txt"), (3, "c/{3}.txt"), (10, "c/10.txt")]
+
+
 @pytest.mark.parametrize("indent", [None, 2])
 def test_empty_and_missing_manifests(spark, tmp_path, indent):
     file = tmp_path / "manifest.json"
@@ -160,7 +189,9 @@ def test_written_manifest_reads_back(spark, tmp_path):
         F.col("id").alias("chunk_id"), F.lit("f").alias("file_path"), F.lit(5).alias("sentence_count"),
         F.lit(False).alias("is_translated"), F.lit(None).cast("string").alias("translated_file"),
     )
-    write_manifest_json(manifest, str(tmp_path / "m"))
+    write_manifest_json(manifest, str(tmp_path / "m"), run_ts="2026-01-02T03:04:05")
+    for file in (tmp_path / "m").glob("*.txt"):
+        assert json.loads(file.read_text())["metadata"]["created_at"] == "2026-01-02T03:04:05"
     got = read_manifest_json(spark, str(tmp_path / "m")).select(manifest.columns)
     assert got.exceptAll(manifest).count() == 0 and got.count() == 499
 
@@ -201,11 +232,13 @@ def test_article_pairs_file(spark, tmp_path):
 
 def test_chunks_are_stored_in_buckets(spark, tmp_path):
     chunked = spark.range(1, 1001).select((F.col("id") % 50 + 1).alias("chunk_id"), F.col("id").alias("ordinal"))
-    write_chunks(chunked, str(tmp_path / "c"), chunks_per_bucket=10)
+    for _ in range(2):  # a repeated run replaces its own rows
+        write_chunks(chunked, str(tmp_path / "c"), chunks_per_bucket=10, run_id="a")
     part = read_chunks(spark, str(tmp_path / "c"), (11, 20), 10)
     assert part.count() == 200 and "chunk_bucket" not in part.columns
-    assert "PartitionFilters: [isnotnull(chunk_bucket" in part._jdf.queryExecution().executedPlan().toString()
-    assert read_chunks(spark, str(tmp_path / "c")).count() == 1000
+    assert "chunk_bucket" in re.search("PartitionFilters: .*", part._jdf.queryExecution().executedPlan().toString()).group()
+    write_chunks(chunked, str(tmp_path / "c"), chunks_per_bucket=10, run_id="b")
+    assert read_chunks(spark, str(tmp_path / "c")).count() == 2000
 
 
 def test_chunk_text_files(spark, tmp_path):
@@ -213,15 +246,20 @@ def test_chunk_text_files(spark, tmp_path):
     folder.mkdir()
     (folder / "source_chunk_2.txt").write_text(" a \n\nb\r\nc\rd\n", encoding="utf-8")
     (folder / "source_chunk_10.txt").write_text("e", encoding="utf-8")
-    rows = read_chunk_text(spark, str(folder)).orderBy("chunk_id", "line_no").collect()
-    assert [tuple(r) for r in rows] == [(2, 1, "a"), (2, 2, "b"), (2, 3, "c"), (2, 4, "d"), (10, 1, "e")]
+    (folder / "translated_chunk_2.txt").write_text("A\nB\n", encoding="utf-8")
+    rows = [tuple(r) for r in read_chunk_text(spark, str(folder)).orderBy("chunk_id", "kind", "line_no").collect()]
+    assert rows[:4] == [(2, "source", i + 1, c) for i, c in enumerate("abcd")]
+    assert rows[4:] == [(2, "translated", 1, "A"), (2, "translated", 2, "B"), (10, "source", 1, "e")]
 
 
 def test_exported_chunk_text_reads_back(spark, tmp_path):
-    packed = spark.createDataFrame([(1, ["x", "y\nz"]), (12, ["w"])], "chunk_id BIGINT, sentences ARRAY<STRING>")
-    export_chunk_text(packed, str(tmp_path / "t"))
-    rows = read_chunk_text(spark, str(tmp_path / "t")).orderBy("chunk_id", "line_no").collect()
-    assert [tuple(r) for r in rows] == [(1, 1, "x"), (1, 2, "y"), (1, 3, "z"), (12, 1, "w")]
+    packed = spark.createDataFrame([(1, ["x", "y\nz"]), (12, ["w\t1"]), (30, ["v"])], "chunk_id BIGINT, sentences ARRAY<STRING>")
+    export_chunk_text(packed, str(tmp_path / "t"), chunks_per_bucket=10, chunk_ids=(1, 20))
+    export_chunk_text(packed, str(tmp_path / "t"), kind="translated", chunks_per_bucket=10, chunk_ids=(12, 12), mode="append")
+    rows = read_exported_text(spark, str(tmp_path / "t")).orderBy("chunk_id", "kind", "line_no").collect()
+    assert [tuple(r) for r in rows] == [
+        (1, "source", 1, "x"), (1, "source", 2, "y"), (1, "source", 3, "z"), (12, "source", 1, "w\t1"), (12, "translated", 1, "w\t1")
+    ]
 
 
 def test_batch_manifest_and_spot_check_files(spark, tmp_path):
