@@ -9,7 +9,6 @@ prediction then reads each text once, whole, where it lies.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ ORDERS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 # Added to every count, so that a language that lacks a word is unlikely, not impossible.
 SMOOTHING = 0.1
-MOST_WORDS = 500_000
+MOST_WORDS = 150_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -39,30 +38,39 @@ class Model:
         self.key = hashlib.sha256(repr(sorted(counts)).encode()).hexdigest()
         self.languages = sorted({lang for lang, _, _ in counts})
         column = {lang: i for i, lang in enumerate(self.languages)}
-        tables: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(column))) for _ in range(1 + len(ORDERS))]
+        tables: list[dict[str, dict[int, int]]] = [{} for _ in range(1 + len(ORDERS))]
+
+        def add(table: dict, key: str, lang: str, n: int) -> None:
+            held = table.setdefault(key, {})
+            held[column[lang]] = held.get(column[lang], 0) + n
+
         for lang, word, n in counts:
-            tables[0][word][column[lang]] += n
+            add(tables[0], word, lang, n)
             padded = f" {word} "
             for table, order in zip(tables[1:], ORDERS):
                 for i in range(len(padded) - order + 1):
-                    table[padded[i : i + order]][column[lang]] += n
-        logs = []
+                    add(table, padded[i : i + order], lang, n)
+        # Of each table the rows of its keys, in one array: many small ones would take most of the memory.
+        self.places: list[dict[str, int]] = []
+        self.logs: list[np.ndarray] = []
         for table in tables:
-            keys = list(table)
-            values = np.array([table[k] for k in keys]).reshape(len(keys), len(column))
-            values = np.log((values + SMOOTHING) / (values.sum(axis=0) + SMOOTHING * max(1, len(keys))))
-            logs.append(dict(zip(keys, values.astype(np.float32))))
-        self.words, self.grams = logs[0], logs[1:]
+            values = np.zeros((len(table), len(column)))
+            for row, held in enumerate(table.values()):
+                for lang, n in held.items():
+                    values[row, lang] = n
+            values = np.log((values + SMOOTHING) / (values.sum(axis=0) + SMOOTHING * max(1, len(table))))
+            self.places.append({key: row for row, key in enumerate(table)})
+            self.logs.append(values.astype(np.float32))
 
     def word(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is not None:
-            return found
+        row = self.places[0].get(word)
+        if row is not None:
+            return self.logs[0][row]
         padded = f" {word} "
-        for table, order in zip(self.grams, ORDERS):
-            known = [table[g] for g in (padded[i : i + order] for i in range(len(padded) - order + 1)) if g in table]
+        for places, logs, order in zip(self.places[1:], self.logs[1:], ORDERS):
+            known = [places[g] for g in (padded[i : i + order] for i in range(len(padded) - order + 1)) if g in places]
             if known:
-                return np.mean(known, axis=0)
+                return logs[known].mean(axis=0)
         return np.zeros(len(self.languages), dtype=np.float32)
 
 

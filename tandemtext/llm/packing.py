@@ -56,10 +56,10 @@ def _word_pattern() -> re.Pattern:
 class CachedTokenizer:
     """Ids of whole texts as little-endian 32-bit numbers; each distinct word is encoded once per worker."""
 
-    def __init__(self, model: bytes) -> None:
+    def __init__(self, model: bytes, most_words: int = MOST_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         self.tokenizer = Tokenizer.from_buffer(model)
-        self.words = Remembered(self._whole, MOST_WORDS)
+        self.words = Remembered(self._whole, most_words)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = _word_pattern().findall
         self.unfamiliar = re.compile(f"[^\\x00-{chr(LAST_FAMILIAR)}]").search
@@ -177,13 +177,19 @@ RESULT = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequ
 
 
 def pack_documents(
-    docs: DataFrame, model: bytes, size: int = SIZE, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    model: bytes,
+    size: int = SIZE,
+    end_id: int = END_ID,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is the ids of its whole text and ``end_id``; a NULL or empty text is ``end_id`` alone.
     Every id lies in one piece. Sequences keep the order of the rows in a partition; sequence ids
-    are unique, and continue within a partition. Rows that repeat an id are packed each on its
+    are unique, and continue within a partition. A Python worker keeps the ids of ``most_words`` words at most. Rows that repeat an id are packed each on its
     own; NULL ids are kept. No rows give no pieces. Other columns are ignored.
     """
     given = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
@@ -195,7 +201,7 @@ def pack_documents(
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = kept_in_worker(f"bytes_{hashlib.sha256(model).hexdigest()}", lambda: CachedTokenizer(model))
+        tokenizer = kept_in_worker(f"bytes_{hashlib.sha256(model).hexdigest()}", lambda: CachedTokenizer(model, most_words))
         packer = Packer(tokenizer.sentence_ends(), size, TaskContext.get().partitionId() << 33)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
