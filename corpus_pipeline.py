@@ -43,8 +43,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
-    return pack_documents(docs, vocabulary(BYTE_MODEL))
+    """Pieces of training sequences. Workers have held other stages before, so their cache of words is smaller."""
+    return pack_documents(docs, vocabulary(BYTE_MODEL), most_words=300_000)
 
 
 STAGES = [
