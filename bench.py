@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tandemtext.plans.queries import QUERIES  # noqa: E402
-from tandemtext.session import local_session  # noqa: E402
+from tandemtext.session import local_session, scratch_scope  # noqa: E402
 
 HEADLINE = [
     "split_prod",
@@ -35,6 +35,12 @@ HEADLINE = [
     "build_vocab",
     "encode_pad",
     "stream_chunk_ingest",
+    "scan_json_array",
+    "zip_pairs",
+    "chunk_articles_by_words",
+    "resume_chunks",
+    "concat_datasets",
+    "abbreviation_matches",
 ]
 
 
@@ -49,7 +55,8 @@ def main() -> None:
     seconds: dict[str, float] = {}
     for name in names:
         started = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        with scratch_scope(spark):
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import SPACE, WORD, WORD_ENDS, WORD_STARTS, _col, strip
@@ -173,31 +173,23 @@ def abbreviation_matches(
     """Every abbreviation match with its start and end offset in code points."""
     keys = [c for c in df.columns if c != text_col]
     marked = F.regexp_replace(_col(text_col), f"({pattern or match_pattern(profile)})", f"{OPEN}$1{CLOSE}")
-    # Outside and matched pieces alternate; a running length gives the offsets.
+    # Outside and matched pieces alternate; the lengths before a match add up to its offset. Only lengths and
+    # matches are moved, and a text with many matches takes time in proportion.
     pieces = F.split(marked, f"[{OPEN}{CLOSE}]")
-    start = F.struct(F.lit(0).alias("offset"), F.array().cast("array<struct<m:string,s:int,e:int>>").alias("found"))
-
-    def step(acc, pair):
-        begin = acc["offset"] + F.length(pair["before"])
-        end = begin + F.length(pair["match"])
-        hit = F.struct(pair["match"].alias("m"), begin.alias("s"), end.alias("e"))
-        return F.struct(end.alias("offset"), F.array_append(acc["found"], hit).alias("found"))
-
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("_pieces") / 2).cast("int") - 1),
-        lambda i: F.struct(
-            F.get(F.col("_pieces"), i * 2).alias("before"), F.get(F.col("_pieces"), i * 2 + 1).alias("match")
-        ),
+    numbered = df.select(*keys, F.monotonically_increasing_id().alias("_row"), pieces.alias("_pieces"))
+    placed = numbered.select(*keys, "_row", F.posexplode("_pieces").alias("_k", "_piece")).select(
+        *keys, "_row", "_k", F.length("_piece").alias("_n"), F.when(F.col("_k") % 2 == 1, F.col("_piece")).alias("match")
     )
-    found = F.aggregate(F.when(F.size("_pieces") > 1, pairs).otherwise(F.array()), start, step)["found"]
+    upto = Window.partitionBy("_row").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum("_n").over(upto).cast("int")
     return (
-        df.select(*keys, pieces.alias("_pieces"))
-        .select(*keys, F.posexplode(found).alias("match_no", "_m"))
+        placed.withColumn("end_offset", end)
+        .filter("match IS NOT NULL")
         .select(
             *keys,
-            "match_no",
-            F.col("_m.m").alias("match"),
-            F.col("_m.s").alias("start_offset"),
-            F.col("_m.e").alias("end_offset"),
+            F.floor(F.col("_k") / 2).cast("int").alias("match_no"),
+            "match",
+            (F.col("end_offset") - F.col("_n")).alias("start_offset"),
+            "end_offset",
         )
     )

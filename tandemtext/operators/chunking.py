@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import text_lines
-from .ordinal import whole_div
+from .ordinal import whole_div, with_ordinal
 
 CHUNK_SIZE = 100
 
@@ -16,13 +16,19 @@ RANGES = 1024
 
 
 def limit_articles(df: DataFrame, n: int | None, order_by: str = "doc_id") -> DataFrame:
-    """The first ``n`` articles by their unique integer id; 0 or None means all, NULL ids come last.
+    """The first ``n`` articles by their unique id; 0 or None means all, NULL ids come last.
 
     The n-th id is found by counting ids in ever narrower ranges, so nothing is sorted or
-    gathered, and is then a plain upper bound for the scan of the texts.
+    gathered, and is then a plain upper bound for the scan of the texts. Of ids that are texts, which
+    have no such ranges, the ids alone are numbered in order.
     """
     if not n:
         return df
+    if df.schema[order_by].dataType.typeName() == "string":
+        named = with_ordinal(df.select(order_by).filter(F.col(order_by).isNotNull()), [order_by], "_rank")
+        last, known = named.agg(F.max_by(order_by, F.when(F.col("_rank") <= n, F.col("_rank"))), F.count(F.lit(1))).first()
+        first = df.filter(F.col(order_by) <= F.lit(last))
+        return first.unionByName(df.filter(F.col(order_by).isNull()).limit(max(0, n - known)))
     ids = df.select(F.col(order_by).cast("decimal(20,0)").alias("id"))
     low, high, known = ids.agg(F.min("id"), F.max("id"), F.count("id")).first()
     if n >= known:

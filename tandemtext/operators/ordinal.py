@@ -36,6 +36,8 @@ def arrange_ids(df: DataFrame, key: str) -> DataFrame:
     texts is a second scan of them. Dense ids, such as list positions, need only
     their smallest and largest value, from a scan of the id column.
     """
+    if df.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return arrange(df, [key])
     stats = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("n"), F.count(F.lit(1)).alias("rows"))
     low, high, n, rows = stats.first()
     if n == 0 or n < rows or high - low + 1 > DENSE * n:

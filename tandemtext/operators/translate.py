@@ -42,7 +42,8 @@ def _attempt(call: Translator, text: str, policy: str, delay: float, retries: in
             error = str(exc)
         else:
             if policy == KEEP_SOURCE:
-                return (result or text, True, attempt, None if result else "empty result")
+                # An empty string is an answer, no result at all is not.
+                return (text, True, attempt, "empty result") if result is None else (result, True, attempt, None)
             if not result:
                 error = "empty result"
             elif result.strip(SPACE_CHARS) == text.strip(SPACE_CHARS):

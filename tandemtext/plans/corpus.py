@@ -26,7 +26,7 @@ from ..operators.chunking import (
     translated_path,
 )
 from ..operators.filters import filter_english
-from ..operators.language_model import LanguageModel
+from ..operators.language_model import LanguageModel, train_language_model
 from ..operators.ordinal import arrange_ids, with_ordinal
 from ..operators.translate import DELAY, KEEP_SOURCE, RETRIES, Translator, apply_translator, translate_chunks
 from ..session import stage
@@ -75,6 +75,14 @@ def chunked_sentences(
     return assign_chunks(numbered, size, base)
 
 
+def default_chunks(articles: DataFrame, labelled: DataFrame, size: int = CHUNK_SIZE, base: int = 0, limit: int | None = None) -> DataFrame:
+    """The first phase as it is meant to run: the live rule set, then every word's language.
+
+    ``labelled(text, lang)`` trains the word model; a sentence is dropped only if all of its words are English.
+    """
+    return chunked_sentences(articles, method="words", model=train_language_model(labelled), size=size, base=base, limit=limit)
+
+
 def translate_and_assemble(
     chunked: DataFrame,
     make_translator: Callable[[], Translator],

@@ -337,7 +337,7 @@ def english_all_words_null_keys(spark, sf_dir):
 @query
 def chunk_articles_by_words(spark, sf_dir):
     """The whole first phase with the word-level filter."""
-    chunked = corpus.chunked_sentences(_articles(spark, sf_dir), method="words", model=_model(spark, sf_dir))
+    chunked = corpus.default_chunks(_articles(spark, sf_dir), _articles(spark, sf_dir, "lang"))
     return chunked.select("doc_id", "pos", "chunk_id", "line_no")
 
 

@@ -46,7 +46,10 @@ def read_articles(
     raw = spark.read.format(fmt).options(**options).load(path)
     text = F.col(pick_text_column(raw.columns, text_column)).alias("text")
     if id_column is not None:
-        return raw.select(F.col(id_column).cast("bigint").alias("doc_id"), text, *keep)
+        # Ids that are texts stay so; all others are numbers.
+        kind = raw.schema[id_column].dataType.typeName()
+        number = F.col(id_column) if kind == "string" else F.col(id_column).cast("bigint")
+        return raw.select(number.alias("doc_id"), text, *keep)
     # Rows of one file block are read in order by one task.
     placed = raw.select(
         text,

@@ -66,3 +66,35 @@ def test_ordinals_survive_recomputation(spark):
     numbered = with_ordinal(spark.range(1000).repartition(13), ["id"])
     first = sorted(map(tuple, numbered.collect()))
     assert first == sorted(map(tuple, numbered.collect()))
+
+
+def test_one_text_exchange_from_numbered_sentences_to_chunks(spark, tmp_path):
+    from tandemtext.operators.chunking import pack_chunks
+
+    plan = plan_of(pack_chunks(corpus.chunked_sentences(documents(spark, tmp_path))))
+    initial = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    assert initial.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning(chunk_id" not in initial
+
+
+def test_running_ids_make_slices_without_an_exchange(spark):
+    from tandemtext.operators.training import training_slices
+
+    pairs = spark.range(5, 3005).select(F.col("id").alias("seq_id"), F.lit("e").alias("english"))
+    assert "Exchange" not in plan_of(training_slices(pairs))
+
+
+def test_a_hot_line_is_spread_by_its_share(spark):
+    from tandemtext.operators.lookup import salted_left_join
+
+    left = spark.range(10_000).select("id", F.expr("IF(id % 2 = 0, 'hot', concat('k', id))").alias("key"))
+    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "key STRING, v INT")
+    joined = salted_left_join(left, right, ["key"], ["id"], hot_share=100)
+    assert joined.filter("v = 1").count() == 5000 and joined.count() == 10_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = salted_left_join(left, right, ["key"], ["id"], hot_share=100).filter("v = 1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 2000

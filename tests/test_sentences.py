@@ -131,6 +131,12 @@ def test_long_text_without_marks_is_linear(texts):
         assert n in (40000, 40001)
 
 
+def test_many_matches_in_one_text(texts):
+    rows = abbreviation_matches(texts(["a 1.5 " * 50_000])).orderBy("match_no").collect()
+    assert len(rows) == 50_000
+    assert all((r["match"], r["start_offset"], r["end_offset"]) == ("1.5", 6 * i + 2, 6 * i + 5) for i, r in enumerate(rows))
+
+
 def test_unknown_profile():
     with pytest.raises(ValueError):
         sentence_array("text", "none")

@@ -1,4 +1,5 @@
 import json
+import os
 import re
 
 import pytest
@@ -6,7 +7,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tandemtext.session import scratch_root
+from tandemtext.operators.chunking import limit_articles
+from tandemtext.plans.corpus import chunked_sentences
+from tandemtext.session import scratch_path, scratch_root, scratch_scope, stage
 from tandemtext.sources.articles import pick_text_column, read_articles, spread_rows
 from tandemtext.sources.files import (
     default_pairs_path,
@@ -47,6 +50,16 @@ def test_articles_without_ids_are_numbered_in_file_order(spark, tmp_path, fmt):
     assert [(r["doc_id"], r["text"]) for r in got] == [(i, t) for i, (t, _) in enumerate(rows)]
 
 
+def test_text_ids_are_kept(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.createDataFrame([(f"art-{i:02}", f"Una nga linya {i}.") for i in range(20)] + [(None, "Isa.")], "doc_id STRING, text STRING").write.parquet(path)
+    articles = read_articles(spark, path)
+    assert sorted(r["doc_id"] for r in limit_articles(articles, 3).collect()) == ["art-00", "art-01", "art-02"]
+    assert limit_articles(articles, 21).count() == 21
+    chunked = chunked_sentences(articles, size=4, limit=7)
+    assert [r["doc_id"] for r in chunked.orderBy("ordinal").collect()] == [f"art-{i:02}" for i in range(7)]
+
+
 def test_only_the_needed_columns_are_read(spark, tmp_path):
     path = str(tmp_path / "a")
     spark.createDataFrame([(1, "t", "en", 3)], "doc_id BIGINT, text STRING, lang STRING, n_chars INT").write.parquet(path)
@@ -273,3 +286,13 @@ def test_batch_manifest_and_spot_check_files(spark, tmp_path):
 
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_scope_deletes_its_tables(spark):
+    before = stage(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inner = stage(spark.range(4), "gone")
+        path = inner.inputFiles()[0].removeprefix("file://")
+        assert inner.count() == 4 and os.path.exists(path)
+    assert not os.path.exists(path) and before.count() == 3
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -5,7 +5,14 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tandemtext.operators.assemble import assemble_pairs, contamination, zip_by_rank, zip_chunks
+from tandemtext.operators.assemble import (
+    assemble_pairs,
+    assemble_translated,
+    contamination,
+    next_base,
+    zip_by_rank,
+    zip_chunks,
+)
 from tandemtext.operators.translate import (
     KEEP_SOURCE,
     STRICT,
@@ -52,8 +59,8 @@ def test_keep_source(spark):
     got = run(spark, ["flaky", "fine", "same", "none", "empty", "down"], KEEP_SOURCE)
     assert got["flaky"] == ("t:flaky", True, 3)
     assert got["same"] == (" same ", True, 1)
-    # an empty result is not tried again
-    assert got["none"] == ("none", True, 1) and got["empty"] == ("empty", True, 1)
+    # no result is not tried again; an empty text is one
+    assert got["none"] == ("none", True, 1) and got["empty"] == ("", True, 1)
     assert got["down"] == ("down", True, 3)
 
 
@@ -136,6 +143,30 @@ def test_assembly(spark):
     assert {r["chunk_id"] for r in rows} == {1, 2}
 
 
+class Breaking:
+    """Results with line breaks and blank lines, and one that equals a source line after re-reading."""
+
+    def __call__(self, text):
+        return {"two": "t:two\n\nmore", "a": "b\na", "down": None}.get(text, "t:" + text)
+
+
+def test_pairs_are_numbered_in_place_as_after_files(spark):
+    chunks = [(i, [f"x{i}", "two", f"y\nz{i}", "last"][: i % 5]) for i in range(1, 60)] + [(60, ["a", "q"]), (61, ["b", "a"]), (62, ["down"])]
+    packed = spark.createDataFrame(chunks, "chunk_id BIGINT, lines ARRAY<STRING>")
+    packed = packed.repartitionByRange(7, "chunk_id").sortWithinPartitions("chunk_id")
+    translated = translate_chunks(packed, Breaking, delay=0, retries=1)
+    here = assemble_translated(translated, 100)
+    manifest = translated.select("chunk_id", F.col("ok").alias("is_translated"))
+    files = assemble_pairs(manifest, packed.withColumnRenamed("lines", "sentences"), translated.filter("ok").select("chunk_id", "translated_lines"), 100)
+    assert sorted(map(tuple, here.collect())) == sorted(map(tuple, files.collect()))
+    plan = here._jdf.queryExecution().executedPlan().toString()
+    # one row per part is counted and sent; pairs stay where they are
+    assert "Exchange range" not in plan and "SortMergeJoin" not in plan
+    second = assemble_translated(translated, next_base(here))
+    assert here.select("seq_id").intersect(second.select("seq_id")).count() == 0
+    assert next_base(here.limit(0)) == 0
+
+
 def test_zip_by_rank(spark):
     left = spark.createDataFrame([("c", 0, "q1"), ("c", 4, "q2"), ("d", 1, "q3"), ("d", 3, "q4")], "g STRING, t INT, text STRING")
     right = spark.createDataFrame([("c", 1, "a1"), ("c", 2, "a2"), ("c", 9, "a3"), ("d", 2, "a4")], "g STRING, t INT, text STRING")
