@@ -146,8 +146,8 @@ def held_out_predictions(docs: DataFrame, folds: int = 5) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language of enough score; each row is judged where it lies."""
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, of a score of ``least``; each row is judged where it lies."""
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
