@@ -21,14 +21,13 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified stay: those without a letter, or without a likely language, go."""
+    """Documents whose language can be told stay; those without a letter go."""
     return keep_identified(docs, train(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows are cut; documents with nothing left go."""
-    cut = remove_repeated_lines(docs)
-    return _counted(cut.filter("n_removed = 0 OR trim(text) <> ''").select(*docs.columns))
+    """Later occurrences of repeated three-line windows are cut; every document stays, some of them empty."""
+    return _counted(remove_repeated_lines(docs).select(*docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
