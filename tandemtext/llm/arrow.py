@@ -5,9 +5,10 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -40,6 +41,18 @@ def per_text(
     return given.mapInArrow(run, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside the block: rows with several whole texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def kept_in_worker(name: str, make: Callable):
     """What ``make()`` gives, built once per Python worker: Spark uses a worker for many tasks.
 

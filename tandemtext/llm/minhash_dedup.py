@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .arrow import Remembered
+from .arrow import Remembered, arrow_rows
 from .common import give_back, salt, salt_mask
 from .components import connected_components
 
@@ -36,6 +36,7 @@ MINIMA = BANDS * ROWS
 # Of 128 minima a pair at 0.75 shares 96 on average, and fewer than 76 with probability 2e-5.
 LEAST_SHARED = 76
 BLOCK = 512
+ROWS_PER_BATCH = 1_000
 LINKS = "u bigint, v bigint"
 
 
@@ -311,15 +312,8 @@ def linked_in_families(nodes: DataFrame, members: DataFrame, docs: DataFrame) ->
     return together.mapInArrow(lambda batches: _by_group(batches, 3, links), LINKS)
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
-
-    Links are pairs whose sets of five-word shingles have a Jaccard similarity of 0.75 or more. NULL
-    texts and those without words have an empty set, link with nothing and stay; so do rows with
-    a NULL id. Texts of fewer than five words are one shingle. Rows that repeat an id are one
-    document, which links with what any of its rows links with. Ids are integers; other columns are ignored.
-    """
-    given = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+def _found(given: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Each written once: rows with a set, rows without, classes of equal sets, and components of their nodes."""
     prints = stage(fingerprints(given), "prints").withColumn("_salt", salt(F.xxhash64("doc_id")))
     with_set = prints.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = stage(
@@ -339,6 +333,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     more = stage(linked_in_families(joined, families(joined), texts), "confirmed")
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
+    alone = prints.filter("set_key IS NULL OR doc_id IS NULL")
+    return with_set, alone, classes, components
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row.
+
+    Links are pairs whose sets of five-word shingles have a Jaccard similarity of 0.75 or more. NULL
+    texts and those without words have an empty set, link with nothing and stay; so do rows with
+    a NULL id. Texts of fewer than five words are one shingle. Rows that repeat an id are one
+    document, which links with what any of its rows links with. Ids are integers; other columns are ignored.
+    """
+    given = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    with arrow_rows(docs.sparkSession, ROWS_PER_BATCH):
+        with_set, alone, classes, components = _found(given)
 
     named = classes.join(components, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component_id"), "_mask"
@@ -346,9 +355,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     linked = give_back(with_set.select("doc_id", "n_shingles", "set_key", "_salt"), named, ["set_key"]).select(
         "doc_id", "n_shingles", "component_id"
     )
-    alone = prints.filter("set_key IS NULL OR doc_id IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-    )
+    alone = alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
