@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import _col, words
@@ -19,6 +19,8 @@ from .lookup import lookup_words, split_hot
 
 NGRAM_SIZES = (3,)
 SCALE = 10000
+# Scores of a word leave room for this many numbered languages in a BIGINT.
+LANGUAGE_NUMBERS = 1 << 20
 
 
 def bare_word(c: Column | str) -> Column:
@@ -110,29 +112,37 @@ def classify_words(vocabulary: DataFrame, model: LanguageModel) -> DataFrame:
     languages that know none of a word's n-grams only the one with the best such score,
     the fallback, can win, and no word is compared with every language.
     """
-    fallback = model.unseen.orderBy(F.desc("unseen"), "lang").first()
+    # One row per language: numbered by name.
+    languages = stage(
+        model.unseen.withColumn("lang_no", (F.row_number().over(Window.orderBy("lang")) - 1).cast("bigint")), "languages"
+    )
+    fallback = languages.orderBy(F.desc("unseen"), "lang").first()
     if fallback is None:
         raise ValueError("the language model was trained on no text")
-    known = model.profile.join(model.unseen, "lang").select(
-        "ngram", F.struct("lang", (F.col("score") - F.col("unseen")).alias("gain"), "unseen").alias("_entry")
+    known = model.profile.join(languages, "lang").select(
+        "ngram", F.struct("lang_no", (F.col("score") - F.col("unseen")).alias("gain"), "unseen").alias("_entry")
     )
     wide = known.groupBy("ngram").agg(F.collect_list("_entry").alias("entries"))  # one entry per language
     grams = vocabulary.select("word", "n", F.explode(word_ngrams("word", model.sizes)).alias("ngram"))
     # How often each n-gram is about to be looked up, so the frequent ones are not shuffled.
     used = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("uses"))
     dictionary = stage(used.join(wide, "ngram", "left"), "ngram-scores")
-    entries = lookup_words(grams, dictionary, "ngram", "entries", "uses")
-    missing = F.array(F.struct(F.lit(fallback["lang"]).alias("lang"), F.lit(0).cast("bigint").alias("gain"), F.lit(fallback["unseen"]).alias("unseen")))
-    # The fallback takes part with every n-gram, so each word has it once at least.
-    per_lang = (
-        entries.select("word", "n", F.explode(F.concat(F.coalesce("entries", F.array().cast(dictionary.schema["entries"].dataType)), missing)).alias("_e"))
-        .groupBy("word", "n", F.col("_e.lang").alias("lang"), F.col("_e.unseen").alias("unseen"))
-        .agg(F.sum("_e.gain").alias("gain"))
+    entries = lookup_words(grams, dictionary, "ngram", "entries", "uses").select("word", "n", F.explode_outer("entries").alias("_e"))
+    per_lang = entries.groupBy("word", F.col("_e.lang_no").alias("lang_no")).agg(
+        F.max("n").alias("n"), F.sum("_e.gain").alias("gain"), F.max("_e.unseen").alias("unseen")
     )
-    length = F.size(word_ngrams("word", model.sizes))
-    total = F.col("gain") + length * F.col("unseen")
-    best = F.min(F.struct((-total).alias("_loss"), "lang")).alias("_best")
-    return per_lang.groupBy("word", "n").agg(best).select("word", "n", F.col("_best.lang").alias("lang"))
+
+    # Total and name in one number, so the best is a plain maximum: the higher total, then the earlier name.
+    def rank(total: Column, number: Column) -> Column:
+        return total * F.lit(LANGUAGE_NUMBERS) + (F.lit(LANGUAGE_NUMBERS - 1) - number)
+
+    length = F.size(word_ngrams("word", model.sizes)).cast("bigint")
+    best = F.max(rank(F.col("gain") + length * F.col("unseen"), F.col("lang_no")))
+    unknown = rank(length * F.lit(fallback["unseen"]), F.lit(fallback["lang_no"]))
+    chosen = per_lang.groupBy("word").agg(F.max("n").alias("n"), best.alias("_best"))
+    number = F.lit(LANGUAGE_NUMBERS - 1) - F.pmod(F.greatest("_best", unknown), F.lit(LANGUAGE_NUMBERS))
+    named = chosen.select("word", "n", number.alias("lang_no"))
+    return named.join(languages.select("lang_no", "lang"), "lang_no").select("word", "n", "lang")
 
 
 def flag_english(
