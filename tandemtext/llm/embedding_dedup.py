@@ -29,7 +29,7 @@ SAMPLE, MOST_LISTS, SUBSPACES, CODES = 10_000, 2_048, 8, 64
 ROUNDS = 8
 BLOCK = 1_024
 # A neighbour's offset has this many standard deviations of its length along a given direction at most.
-DEVIATIONS = 3.0
+DEVIATIONS = 5.0
 # Estimates are 32-bit sums of a few numbers below one.
 ROUNDING = 1e-5
 
@@ -56,7 +56,7 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 class Quantiser:
-    """Coarse centres and codebooks; at most a few MB."""
+    """Coarse centres, what lies between each two of them, and codebooks; at most some ten MB."""
 
     def __init__(self, sample: np.ndarray, total: int, least: float = LEAST) -> None:
         random = np.random.default_rng(11)
@@ -67,18 +67,25 @@ class Quantiser:
         self.cuts = np.array_split(np.arange(self.width), min(SUBSPACES, self.width))
         self.books = [_centres(residuals[:, cut], min(CODES, size), random) for cut in self.cuts]
         self.least = least
-        # How far a linked vector lies, and how far of that it may go towards the border of another list.
+        # How far a linked vector lies, and how far of that it may go towards the border of another list: all of it,
+        # or DEVIATIONS of the share that the direction between the two centres has in the sample's variance,
+        # where no direction counts as less than an average one. Kept as a difference of squared distances.
         reach = np.sqrt(max(0.0, 2 - 2 * least))
-        self.slack = reach * min(1.0, DEVIATIONS / np.sqrt(self.width))
-        self.apart = np.sqrt(np.maximum(_distances(self.coarse, self.coarse), 1e-18))
+        centred = sample - sample.mean(axis=0)
+        covariance = centred.T @ centred / size
+        variance = max(float(np.trace(covariance)), 1e-18)
+        products = self.coarse @ covariance @ self.coarse.T
+        along = products.diagonal()[:, None] - 2 * products + products.diagonal()[None, :]
+        apart = np.maximum(_distances(self.coarse, self.coarse), 0)
+        spread = np.maximum(along / variance, apart / self.width)
+        self.allowed = 2 * reach * np.minimum(np.sqrt(apart), DEVIATIONS * np.sqrt(spread)) + 1e-9
 
     def place(self, units: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
         """The list of each vector, and all lists that it has to visit."""
         away = _distances(units, self.coarse)
         own = away.argmin(axis=1)
-        border = (away - away[np.arange(len(units)), own][:, None]) / (2 * self.apart[own])
-        border[np.arange(len(units)), own] = 0
-        return own, [np.flatnonzero(row <= self.slack).tolist() for row in border]
+        further = away - away[np.arange(len(units)), own][:, None]
+        return own, [np.flatnonzero(row).tolist() for row in further <= self.allowed[own]]
 
     def code(self, units: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and for each vector the least estimate that a link with it can have."""

@@ -194,6 +194,24 @@ def test_embeddings_against_sql(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("width, decay", [(64, 0.0), (256, 0.75), (256, 1.0)])
+def test_visits_reach_neighbours_whatever_the_spectrum(width, decay):
+    random = np.random.default_rng(14)
+    scales = np.arange(1, width + 1) ** -decay
+    bases = random.normal(size=(3_000, width)) * scales
+    near = bases + random.normal(size=bases.shape) * scales * 0.3
+    units = np.concatenate([bases, near])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    quantiser = embedding_dedup.Quantiser(units, 250_000)
+    own, visits = quantiser.place(units)
+    visited = np.zeros((len(units), len(quantiser.coarse)), dtype=bool)
+    for i, lists in enumerate(visits):
+        visited[i, lists] = True
+    a, b = np.nonzero(units @ units.T >= 0.9)
+    a, b = a[a != b], b[a != b]
+    assert len(a) > 1_000 and visited[a, own[b]].mean() >= 0.97
+
+
 def test_embeddings_with_null_and_repeated_ids(spark):
     schema = "vec_id BIGINT, embedding ARRAY<FLOAT>"
     rows = [(None, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (1, [2.0, 0.1]), (5, None)]
