@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import give_back, salt, salt_mask
+from .common import give_back, salt, salt_mask, sampled
 from .components import connected_components
 
 LEAST = 0.9
@@ -245,7 +245,7 @@ def near_duplicate_vectors(
     )
     total = nodes.count()
     if total:
-        chosen = nodes.filter(F.pmod(F.xxhash64("node", F.lit("codes")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE / total)))
+        chosen = nodes.filter(sampled(F.xxhash64("node", F.lit("codes")), SAMPLE / total))
         sample = [row[0] for row in chosen.orderBy("node").select("vector").collect()]
         sample = sample or [nodes.select("vector").first()[0]]
         quantiser = Quantiser(_units(np.array(sample, dtype=np.float64)), total, least)

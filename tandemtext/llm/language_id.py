@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import kept_in_worker, per_text
-from .common import crc_remainder
+from .common import crc_remainder, sampled
 
 SAMPLE_DOCS = 5_000
 WORDS = 50_000
@@ -115,8 +115,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     held = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
     labelled = held.filter("text IS NOT NULL AND lang IS NOT NULL")
     n = labelled.count()
-    share = min(1.0, SAMPLE_DOCS / n) if n else 1.0
-    chosen = labelled.filter(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = labelled.filter(sampled(F.xxhash64("id", F.lit("language")), SAMPLE_DOCS / n if n else 1.0))
     counted = (
         chosen.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
         .filter("word <> ''")
@@ -147,13 +146,21 @@ def held_out_predictions(docs: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language, of a score of ``least``; each row is judged where it lies."""
+    """The rows of ``docs`` whose text has a language, of a score of ``least``; each row is judged where it lies.
+
+    A model that knows no language can't reject one: then every text with a letter stays.
+    """
     place = docs.columns.index(text_column)
+    learned = bool(model.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict_one = _predictor(model)
         for batch in batches:
-            found = [predict_one(text.as_py()) for text in batch.column(place)]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+            if learned:
+                found = [predict_one(text.as_py()) for text in batch.column(place)]
+                kept = [lang != UNKNOWN and score >= least for lang, score in found]
+            else:
+                kept = [bool(LETTERS.search(text.as_py() or "")) for text in batch.column(place)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

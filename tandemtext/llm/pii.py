@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bilstm_crf import Tagger
+from .common import sampled
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed values of the rules. Starts that a longer run of the same characters has ruled out are not tried again.
@@ -219,8 +220,7 @@ def train_tagger(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.xxhash64(id_column, text_column).alias("salt"), F.col(text_column).alias("text")
     )
     n = held.count()
-    share = min(1.0, SAMPLE_DOCS / n) if n else 1.0
-    chosen = held.filter(F.pmod(F.xxhash64("salt"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = held.filter(sampled(F.xxhash64("salt"), SAMPLE_DOCS / n if n else 1.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

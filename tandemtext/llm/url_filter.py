@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, sampled
 
 # (verdict, host and path); the longest that fits wins.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -111,9 +111,8 @@ class UrlModel:
         counts = labelled.agg(F.count(label_column).alias("n"), F.sum(F.col(label_column).cast("bigint")).alias("bad")).first()
         n, bad = counts["n"], counts["bad"] or 0
         self.rate = bad / n if n else 0.0
-        share = int(1_000_000 * min(1.0, MOST_LABELLED / n)) if n else 0
         kept = labelled.filter(F.col(label_column).isNotNull()).filter(
-            F.pmod(F.xxhash64(url_column, F.lit("urls")), F.lit(1_000_000)) < share
+            sampled(F.xxhash64(url_column, F.lit("urls")), MOST_LABELLED / n if n else 0.0)
         )
         rows = lexical(_parsed(kept, url_column, F.col(label_column).cast("double").alias("_label")))
         # One row per suffix of the bounded sample.

@@ -12,7 +12,7 @@ import pytest
 from helpers import FOLDER, empty, odd
 from pyspark.sql import functions as F
 
-from tandemtext.llm import language_id, lm_score, pii, queries, url_filter
+from tandemtext.llm import common, language_id, lm_score, pii, queries, url_filter
 from tandemtext.llm.bilstm_crf import Tagger
 
 
@@ -65,6 +65,21 @@ def test_only_rows_of_a_language_stay(spark):
     assert kept.count() == docs.filter("text RLIKE '[A-Za-z]'").count()
 
 
+def test_texts_without_any_label_stay(spark):
+    docs = odd(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = language_id.keep_identified(docs, language_id.train(docs))
+    assert kept.count() == docs.filter("text RLIKE '[A-Za-z]'").count() > 0
+
+
+def test_no_sample_of_a_large_table_is_empty(spark):
+    # A table of 2e12 rows: 5,000 of them are a share of 2.5e-9.
+    spread = F.xxhash64("id")
+    hashes = spark.createDataFrame([(5,), (-(1 << 63) + 5,), (1 << 61,), (-1,)], "h BIGINT")
+    assert [r.h for r in hashes.filter(common.sampled(F.col("h"), 2.5e-9)).collect()] == [5, -(1 << 63) + 5]
+    assert spark.range(100_000).filter(common.sampled(spread, 1e-3)).count() in range(60, 140)
+    assert hashes.filter(common.sampled(F.col("h"), 1.0)).count() == 4
+
+
 # --- URLs
 
 
