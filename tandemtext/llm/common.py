@@ -27,9 +27,10 @@ def crc_remainder(name: str, by: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")), F.lit(by))
 
 
-def sampled(spread: Column, share: float) -> Column:
+def sampled(spread: Column, share: float | Column) -> Column:
     """True for a share of the values of a 64-bit hash; no share of a table that exists rounds to none."""
-    return spread.bitwiseAND(F.lit((1 << 62) - 1)) < F.lit(int(min(1.0, share) * (1 << 62)))
+    below = F.least(F.lit(1.0), share if isinstance(share, Column) else F.lit(float(share))) * F.lit(float(1 << 62))
+    return spread.bitwiseAND(F.lit((1 << 62) - 1)) < below.cast("bigint")
 
 
 def salt(spread: Column) -> Column:

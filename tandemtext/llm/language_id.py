@@ -1,9 +1,9 @@
 """Language identification, words first: log frequencies of known words, shorter and shorter character n-grams else.
 
 The model is fitted on a bounded sample of labelled texts: ``SAMPLE_DOCS`` documents in
-expectation, chosen by a hash of their ids, and of what they hold the ``WORDS`` most frequent
-(language, word) pairs. So it has one size at any scale and may be sent to every task;
-prediction then reads each text once, whole, where it lies.
+expectation, and ``LEAST_DOCS`` of every language that has so many, chosen by a hash of their ids. What
+they hold is counted in full, n-grams too, so rare languages keep their words. The model doesn't grow with
+the number of rows and may be sent to every task; prediction then reads each text once, whole, where it lies.
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .arrow import kept_in_worker, per_text
 from .common import crc_remainder, sampled
 
-SAMPLE_DOCS = 5_000
-WORDS = 50_000
+SAMPLE_DOCS, LEAST_DOCS = 5_000, 500
 ORDERS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 # Added to every count, so that a language that lacks a word is unlikely, not impossible.
@@ -30,6 +30,48 @@ MOST_WORDS = 150_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
+class Table:
+    """Log frequencies of keys by language: a base for each language, and gains where a language has the key.
+
+    Keys are 64-bit hashes in order, so a table takes some 20 bytes for each (language, key) pair, however many
+    languages there are.
+    """
+
+    def __init__(self, counts: list[dict[str, int]]) -> None:
+        """``counts`` of each language."""
+        langs = np.repeat(np.arange(len(counts), dtype=np.int32), [len(c) for c in counts])
+        hashes = np.fromiter((xxh3_64_intdigest(key) for c in counts for key in c), dtype=np.uint64, count=len(langs))
+        values = np.fromiter((n for c in counts for n in c.values()), dtype=np.float64, count=len(langs))
+        order = np.argsort(hashes, kind="stable")
+        self.keys, starts = np.unique(hashes[order], return_index=True)
+        self.starts = np.append(starts, len(langs)).astype(np.int64)
+        self.langs = langs[order]
+        self.gains = np.log(values[order] / SMOOTHING + 1).astype(np.float32)
+        totals = np.bincount(langs, weights=values, minlength=len(counts))
+        self.base = np.log(SMOOTHING / (totals + SMOOTHING * max(1, len(self.keys)))).astype(np.float32)
+
+    def mean(self, keys: list[str]) -> np.ndarray | None:
+        """Over those of ``keys`` that are known; None where none is."""
+        if not len(self.keys):
+            return None
+        hashes = np.array([xxh3_64_intdigest(key) for key in keys], dtype=np.uint64)
+        places = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        places = places[self.keys[places] == hashes].tolist()
+        if not places:
+            return None
+        gains = np.zeros_like(self.base)
+        for place in places:
+            here = slice(self.starts[place], self.starts[place + 1])
+            gains[self.langs[here]] += self.gains[here]
+        return self.base + gains / len(places)
+
+
+def _grams(word: str, order: int) -> list[str]:
+    """N-grams of the padded word; the padding alone says nothing."""
+    padded = f" {word} "
+    return list(word) if order == 1 else [padded[i : i + order] for i in range(len(padded) - order + 1)]
+
+
 class Model:
     """Per-language log frequencies of words and of n-grams of padded words."""
 
@@ -37,41 +79,29 @@ class Model:
         """``counts``: (language, word, count)."""
         self.key = hashlib.sha256(repr(sorted(counts)).encode()).hexdigest()
         self.languages = sorted({lang for lang, _, _ in counts})
-        column = {lang: i for i, lang in enumerate(self.languages)}
-        tables: list[dict[str, dict[int, int]]] = [{} for _ in range(1 + len(ORDERS))]
-
-        def add(table: dict, key: str, lang: str, n: int) -> None:
-            held = table.setdefault(key, {})
-            held[column[lang]] = held.get(column[lang], 0) + n
-
+        words: dict[str, dict[str, int]] = {lang: {} for lang in self.languages}
         for lang, word, n in counts:
-            add(tables[0], word, lang, n)
-            padded = f" {word} "
-            for table, order in zip(tables[1:], ORDERS):
-                for i in range(len(padded) - order + 1):
-                    add(table, padded[i : i + order], lang, n)
-        # Of each table the rows of its keys, in one array: many small ones would take most of the memory.
-        self.places: list[dict[str, int]] = []
-        self.logs: list[np.ndarray] = []
-        for table in tables:
-            values = np.zeros((len(table), len(column)))
-            for row, held in enumerate(table.values()):
-                for lang, n in held.items():
-                    values[row, lang] = n
-            values = np.log((values + SMOOTHING) / (values.sum(axis=0) + SMOOTHING * max(1, len(table))))
-            self.places.append({key: row for row, key in enumerate(table)})
-            self.logs.append(values.astype(np.float32))
-
-    def word(self, word: str) -> np.ndarray:
-        row = self.places[0].get(word)
-        if row is not None:
-            return self.logs[0][row]
-        padded = f" {word} "
-        for places, logs, order in zip(self.places[1:], self.logs[1:], ORDERS):
-            known = [places[g] for g in (padded[i : i + order] for i in range(len(padded) - order + 1)) if g in places]
-            if known:
-                return logs[known].mean(axis=0)
-        return np.zeros(len(self.languages), dtype=np.float32)
+            words[lang][word] = words[lang].get(word, 0) + n
+        self.tables = [Table(list(words.values()))]
+        for order in ORDERS:
+            found = []
+            for held in words.values():
+                grams: dict[str, int] = {}
+                for word, n in held.items():
+                    for gram in _grams(word, order):
+                        grams[gram] = grams.get(gram, 0) + n
+                found.append(grams)
+            self.tables.append(Table(found))
+
+    def word(self, word: str) -> np.ndarray | None:
+        """None for a word that holds no known n-gram."""
+        found = self.tables[0].mean([word])
+        for table, order in zip(self.tables[1:], ORDERS):
+            if found is not None:
+                break
+            grams = _grams(word, order)
+            found = table.mean(grams) if grams else None
+        return found
 
 
 class Predictor:
@@ -89,7 +119,8 @@ class Predictor:
         row = self.index[word] = len(self.index)
         if row == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[row] = self.model.word(word)
+        found = self.model.word(word)
+        self.rows[row] = 0 if found is None else found
         return row
 
     def __call__(self, text: str | None) -> tuple[str, float]:
@@ -111,18 +142,27 @@ def _predictor(model: Model) -> Predictor:
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
-    """Fit on a bounded sample of rows that have a text and a label; no labelled rows give a model that knows nothing."""
-    held = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
+    """Fit on a bounded sample of rows that have a text and a label; no labelled rows give a model that knows nothing.
+
+    A language is sampled by its share of the rows, but for ``LEAST_DOCS`` of its rows or all that it has. All
+    words of the sample count.
+    """
+    held = docs.select(
+        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
+    )
     labelled = held.filter("text IS NOT NULL AND lang IS NOT NULL")
-    n = labelled.count()
-    chosen = labelled.filter(sampled(F.xxhash64("id", F.lit("language")), SAMPLE_DOCS / n if n else 1.0))
+    sizes = labelled.groupBy("lang").count().collect()  # one row for each language
+    if not sizes:
+        return Model([])
+    n = sum(size for _, size in sizes)
+    shares = [(lang, min(1.0, max(SAMPLE_DOCS / n, LEAST_DOCS / size))) for lang, size in sizes]
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))
+    chosen = labelled.join(share, "lang").filter(sampled(F.xxhash64("id", F.lit("language")), F.col("share")))
     counted = (
         chosen.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
         .filter("word <> ''")
         .groupBy("lang", "word")
         .count()
-        .orderBy(F.desc("count"), "lang", "word")
-        .limit(WORDS)
     )
     return Model([tuple(row) for row in counted.collect()])
 

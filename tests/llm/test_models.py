@@ -65,6 +65,22 @@ def test_only_rows_of_a_language_stay(spark):
     assert kept.count() == docs.filter("text RLIKE '[A-Za-z]'").count()
 
 
+def test_a_rare_language_keeps_its_words(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 200)
+    random.seed(15)
+    common_words = ["".join(random.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60_000)]
+    rare_words = ["".join(random.choice("hijklmnopqrstu") for _ in range(6)) for _ in range(400)]
+    rows = [(i, " ".join(random.choices(common_words, k=500)), "en") for i in range(2_000)]
+    rows += [(2_000 + i, " ".join(rare_words[40 * i : 40 * i + 40]), "rr") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING").repartition(4)
+    model = language_id.train(docs)
+    assert model.languages == ["en", "rr"]
+    predict = language_id.Predictor(model)
+    texts = [" ".join(random.sample(rare_words, 5)) for _ in range(50)]
+    assert [predict(t)[0] for t in texts] == ["rr"] * 50
+    assert all(model.tables[0].mean([w]) is not None for w in rare_words)
+
+
 def test_texts_without_any_label_stay(spark):
     docs = odd(spark).withColumn("lang", F.lit(None).cast("string"))
     kept = language_id.keep_identified(docs, language_id.train(docs))
