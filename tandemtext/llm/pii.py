@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bilstm_crf import Tagger
@@ -31,11 +31,17 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 ANCHOR = re.compile(r"[0-9@]")
+# What the rules find, as patterns of the JVM: they choose training documents and may take a few too many.
+PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})(?<=[0-9])"
+NATIVE_EMAIL = "[A-Za-z0-9._%+-]@[A-Za-z0-9-]+[.][A-Za-z0-9-]"
+NATIVE_IP = rf"(?<![0-9]){PART}[.]{PART}[.]{PART}[.]{PART}(?![0-9])"
+NATIVE_CARD = r"[0-9](?:[ -]?[0-9])++"
+NATIVE_PHONE = r"[+][0-9](?:[ ().-]*+[0-9]){8,14}+(?![ ().-]*+[0-9])"
 
 WIDTH, STRIDE = 64, 32
 EDGE = (WIDTH - STRIDE) // 2
-# Documents that give training windows, in expectation, the windows of one of them, and of all.
-SAMPLE_DOCS, WINDOWS_PER_DOC, MOST_WINDOWS = 3_000, 6, 3_000
+# Documents with spans that give training windows, in expectation, those without spans, the windows of one of them, and of all.
+SAMPLE_DOCS, OTHER_DOCS, WINDOWS_PER_DOC, MOST_WINDOWS = 3_000, 1_000, 6, 3_000
 ROUNDS = 6
 BATCH = 2_048
 SYMBOLS = 130  # ASCII, any other character, outside the text
@@ -211,16 +217,26 @@ def untrained() -> Tagger:
     return Tagger(SYMBOLS, LABELS, allowed, first)
 
 
+def has_spans(text: Column) -> Column:
+    """Whether the rules find something, without Python."""
+    cards = F.regexp_extract_all(text, F.lit(NATIVE_CARD), F.lit(0))
+    bare = F.transform(cards, lambda c: F.translate(c, " -", ""))
+    card = F.exists(bare, lambda c: F.length(c).between(12, 19) & F.call_function("luhn_check", c))
+    return text.rlike(NATIVE_EMAIL) | text.rlike(NATIVE_IP) | text.rlike(NATIVE_PHONE) | card
+
+
 def train_tagger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS) -> Tagger | None:
-    """Fit on a bounded number of windows of a bounded sample; None where the sample has no spans.
+    """Fit on a bounded number of windows of a bounded sample; None where no document has spans.
 
-    Executors cut the windows of 64 characters; the driver gets no texts.
+    Documents with spans are sampled apart from those with other digits or at signs, so their number doesn't
+    depend on how rare they are. Executors cut the windows of 64 characters; the driver gets no texts.
     """
     held = docs.filter(F.col(text_column).rlike("[0-9@]")).select(
-        F.xxhash64(id_column, text_column).alias("salt"), F.col(text_column).alias("text")
+        F.xxhash64(id_column, text_column).alias("salt"), F.col(text_column).alias("text"), has_spans(F.col(text_column)).alias("spans")
     )
-    n = held.count()
-    chosen = held.filter(sampled(F.xxhash64("salt"), SAMPLE_DOCS / n if n else 1.0))
+    sizes = dict(held.groupBy("spans").count().collect())
+    share = F.when(F.col("spans"), SAMPLE_DOCS / sizes.get(True, 1)).otherwise(OTHER_DOCS / sizes.get(False, 1))
+    chosen = held.filter(sampled(F.xxhash64("salt"), share)).select("salt", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

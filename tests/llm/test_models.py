@@ -165,6 +165,29 @@ def brute_base(x):
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
+def test_native_rules_choose_documents_with_spans(spark):
+    random.seed(16)
+    parts = ["a", "@", ".", "-", " ", "+1 ", "(", "12", "255.", "256.", "4", "0", "x@y.z", "1.2.3.4", "+49 30 1234567", "4111 1111-1111 1111", "4111 1111-1111 1112"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 7))) for _ in range(5_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i BIGINT, text STRING")
+    chosen = {r.i for r in df.filter(pii.has_spans(F.col("text"))).collect()}
+    exact = {i for i, t in enumerate(texts) if pii.base_spans(t)}
+    assert exact <= chosen and len(chosen - exact) < 0.05 * len(texts)
+
+
+def test_the_tagger_learns_where_spans_are_rare(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 30)
+    monkeypatch.setattr(pii, "OTHER_DOCS", 20, raising=False)
+    monkeypatch.setattr(pii, "MOST_WINDOWS", 80)
+    seen = []
+    monkeypatch.setattr(Tagger, "train", lambda self, symbols, labels, rounds: seen.append(labels))
+    rows = [(i, f"Page {i} of chapter {i % 7}, printed in 19{i % 90 + 10}") for i in range(8_000)]
+    rows += [(9_000 + i, f"Write to name{i}@mail.example.org at once, please") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    assert pii.train_tagger(docs) is not None
+    assert seen[0].any(axis=1).sum() == 20 and len(seen[0]) < 80
+
+
 def test_rules_on_random_texts():
     random.seed(2)
     parts = ["a", "b1", "@", ".", "-", " ", "+1 ", "(", "12", "255.", "4", "0", "é", "%", "x@y.z", "1.2.3.4", "4111 1111-1111 1111"]
