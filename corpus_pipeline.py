@@ -21,7 +21,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay; those without a letter go."""
+    """Documents whose language can be told stay; those without a letter go, and those of letters that the model never saw."""
     return keep_identified(docs, train(docs))
 
 

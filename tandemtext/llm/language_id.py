@@ -114,19 +114,28 @@ class Predictor:
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.model.languages)), dtype=np.float32)
+        self.unknown: set[str] = set()
 
     def _row(self, word: str) -> int:
         row = self.index[word] = len(self.index)
         if row == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         found = self.model.word(word)
-        self.rows[row] = 0 if found is None else found
+        if found is None:
+            self.rows[row] = 0
+            self.unknown.add(word)
+        else:
+            self.rows[row] = found
         return row
 
     def __call__(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, and whether the model knows a word of the text, or an n-gram of one."""
         words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.model.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, False
         if len(self.index) > MOST_WORDS:
             self._clear()
         for word in set(words).difference(self.index):
@@ -134,7 +143,8 @@ class Predictor:
         places = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
         total = self.rows[places].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))
-        return self.model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        known = not self.unknown or not self.unknown.issuperset(words)
+        return self.model.languages[best], float(1.0 / np.exp(total - total[best]).sum()), known
 
 
 def _predictor(model: Model) -> Predictor:
@@ -188,17 +198,18 @@ def held_out_predictions(docs: DataFrame, folds: int = 5) -> DataFrame:
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a language, of a score of ``least``; each row is judged where it lies.
 
+    Texts in which the model knows no word, and no n-gram of any length, have none: their scores are all the same.
     A model that knows no language can't reject one: then every text with a letter stays.
     """
     place = docs.columns.index(text_column)
     learned = bool(model.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict_one = _predictor(model)
+        judge = _predictor(model).judge
         for batch in batches:
             if learned:
-                found = [predict_one(text.as_py()) for text in batch.column(place)]
-                kept = [lang != UNKNOWN and score >= least for lang, score in found]
+                found = [judge(text.as_py()) for text in batch.column(place)]
+                kept = [known and score >= least for _, score, known in found]
             else:
                 kept = [bool(LETTERS.search(text.as_py() or "")) for text in batch.column(place)]
             yield batch.filter(pa.array(kept, pa.bool_()))

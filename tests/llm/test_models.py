@@ -81,6 +81,13 @@ def test_a_rare_language_keeps_its_words(spark, monkeypatch):
     assert all(model.tables[0].mean([w]) is not None for w in rare_words)
 
 
+def test_texts_of_unknown_letters_go(spark):
+    model = language_id.Model([("a", "kokoko", 5), ("b", "titati", 5)])
+    rows = [(1, "Привет, мир"), (2, "kokoko"), (3, "привет tat"), (4, "日本"), (5, "xyz"), (6, "k xyz"), (7, "12"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert {r.doc_id for r in language_id.keep_identified(docs, model).collect()} == {2, 3, 6}
+
+
 def test_texts_without_any_label_stay(spark):
     docs = odd(spark).withColumn("lang", F.lit(None).cast("string"))
     kept = language_id.keep_identified(docs, language_id.train(docs))
