@@ -27,6 +27,8 @@ UNKNOWN = "und"
 # Added to every count, so that a language that lacks a word is unlikely, not impossible.
 SMOOTHING = 0.1
 MOST_WORDS = 150_000
+# Numbers of a table that is kept as whole rows in a worker; others stay as gains.
+DENSE = 4_000_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -49,21 +51,31 @@ class Table:
         self.gains = np.log(values[order] / SMOOTHING + 1).astype(np.float32)
         totals = np.bincount(langs, weights=values, minlength=len(counts))
         self.base = np.log(SMOOTHING / (totals + SMOOTHING * max(1, len(self.keys)))).astype(np.float32)
+        self.places: dict[int, int] | None = None
+
+    def _open(self) -> None:
+        """Places by hash, and whole rows where they are few: made where they are used, once per worker."""
+        self.places = dict(zip(self.keys.tolist(), range(len(self.keys))))
+        self.rows = None
+        if len(self.keys) * len(self.base) <= DENSE:
+            self.rows = np.repeat(self.base[None, :], len(self.keys), axis=0)
+            self.rows[np.repeat(np.arange(len(self.keys)), np.diff(self.starts)), self.langs] += self.gains
 
     def mean(self, keys: list[str]) -> np.ndarray | None:
         """Over those of ``keys`` that are known; None where none is."""
-        if not len(self.keys):
-            return None
-        hashes = np.array([xxh3_64_intdigest(key) for key in keys], dtype=np.uint64)
-        places = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        places = places[self.keys[places] == hashes].tolist()
-        if not places:
+        if self.places is None:
+            self._open()
+        get = self.places.get
+        found = [place for key in keys if (place := get(xxh3_64_intdigest(key))) is not None]
+        if not found:
             return None
+        if self.rows is not None:
+            return self.rows[found[0]] if len(found) == 1 else np.add.reduce(self.rows[found]) / np.float32(len(found))
         gains = np.zeros_like(self.base)
-        for place in places:
+        for place in found:
             here = slice(self.starts[place], self.starts[place + 1])
             gains[self.langs[here]] += self.gains[here]
-        return self.base + gains / len(places)
+        return self.base + gains / np.float32(len(found))
 
 
 def _grams(word: str, order: int) -> list[str]:
