@@ -22,6 +22,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+def words_of(text: Column) -> Column:
+    """The words of the contracts; NULL has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
+
+
 def crc_remainder(name: str, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; NULL counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")), F.lit(by))
