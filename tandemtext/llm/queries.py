@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, line_dedup, lm_score, merge_encoding, minhash_dedup, packing, pii, url_filter
+from . import (
+    embedding_dedup,
+    exact_dedup,
+    filter_audit,
+    language_id,
+    line_dedup,
+    lm_score,
+    merge_encoding,
+    minhash_dedup,
+    mixing,
+    packing,
+    pii,
+    prefix_trie,
+    url_filter,
+)
 from .common import table
 
 # Where the vocabulary files are, read on the driver only; the bytes, about a MB, travel with the job.
@@ -97,3 +111,18 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii.find_personal_data(docs, pii.train_tagger(docs))
+
+
+@query("op11_filter_audit", filter_audit.ORACLE)
+def op11(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_mixing", mixing.ORACLE)
+def op12(spark, sf_dir):
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", prefix_trie.ORACLE)
+def op13(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
