@@ -59,7 +59,8 @@ def with_targets(sources: DataFrame, most: int) -> DataFrame:
         before = (held, free)
         share = F.lit((total or 0) - held) * F.col("_weight") / F.lit(free or 1)
         over = limit < share
-        held, free = sources.agg(F.sum(F.when(over, limit).otherwise(0)), F.sum(F.when(~over, F.col("_weight")).otherwise(0))).first()
+        at_limit, others = F.when(over, limit).otherwise(0), F.when(over, 0).otherwise(F.col("_weight"))
+        held, free = sources.agg(F.coalesce(F.sum(at_limit), F.lit(0)), F.coalesce(F.sum(others), F.lit(0))).first()
     return sources.withColumn("target", F.when(over, limit.cast("double")).otherwise(share))
 
 
