@@ -2,7 +2,9 @@
 
 A sentence is English only if every one of its words is. Words are classified
 by a character n-gram naive Bayes model that is trained from labelled text, and
-each distinct word is classified once. Scores are rounded integers, so sums do
+each distinct word is classified once. A word that no language of the model could have
+written, because none knows any of its n-grams, isn't given the nearest language but stays
+undetected, and its sentence is kept. Scores are rounded integers, so sums do
 not depend on the order in which partial results arrive.
 """
 
@@ -10,17 +12,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _col, words
+from ..functions.text import SPACE, _col, strip
 from ..session import stage
-from .lookup import lookup_words, split_hot
+from .lookup import fits_in_memory, fresh, salted_left_join, split_flags
+from .ordinal import with_ordinal
 
 NGRAM_SIZES = (3,)
 SCALE = 10000
-# Scores of a word leave room for this many numbered languages in a BIGINT.
-LANGUAGE_NUMBERS = 1 << 20
+# Total and number of a language become one decimal number, in which the latter has the last 18 digits.
+NUMBERS = 10**18
 
 
 def bare_word(c: Column | str) -> Column:
@@ -29,7 +32,13 @@ def bare_word(c: Column | str) -> Column:
 
 
 def bare_words(c: Column | str) -> Column:
-    return F.transform(words(c), bare_word)
+    """``bare_word`` of every word; an empty array for blank text.
+
+    The whole text is cleaned at once: single spaces stay between words, so a word without letters leaves an empty one.
+    """
+    spaced = F.regexp_replace(F.lower(strip(c)), SPACE + "+", " ")
+    cleaned = F.split(F.regexp_replace(spaced, r"[^\p{L} ]+", ""), " ")
+    return F.when(strip(c) == "", F.array().cast("array<string>")).otherwise(cleaned)
 
 
 def word_ngrams(word: Column | str, sizes: tuple[int, ...] = NGRAM_SIZES) -> Column:
@@ -49,10 +58,13 @@ def word_ngrams(word: Column | str, sizes: tuple[int, ...] = NGRAM_SIZES) -> Col
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``profile(lang, ngram, n, score)`` and ``unseen(lang, unseen)``, the score of an n-gram that a language lacks."""
+    """``profile(lang, ngram, n, score, lang_no, unseen)`` and ``languages(lang, lang_no, unseen)``.
+
+    ``unseen`` is the score of an n-gram that a language lacks; ``lang_no`` counts languages by name.
+    """
 
     profile: DataFrame
-    unseen: DataFrame
+    languages: DataFrame
     sizes: tuple[int, ...] = NGRAM_SIZES
 
 
@@ -82,13 +94,13 @@ def train_language_model(
     )
     vocabulary = grams.agg(F.count_distinct("ngram")).scalar()
     totals = grams.groupBy("lang").agg(F.sum("n").alias("total")).withColumn("vocabulary", vocabulary)
-    per_lang = stage(
-        totals.withColumn("unseen", _score(F.lit(0), F.col("total"), F.col("vocabulary"))), "languages"
+    languages = with_ordinal(
+        totals.withColumn("unseen", _score(F.lit(0), F.col("total"), F.col("vocabulary"))), ["lang"], "lang_no"
     )
-    profile = grams.join(per_lang, "lang").select(
-        "lang", "ngram", "n", _score(F.col("n"), F.col("total"), F.col("vocabulary")).alias("score")
+    profile = grams.join(languages, "lang").select(
+        "lang", "ngram", "n", _score(F.col("n"), F.col("total"), F.col("vocabulary")).alias("score"), "lang_no", "unseen"
     )
-    return LanguageModel(profile, per_lang.select("lang", "unseen"), sizes)
+    return LanguageModel(profile, languages.select("lang", "lang_no", "unseen"), sizes)
 
 
 def count_words(df: DataFrame, words_col: Column | str) -> DataFrame:
@@ -105,44 +117,33 @@ def distinct_words(df: DataFrame, text_col: str) -> DataFrame:
     return count_words(df, F.array_distinct(bare_words(text_col)))
 
 
-def classify_words(vocabulary: DataFrame, model: LanguageModel) -> DataFrame:
-    """``lang`` for every row of ``vocabulary(word, n)``: best total score, then name.
+def classify_words(vocabulary: DataFrame, model: LanguageModel, least_known: float = 0.0) -> DataFrame:
+    """``lang`` for every row of ``vocabulary(word, n)``: best total score, then name; NULL where detection fails.
+
+    A language can win only if it knows at least one of the word's n-grams, and at least ``least_known`` of
+    all of them; a word without such a language is undetected, as are all words where nothing was learned.
 
-    A known n-gram always scores above the language's score of an unseen one. So of the
-    languages that know none of a word's n-grams only the one with the best such score,
-    the fallback, can win, and no word is compared with every language.
+    A profile of small measured size meets the n-grams where the words are: if they come from
+    ``count_words``, they are dealt by word already and nothing is shuffled. A larger one is joined by n-gram, frequent ones salted.
     """
-    # One row per language: numbered by name.
-    languages = stage(
-        model.unseen.withColumn("lang_no", (F.row_number().over(Window.orderBy("lang")) - 1).cast("bigint")), "languages"
+    listed = vocabulary.select("word", "n", word_ngrams("word", model.sizes).alias("_grams"))
+    grams = listed.select("word", "n", F.size("_grams").cast("bigint").alias("_length"), F.explode("_grams").alias("ngram"))
+    profile = model.profile.select("ngram", "lang_no", "unseen", (F.col("score") - F.col("unseen")).alias("gain"))
+    if fits_in_memory(profile):
+        joined = grams.join(F.broadcast(profile), "ngram", "left")
+    else:
+        joined = salted_left_join(stage(grams, "word-ngrams"), profile, ["ngram"], ["word"])
+    totals = joined.groupBy("word", "n", "_length", "lang_no").agg(
+        F.sum("gain").alias("gain"), F.max("unseen").alias("unseen"), F.count("lang_no").alias("known")
     )
-    fallback = languages.orderBy(F.desc("unseen"), "lang").first()
-    if fallback is None:
-        raise ValueError("the language model was trained on no text")
-    known = model.profile.join(languages, "lang").select(
-        "ngram", F.struct("lang_no", (F.col("score") - F.col("unseen")).alias("gain"), "unseen").alias("_entry")
-    )
-    wide = known.groupBy("ngram").agg(F.collect_list("_entry").alias("entries"))  # one entry per language
-    grams = vocabulary.select("word", "n", F.explode(word_ngrams("word", model.sizes)).alias("ngram"))
-    # How often each n-gram is about to be looked up, so the frequent ones are not shuffled.
-    used = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("uses"))
-    dictionary = stage(used.join(wide, "ngram", "left"), "ngram-scores")
-    entries = lookup_words(grams, dictionary, "ngram", "entries", "uses").select("word", "n", F.explode_outer("entries").alias("_e"))
-    per_lang = entries.groupBy("word", F.col("_e.lang_no").alias("lang_no")).agg(
-        F.max("n").alias("n"), F.sum("_e.gain").alias("gain"), F.max("_e.unseen").alias("unseen")
-    )
-
-    # Total and name in one number, so the best is a plain maximum: the higher total, then the earlier name.
-    def rank(total: Column, number: Column) -> Column:
-        return total * F.lit(LANGUAGE_NUMBERS) + (F.lit(LANGUAGE_NUMBERS - 1) - number)
-
-    length = F.size(word_ngrams("word", model.sizes)).cast("bigint")
-    best = F.max(rank(F.col("gain") + length * F.col("unseen"), F.col("lang_no")))
-    unknown = rank(length * F.lit(fallback["unseen"]), F.lit(fallback["lang_no"]))
-    chosen = per_lang.groupBy("word").agg(F.max("n").alias("n"), best.alias("_best"))
-    number = F.lit(LANGUAGE_NUMBERS - 1) - F.pmod(F.greatest("_best", unknown), F.lit(LANGUAGE_NUMBERS))
-    named = chosen.select("word", "n", number.alias("lang_no"))
-    return named.join(languages.select("lang_no", "lang"), "lang_no").select("word", "n", "lang")
+    # One number for both, so the best is a plain maximum: the higher total, then the earlier name.
+    total = (F.col("gain") + F.col("_length") * F.col("unseen")).cast("decimal(19,0)")
+    rank = total * F.lit(NUMBERS).cast("decimal(19,0)") + (F.lit(NUMBERS - 1) - F.col("lang_no")).cast("decimal(19,0)")
+    detected = (F.col("known") > 0) & (F.col("known") >= F.lit(least_known) * F.col("_length"))
+    best = totals.groupBy("word", "n").agg(F.max(F.when(detected, rank.cast("decimal(38,0)"))).alias("_best"))
+    number = F.lit(NUMBERS - 1) - F.pmod("_best", F.lit(NUMBERS).cast("decimal(19,0)")).cast("bigint")
+    named = best.select("word", "n", number.alias("lang_no"))
+    return named.join(model.languages.select("lang_no", "lang"), "lang_no", "left").select("word", "n", "lang")
 
 
 def flag_english(
@@ -151,44 +152,41 @@ def flag_english(
     keys: list[str] | None = None,
     sentence_col: str = "sentence",
     english: str = "en",
+    least_known: float = 0.0,
 ) -> DataFrame:
     """Add ``is_english``: true when the sentence has words and all are English.
 
-    NULL and blank sentences aren't English, nor are those with a token without letters, which can't be
-    detected. Sentences are written once with a row number of their own, so no key needs to
-    be unique or known; ``keys`` is ignored. Most sentences are decided where they
-    are: one frequent foreign word or letterless token is enough, as are frequent
+    NULL and blank sentences aren't English, nor are those with a token that can't be detected: one without letters,
+    or one whose n-grams the model doesn't know (``classify_words``). Sentences are written once with a row number of their own, so no key needs to
+    be unique or known; ``keys`` is ignored, and columns of any name pass through. Most sentences are decided where they
+    are: one frequent word that isn't English or a letterless token is enough, as are frequent
     English words only. Only the others look up their rarer words and are shuffled.
     """
+    row, cut_words, rest, other = (fresh(sentences, name) for name in ("_row", "_words", "_rest", "_other"))
     cut = stage(
         sentences.select(
             "*",
-            F.monotonically_increasing_id().alias("_row"),
-            F.coalesce(F.array_distinct(bare_words(sentence_col)), F.array().cast("array<string>")).alias("_words"),
+            F.monotonically_increasing_id().alias(row),
+            F.coalesce(F.array_distinct(bare_words(sentence_col)), F.array().cast("array<string>")).alias(cut_words),
         ),
         "words",
     )
-    classified = classify_words(count_words(cut, "_words"), model)
-    dictionary = stage(classified.withColumn("foreign", F.col("lang") != F.lit(english)), "word-language")
-    look_up, rare = split_hot(dictionary, "word", "foreign")
-    found = F.transform("_words", lambda w: F.struct(w.alias("word"), look_up(w)["foreign"].alias("foreign")))
-    letterless = (F.size("_words") == 0) | F.array_contains("_words", "")
-    tried = cut.withColumn("_found", F.when(~letterless, found))
-    settled = F.col("_found").isNull() | F.exists("_found", lambda e: F.coalesce(e["foreign"], F.lit(False)))
-    unknown = F.transform(F.filter("_found", lambda e: e["foreign"].isNull()), lambda e: e["word"])
-    judged = tried.withColumn("_rest", F.when(~settled, unknown))
-    flag = F.when(F.col("_rest").isNull(), False).when(F.size("_rest") == 0, True)
-    decided = judged.filter("_rest IS NULL OR size(_rest) = 0").select(*sentences.columns, flag.alias("is_english"))
-
-    open_rows = judged.filter("size(_rest) > 0")
-    foreign = (
-        open_rows.select("_row", F.explode("_rest").alias("word"))
-        .join(rare.filter("foreign").select("word").hint("shuffle_hash"), "word")
-        .select("_row")
+    classified = classify_words(count_words(cut, cut_words), model, least_known)
+    is_other = ~F.coalesce(F.col("lang") == F.lit(english), F.lit(False))
+    dictionary = stage(classified.select("word", "n", is_other.alias("other")), "word-language")
+    hot_other, hot_english, rare = split_flags(dictionary, "word", "other")
+    settled = (F.size(cut_words) == 0) | F.array_contains(cut_words, "") | F.exists(cut_words, hot_other)
+    judged = cut.withColumn(rest, F.when(~settled, F.filter(cut_words, lambda w: ~hot_english(w))))
+    flag = F.when(F.col(rest).isNull(), False).when(F.size(rest) == 0, True)
+    decided = judged.filter(flag.isNotNull()).select(*sentences.columns, flag.alias("is_english"))
+
+    open_rows = judged.filter(F.size(rest) > 0)
+    others = (
+        open_rows.select(row, F.explode(rest).alias("word"))
+        .join(rare.filter("other").select("word").hint("shuffle_hash"), "word")
+        .select(row)
         .distinct()
-        .withColumn("_other", F.lit(True))
-    )
-    looked_up = open_rows.join(foreign, "_row", "left").select(
-        *sentences.columns, F.col("_other").isNull().alias("is_english")
+        .withColumn(other, F.lit(True))
     )
+    looked_up = open_rows.join(others, row, "left").select(*sentences.columns, F.col(other).isNull().alias("is_english"))
     return decided.unionByName(looked_up)

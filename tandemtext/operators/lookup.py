@@ -12,22 +12,42 @@ from pyspark.sql import types as T
 HOT_SHARE = 5000
 # Hot keys are found by two 64-bit hashes, in a table of this many slots; so their length doesn't matter.
 SLOTS = 8192
-# A dictionary of no more rows and characters than this is broadcast whole.
-SMALL_ROWS, SMALL_CHARS = 50_000, 2_000_000
+# A table of no more rows and bytes than this is broadcast whole.
+SMALL_ROWS, SMALL_BYTES = 500_000, 16_000_000
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have: ``name``, with more underscores where it is taken."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def fits_in_memory(table: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
+    """Whether a table may be broadcast: counted, with all its columns' bytes, not estimated."""
+    width = F.octet_length(F.to_json(F.struct(*table.columns)))
+    found = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= size
 
 
 def _hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(key), F.xxhash64(F.lit("second"), key)
 
 
+FIXED_WIDTH = ("boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp")
+
+
 def split_hot(
     dictionary: DataFrame, key: str, value: str, count: str = "n"
 ) -> tuple[Callable[[Column], Column], DataFrame]:
     """A look-up of hot keys inside a row, and the cold rest of ``dictionary(key, value, count)``.
 
     The look-up gives a struct with ``value``, NULL for a key that isn't hot. At most ``HOT_SHARE``
-    hashes and values pass the driver. ``dictionary`` should be a written table, it is read three times.
+    hashes and values, of a type of fixed width, pass the driver. ``dictionary`` should be a written table, it is read three times.
     """
+    if dictionary.schema[value].dataType.typeName() not in FIXED_WIDTH:
+        raise ValueError(f"{value} must be of a type of fixed width")
     total = dictionary.agg(F.sum(count)).first()[0] or 0
     first, second = _hashes(F.col(key))
     hot = F.col(count) * HOT_SHARE >= F.lit(total)
@@ -48,32 +68,28 @@ def split_hot(
     return look_up, dictionary.filter(~hot)
 
 
-def lookup_words(
-    rows: DataFrame,
-    dictionary: DataFrame,
-    key: str,
-    value: str,
-    count: str = "n",
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """``rows`` left-joined with ``dictionary(key, value, count)`` on a word-like key.
+def split_flags(
+    dictionary: DataFrame, key: str, flag: str, count: str = "n"
+) -> tuple[Callable[[Column], Column], Callable[[Column], Column], DataFrame]:
+    """Tests for hot keys whose ``flag`` is true and for those whose flag is false, and the cold rest.
 
-    ``count`` is how often the key occurs in the rows. A dictionary whose measured
-    size is small is broadcast. Otherwise, word frequencies being steep, hot keys
-    are resolved where the rows are and never shuffled; the others go through a
-    shuffled hash join, in which no single key is large and only the dictionary's share
-    of a partition, one row per key, is held in memory.
+    As ``split_hot`` for a yes or no that is never NULL: each test is membership of two 64-bit hashes in sets of
+    at most ``HOT_SHARE`` numbers.
     """
-    size = dictionary.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length(key)).alias("chars")).first()
-    if size["rows"] <= small_rows and (size["chars"] or 0) <= SMALL_CHARS:
-        return rows.join(F.broadcast(dictionary.select(key, value)), key, "left")
-
-    look_up, rest = split_hot(dictionary, key, value, count)
-    tried = rows.withColumn("_found", look_up(F.col(key)))
-    resolved = tried.filter(F.col("_found").isNotNull()).select(*rows.columns, F.col(f"_found.{value}").alias(value))
-    cold = rest.select(key, F.col(value).alias("_value")).hint("shuffle_hash")
-    pending = tried.filter(F.col("_found").isNull()).drop("_found").join(cold, key, "left")
-    return resolved.unionByName(pending.select(*rows.columns, F.col("_value").alias(value)))
+    total = dictionary.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) * HOT_SHARE >= F.lit(total)
+    rows = dictionary.filter(hot).select(flag, *_hashes(F.col(key))).collect()
+
+    def test(wanted: bool) -> Callable[[Column], Column]:
+        first, second = ([r[i] for r in rows if r[0] == wanted] for i in (1, 2))
+
+        def member(word: Column) -> Column:
+            a, b = _hashes(word)
+            return a.isin(first) & b.isin(second) if first else F.lit(False)
+
+        return member
+
+    return test(True), test(False), dictionary.filter(~hot)
 
 
 def salted_left_join(

@@ -11,7 +11,7 @@ from ..functions.sentences import EXTRA_BUSINESS, LONG_LIST, PERIOD_TOKEN, SHORT
 from ..functions.text import SPACE_CHARS
 from ..operators.language_model import NGRAM_SIZES
 from ..operators.training import CONTROL_TOKENS
-from .queries import BASE_MS, NUM_BATCHES, RUN_TIME, SAMPLE_SEED
+from .queries import BASE_MS, LEAST_KNOWN, NUM_BATCHES, RUN_TIME, SAMPLE_SEED
 
 ORACLES: dict[str, str] = {}
 
@@ -251,26 +251,44 @@ def _grams(table: str, keys: str) -> str:
     return f"({sizes})"
 
 
-MODEL = f"""
+def _model_sql(labelled: str = "lang IS NOT NULL") -> str:
+    return f"""
 train AS (SELECT lang, word, count(*) AS n FROM
-  (SELECT lang, unnest({_word_list('text')}) AS word FROM documents WHERE lang IS NOT NULL) WHERE word <> '' GROUP BY lang, word),
+  (SELECT lang, unnest({_word_list('text')}) AS word FROM documents WHERE {labelled}) WHERE word <> '' GROUP BY lang, word),
 grams AS MATERIALIZED (SELECT lang, ngram, CAST(sum(n) AS BIGINT) AS n FROM {_grams('train', 'lang, n')} GROUP BY lang, ngram),
 totals AS (SELECT lang, sum(n) + (SELECT count(DISTINCT ngram) FROM grams) AS total FROM grams GROUP BY lang),
 profile AS MATERIALIZED (SELECT lang, ngram, n, CAST(round(ln((n + 1) / total) * 10000) AS BIGINT) AS score FROM grams JOIN totals USING (lang)),
 unseen AS (SELECT lang, CAST(round(ln(1 / total) * 10000) AS BIGINT) AS missing FROM totals)"""
-WORD_LANG = f"""{MODEL}, {PROD},
+
+
+def _word_lang_sql(labelled: str = "lang IS NOT NULL", least_known: float = 0) -> str:
+    """Only a language that knows an n-gram of a word, and enough of them, can be the word's; a word may have none."""
+    return f"""{_model_sql(labelled)}, {PROD},
 vocab AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT unnest(list_distinct({_word_list('sentence')})) AS word FROM sents)
   WHERE word <> '' GROUP BY word),
 word_grams AS MATERIALIZED (SELECT word, ngram, count(*) AS times FROM {_grams('vocab', 'word')} GROUP BY word, ngram),
-scored AS (SELECT w.word, u.lang, sum(w.times * coalesce(p.score, u.missing)) AS score
+scored AS (SELECT w.word, u.lang, sum(w.times * coalesce(p.score, u.missing)) AS score,
+    sum(CASE WHEN p.score IS NOT NULL THEN w.times ELSE 0 END) AS known, sum(w.times) AS length
   FROM word_grams w CROSS JOIN unseen u LEFT JOIN profile p ON p.ngram = w.ngram AND p.lang = u.lang GROUP BY ALL),
-best AS MATERIALIZED (SELECT word, lang FROM scored QUALIFY row_number() OVER (PARTITION BY word ORDER BY score DESC, lang) = 1)"""
-ORACLES["lang_profile"] = f"WITH {MODEL} SELECT lang, ngram, n, score FROM profile"
-ORACLES["word_language"] = f"WITH {WORD_LANG} SELECT word, n, lang FROM vocab JOIN best USING (word)"
-FLAGS = f"""{WORD_LANG},
+best AS MATERIALIZED (SELECT word, lang FROM scored WHERE known > 0 AND known >= {least_known} * length
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY score DESC, lang) = 1)"""
+
+
+def _flags_sql(word_lang: str) -> str:
+    """A sentence of words that are all detected, as English."""
+    return f"""{word_lang},
 used AS (SELECT doc_id, pos, unnest(list_distinct({_word_list('sentence')})) AS word FROM sents),
 flags AS (SELECT doc_id, pos, bool_and(coalesce(lang = 'en', FALSE)) AS is_english FROM used LEFT JOIN best USING (word) GROUP BY doc_id, pos),
 flagged AS (SELECT doc_id, pos, coalesce(is_english, FALSE) AS is_english FROM sents LEFT JOIN flags USING (doc_id, pos))"""
+
+
+FLAGS = _flags_sql(_word_lang_sql())
+# As the query: two of the languages are known to the model, and a word's language has to know half of its n-grams.
+REJECTING = _word_lang_sql("lang IN ('de', 'en')", LEAST_KNOWN)
+ORACLES["lang_profile"] = f"WITH {_model_sql()} SELECT lang, ngram, n, score FROM profile"
+ORACLES["word_language"] = f"WITH {_word_lang_sql()} SELECT word, n, lang FROM vocab LEFT JOIN best USING (word)"
+ORACLES["word_language_rejects"] = f"WITH {REJECTING} SELECT word, n, lang FROM vocab LEFT JOIN best USING (word)"
+ORACLES["english_rejects"] = f"WITH {_flags_sql(REJECTING)} SELECT doc_id, pos, is_english FROM flagged"
 ORACLES["english_all_words"] = f"WITH {FLAGS} SELECT doc_id, pos, is_english FROM flagged"
 ORACLES["english_all_words_null_keys"] = f"""
 WITH {FLAGS}

@@ -311,7 +311,7 @@ def _model(spark: SparkSession, sf_dir: str):
 
 @query
 def lang_profile(spark, sf_dir):
-    return _model(spark, sf_dir).profile
+    return _model(spark, sf_dir).profile.select("lang", "ngram", "n", "score")
 
 
 @query
@@ -320,6 +320,27 @@ def word_language(spark, sf_dir):
     return classify_words(distinct_words(split_sentences(_articles(spark, sf_dir)), "sentence"), model)
 
 
+# A model of two languages meets four: many words are of none that it knows.
+LEAST_KNOWN = 0.5
+
+
+def _two_languages(spark: SparkSession, sf_dir: str):
+    return train_language_model(_articles(spark, sf_dir, "lang").filter("lang IN ('de', 'en')"))
+
+
+@query
+def word_language_rejects(spark, sf_dir):
+    words_used = distinct_words(split_sentences(_articles(spark, sf_dir)), "sentence")
+    return classify_words(words_used, _two_languages(spark, sf_dir), LEAST_KNOWN)
+
+
+@query
+def english_rejects(spark, sf_dir):
+    sentences = split_sentences(_articles(spark, sf_dir))
+    flagged = flag_english(sentences, _two_languages(spark, sf_dir), least_known=LEAST_KNOWN)
+    return flagged.select("doc_id", "pos", "is_english")
+
+
 @query
 def english_all_words(spark, sf_dir):
     flagged = flag_english(split_sentences(_articles(spark, sf_dir)), _model(spark, sf_dir))

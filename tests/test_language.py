@@ -6,7 +6,8 @@ import spec
 from tandemtext.functions.language import is_english_by_lexicon, is_english_by_patterns
 from tandemtext.functions.text import first_words, same_text, word_count, words
 from tandemtext.operators.filters import article_split_stats, filter_english, filter_min_length
-from tandemtext.operators.language_model import classify_words, distinct_words, flag_english, train_language_model
+from tandemtext.operators import language_model
+from tandemtext.operators.language_model import bare_word, bare_words, classify_words, distinct_words, flag_english, train_language_model
 
 
 def test_predicates_agree_with_spec(texts):
@@ -47,6 +48,12 @@ def test_article_stats(spark):
     assert rows[2]["found"] == 0
 
 
+def test_bare_words_are_those_of_each_word(texts):
+    values = ["", " \u2003 ", "42", "a 42  b-c\u00a0D!\t", "ΟΔΟΣ, ΟΔΟΣ. ΣΑΣ'Σ", "İstanbul ǅ x\u0301y", " Straße\u2028ÉTÉ ", "!", "_a_ 日本 語"]
+    rows = texts(values).select(bare_words("text").alias("all"), F.transform(words("text"), bare_word).alias("each")).collect()
+    assert [r["all"] for r in rows] == [r["each"] for r in rows] and rows[3]["all"] == ["a", "", "bc", "d"]
+
+
 LABELLED = [("en", "the weather there is with the other brother"), ("hil", "ang balay sang tawo nga ginbakal sang mga kabataan")]
 
 
@@ -81,6 +88,49 @@ def test_hundreds_of_languages(spark):
     model = train_language_model(spark.createDataFrame(labelled, "lang STRING, text STRING"))
     letters = spark.createDataFrame([("aa", "ab"), ("bb", "ba")], "lang STRING, text STRING")
     small = train_language_model(letters)
-    assert model.unseen.count() in (0, 600)  # digits are no letters: all words are alike
+    assert model.languages.count() in (0, 600)  # digits are no letters: all words are alike
     got = {r["word"]: r["lang"] for r in classify_words(distinct_words(spark.createDataFrame([("ab ba zz",)], "t STRING"), "t"), small).collect()}
-    assert got == {"ab": "aa", "ba": "bb", "zz": "aa"}
+    assert got == {"ab": "aa", "ba": "bb", "zz": None}
+
+
+# Little English and more German: an unknown word would get English, whose score of the unseen is best.
+UNEVEN = [("en", "the weather there is"), ("de", "der Hund und die Katze gehen heute mit dem Kind in den Garten " * 3)]
+
+
+def test_a_word_of_no_known_language_keeps_its_sentence(spark):
+    model = train_language_model(spark.createDataFrame(UNEVEN, "lang STRING, text STRING"))
+    values = ["漢字 仮名", "привет мир", "the weather", "the weather мир", "der Hund", "xyzzyq", "the weather xyzzyq"]
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id BIGINT, sentence STRING")
+    got = {r["doc_id"]: r["is_english"] for r in flag_english(df, model).collect()}
+    assert got == {i: i == 2 for i in range(len(values))}
+    kept = {r["sentence"] for r in filter_english(df, model=model).collect()}
+    assert kept == set(values) - {"the weather"}
+
+
+def test_least_known_share(spark):
+    model = train_language_model(spark.createDataFrame(UNEVEN, "lang STRING, text STRING"))
+    # Two of five n-grams of "thezz" are known, all of "weather".
+    vocabulary = spark.createDataFrame([("thezz", 1), ("weather", 1)], "word STRING, n BIGINT")
+    found = lambda share: {r["word"]: r["lang"] for r in classify_words(vocabulary, model, share).collect()}
+    assert found(0.4) == {"thezz": "en", "weather": "en"}
+    assert found(0.41) == {"thezz": None, "weather": "en"}
+
+
+def test_a_model_of_nothing_detects_nothing(spark):
+    model = train_language_model(spark.createDataFrame([], "lang STRING, text STRING"))
+    df = spark.createDataFrame([("the weather",)], "sentence STRING")
+    assert [r["is_english"] for r in flag_english(df, model).collect()] == [False]
+
+
+def test_a_large_profile_is_joined_with_salts(spark, monkeypatch):
+    model = train_language_model(spark.createDataFrame(LABELLED + UNEVEN, "lang STRING, text STRING"))
+    vocabulary = distinct_words(spark.createDataFrame([("weather Balay Katze мир the other kind gehen",)], "t STRING"), "t")
+    small = sorted(map(tuple, classify_words(vocabulary, model).collect()))
+    monkeypatch.setattr(language_model, "fits_in_memory", lambda table: False)
+    assert sorted(map(tuple, classify_words(vocabulary, model).collect())) == small
+
+
+def test_helper_names_pass_through(spark):
+    model = train_language_model(spark.createDataFrame(LABELLED, "lang STRING, text STRING"))
+    df = spark.createDataFrame([("the weather", 7, "w", "r", "o")], "sentence STRING, _row INT, _words STRING, _rest STRING, _OTHER STRING")
+    assert [tuple(r) for r in flag_english(df, model).collect()] == [("the weather", 7, "w", "r", "o", True)]

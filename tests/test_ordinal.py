@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tandemtext.operators.lookup import lookup_words, salted_left_join
+from tandemtext.operators.lookup import fits_in_memory, salted_left_join, split_flags, split_hot
 from tandemtext.operators.ordinal import arrange_ids, with_ordinal
 
 
@@ -45,15 +45,26 @@ def test_empty_input(spark):
     assert with_ordinal(df, ["doc_id", "pos"]).count() == 0
 
 
-@pytest.mark.parametrize("small_rows", [0, 50_000])
-def test_lookup_keeps_every_row(spark, small_rows):
+def test_hot_and_cold_flags_keep_every_word(spark):
     rng = random.Random(3)
     words = ["the"] * 5000 + [f"w{rng.randint(0, 3000)}" for _ in range(5000)] + ["x" * 400] * 2000
     rows = spark.createDataFrame(list(enumerate(words)), "id BIGINT, word STRING")
-    counted = rows.groupBy("word").agg(F.count("*").alias("n"))
-    dictionary = counted.filter("word <> 'w7'").withColumn("value", F.when(F.col("word") != "w8", F.length("word")))
-    got = {r["id"]: r["value"] for r in lookup_words(rows, dictionary, "word", "value", small_rows=small_rows).collect()}
-    assert got == {i: (None if w in ("w7", "w8") else len(w)) for i, w in enumerate(words)}
+    dictionary = rows.groupBy("word").agg(F.count("*").alias("n")).withColumn("long", F.length("word") > 3)
+    yes, no, cold = split_flags(dictionary, "word", "long")
+    rare = {r["word"] for r in cold.collect()}
+    assert 1000 < len(rare) and not rare & {"the", "x" * 400}
+    for r in rows.select("word", yes(F.col("word")).alias("y"), no(F.col("word")).alias("n")).distinct().collect():
+        hot = r["word"] not in rare
+        assert (r["y"], r["n"]) == (hot and len(r["word"]) > 3, hot and len(r["word"]) <= 3)
+
+
+def test_sizes_of_values_count(spark):
+    narrow = spark.range(100).withColumn("v", F.lit(1))
+    wide = spark.range(100).withColumn("v", F.sequence(F.lit(0), F.lit(1000)))
+    assert fits_in_memory(narrow, 100, 10_000) and not fits_in_memory(narrow, 99, 10_000)
+    assert not fits_in_memory(wide, 100, 10_000) and fits_in_memory(wide.limit(0), 100, 10)
+    with pytest.raises(ValueError):
+        split_hot(wide.withColumn("n", F.lit(1)), "id", "v")
 
 
 def test_salted_join_equals_a_plain_join(spark):
