@@ -131,27 +131,31 @@ def chunk_status(manifest: DataFrame) -> DataFrame:
 
 
 def mark_translated(manifest: DataFrame, done: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """Upsert by chunk: ``done(chunk_id, translated_file)`` marks its chunks finished at ``run_ts``.
+    """The manifest with the chunks of ``done(chunk_id, translated_file)`` marked finished at ``run_ts``.
 
-    Unknown ids have no effect. Every version is derived from keys, so parallel
-    workers can't overwrite one another's entries. A manifest of an older run may lack the times.
+    Where ``done`` has ``translated_at``, as the completion log has, that time counts instead. Unknown ids have no effect.
+    Nothing is written: workers that run side by side record what they finish with ``log_completed``, and
+    each derives the manifest from the log. A manifest of an older run may lack the times.
     """
     for name in ("created_at", "translated_at"):
         if name not in manifest.columns:
             manifest = manifest.withColumn(name, F.lit(None).cast("timestamp"))
     at = (F.lit(None) if run_ts is None else run_ts).cast("timestamp")
-    finished = done.groupBy("chunk_id").agg(F.max("translated_file").alias("_file"), F.lit(True).alias("_done"))
+    own = F.col("translated_at").cast("timestamp") if "translated_at" in done.columns else F.lit(None).cast("timestamp")
+    finished = done.groupBy("chunk_id").agg(
+        F.max("translated_file").alias("_file"), F.max(F.coalesce(own, at)).alias("_at"), F.lit(True).alias("_done")
+    )
     changed = ("is_translated", "translated_file", "translated_at")
     return manifest.join(finished, "chunk_id", "left").select(
         *[c for c in manifest.columns if c not in changed],
         (F.coalesce("is_translated", F.lit(False)) | F.coalesce("_done", F.lit(False))).alias("is_translated"),
         F.coalesce("_file", "translated_file").alias("translated_file"),
-        F.when(F.col("_done"), F.coalesce(at, "translated_at")).otherwise(F.col("translated_at")).alias("translated_at"),
+        F.when(F.col("_done"), F.coalesce("_at", "translated_at")).otherwise(F.col("translated_at")).alias("translated_at"),
     )
 
 
 def pending_articles(articles: DataFrame, processed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Articles not chunked by an earlier run."""
+    """Articles not chunked by an earlier run. One without an id can't be told from another: it is always pending."""
     return articles.join(processed.select(key).distinct(), key, "left_anti")
 
 

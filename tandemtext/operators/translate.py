@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -21,7 +22,9 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.text import SPACE_CHARS, head
 from ..session import stage
+from ..sources.progress import append_entry, compact, latest, read_entries
 from .lookup import salted_left_join
+from .ordinal import whole_div, with_ordinal
 
 DELAY = 2.5
 RETRIES = 3
@@ -130,6 +133,19 @@ def _reread(lines: list[str]) -> list[str]:
     return [line for line in cut if line]
 
 
+def _translate_chunk(call: Translator, lines: list[str], delay: float, retries: int) -> tuple:
+    """A chunk up to its first failure: (translated lines or None, ok, calls, error, pairs)."""
+    done, calls = [], 0
+    for line in lines:
+        translated, ok, attempts, error = _attempt(call, line, STRICT, delay, retries)
+        calls += attempts
+        if not ok:
+            return None, False, calls, f"{error}: {line[:50]}", 0
+        done.append(translated)
+    both = list(zip(_reread(lines), _reread(done)))
+    return done, True, calls, None, 0 if any(a == b for a, b in both) else len(both)
+
+
 def translate_chunks(
     packed: DataFrame,
     make_translator: Callable[[], Translator],
@@ -156,18 +172,8 @@ def translate_chunks(
         for batch in batches:
             rows = []
             for chunk_id, lines in zip(batch["chunk_id"], batch["lines"]):
-                done, calls, failure = [], 0, None
-                for line in lines:
-                    translated, ok, attempts, error = _attempt(call, line, STRICT, delay, retries)
-                    calls += attempts
-                    if not ok:
-                        failure = f"{error}: {line[:50]}"
-                        break
-                    done.append(translated)
-                both = [] if failure else list(zip(_reread(lines), _reread(done)))
-                pairs = 0 if any(a == b for a, b in both) else len(both)
-                done = None if failure else done
-                rows.append((chunk_id, lines, done, failure is None, calls, failure, part, before, pairs))
+                done, ok, calls, failure, pairs = _translate_chunk(call, lines, delay, retries)
+                rows.append((chunk_id, lines, done, ok, calls, failure, part, before, pairs))
                 before += pairs
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
 
@@ -175,3 +181,69 @@ def translate_chunks(
     if workers:
         source = source.repartitionByRange(workers, "chunk_id").sortWithinPartitions("chunk_id")
     return stage(source.mapInPandas(run, schema), "translated-chunks")
+
+
+RESULT = (
+    "chunk_id BIGINT, lines ARRAY<STRING>, translated_lines ARRAY<STRING>, ok BOOLEAN, attempts INT, error STRING, "
+    "pairs INT, finished_at TIMESTAMP"
+)
+# Tasks of one job; more chunks are dealt into several.
+MOST_TASKS = 10_000
+
+
+def translate_durably(
+    packed: DataFrame,
+    make_translator: Callable[[], Translator],
+    folder: str,
+    delay: float = DELAY,
+    retries: int = RETRIES,
+    workers: int | None = None,
+    chunks_per_task: int = 1,
+) -> DataFrame:
+    """As ``translate_chunks``, kept below ``folder`` as tasks finish; chunks that are finished there are not translated again.
+
+    The folder survives executors and the driver: a run that is started again with the same folder calls the
+    translator only for chunks without a finished result, failed ones included, and so do several runs at a time,
+    but for what they do simultaneously. At most ``chunks_per_task`` chunks of each running task are lost. ``workers`` is the number
+    of tasks that may run at once, in waves; without it the cluster decides. Returns ``read_results``.
+    Turn speculative execution off: it pays for calls twice.
+    """
+    spark, entry = packed.sparkSession, uuid.uuid4().hex
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = make_translator()
+        for batch in batches:
+            for chunk_id, lines in zip(batch["chunk_id"], batch["lines"]):
+                done, ok, calls, failure, pairs = _translate_chunk(call, lines, delay, retries)
+                row = (chunk_id, lines, done, ok, calls, failure, pairs, pd.Timestamp.now("UTC"))
+                yield pd.DataFrame([row], columns=[f.split()[0] for f in RESULT.split(", ")])
+
+    open_chunks = packed.select("chunk_id", "lines").join(finished_chunks(spark, folder), "chunk_id", "left_anti")
+    numbered = with_ordinal(open_chunks, ["chunk_id"], "_nr", start=0)
+    n, wave = numbered.count(), (workers or MOST_TASKS) * chunks_per_task
+    for low in range(0, n, wave):
+        tasks = -(-min(wave, n - low) // chunks_per_task)
+        place = whole_div(F.col("_nr") - F.lit(low), chunks_per_task).cast("int")
+        dealt = numbered.filter(F.col("_nr").between(low, low + wave - 1)).repartitionById(tasks, place)
+        append_entry(dealt.drop("_nr").mapInPandas(run, RESULT), folder, entry, as_tasks_finish=True)
+    return read_results(spark, folder)
+
+
+def _best_results(rows: DataFrame) -> DataFrame:
+    """The first finished result of a chunk, so later ones change nothing; without one, the last failure."""
+    at = F.unix_micros("finished_at")
+    return latest(rows, "chunk_id", [~F.col("ok"), F.when(F.col("ok"), at).otherwise(-at), F.col("_file")])
+
+
+def read_results(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per chunk that any run below ``folder`` has worked on, with the columns of ``RESULT``."""
+    return _best_results(read_entries(spark, folder, RESULT)).drop("entry", "_file")
+
+
+def finished_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return read_entries(spark, folder, RESULT).filter("ok").select("chunk_id").distinct()
+
+
+def compact_results(spark: SparkSession, folder: str, idle: bool = False) -> int:
+    """Merge the small files of finished runs; see ``progress.compact``."""
+    return compact(spark, folder, RESULT, _best_results, idle)

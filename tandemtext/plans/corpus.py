@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.language import THRESHOLD
 from ..functions.sentences import split_sentences
-from ..operators.assemble import assemble_translated
+from ..operators.assemble import assemble_results, assemble_translated
 from ..operators.chunking import (
     CHUNK_SIZE,
     assign_chunks,
@@ -28,7 +28,7 @@ from ..operators.chunking import (
 from ..operators.filters import filter_english
 from ..operators.language_model import LanguageModel, train_language_model
 from ..operators.ordinal import arrange_ids, with_ordinal
-from ..operators.translate import DELAY, KEEP_SOURCE, RETRIES, Translator, apply_translator, translate_chunks
+from ..operators.translate import DELAY, KEEP_SOURCE, RETRIES, Translator, apply_translator, translate_chunks, translate_durably
 from ..session import stage
 from ..sources.articles import read_articles
 
@@ -100,6 +100,28 @@ def translate_and_assemble(
     return manifest, assemble_translated(translated, base_ms)
 
 
+def resume_translation(
+    chunked: DataFrame,
+    make_translator: Callable[[], Translator],
+    folder: str,
+    base_ms: int,
+    delay: float = DELAY,
+    retries: int = RETRIES,
+    workers: int | None = None,
+    chunks_per_task: int = 1,
+) -> tuple[DataFrame, DataFrame]:
+    """As ``translate_and_assemble`` with every finished chunk kept below ``folder``, from which a broken run goes on.
+
+    Times of translation are those at which chunks were finished.
+    """
+    lines = pack_chunks(chunked).select("chunk_id", reread_lines("sentences").alias("lines"))
+    results = translate_durably(lines, make_translator, folder, delay, retries, workers, chunks_per_task)
+    done = results.filter("ok").select(
+        "chunk_id", translated_path("chunk_id").alias("translated_file"), F.col("finished_at").alias("translated_at")
+    )
+    return mark_translated(chunk_manifest(chunked), done), assemble_results(results, base_ms)
+
+
 def article_pairs(
     articles: DataFrame,
     make_translator: Callable[[], Translator],

@@ -353,6 +353,15 @@ stops AS (SELECT chunk_id, min(line_no) FILTER (NOT ok) AS stop FROM strict GROU
 SELECT chunk_id, stop IS NULL AS ok, CAST(sum(attempts) AS INTEGER) AS attempts,
        CAST(CASE WHEN stop IS NULL THEN count(*) ELSE 0 END AS INTEGER) AS n_lines
 FROM strict JOIN stops USING (chunk_id) WHERE stop IS NULL OR line_no <= stop GROUP BY chunk_id, stop"""
+ORACLES["resumed_chunks"] = f"""
+WITH {STRICT},
+batches AS (SELECT chunk_id, (row_number() OVER (ORDER BY chunk_id) - 1) % {NUM_BATCHES} AS batch FROM manifest),
+stops AS (SELECT chunk_id, min(line_no) FILTER (NOT ok) AS stop FROM strict GROUP BY chunk_id)
+SELECT chunk_id, stop IS NULL AS ok, CAST(sum(attempts) AS INTEGER) AS attempts,
+       CAST(CASE WHEN stop IS NULL THEN count(*) ELSE 0 END AS INTEGER) AS pairs,
+       CASE WHEN batch = 1 AND stop IS NOT NULL THEN 2 ELSE 1 END AS tries
+FROM strict JOIN stops USING (chunk_id) JOIN batches USING (chunk_id)
+WHERE stop IS NULL OR line_no <= stop GROUP BY chunk_id, stop, batch"""
 ORACLES["contamination_check"] = f"""
 WITH {LINES}
 SELECT chunk_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (kind IN ('00', '01', '02')) AS INTEGER) AS identical,
@@ -361,6 +370,12 @@ BATCHES = (
     f"{NUMBERED}, ranked AS (SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS r FROM manifest), "
     f"batches AS (SELECT chunk_id, CAST(r % {NUM_BATCHES} AS INTEGER) AS batch_number, r // {NUM_BATCHES} AS batch_pos FROM ranked)"
 )
+ORACLES["completion_log"] = f"""
+WITH {BATCHES}
+SELECT chunk_id, batch_number > 0 AS is_translated,
+       CASE WHEN batch_number > 0 THEN 'chunks/translated_chunk_' || chunk_id || '.txt' END AS translated_file,
+       CAST({RUN_TIME} + CASE batch_number WHEN 1 THEN 20 WHEN 2 THEN 10 WHEN 3 THEN 0 END AS BIGINT) AS translated_at
+FROM batches"""
 ORACLES["round_robin_batches"] = f"WITH {BATCHES} SELECT * FROM batches"
 ORACLES["batch_manifest"] = f"""
 WITH {BATCHES},
@@ -416,6 +431,7 @@ FROM sents WHERE NOT {_is_english('sentence', _indicator_hits('sentence'))}"""
 ORACLES["assemble_pairs"] = f"""
 WITH {STRICT}
 SELECT row_number() OVER (ORDER BY chunk_id, line_no) + {BASE_MS} AS seq_id, translated AS english, line AS source_text, chunk_id FROM pairs"""
+ORACLES["resumed_pairs"] = ORACLES["assemble_pairs"]
 TURNS = """turns AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS k FROM conversations),
 zipped AS (SELECT u.conv_id, u.k, u.text AS source_text, a.text AS english FROM turns u JOIN turns a USING (conv_id, k)
   WHERE u.role = 'user' AND a.role = 'assistant')"""

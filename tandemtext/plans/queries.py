@@ -23,6 +23,7 @@ from ..operators.chunking import (
     pack_chunks,
     pending_articles,
     reread_lines,
+    translated_path,
     unfinished,
 )
 from ..operators.filters import article_split_stats, filter_english, filter_min_length
@@ -43,11 +44,14 @@ from ..operators.training import (
 )
 from ..operators.translate import (
     KEEP_SOURCE,
+    RESULT,
     STRICT,
     apply_translator,
     atomic_chunks,
+    compact_results,
     memory_translation,
     translate_chunks,
+    translate_durably,
 )
 from ..session import scratch_path, stage
 from ..sources.articles import spread_rows
@@ -61,6 +65,7 @@ from ..sources.files import (
     write_pairs_jsonl,
 )
 from ..sources.json_files import read_manifest_json, read_text_records
+from ..sources.progress import compact_completed, log_completed, read_completed, read_entries
 from ..streaming.ingest import ingest_articles, read_ingested
 from . import corpus
 from .corpus import load_documents
@@ -396,6 +401,48 @@ def chunk_early_stop(spark, sf_dir):
     return done.select("chunk_id", "ok", "attempts", F.coalesce(F.size("translated_lines"), F.lit(0)).alias("n_lines"))
 
 
+def _packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_chunks(_chunked(spark, sf_dir)).select("chunk_id", reread_lines("sentences").alias("lines"))
+
+
+@query
+def resumed_chunks(spark, sf_dir):
+    """A worker does its batch and stops; a second run takes what is left, and failures again, but nothing finished."""
+    folder = scratch_path(spark, "translation")
+    packed = stage(_packed_lines(spark, sf_dir), "packed")
+    first = packed.join(_batches(spark, sf_dir).filter("batch_number = 1"), "chunk_id", "left_semi")
+    translate_durably(first, DemoTranslator, folder, delay=0, chunks_per_task=16)
+    results = translate_durably(packed, DemoTranslator, folder, delay=0, workers=8, chunks_per_task=64)
+    tries = read_entries(spark, folder, RESULT).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("tries"))
+    return results.join(tries, "chunk_id").select("chunk_id", "ok", "attempts", "pairs", "tries")
+
+
+@query
+def resumed_pairs(spark, sf_dir):
+    """Manifest and pairs of a translation in two runs, its results compacted in between."""
+    folder, chunked = scratch_path(spark, "translation"), stage(_chunked(spark, sf_dir), "chunked")
+    half = chunked.filter("chunk_id % 2 = 0")
+    corpus.resume_translation(half, DemoTranslator, folder, BASE_MS, delay=0, chunks_per_task=16)
+    translate_durably(_packed_lines(spark, sf_dir), DemoTranslator, folder, delay=0, chunks_per_task=16)
+    compact_results(spark, folder)
+    manifest, pairs = corpus.resume_translation(chunked, DemoTranslator, folder, BASE_MS, delay=0, chunks_per_task=16)
+    finished = manifest.filter("is_translated AND translated_at IS NOT NULL").select("chunk_id")
+    return pairs.join(finished, "chunk_id", "left_semi")
+
+
+@query
+def completion_log(spark, sf_dir):
+    """Workers record their batches side by side, one of them twice; the log is compacted and grows again."""
+    log, manifest = scratch_path(spark, "completed"), stage(chunk_manifest(_chunked(spark, sf_dir)), "manifest")
+    done = manifest.select("chunk_id", translated_path("chunk_id").alias("translated_file")).join(_batches(spark, sf_dir), "chunk_id")
+    for batch, later in ((1, 0), (2, 10), (1, 20)):
+        log_completed(done.filter(F.col("batch_number") == batch), log, F.timestamp_seconds(F.lit(RUN_TIME + later)), f"worker {batch}")
+    compact_completed(spark, log)
+    log_completed(done.filter("batch_number = 3"), log, run_ts(), "worker 3")
+    marked = mark_translated(manifest, read_completed(spark, log))
+    return marked.select("chunk_id", "is_translated", "translated_file", F.unix_seconds("translated_at").alias("translated_at"))
+
+
 @query
 def contamination_check(spark, sf_dir):
     lenient = _translated(spark, sf_dir, KEEP_SOURCE)

@@ -1,0 +1,193 @@
+import os
+import signal
+import subprocess
+import sys
+import time
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from tandemtext.operators.assemble import assemble_results
+from tandemtext.operators.chunking import mark_translated
+from tandemtext.operators.translate import RESULT, compact_results, finished_chunks, read_results, translate_durably
+from tandemtext.sources.progress import append_entry, compact_completed, log_completed, read_completed, read_entries
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def recorder(calls, broken=(), dead=()):
+    """A translator that notes every call in a file; it refuses some texts and dies at others."""
+
+    def make():
+        def call(text):
+            with open(calls, "a") as file:
+                file.write(text + "\n")
+            if text in dead:
+                raise KeyboardInterrupt("the worker is gone")
+            return None if text in broken else "t:" + text
+
+        return call
+
+    return make
+
+
+def called(calls):
+    with open(calls) as file:
+        return file.read().split()
+
+
+def chunks(spark, n, lines=3):
+    rows = [(c, [f"c{c}l{i}" for i in range(lines)]) for c in range(1, n + 1)]
+    return spark.createDataFrame(rows, "chunk_id BIGINT, lines ARRAY<STRING>")
+
+
+def by_chunk(df):
+    return {r["chunk_id"]: r for r in df.collect()}
+
+
+def test_a_second_run_only_does_what_is_left(spark, tmp_path):
+    folder, calls = str(tmp_path / "run"), str(tmp_path / "calls")
+    packed = chunks(spark, 20)
+    # The job dies at chunk 13; what its finished tasks have done stays.
+    with pytest.raises(Exception, match="worker is gone|KeyboardInterrupt|Python worker|abort"):
+        translate_durably(packed, recorder(calls, dead=("c13l1",)), folder, delay=0, workers=4)
+    done = {r[0] for r in finished_chunks(spark, folder).collect()}
+    assert done and 13 not in done and done <= set(range(1, 17))
+    first = called(calls)
+    open(calls, "w").close()
+    results = by_chunk(translate_durably(packed, recorder(calls), folder, delay=0))
+    assert sorted(called(calls)) == sorted(f"c{c}l{i}" for c in set(range(1, 21)) - done for i in range(3))
+    assert sorted(results) == list(range(1, 21)) and all(r["ok"] and r["pairs"] == 3 for r in results.values())
+    assert all(f"c{c}l{i}" in first for c in done for i in range(3))
+    # Nothing is left: a third run calls nobody.
+    open(calls, "w").close()
+    translate_durably(packed, recorder(calls), folder, delay=0)
+    assert called(calls) == []
+
+
+SCRIPT = """
+import sys, time
+sys.path.insert(0, {root!r})
+from tandemtext.session import local_session
+from tandemtext.operators.translate import translate_durably
+spark = local_session(2, 2, spark__checkpoint__dir={scratch!r})
+rows = [(c, [f"c{{c}}l{{i}}" for i in range(3)]) for c in range(1, 41)]
+def make():
+    def call(text):
+        with open({calls!r}, "a") as file:
+            file.write(text + "\\n")
+        time.sleep(0.15)
+        return "t:" + text
+    return call
+translate_durably(spark.createDataFrame(rows, "chunk_id BIGINT, lines ARRAY<STRING>"), make, {folder!r}, delay=0)
+"""
+
+
+def test_a_killed_driver_loses_running_tasks_only(spark, tmp_path):
+    folder, calls = str(tmp_path / "run"), str(tmp_path / "calls")
+    script = SCRIPT.format(root=ROOT, scratch=str(tmp_path / "scratch"), calls=calls, folder=folder)
+    run = subprocess.Popen([sys.executable, "-c", script], start_new_session=True, stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    try:
+        for _ in range(1200):
+            if os.path.exists(calls) and len(called(calls)) > 30:
+                break
+            assert run.poll() is None
+            time.sleep(0.1)
+    finally:
+        os.killpg(run.pid, signal.SIGKILL)
+        run.wait()
+    done = {r[0] for r in finished_chunks(spark, folder).collect()}
+    # Two tasks at a time, a chunk each.
+    assert len(done) >= 8 and len(set(called(calls))) - 3 * len(done) <= 2 * 3 + 3
+    open(calls, "w").close()
+    results = by_chunk(translate_durably(chunks(spark, 40), recorder(calls), folder, delay=0))
+    assert len(results) == 40 and all(r["ok"] for r in results.values())
+    assert sorted(called(calls)) == sorted(f"c{c}l{i}" for c in set(range(1, 41)) - done for i in range(3))
+
+
+def test_failures_are_tried_again_and_first_results_stay(spark, tmp_path):
+    folder, calls = str(tmp_path / "run"), str(tmp_path / "calls")
+    packed = chunks(spark, 5)
+    got = by_chunk(translate_durably(packed, recorder(calls, broken=("c2l1", "c4l0")), folder, delay=0, retries=1))
+    assert [got[c]["ok"] for c in range(1, 6)] == [True, False, True, False, True]
+    assert got[2]["error"] == "empty result: c2l1" and got[2]["translated_lines"] is None
+    open(calls, "w").close()
+    got = by_chunk(translate_durably(packed, recorder(calls, broken=("c4l0",)), folder, delay=0, retries=1))
+    assert sorted(called(calls)) == ["c2l0", "c2l1", "c2l2", "c4l0"]
+    assert [got[c]["ok"] for c in range(1, 6)] == [True, True, True, False, True]
+    # Another run's later result of a finished chunk changes nothing.
+    again = read_entries(spark, folder, RESULT).filter("chunk_id = 1").drop("entry", "_file")
+    other = again.withColumn("translated_lines", F.array(F.lit("x"))).withColumn("finished_at", F.expr("finished_at + INTERVAL 1 HOUR"))
+    append_entry(other, folder)
+    assert by_chunk(read_results(spark, folder))[1]["translated_lines"] == ["t:c1l0", "t:c1l1", "t:c1l2"]
+    before = sorted(map(tuple, read_results(spark, folder).collect()))
+    assert compact_results(spark, folder) == 3
+    assert sorted(map(tuple, read_results(spark, folder).collect())) == before
+    assert read_entries(spark, folder, RESULT).count() == 5
+    pairs = assemble_results(read_results(spark, folder), 1000).orderBy("seq_id").collect()
+    assert [(r["seq_id"], r["chunk_id"], r["source_text"]) for r in pairs][:4] == [
+        (1001, 1, "c1l0"), (1002, 1, "c1l1"), (1003, 1, "c1l2"), (1004, 2, "c2l0")
+    ]
+
+
+def test_waves_hold_no_more_tasks_than_workers(spark, tmp_path):
+    folder, calls = str(tmp_path / "run"), str(tmp_path / "calls")
+    results = translate_durably(chunks(spark, 11, 1), recorder(calls), folder, delay=0, workers=2, chunks_per_task=2)
+    assert results.count() == 11 and len(called(calls)) == 11
+    # Two tasks of two chunks in each of three waves.
+    assert read_entries(spark, folder, RESULT).select("_file").distinct().count() == 6
+
+
+def test_nothing_to_do(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    assert translate_durably(chunks(spark, 0), recorder(str(tmp_path / "calls")), folder, delay=0).collect() == []
+    assert compact_results(spark, folder) == 0
+
+
+def test_two_workers_marks_both_survive(spark, tmp_path):
+    log = str(tmp_path / "log")
+    at = lambda s: F.timestamp_seconds(F.lit(s))
+    done = lambda *ids: spark.createDataFrame([(i, f"t{i}") for i in ids], "chunk_id BIGINT, translated_file STRING")
+    manifest = spark.createDataFrame([(i, False) for i in range(1, 7)], "chunk_id BIGINT, is_translated BOOLEAN")
+    manifest = manifest.withColumn("translated_file", F.lit(None).cast("string"))
+    assert read_completed(spark, log).count() == 0
+    # Both have read the manifest before either writes.
+    log_completed(done(1, 2), log, at(100), "a")
+    log_completed(done(3, 4, 99), log, at(100), "b")
+    log_completed(done(2, 5), log, at(200), "b")
+    log_completed(done(5), log, at(150), "a")
+
+    def now():
+        rows = mark_translated(manifest, read_completed(spark, log)).select("chunk_id", "is_translated", F.unix_seconds("translated_at")).collect()
+        return sorted(map(tuple, rows))
+
+    want = [(1, True, 100), (2, True, 200), (3, True, 100), (4, True, 100), (5, True, 200), (6, False, None)]
+    assert now() == want
+    assert {r["chunk_id"]: r["worker"] for r in read_completed(spark, log).collect()}[5] == "b"
+    assert compact_completed(spark, log) == 4 and now() == want
+    assert len([f for f in os.listdir(log) if f.startswith("entry=")]) == 1
+    log_completed(done(6), log, at(300), "a")
+    assert now() == [*want[:5], (6, True, 300)]
+
+
+def test_compaction_leaves_unfinished_entries(spark, tmp_path):
+    log = str(tmp_path / "log")
+    done = spark.createDataFrame([(1, "t")], "chunk_id BIGINT, translated_file STRING")
+    names = [log_completed(done, log, F.timestamp_seconds(F.lit(i)), "w") for i in range(3)]
+    os.remove(f"{log}/entry={names[0]}/_SUCCESS")
+    assert compact_completed(spark, log) == 2 and os.path.isdir(f"{log}/entry={names[0]}")
+    assert compact_completed(spark, log) == 0 and compact_completed(spark, log, idle=True) == 2
+    assert [r["worker"] for r in read_completed(spark, log).collect()] == ["w"]
+
+
+def test_a_died_compaction_changes_nothing(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for i in range(3):
+        log_completed(spark.createDataFrame([(i % 2, f"t{i}")], "chunk_id BIGINT, translated_file STRING"), log, F.timestamp_seconds(F.lit(i)), "w")
+    before = sorted(map(tuple, read_completed(spark, log).collect()))
+    # Its entry is written, nothing is removed yet.
+    append_entry(read_completed(spark, log), log)
+    assert sorted(map(tuple, read_completed(spark, log).collect())) == before
