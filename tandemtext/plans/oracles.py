@@ -401,6 +401,7 @@ SELECT (SELECT count(*) FROM kept) AS sentences, (SELECT count(*) FROM sents) -
 ORACLES["global_ordinal"] = f"WITH {NUMBERED} SELECT doc_id, pos, ordinal FROM numbered"
 ORACLES["assign_chunks"] = f"WITH {NUMBERED} SELECT doc_id, pos, ordinal, chunk_id, chunk_line AS line_no FROM chunked"
 ORACLES["stream_chunk_ingest"] = f"WITH {NUMBERED} SELECT doc_id, pos, chunk_id, chunk_line AS line_no, sentence FROM chunked"
+ORACLES["stream_open_chunk"] = ORACLES["stream_chunk_ingest"]
 ORACLES["assign_seq_id"] = f"WITH {NUMBERED} SELECT ordinal + {BASE_MS} AS seq_id, doc_id, pos FROM numbered"
 ORACLES["limit_articles"] = "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100"
 ORACLES["limit_articles_nulls"] = """

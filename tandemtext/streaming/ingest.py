@@ -1,4 +1,8 @@
-"""Incremental article ingest: new files become numbered chunks, exactly once."""
+"""Incremental article ingest: new files become numbered chunks, exactly once.
+
+Chunks go on across micro-batches and runs. The sentences of the last, still open chunk of a batch, fewer than
+a chunk has, are kept as state under the batch's id and stand in front of the next batch's; only whole chunks are published.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..operators.chunking import CHUNK_SIZE, assign_chunks
 from ..operators.filters import filter_english
-from ..operators.ordinal import whole_div
 from ..plans.corpus import numbered_sentences
 
+# After a batch: all sentences so far, and those of them that are in whole chunks.
+STATE = "n_sentences BIGINT, n_closed BIGINT, size INT"
+SENTENCES = "doc_id BIGINT, pos INT, sentence STRING, ordinal BIGINT"
+
 
 def _existing(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
@@ -25,31 +32,49 @@ def _existing(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _state_before(spark: SparkSession, path: str, batch_id: int) -> tuple[int | None, int, int | None]:
+    """The last complete batch before this one, the sentences up to it and its chunk size.
+
+    Batches follow one another, so it is nearly always the one before; only if that one has no state are others listed.
+    """
+    row = _existing(spark, f"{path}/state/batch_id={batch_id - 1}", STATE).first()
+    if row:
+        return batch_id - 1, row["n_sentences"], row["size"]
+    states = _existing(spark, f"{path}/state", f"{STATE}, batch_id BIGINT").filter(F.col("batch_id") < batch_id)
+    row = states.orderBy(F.desc("batch_id")).first()
+    return (row["batch_id"], row["n_sentences"], row["size"]) if row else (None, 0, None)
+
+
 def chunk_sink(
     path: str, size: int = CHUNK_SIZE, profile: str = "prod", keep: Callable[[DataFrame], DataFrame] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that appends one micro-batch as new chunks.
+    """A ``foreachBatch`` function that numbers the sentences of one micro-batch after all earlier ones.
 
-    Sentences and a one-row total are stored under the batch id and overwritten
-    when the batch is replayed. Chunk numbers go on after the totals of earlier
-    batches only, so a replay writes the same rows again. The total is written
-    last: it marks the batch as complete. A sink belongs to one stream, since batch ids
-    start over with a new checkpoint.
+    Whole chunks, the open chunk's sentences and the running totals are stored under the batch id and overwritten
+    when the batch is replayed. A batch starts from the state of the one before only, so a replay writes the same rows
+    again. The state is written last: it marks the batch as complete. A sink belongs to one stream, since batch ids
+    start over with a new checkpoint, and to one chunk size.
     """
     keep = keep or (lambda sentences: filter_english(sentences, method="patterns"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        totals = _existing(spark, f"{path}/totals", "batch_id BIGINT, n_sentences BIGINT, n_chunks BIGINT")
-        earlier = totals.filter(F.col("batch_id") < batch_id)
-        base = earlier.agg(F.coalesce(F.sum("n_chunks"), F.lit(0))).first()[0]
-        chunked = assign_chunks(numbered_sentences(batch, profile, keep), size, base)
-        chunked.write.mode("overwrite").parquet(f"{path}/sentences/batch_id={batch_id}")
-        written = spark.read.parquet(f"{path}/sentences/batch_id={batch_id}")
-        n = F.count(F.lit(1))
-        written.agg(n.alias("n_sentences"), whole_div(n + (size - 1), size).alias("n_chunks")).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/totals/batch_id={batch_id}")
+        previous, before, used = _state_before(spark, path, batch_id)
+        if used not in (None, size):
+            raise ValueError(f"{path} has chunks of {used} sentences, not of {size}")
+        numbered = numbered_sentences(batch, profile, keep)
+        columns = [f.split()[0] for f in SENTENCES.split(", ")]
+        fresh = numbered.withColumn("ordinal", F.col("ordinal") + F.lit(before)).select(*columns)
+        carried = _existing(spark, f"{path}/open/batch_id={previous}", SENTENCES)
+        total = before + numbered.count()
+        closed = total - total % size
+        rows = carried.select(*columns).unionByName(fresh)
+        whole = assign_chunks(rows.filter(F.col("ordinal") <= closed), size)
+        whole.write.mode("overwrite").parquet(f"{path}/sentences/batch_id={batch_id}")
+        rows.filter(F.col("ordinal") > closed).coalesce(1).write.mode("overwrite").parquet(f"{path}/open/batch_id={batch_id}")
+        spark.createDataFrame([(total, closed, size)], STATE).coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/state/batch_id={batch_id}"
+        )
 
     return write
 
@@ -77,7 +102,17 @@ def ingest_articles(
     )
 
 
-def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
-    """Sentences with their chunk ids, of complete batches only."""
-    complete = spark.read.parquet(f"{sink}/totals").select("batch_id")
-    return spark.read.parquet(f"{sink}/sentences").join(complete, "batch_id", "left_semi")
+def read_ingested(spark: SparkSession, sink: str, with_open: bool = True) -> DataFrame:
+    """Sentences with their chunk ids and the batch that published them, of complete batches only.
+
+    ``with_open`` adds the sentences of the chunk that the next batch will fill up, as a short last chunk.
+    """
+    states = spark.read.schema(f"{STATE}, batch_id BIGINT").parquet(f"{sink}/state")
+    chunked = f"{SENTENCES}, chunk_id BIGINT, line_no INT, batch_id BIGINT"
+    whole = spark.read.schema(chunked).parquet(f"{sink}/sentences").join(states.select("batch_id"), "batch_id", "left_semi")
+    last = states.orderBy(F.desc("batch_id")).first()
+    if not with_open or last is None:
+        return whole
+    rows = spark.read.schema(SENTENCES).parquet(f"{sink}/open/batch_id={last['batch_id']}")
+    open_chunk = assign_chunks(rows, last["size"]).withColumn("batch_id", F.lit(last["batch_id"]).cast("bigint"))
+    return whole.unionByName(open_chunk)
