@@ -114,10 +114,10 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors**2).sum(axis=1))[:, None]
 
 
-def usable(vector: Column, width: int) -> Column:
-    """Not NULL, of the given length, without NULL or non-finite components, not all zero."""
+def usable(vector: Column) -> Column:
+    """Not NULL, without NULL or non-finite components, not all zero."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.coalesce((F.size(vector) == width) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
+    return F.coalesce(~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def _spread(adjacent: np.ndarray, queries: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,20 +219,55 @@ def linked_groups(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
     return queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(search, "id bigint, links bigint, least bigint")
 
 
+def small_groups(nodes: DataFrame, least: float) -> DataFrame:
+    """(id, links, least) among vectors of one length, of which there are at most ``BLOCK``: all pairs in place."""
+
+    def search(key, held):
+        ids, sizes = np.array(held.column("node")), np.array(held.column("members"))
+        units = _units(np.array(held.column("vector").to_pylist(), dtype=np.float64))
+        adjacent = np.stack([np.einsum("j,ij->i", u, units) >= least for u in units])
+        np.fill_diagonal(adjacent, False)
+        adjacent |= adjacent.T
+        reached, _ = _spread(adjacent, ids, ids)
+        found = [(i, n, to) for i, n, to in zip(ids.tolist(), (adjacent @ sizes).tolist(), reached.tolist()) if n]
+        return pa.table([pa.array(c, pa.int64()) for c in list(zip(*found)) or [(), (), ()]], names=["id", "links", "least"])
+
+    return nodes.groupBy("width").applyInArrow(search, "id bigint, links bigint, least bigint")
+
+
+def linked_vectors(nodes: DataFrame, least: float) -> DataFrame:
+    """(id, links, least) of ``nodes(node, vector, members, width)``; only vectors of one length can link.
+
+    The commonest length and all others with more than ``BLOCK`` vectors have a quantiser of their own, one
+    after the other; the rest are groups of a bounded size, compared in place.
+    """
+    counts = nodes.groupBy("width").agg(F.count(F.lit(1)).alias("n"))
+    first = counts.orderBy(F.desc("n"), "width").limit(1)
+    large = {r["width"]: r["n"] for r in counts.filter(F.col("n") > BLOCK).unionByName(first).collect()}
+    found = small_groups(nodes.filter(~F.col("width").isin(list(large))), least)
+    for width, total in sorted(large.items()):
+        own = nodes.filter(F.col("width") == width)
+        chosen = own.filter(sampled(F.xxhash64("node", F.lit("codes")), SAMPLE / total))
+        sample = [row[0] for row in chosen.orderBy("node").select("vector").collect()]
+        sample = sample or [own.select("vector").first()[0]]
+        quantiser = Quantiser(_units(np.array(sample, dtype=np.float64)), total, least)
+        found = found.unionByName(linked_groups(own, quantiser))
+    return found
+
+
 def near_duplicate_vectors(
     vectors: DataFrame, least: float = LEAST, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
-    Links are pairs of rows with a cosine of ``least`` or more, in double precision. Vectors that are NULL,
-    zero, of another length than most, or hold NULL or non-finite components link with nothing and
+    Links are pairs of rows with a cosine of ``least`` or more, in double precision; vectors of different lengths
+    have no cosine, those of any one length are compared with each other. Vectors that are NULL,
+    empty, zero, or hold NULL or non-finite components link with nothing and
     stay, as do rows with a NULL id. Repeated rows are vectors of their own that link with each other and
     have one component. Ids are integers; other columns are ignored. No rows give no rows.
     """
     given = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).alias("vector"))
-    commonest = given.groupBy(F.size("vector").alias("w")).count().filter("w > 0").orderBy(F.desc("count"), "w").first()
-    width = commonest["w"] if commonest else 0
-    marked = given.withColumn("_good", usable(F.col("vector"), width) & F.col("vec_id").isNotNull())
+    marked = given.withColumn("_good", usable(F.col("vector")) & F.col("vec_id").isNotNull())
     alone = marked.filter("NOT _good").select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")
     )
@@ -240,21 +275,13 @@ def near_duplicate_vectors(
     nodes = stage(
         good.groupBy("vector").agg(
             F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("members"), salt_mask("_salt").alias("_mask")
-        ),
+        ).withColumn("width", F.size("vector")),
         "vectors",
     )
-    total = nodes.count()
-    if total:
-        chosen = nodes.filter(sampled(F.xxhash64("node", F.lit("codes")), SAMPLE / total))
-        sample = [row[0] for row in chosen.orderBy("node").select("vector").collect()]
-        sample = sample or [nodes.select("vector").first()[0]]
-        quantiser = Quantiser(_units(np.array(sample, dtype=np.float64)), total, least)
-        found = stage(linked_groups(nodes, quantiser), "linked")
-        links = found.groupBy("id").agg(F.sum("links").alias("links"))
-        components = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
-        named = nodes.join(links, F.col("node") == F.col("id"), "left").drop("id").join(components, "node", "left")
-    else:
-        named = nodes.withColumn("links", F.lit(0)).withColumn("component", F.col("node"))
+    found = stage(linked_vectors(nodes, least), "linked")
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    components = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
+    named = nodes.join(links, F.col("node") == F.col("id"), "left").drop("id").join(components, "node", "left")
     answers = named.select(
         "vector",
         (F.coalesce("links", F.lit(0)) + F.col("members") - 1).cast("bigint").alias("n_links"),

@@ -148,15 +148,17 @@ def test_cuts_are_the_cheapest():
 def brute(vectors):
     good = {}
     for i, v in vectors:
-        if v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v) and len(v) == 8:
+        if v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
             good.setdefault(i, np.array(v, dtype=np.float64) / np.linalg.norm(np.array(v, dtype=np.float64)))
-    ids = sorted(good)
-    units = np.array([good[i] for i in ids])
-    linked = units @ units.T >= 0.9
-    np.fill_diagonal(linked, False)
-    pairs = [(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked))]
-    found = least_reachable(ids, pairs)
-    count = {i: int(n) for i, n in zip(ids, linked.sum(axis=1))}
+    pairs, count = [], {}
+    for width in {len(u) for u in good.values()}:
+        ids = sorted(i for i, u in good.items() if len(u) == width)
+        units = np.array([good[i] for i in ids])
+        linked = units @ units.T >= 0.9
+        np.fill_diagonal(linked, False)
+        pairs += [(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked))]
+        count |= {i: int(n) for i, n in zip(ids, linked.sum(axis=1))}
+    found = least_reachable(sorted(good), pairs)
     return sorted((i, count.get(i, 0), found.get(i, i), found.get(i, i) == i) for i, _ in vectors)
 
 
@@ -212,6 +214,23 @@ def test_visits_reach_neighbours_whatever_the_spectrum(width, decay):
     assert len(a) > 1_000 and visited[a, own[b]].mean() >= 0.97
 
 
+def test_vectors_of_several_lengths(spark, monkeypatch):
+    """A common length and one that is nearly as common go through a quantiser each, rarer ones are compared in place."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
+    random = np.random.default_rng(4)
+    rows = []
+    for width, count in ((6, 120), (9, 100), (2, 12), (3, 3), (1, 4), (40, 2)):
+        centres = random.normal(size=(1 + count // 5, width))
+        rows += [(centres[i % len(centres)] + random.normal(size=width) * 0.1).tolist() for i in range(count)]
+    rows += [[], [0.0, 0.0], [1.0, None], None, [1.0, 0.0], [1.0, 0.0], [2.0, 0.0]]
+    vectors = list(enumerate(rows))
+    df = spark.createDataFrame(vectors, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = sorted(map(tuple, embedding_dedup.near_duplicate_vectors(df.repartition(5)).collect()))
+    assert got == brute(vectors)
+    linked = {len(rows[i]) for i, n, _, _ in got if n}
+    assert linked >= {6, 9, 2, 1}
+
+
 def test_embeddings_with_null_and_repeated_ids(spark):
     schema = "vec_id BIGINT, embedding ARRAY<FLOAT>"
     rows = [(None, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (1, [2.0, 0.1]), (5, None)]
