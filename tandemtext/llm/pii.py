@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -149,8 +151,13 @@ def _tagged(labels: np.ndarray, numbers: np.ndarray, size: int) -> list[tuple[in
 
 
 def added_spans(text: str, tagged: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Tagged spans, trimmed, that are plausible, complete and apart from the rules' spans."""
+    """Tagged spans, trimmed, that are plausible, complete and apart from the rules' spans.
+
+    Both lists are by start, and tagged spans don't overlap, so one pass over both is enough.
+    """
     found = []
+    # The furthest end of the rules' spans that start before each of them and with it.
+    starts, ends = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
     for start, end, kind in tagged:
         while start < end and (text[start].isspace() or text[start] in ".,;:!?"):
             start += 1
@@ -159,7 +166,8 @@ def added_spans(text: str, tagged: list[tuple[int, int, int]], base: list[tuple[
         # Not a part of a longer word or number.
         if end <= start or start and text[start - 1].isalnum() or end < len(text) and text[end].isalnum():
             continue
-        if plausible(text[start:end], kind) and not any(a < end and start < b for a, b, _ in base):
+        before = bisect_left(starts, end)
+        if plausible(text[start:end], kind) and not (before and ends[before - 1] > start):
             found.append((start, end, kind))
     return found
 

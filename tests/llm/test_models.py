@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -332,3 +333,18 @@ def test_scores_of_odd_rows(spark):
     assert [by_id[i].n_tokens for i in (4, 6, 7, 8, 14)] == [1, 1, 1, 2, 30_001]
     assert len({r.train_tokens for r in got}) == 1 and all(math.isfinite(r.score) for r in got)
     assert lm_score.score_texts(empty(spark)).collect() == []
+
+
+def test_added_spans_of_many_tagged_and_base_spans():
+    """As comparing each with each, and in time that follows the length of the text."""
+    rng = random.Random(8)
+    text = "".join(rng.choice(["555-123-4567 ", "1.2.3.4 ", "a@b.cd ", "word ", "4111 1111 1111 1111 "]) for _ in range(300))
+    base = pii.base_spans(text)
+    tagged = sorted({(m.start(), m.end(), 3) for m in re.finditer("[0-9-]{12}", text)} | {(a, b - 1, 2) for a, b, _ in base[::3]})
+    plain = [(a, b, k) for a, b, k in pii.added_spans(text, tagged, []) if not any(x < b and a < y for x, y, _ in base)]
+    assert pii.added_spans(text, tagged, base) == plain and len(plain) > 30
+    many = "555-123-4567 1.2.3.4 " * 50_000
+    base = pii.base_spans(many)
+    began = time.perf_counter()
+    assert len(pii.added_spans(many, [(21 * i, 21 * i + 12, 3) for i in range(50_000)], base)) == 50_000
+    assert time.perf_counter() - began < 20
