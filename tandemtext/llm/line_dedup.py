@@ -7,7 +7,7 @@ positions are shuffled to find them; the texts move once, to meet their removed
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import copies_for, salt, salt_mask
@@ -44,22 +44,12 @@ def repeated_places(docs: DataFrame, lines: int = LINES) -> DataFrame:
         .select("_hash", "_first", copies_for("_mask").alias("_salt"))
     )
     later = places.join(repeated, ["_hash", "_salt"]).filter(~here.eqNullSafe(F.col("_first")))
-    # Overlapping windows merge: what is collected is the set of covered lines of one document.
-    return later.groupBy("_id", "_version").agg(F.array_distinct(F.flatten(F.collect_list("_at"))).alias("_places"))
+    # Overlapping windows merge: what is collected is the set of covered lines of one document, however often it is repeated.
+    return later.groupBy("_id", "_version").agg(F.array_distinct(F.flatten(F.collect_set("_at"))).alias("_places"))
 
 
-def remove_repeated_lines(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lines: int = LINES
-) -> DataFrame:
-    """``docs`` with later occurrences of repeated windows cut from the text, plus ``n_lines`` and ``n_removed``.
-
-    Lines are compared without spaces at their ends; blank lines don't take part and stay.
-    First is the smallest (id, hash of the text, position). NULL texts stay NULL with no lines,
-    texts of fewer than three non-blank lines are unchanged, NULL ids come first. Rows that
-    repeat an id and its text hold the same places and don't count as later than each other.
-    Other columns pass through, but for any named like the two added ones.
-    """
-    rows = docs.drop("n_lines", "n_removed")
+def _cut(rows: DataFrame, id_column: str, text_column: str, lines: int) -> tuple[DataFrame, list[Column]]:
+    """Rows as ``_row`` with their lines and covered places, and the columns of ``rows`` with repeated lines cut."""
     packed = rows.select(
         F.struct(*rows.columns).alias("_row"),
         F.col(id_column).alias("_id"),
@@ -76,8 +66,31 @@ def remove_repeated_lines(
     )
     left = F.expr("transform(array_except(sequence(0, size(_all) - 1), _places), i -> _all[i])")
     text = F.when(F.col("_places").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
+    return split, [(text if c == text_column else F.col("_row")[c]).alias(c) for c in rows.columns]
+
+
+def without_repeated_lines(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lines: int = LINES
+) -> DataFrame:
+    """As ``remove_repeated_lines``, with the columns of ``docs`` and no others, whatever their names."""
+    split, columns = _cut(docs, id_column, text_column, lines)
+    return split.select(*columns)
+
+
+def remove_repeated_lines(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lines: int = LINES
+) -> DataFrame:
+    """``docs`` with later occurrences of repeated windows cut from the text, plus ``n_lines`` and ``n_removed``.
+
+    Lines are compared without spaces at their ends; blank lines don't take part and stay.
+    First is the smallest (id, hash of the text, position). NULL texts stay NULL with no lines,
+    texts of fewer than three non-blank lines are unchanged, NULL ids come first. Rows that
+    repeat an id and its text hold the same places and don't count as later than each other.
+    Other columns pass through, but for any named like the two added ones.
+    """
+    split, columns = _cut(docs.drop("n_lines", "n_removed"), id_column, text_column, lines)
     return split.select(
-        *[(text if c == text_column else F.col("_row")[c]).alias(c) for c in rows.columns],
+        *columns,
         F.size("_all").cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_places"), F.lit(0)).cast("bigint").alias("n_removed"),
     )

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from helpers import COPY, agree, empty, odd, rows
+from pyspark.sql import functions as F
 
 from tandemtext.llm import exact_dedup, line_dedup
 
@@ -71,3 +72,17 @@ def test_lines_shared_by_a_third(spark):
     )
     got = line_dedup.remove_repeated_lines(docs.repartition(20))
     assert got.filter("n_removed = 3").count() == 299
+
+
+def test_text_only_variant_adds_nothing(spark):
+    docs = odd(spark).withColumn("n_lines", F.lit(7)).withColumn("n_removed", F.lit("x"))
+    cut = line_dedup.without_repeated_lines(docs)
+    assert cut.columns == docs.columns and {(r.n_lines, r.n_removed) for r in cut.collect()} == {(7, "x")}
+    assert {r.doc_id: r.text for r in cut.collect()}[13] == "x\n\ny"
+
+
+def test_a_row_repeated_very_often(spark):
+    text = "\n".join(f"line {i}" for i in range(40))
+    docs = spark.range(3000).selectExpr("IF(id < 2900, 7, id) AS doc_id", f"'{text}' AS text")
+    got = line_dedup.remove_repeated_lines(docs.repartition(10))
+    assert {(r.doc_id == 7, r.n_removed): r["count"] for r in got.groupBy("doc_id", "n_removed").count().collect()} == {(True, 0): 2900, (False, 40): 1}

@@ -89,5 +89,20 @@ def test_odd_and_empty_documents(spark):
         out.collect()
 
 
+def test_columns_of_any_name_pass_through(spark):
+    """Every name that a stage uses inside, as a user's column."""
+    names = "n_lines n_removed _kept _row _id _version _text _places _all _i _v _salt _mask _hash _at _key lang_pred score kept component_id node".split()
+    made = [(r.doc_id, r.text, r.lang, None, 5, *(f"{n}{k}" for n in names)) for k, r in enumerate(odd(spark).collect())]
+    docs = spark.createDataFrame(made, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, " + ", ".join(f"{n} STRING" for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        rows = out.collect()
+        if name != "packing":
+            assert out.columns == docs.columns and rows
+            was = {tuple(r[n] for n in names) for r in docs.collect()}
+            assert {tuple(r[n] for n in names) for r in rows} <= was
+            docs = spark.createDataFrame(rows, docs.schema)
+
+
 def test_queries_are_registered():
     assert [int(name[2:].split("_")[0]) for name in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
