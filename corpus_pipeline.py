@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tandemtext.llm.common import table
 from tandemtext.llm.language_id import keep_identified, train
-from tandemtext.llm.line_dedup import remove_repeated_lines
+from tandemtext.llm.line_dedup import without_repeated_lines
 from tandemtext.llm.minhash_dedup import near_duplicates
 from tandemtext.llm.packing import pack_documents
 from tandemtext.llm.pii import redact_personal_data, train_tagger
@@ -21,28 +21,38 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay; those without a letter go, and those of letters that the model never saw."""
+    """Documents whose language can be told stay; those without a letter go, and those of letters that the model never saw.
+
+    NULL and empty texts have no letter. Each row is judged by itself, so repeated rows go or stay together. Columns of any name pass through.
+    """
     return keep_identified(docs, train(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows are cut; every document stays, some of them empty."""
-    return _counted(remove_repeated_lines(docs).select(*docs.columns))
+    """Later occurrences of repeated three-line windows are cut; every document stays, some of them empty.
+
+    NULL texts stay NULL. Rows that repeat an id and its text lose the same lines. Columns of any name pass through.
+    """
+    return _counted(without_repeated_lines(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    """One document of each group of near-duplicates stays, the one with the smallest id.
+
+    Documents without words, NULL texts among them, are near nothing and stay. Rows that repeat an id stay or go together. Columns of any name pass through.
+    """
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    return rows.join(kept, F.col("_row")["doc_id"].eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts becomes ``<KIND>``."""
+    """Personal data in the texts becomes ``<KIND>``; NULL texts stay NULL, each row stands alone, columns of any name pass through."""
     return _counted(redact_personal_data(docs, train_tagger(docs)))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences. Workers have held other stages before, so their cache of words is smaller."""
+    """Pieces of training sequences; NULL texts are empty, repeated rows are packed each. Workers have held other stages before, so their cache of words is smaller."""
     return pack_documents(docs, vocabulary(BYTE_MODEL), most_words=300_000)
 
 
