@@ -307,6 +307,8 @@ SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS
 FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> ''"""
 ORACLES["scan_json_one_line"] = """
 SELECT doc_id AS article_index, CAST(0 AS BIGINT) AS sentence_index, text FROM documents WHERE text <> ''"""
+ORACLES["scan_json_unbalanced"] = """
+SELECT doc_id AS article_index, CAST(0 AS BIGINT) AS sentence_index, text FROM documents WHERE text <> '' AND lang IS DISTINCT FROM 'fr'"""
 ORACLES["record_pairs"] = f"""
 SELECT doc_id AS article_index, CAST(0 AS BIGINT) AS sentence_index, text AS source_text,
        CASE WHEN left(md5(text), 2) IN ('00', '01', '02') THEN text ELSE '[en] ' || text END AS english

@@ -168,6 +168,17 @@ def scan_json_one_line(spark, sf_dir):
     return read_text_records(spark, path).select("article_index", "sentence_index", "text")
 
 
+@query
+def scan_json_unbalanced(spark, sf_dir):
+    """Files in which every French document opens an array too many yield nothing, beside sound ones."""
+    docs, path = load_documents(spark, sf_dir, "lang"), scratch_path(spark, "json-unbalanced")
+    element = F.to_json(F.struct(F.col("text").alias("hiligaynon"), F.col("doc_id").alias("article_index")))
+    french = F.coalesce(F.col("lang") == "fr", F.lit(False))
+    write_json_arrays(docs.filter(~french).select(element.alias("value")), f"{path}/sound")
+    write_json_arrays(docs.filter(french).select(F.concat(element, F.lit(", [1")).alias("value")), f"{path}/broken")
+    return read_text_records(spark, f"{path}/*").select("article_index", "sentence_index", "text")
+
+
 @query
 def record_pairs(spark, sf_dir):
     docs = load_documents(spark, sf_dir)

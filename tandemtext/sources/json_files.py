@@ -3,7 +3,9 @@
 Files are cut at closing braces by the text reader, so a file without line breaks is split like any
 other. A piece may start inside a string and does not know its depth: quote parity and nesting change of every piece,
 for both cases, turn into its state by prefix sums over file blocks. Pieces are then regrouped into segments
-that hold whole elements of the wanted depth. No task sees more than one block or one element; elements
+that hold whole elements of the wanted depth. The same sums, with their minimum, tell of each file whether its brackets and quotes
+balance, from one row per block; a file in which they don't is told apart before anything is gathered, since
+its elements might never end. So no task sees more than one block or one element; elements
 without any object, such as plain numbers, are cut only where the next object ends.
 """
 
@@ -33,16 +35,18 @@ def _change(text: Column, closed: Column) -> Column:
     return _times(bare, "{[") - _times(bare, "]") - closed.cast("int")
 
 
-def json_segments(spark: SparkSession, path: str, depth: int) -> DataFrame:
+def json_segments(spark: SparkSession, path: str, depth: int, arrays: bool = True) -> DataFrame:
     """Runs of pieces that hold whole elements at nesting ``depth``.
 
-    Columns: ``file``, ``segment`` (running per file), ``depth_from``, ``depth_to``, ``body``.
+    Columns: ``file``, ``segment`` (running per file), ``depth_from``, ``depth_to``, ``body``. A file holds one array,
+    or one object if ``arrays`` is false. Of arrays that don't balance there are no segments; an object that doesn't is an error.
     """
     plain = F.regexp_replace("value", r"\\.", "")  # without escapes
     quotes = F.pmod(_times(plain, '"'), F.lit(2))
     scanned = spark.read.option("lineSep", "}").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("row"),
         "value",
         quotes.alias("quotes"),
@@ -61,20 +65,39 @@ def json_segments(spark: SparkSession, path: str, depth: int) -> DataFrame:
         "json-pieces",
     )
 
-    # One row per block from here on.
+    # One row per block from here on: sums and least sums for both cases.
     blocks = pieces.groupBy(*_BLOCK).agg(
-        F.sum("quotes").alias("q"), F.sum("d_a").alias("a"), F.sum("d_b").alias("b"), F.max("row").alias("last")
+        F.sum("quotes").alias("q"),
+        F.sum("d_a").alias("a"),
+        F.sum("d_b").alias("b"),
+        F.min("s_a").alias("low_a"),
+        F.min("s_b").alias("low_b"),
+        F.max("row").alias("last"),
+        (F.sum(F.octet_length("value") + 1)).alias("bytes"),
+        F.max("size").alias("size"),
     )
     parity = F.coalesce(F.sum("q").over(_before("block", "file")), F.lit(0)) % 2 == 1
-    turned = blocks.withColumn("odd", parity).withColumn("d", F.when(F.col("odd"), F.col("b")).otherwise(F.col("a")))
+    turned = (
+        blocks.withColumn("odd", parity)
+        .withColumn("d", F.when(F.col("odd"), F.col("b")).otherwise(F.col("a")))
+        .withColumn("low", F.when(F.col("odd"), F.col("low_b")).otherwise(F.col("low_a")))
+        .withColumn("depth", F.coalesce(F.sum("d").over(_before("block", "file")), F.lit(0)))
+    )
     whole = Window.partitionBy("file")
-    # The reader drops the brace that ends a piece; the end of a file has none if its sum is one short.
-    bare_end = (F.col("block") == F.max("block").over(whole)) & (F.sum("d").over(whole) == -1)
-    starts = turned.select(
-        *_BLOCK,
-        "odd",
-        F.coalesce(F.sum("d").over(_before("block", "file")), F.lit(0)).alias("depth"),
-        F.when(bare_end, F.col("last")).alias("open_row"),
+    # The reader drops the brace that ends a piece. Whether the end of a file has one follows from its size, which a mark
+    # at its start, three bytes, may be part of; of a compressed file, whose size is another, from the sum.
+    excess = F.sum("bytes").over(whole) - F.max("size").over(whole)
+    bare = F.when(excess.isin(1, -2), True).when(excess.isin(0, -3), False).otherwise(F.sum("d").over(whole) == -1)
+    ended = turned.withColumn("bare_end", (F.col("block") == F.max("block").over(whole)) & bare)
+    closed = F.sum("d").over(whole) + F.max(F.col("bare_end").cast("int")).over(whole) == 0
+    # Before the end is known to have no brace, its sum is one too low.
+    never_below = F.min(F.col("depth") + F.col("low")).over(whole) >= -F.max(F.col("bare_end").cast("int")).over(whole)
+    sound = closed & never_below & (F.sum("q").over(whole) % 2 == 0)
+    unsound = F.raise_error(F.concat(F.lit("brackets or quotes don't balance in "), "file")).cast("boolean")
+    starts = (
+        ended.withColumn("sound", sound)
+        .filter(F.col("sound") if arrays else F.when(F.col("sound"), True).otherwise(unsound))
+        .select(*_BLOCK, "odd", "depth", F.when(F.col("bare_end"), F.col("last")).alias("open_row"))
     )
     no_brace = F.col("row").eqNullSafe(F.col("open_row"))
     closes_outside = (F.col("inside") != F.col("odd")).cast("int") + F.col("quotes")
@@ -192,7 +215,7 @@ def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
     """
     entry = f"map<string,struct<{', '.join(f.replace(' ', ':', 1) for f in schemas.MANIFEST_ENTRY.split(', '))}>>"
     try:
-        segments = json_segments(spark, path, 2)
+        segments = json_segments(spark, path, 2, arrays=False)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in (missing.getCondition() or ""):
             raise

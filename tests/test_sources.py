@@ -1,4 +1,6 @@
+import gzip
 import json
+import random
 import os
 import re
 
@@ -26,7 +28,7 @@ from tandemtext.sources.files import (
     write_pairs_jsonl,
     write_spot_check,
 )
-from tandemtext.sources.json_files import read_json_array, read_manifest_json, read_text_records
+from tandemtext.sources.json_files import json_segments, read_json_array, read_manifest_json, read_text_records
 
 
 def test_text_column_choice():
@@ -296,3 +298,57 @@ def test_a_scope_deletes_its_tables(spark):
         assert inner.count() == 4 and os.path.exists(path)
     assert not os.path.exists(path) and before.count() == 3
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+@pytest.mark.parametrize("split", ["128m", "2k"])
+def test_damaged_arrays_yield_nothing_and_gather_nothing(spark, tmp_path, split):
+    """Every file that a JSON parser refuses gives no rows, all others all of theirs, over one block or many."""
+    rng = random.Random(9)
+    items = [{"t": rng.choice(["a", "b}", "[c", '"', "\\\\", "]{"]), "n": [i, {"x": {}}]} for i in range(120)]
+    text = json.dumps(items, indent=rng.choice([None, 1]))
+    marks = [i for i, c in enumerate(text) if c in '[]{}"']
+    want = {}
+    for k in range(40):
+        at = rng.choice(marks)
+        body = text[:at] + rng.choice(["", text[at] * 2, rng.choice('[]{}"')]) + text[at + 1 :] if k else text
+        (tmp_path / f"f{k:02}.json").write_text(body, encoding="utf-8")
+        try:
+            want[f"f{k:02}.json"] = len(json.loads(body))
+        except ValueError:
+            pass
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {r["f"]: r["count"] for r in read_json_array(spark, str(tmp_path)).groupBy(F.element_at(F.split("file", "/"), -1).alias("f")).count().collect()}
+        longest = {r["f"]: r["n"] for r in json_segments(spark, str(tmp_path), 1).groupBy(F.element_at(F.split("file", "/"), -1).alias("f")).agg(F.max(F.length("body")).alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want and 1 <= len(want) < 20
+    # What is gathered anywhere is about an element long, if only because most damaged files aren't gathered at all.
+    assert len(longest) < 25 and longest["f00.json"] < 200
+
+
+def test_marked_and_compressed_files(spark, tmp_path):
+    body = json.dumps([{"t": i} for i in range(9)]).encode()
+    (tmp_path / "marked.json").write_bytes(b"\xef\xbb\xbf" + body)
+    (tmp_path / "packed.json.gz").write_bytes(gzip.compress(body))
+    (tmp_path / "broken.json.gz").write_bytes(gzip.compress(body[:-1]))
+    files = read_json_array(spark, str(tmp_path)).groupBy(F.element_at(F.split("file", "/"), -1)).count().collect()
+    assert sorted(map(tuple, files)) == [("marked.json", 9), ("packed.json.gz", 9)]
+
+
+@pytest.mark.parametrize("body", ['[{"t": 1}, [{"t": 2}, {"t": 3}]', '{"t": 1}]', '[{"t": 1}]]', '[{"t": "x}, {"t": 2}]', '[[{"t": 1}]'])
+def test_an_unbalanced_array_has_no_segments(spark, tmp_path, body):
+    (tmp_path / "a.json").write_text(body, encoding="utf-8")
+    assert json_segments(spark, str(tmp_path), 1).count() == 0
+
+
+@pytest.mark.parametrize("end", ["", "\n", " \r\n\t"])
+def test_an_unbalanced_manifest_fails_the_read(spark, tmp_path, end):
+    body = json.dumps({"metadata": {}, "chunks": {str(i): {"sentence_count": i} for i in range(9)}})
+    (tmp_path / "m.json").write_text(body + end, encoding="utf-8")
+    assert read_manifest_json(spark, str(tmp_path)).count() == 9
+    for bad in (body[:-1] + end, body.replace("{", "{{", 1) + end, body.replace('"3"', '"3', 1) + end):
+        (tmp_path / "m.json").write_text(bad, encoding="utf-8")
+        with pytest.raises(Exception, match="balance"):
+            read_manifest_json(spark, str(tmp_path)).collect()
