@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,18 +17,42 @@ CHUNK_SIZE = 100
 RANGES = 1024
 
 
+def _nth_text(ids: DataFrame, n: int) -> tuple[str | None, int]:
+    """The n-th of the texts in column ``id``, all different, and how many there are; the last one if they are fewer.
+
+    Ids are counted by the character after what all that remain begin with, and only those of the
+    character that the n-th has remain. Each step is one map-side combined count, with as many groups as there are characters.
+    """
+    prefix, before, known = "", 0, None
+    rest = ids.filter("id IS NOT NULL")
+    while True:
+        place = F.substring("id", len(prefix) + 1, 1).alias("place")
+        groups = rest.groupBy(place).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).collect()
+        if known is None:
+            known = sum(g["n"] for g in groups)
+            n = min(n, known)
+            if not known:
+                return None, 0
+        for group in sorted(groups, key=lambda g: g["place"]):
+            if before + group["n"] >= n:
+                break
+            before += group["n"]
+        if group["low"] == group["high"]:
+            return group["low"], known
+        prefix = os.path.commonprefix([group["low"], group["high"]])
+        rest = ids.filter(F.startswith("id", F.lit(prefix)))
+
+
 def limit_articles(df: DataFrame, n: int | None, order_by: str = "doc_id") -> DataFrame:
     """The first ``n`` articles by their unique id; 0 or None means all, NULL ids come last.
 
-    The n-th id is found by counting ids in ever narrower ranges, so nothing is sorted or
-    gathered, and is then a plain upper bound for the scan of the texts. Of ids that are texts, which
-    have no such ranges, the ids alone are numbered in order.
+    The n-th id is found by counting ids in ever narrower ranges, or of texts by ever longer
+    beginnings, so nothing is sorted or gathered, and is then a plain upper bound for the scan of the texts.
     """
     if not n:
         return df
     if df.schema[order_by].dataType.typeName() == "string":
-        named = with_ordinal(df.select(order_by).filter(F.col(order_by).isNotNull()), [order_by], "_rank")
-        last, known = named.agg(F.max_by(order_by, F.when(F.col("_rank") <= n, F.col("_rank"))), F.count(F.lit(1))).first()
+        last, known = _nth_text(df.select(F.col(order_by).alias("id")), n)
         first = df.filter(F.col(order_by) <= F.lit(last))
         return first.unionByName(df.filter(F.col(order_by).isNull()).limit(max(0, n - known)))
     ids = df.select(F.col(order_by).cast("decimal(20,0)").alias("id"))

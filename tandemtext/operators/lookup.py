@@ -92,30 +92,35 @@ def split_flags(
     return test(True), test(False), dictionary.filter(~hot)
 
 
+def hot_keys(rows: DataFrame, on: list[str], hot_share: int = 1000) -> list[tuple[int, int]]:
+    """``(hash, salts)`` of keys that hold more than 1/``hot_share`` of the rows, as many salts as they hold such shares.
+
+    One pass with a sketch of frequent 64-bit hashes, combined map-side, so nothing is shuffled by key. It
+    tracks many times as many hashes as can be hot and misses none of those; a clash only salts one more key.
+    """
+    frequent = F.expr(f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in on)}), {hot_share}, {20 * hot_share})")
+    total, found = rows.agg(F.count(F.lit(1)), frequent).first()
+    return [(e["item"], -(-e["count"] * hot_share // total)) for e in found if e["count"] * hot_share > total]
+
+
 def salted_left_join(
     left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], hot_share: int = 1000
 ) -> DataFrame:
     """Left equi-join that splits keys holding more than 1/``hot_share`` of the left rows.
 
-    Hot keys are found by a map-side combined count over a 64-bit hash, so fewer than
-    ``hot_share`` numbers pass the driver; a hash clash only salts one more
-    key. A hot key gets as many salts as it holds shares of 1/``hot_share``: left rows spread over them
+    Without such keys it is a plain join. A hot key gets as many salts as it holds shares of 1/``hot_share``: left rows spread over them
     by a hash of ``spread_by`` (their row key, so retried tasks agree), and the
     few matching right rows are repeated once per salt. Nothing is dropped.
-    ``left`` is read twice and should be a written table.
+    ``left`` is evaluated twice.
     """
-    hashed = F.xxhash64(*on)
-    counts = left.select(hashed.alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    total = F.col("_total")
-    shares = F.ceil(F.col("_n") * hot_share / total).cast("int")
-    rows = left.agg(F.count(F.lit(1))).first()[0]
-    hot_rows = (
-        counts.withColumn("_total", F.lit(rows)).filter(F.col("_n") * hot_share > total).select("_key", shares.alias("_salts"))
-    ).collect()
-    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, "_key bigint, _salts int"))
+    found = hot_keys(left, on, hot_share)
+    if not found:
+        return left.join(right, on, "left")
+    # Fewer than ``hot_share`` rows of two numbers.
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, "_key bigint, _salts int"))
 
     def flag(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key", hashed).join(hot, "_key", "left").drop("_key")
+        return df.withColumn("_key", F.xxhash64(*on)).join(hot, "_key", "left").drop("_key")
 
     spread: Column = F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")
     salted = flag(left).withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")

@@ -100,9 +100,8 @@ def memory_translation(lines: DataFrame, memory: DataFrame, keys: list[str], col
     """Translate from a table ``memory(source_text, translated)``; a miss is a failure.
 
     One hit per text: of several, the smallest translation. Joined on the text
-    itself; a text that fills much of the corpus is salted. ``lines`` are written once.
+    itself; a text that fills much of the corpus is salted. ``lines`` are evaluated twice: write them first if they are dear.
     """
-    lines = stage(lines, "lines")
     best = memory.groupBy(F.col("source_text").alias(col)).agg(F.min("translated").alias("translated"))
     joined = salted_left_join(lines, best, [col], keys)
     return joined.withColumn("ok", F.col("translated").isNotNull() & (F.col("translated") != ""))

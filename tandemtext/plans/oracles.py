@@ -458,6 +458,13 @@ lines AS (SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 2 = 0 THEN 'the one fre
 memory AS (SELECT DISTINCT line FROM own WHERE length(line) % 3 = 0 UNION SELECT 'the one frequent line')
 SELECT doc_id, pos, m.line IS NOT NULL AS ok FROM lines LEFT JOIN memory m ON m.line = lines.line"""
 ORACLES["training_slices"] = f"WITH {NUMBERED} SELECT ordinal AS seq_id, (ordinal - 1) // 1000 AS batch_index FROM numbered"
+ORACLES["next_training_slice"] = f"""
+WITH {PAIRS}, half AS (SELECT ((count(*) + 999) // 1000) // 2 AS i FROM demo)
+SELECT seq_id, english, (seq_id - 1) // 1000 AS batch_index, i AS next_index FROM demo, half WHERE (seq_id - 1) // 1000 = i"""
+ORACLES["limit_articles_texts"] = """
+WITH ids AS (SELECT CASE WHEN doc_id % 10 = 3 THEN NULL ELSE 'article-' || (doc_id * 7919 % 1000003) END AS doc_id FROM documents),
+taken AS (SELECT doc_id FROM ids QUALIFY row_number() OVER (ORDER BY doc_id NULLS LAST) <= (SELECT count(*) // 3 FROM ids))
+SELECT doc_id, count(*) AS n FROM taken GROUP BY doc_id"""
 ORACLES["training_batch_summary"] = f"WITH {KEPT} SELECT count(*) AS n_samples, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_batches FROM kept"
 ORACLES["progress_status"] = f"""
 WITH {KEPT}, n AS (SELECT count(*) AS n, (count(*) + 999) // 1000 AS b FROM kept)

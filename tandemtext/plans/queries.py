@@ -32,6 +32,7 @@ from ..operators.training import (
     build_vocabulary,
     concat_datasets,
     encode_pairs,
+    next_slice,
     pipeline_status,
     progress_log,
     progress_status,
@@ -41,6 +42,7 @@ from ..operators.training import (
     start_records,
     training_batch_summary,
     training_slices,
+    write_slices,
 )
 from ..operators.translate import (
     KEEP_SOURCE,
@@ -685,6 +687,25 @@ def run_training_slices(spark, sf_dir):
     return training_slices(_demo_pairs(spark, sf_dir)).select("seq_id", "batch_index")
 
 
+@query
+def next_training_slice(spark, sf_dir):
+    """Half of the slices are done; the log names the next one, and the store gives its pairs alone."""
+    path, pairs = scratch_path(spark, "slices"), stage(_demo_pairs(spark, sf_dir), "pairs")
+    write_slices(pairs, path, per_folder=4)
+    slices = training_slices(pairs)
+    half = training_batch_summary(pairs).first()["n_batches"] // 2
+    index, rows = next_slice(spark, path, progress_log(slices.filter(F.col("batch_index") < half), run_ts()), per_folder=4)
+    return rows.select("seq_id", "english", "batch_index", F.lit(index).cast("bigint").alias("next_index"))
+
+
+@query
+def limit_articles_texts(spark, sf_dir):
+    """A third of the articles by an id that is a text, some of them without one."""
+    docs = load_documents(spark, sf_dir)
+    named = docs.withColumn("doc_id", F.expr("IF(doc_id % 10 = 3, NULL, concat('article-', doc_id * 7919 % 1000003))"))
+    return limit_articles(named, docs.count() // 3).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def run_training_batch_summary(spark, sf_dir):
     return training_batch_summary(_demo_pairs(spark, sf_dir))

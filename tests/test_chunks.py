@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,17 @@ def test_work_selection(spark):
     assert sorted(r["chunk_id"] for r in batch_work(chunks, manifest, 0).collect()) == [1, 3, 5]
     assert sorted(r["chunk_id"] for r in batch_work(chunks, manifest).collect()) == [1, 2, 3, 4, 5, 6]
     assert sorted(r["chunk_id"] for r in batch_work(chunks).collect()) == [4, 5, 6]
+
+
+def test_limit_by_text_ids(spark):
+    rng = random.Random(6)
+    names = sorted({"".join(rng.choice("abé日\U0001f600/") for _ in range(rng.randint(0, 6))) for _ in range(400)} | {"same-long-start-" + str(i) for i in range(300)})
+    df = spark.createDataFrame([(n, "x") for n in rng.sample(names, len(names))] + [(None, "x")] * 5, "doc_id STRING, text STRING").repartition(6)
+    ordered = sorted(names, key=lambda s: s.encode())
+    for n in (1, 2, 77, 350, len(names) - 1, len(names), len(names) + 3, len(names) + 50):
+        got = [r["doc_id"] for r in limit_articles(df, n).collect()]
+        assert sorted((g for g in got if g is not None), key=lambda s: s.encode()) == ordered[:n]
+        assert got.count(None) == min(5, max(0, n - len(names)))
+    plan = limit_articles(df, 77)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan
+    assert limit_articles(df.filter("doc_id IS NULL"), 3).count() == 3 and limit_articles(df.limit(0), 3).count() == 0
