@@ -4,7 +4,8 @@ The model is the n-gram counts of the whole training part, so it grows with the
 never sent anywhere whole. Documents are dealt into blocks of bounded size. A block sends the keys
 of its distinct n-grams with their local counts to buckets of keys; a bucket adds them up and
 answers each block in the order asked, so no key travels twice. From the answers a
-block builds the part of the automaton that its own texts can visit, and walks them.
+block builds the part of the automaton that its own texts can visit, as sorted arrays, and walks
+all its texts from left to right, one step of many texts at a time; a text carries its state from word to word.
 
 States are the n-grams seen in training, with an arc for each word that followed and a failure arc,
 taken at a cost, to the state of the shorter history:
@@ -32,6 +33,8 @@ MASS = 32.0
 # Characters of a block; a task needs about 40 bytes of memory for each.
 BLOCK_CHARS = 12_000_000
 FOLDS, HELD_OUT = 7, 2
+# Tokens that are walked one after the other; more pieces at a time make fewer, larger steps.
+PIECE = 256
 # No word has a space inside, so this can't be one.
 END = b" "
 MIX = np.uint64(0x9E3779B97F4A7C15)  # a fixed odd number
@@ -90,42 +93,87 @@ class Block:
         found[at[seen]] = seen
         return found
 
-    def score(self, totals: list[np.ndarray], learned: int, distinct: int) -> tuple[np.ndarray, np.ndarray]:
-        """Base and model log10 probabilities of every token.
 
-        ``totals`` are the corpus counts of the block's n-grams, ``learned`` and ``distinct`` the corpus's
-        tokens and distinct tokens.
+class Automaton:
+    """The states that a block's texts can visit, with their arcs and failure arcs.
+
+    State 0 is the root; the others are the n-grams, shorter than the order, that were seen in training. An
+    arc leads from a history by a word to the longest state that ends there, with the log10 probability as its
+    weight. Arcs are sorted by state and word. A word without an arc at the root is unknown.
+    """
+
+    def __init__(self, block: Block, totals: list[np.ndarray], learned: int, distinct: int) -> None:
+        self.order, self.words, self.starts, self.lengths = len(totals), block.at[0], block.starts, block.lengths
+        self.width = np.int64(max(1, len(totals[0])))
+        self.unknown = float(-np.log10(learned + distinct + 1))
+        first = np.cumsum([1, *(len(t) for t in totals)])  # the number of the first state of each length
+        self.failure = np.zeros(first[self.order - 1], dtype=np.int64)
+        self.cost = np.zeros(len(self.failure))
+        chance = (totals[0] + 1) / (learned + distinct + 1)
+        codes, weights, targets = [], [], []
+        for n in range(self.order):
+            last, history = block.example[n], np.zeros(len(totals[n]), dtype=np.int64)
+            if n:
+                history = first[n - 1] + block.at[n - 1][last - 1]
+                counts = totals[n - 1][block.at[n - 1][last - 1]]
+                chance = (totals[n] + MASS * chance[block.at[n - 1][last]]) / (counts + MASS)
+            if n + 1 < self.order:
+                here = slice(first[n], first[n + 1])
+                self.cost[here] = np.log10(MASS / (totals[n] + MASS))
+                if n:
+                    self.failure[here] = first[n - 1] + block.at[n - 1][last]
+            seen = np.flatnonzero(totals[n] > 0)
+            codes.append(history[seen] * self.width + block.at[0][last[seen]])
+            weights.append(np.log10(chance[seen]))
+            # The longest n-grams are no states: what follows them begins at their longest end.
+            longest = first[n - 1] + block.at[n - 1][last[seen]] if n else np.zeros(len(seen), dtype=np.int64)
+            targets.append(first[n] + seen if n + 1 < self.order else longest)
+        rank = np.argsort(np.concatenate(codes))
+        self.codes, self.weights, self.targets = (np.concatenate(c)[rank] for c in (codes, weights, targets))
+        self.base = np.where(totals[0] > 0, np.log10((totals[0] + 1) / (learned + distinct + 1)), self.unknown)
+
+    def _step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probabilities of one word of each text, and the states after them."""
+        total, states = np.zeros(len(states)), states.copy()
+        left = np.arange(len(states))
+        while len(left):
+            code = states[left] * self.width + words[left]
+            arc = np.searchsorted(self.codes, code)
+            hit = arc < len(self.codes)
+            hit[hit] = self.codes[arc[hit]] == code[hit]
+            found, arc = left[hit], arc[hit]
+            total[found] += self.weights[arc]
+            states[found] = self.targets[arc]
+            left = left[~hit]
+            lost = left[states[left] == 0]
+            total[lost] += self.unknown
+            left = left[states[left] != 0]
+            total[left] += self.cost[states[left]]
+            states[left] = self.failure[states[left]]
+        return total, states
+
+    def walk(self) -> np.ndarray:
+        """Log10 probabilities of all tokens.
+
+        Long texts are walked in pieces at the same time. A piece begins as many words early as a state has at most,
+        from the root: whatever was before, its state is then that of the whole walk.
         """
-        order = len(totals)
-        chance = [(totals[0] + 1) / (learned + distinct + 1)]
-        fail = [np.log10(MASS / (totals[0] + MASS))]
-        for n in range(1, order):
-            last = self.example[n]
-            shorter, history = chance[n - 1][self.at[n - 1][last]], totals[n - 1][self.at[n - 1][last - 1]]
-            chance.append((totals[n] + MASS * shorter) / (history + MASS))
-            fail.append(np.log10(MASS / (totals[n] + MASS)))
-        arcs = [np.log10(c) for c in chance]
-        base = arcs[0][self.at[0]]
-
-        # Depth of the state after each token: the longest n-gram ending there that is a state.
-        depth = np.zeros(len(self.tokens), dtype=np.int64)
-        for n in range(1, order):
-            here = np.flatnonzero(self.at[n - 1] >= 0)
-            depth[here[totals[n - 1][self.at[n - 1][here]] > 0]] = n
-        before = np.concatenate([[0], depth[:-1]])
-        before[self.starts] = 0
-        total = np.zeros(len(self.tokens))
-        left = np.arange(len(self.tokens))
-        for n in range(order, 1, -1):
-            tried = left[before[left] >= n - 1]
-            number = self.at[n - 1][tried]
-            hit = totals[n - 1][number] > 0
-            total[tried[hit]] += arcs[n - 1][number[hit]]
-            missed = tried[~hit]
-            total[missed] += fail[n - 2][self.at[n - 2][missed - 1]]
-            left = np.concatenate([left[before[left] < n - 1], missed])
-        total[left] += base[left]
-        return base, total
+        counts = -(-self.lengths // PIECE)
+        text = np.repeat(np.arange(len(counts)), counts)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        lead = np.where(number > 0, self.order - 1, 0)
+        begin = self.starts[text] + number * PIECE - lead
+        size = np.minimum((number + 1) * PIECE, self.lengths[text]) - number * PIECE + lead
+        rank = np.argsort(-size, kind="stable")
+        begin, size, lead = begin[rank], size[rank], lead[rank]
+        gained, states = np.zeros(len(self.words)), np.zeros(len(rank), dtype=np.int64)
+        for step in range(int(size[0]) if len(size) else 0):
+            active = int(np.searchsorted(-size, -step, side="left"))
+            place = begin[:active] + step
+            total, states[:active] = self._step(states[:active], self.words[place])
+            own = step >= lead[:active]
+            gained[place[own]] = total[own]
+        return gained
 
 
 def _shrunk(counts: np.ndarray) -> bytes:
@@ -163,13 +211,16 @@ def score_texts(
     Learns from the rows whose crc32(id as text) mod 7 is not 2 and scores all. NULL and empty texts
     are their end token; a NULL id counts as an empty text in the checksum. Repeated rows are
     learned from and scored each. Other columns are ignored. No rows give no rows.
+
+    ``docs`` should be a table as it was read: rows are dealt to blocks by their places in it, which have to be the same
+    if an executor is lost. Answers that don't fit a block stop the query.
     """
     given = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     size = given.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("rows")).first()
     blocks = max(1, -(-((size["chars"] or 0) + size["rows"]) // block_chars))
     buckets = blocks
-    # Equal rows share a block, whatever their number; near ones don't, so ids with many rows are spread.
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
+    # By the place of a row: not even equal rows share a block for being equal.
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block")
     dealt = given.select("doc_id", "text", (crc_remainder("doc_id", FOLDS) != HELD_OUT).alias("learn"), block)
 
     def ask(key, table):
@@ -222,7 +273,8 @@ def score_texts(
             totals.append(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64))
             if len(totals[-1]) != len(held.keys[n - 1]):
                 raise RuntimeError("the answers don't fit the block")
-        base, total = held.score(totals, learned, known)
+        automaton = Automaton(held, totals, learned, known)
+        base, total = automaton.base[held.at[0]], automaton.walk()
         seen = (totals[0][held.at[0]] > 0).astype(np.int64)
         add = lambda values: np.add.reduceat(values, held.starts)
         ids = texts.column("doc_id")

@@ -303,7 +303,7 @@ def brute_scores(rows, order):
     }
 
 
-@pytest.mark.parametrize("order, block", [(1, 10**6), (2, 12_000_000), (2, 50_000), (3, 90_000)])
+@pytest.mark.parametrize("order, block", [(1, 10**6), (2, 12_000_000), (2, 50_000), (3, 90_000), (4, 400_000)])
 def test_scores_against_brute_force(spark, order, block):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("length(text) < 3000 OR text IS NULL")
     want = brute_scores([(r.doc_id, r.text) for r in docs.collect()], order)
@@ -315,6 +315,28 @@ def test_scores_against_brute_force(spark, order, block):
         assert r.base_score == pytest.approx(w[4], rel=1e-12) and r.score == pytest.approx(w[5], rel=1e-12)
 
 
+@pytest.mark.parametrize("order, piece", [(1, 1), (2, 1), (2, 3), (3, 2), (4, 3), (4, 256)])
+def test_pieces_of_a_text_carry_its_state(monkeypatch, order, piece):
+    """A text that is walked in pieces has the scores of one walk, whatever the pieces' length from a state's on."""
+    monkeypatch.setattr(lm_score, "PIECE", piece)
+    rng = random.Random(order)
+    rows = [(i, " ".join(rng.choice("a b c d") for _ in range(rng.choice([0, 1, 2, 5, 40])))) for i in range(60)]
+    block = lm_score.Block([t.encode() for _, t in rows], np.array([fold(i, 7) != 2 for i, _ in rows]), order)
+    learned, distinct = int(block.counts[0].sum()), int((block.counts[0] > 0).sum())
+    walked = lm_score.Automaton(block, block.counts, learned, distinct).walk()
+    want = brute_scores(rows, order)
+    for i, begin, size in zip(range(60), block.starts, block.lengths):
+        assert walked[begin : begin + size].sum() == pytest.approx(want[i][5], rel=1e-12)
+
+
+def test_a_repeated_row_is_dealt_to_many_blocks(spark):
+    docs = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 3 = 0, NULL, concat('w', id)) AS text").repartition(6)
+    got = lm_score.score_texts(docs, block_chars=1000)
+    blocks = docs.groupBy(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(10))).count().collect()
+    assert max(r["count"] for r in blocks) < 400
+    assert got.count() == 3000 and got.filter("doc_id IS NULL").select("score").distinct().count() == 1
+
+
 def test_the_model_beats_single_words_and_sums_to_one(spark):
     docs = spark.range(400).selectExpr("id AS doc_id", "concat('a b c ', IF(id % 2 = 0, 'd e', 'e d')) AS text")
     held = [r for r in lm_score.score_texts(docs).collect() if r.held_out]
