@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .common import ascii_lower, sampled
 
 # (verdict, host and path); the longest that fits wins.
@@ -22,6 +23,8 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 # Labelled URLs to fit on, in expectation, and the shape of the ensemble.
 MOST_LABELLED = 20_000
 TREES, DEPTH = 20, 4
+# URLs that a suffix's share of bad ones counts as having beside its own, and folds of which a row's own is left out.
+PRIOR, SUFFIX_FOLDS = 20, 5
 FEATURES = (
     "length",
     "depth",
@@ -107,35 +110,46 @@ class UrlModel:
     """Suffix statistics and trees, or one constant score where the labels have no two classes."""
 
     def __init__(self, labelled: DataFrame, url_column: str = "url", label_column: str = "bad") -> None:
-        """``labelled``: URLs with a label of 0 or 1. More than ``MOST_LABELLED`` are thinned by a hash of the URL."""
-        counts = labelled.agg(F.count(label_column).alias("n"), F.sum(F.col(label_column).cast("bigint")).alias("bad")).first()
+        """``labelled``: URLs with a label of 0 or 1; NULL is none. More than ``MOST_LABELLED`` are thinned by a hash of the URL.
+
+        The chosen rows are written once, with their features: the trainer passes over them for every level of every tree.
+        """
+        known = labelled.filter(F.col(label_column).isNotNull())
+        counts = known.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label_column).cast("bigint")).alias("bad")).first()
         n, bad = counts["n"], counts["bad"] or 0
         self.rate = bad / n if n else 0.0
-        kept = labelled.filter(F.col(label_column).isNotNull()).filter(
-            sampled(F.xxhash64(url_column, F.lit("urls")), MOST_LABELLED / n if n else 0.0)
-        )
-        rows = lexical(_parsed(kept, url_column, F.col(label_column).cast("double").alias("_label")))
+        kept = known.filter(sampled(F.xxhash64(url_column, F.lit("urls")), MOST_LABELLED / n if n else 0.0))
+        fold = F.pmod(F.xxhash64(url_column, F.lit("folds")), F.lit(SUFFIX_FOLDS)).cast("int").alias("_fold")
+        rows = stage(lexical(_parsed(kept, url_column, F.col(label_column).cast("double").alias("_label"), fold)), "urls")
         # One row per suffix of the bounded sample.
-        self.suffixes = rows.groupBy("_suffix").agg(
-            ((F.sum("_label") + 20 * self.rate) / (F.count(F.lit(1)) + 20)).alias("suffix_rate"),
-            F.log1p(F.count(F.lit(1)).cast("double")).alias("suffix_weight"),
-        )
+        sums = rows.groupBy("_suffix").agg(F.sum("_label").alias("_bad"), F.count(F.lit(1)).alias("_all"))
+        self.suffixes = sums.select("_suffix", *self._statistics(F.col("_bad"), F.col("_all")))
         self.trees = None
         if rows.select("_label").distinct().count() == 2:
+            # A training row's statistics are those of the other folds, or it would tell the trees its own label.
+            own = rows.groupBy("_suffix", "_fold").agg(F.sum("_label").alias("_b"), F.count(F.lit(1)).alias("_a"))
+            others = own.join(sums, "_suffix").select(
+                "_suffix", "_fold", *self._statistics(F.col("_bad") - F.col("_b"), F.col("_all") - F.col("_a"))
+            )
+            vectors = self._vectors(rows.join(F.broadcast(others), ["_suffix", "_fold"], "left")).select("_label", "_features")
             trainer = GBTClassifier(labelCol="_label", featuresCol="_features", maxIter=TREES, maxDepth=DEPTH, seed=7)
-            self.trees = trainer.fit(self._vectors(rows).select("_label", "_features"))
+            self.trees = trainer.fit(vectors)
+
+    def _statistics(self, bad: Column, count: Column) -> list[Column]:
+        """Share of bad URLs, drawn towards that of all, and how much there is to go by."""
+        rate = (bad + PRIOR * self.rate) / (count + PRIOR)
+        return [rate.alias("suffix_rate"), F.log1p(count.cast("double")).alias("suffix_weight")]
 
     def _vectors(self, rows: DataFrame) -> DataFrame:
-        known = rows.join(F.broadcast(self.suffixes), "_suffix", "left").fillna(
-            {"suffix_rate": self.rate, "suffix_weight": 0.0}
-        )
+        known = rows.fillna({"suffix_rate": self.rate, "suffix_weight": 0.0})
         return VectorAssembler(inputCols=list(FEATURES), outputCol="_features").transform(known)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Adds ``score``, the probability of a bad URL, to rows with the lexical features."""
         if self.trees is None:
             return rows.withColumn("score", F.lit(self.rate))
-        scored = self.trees.transform(self._vectors(rows))
+        known = rows.join(F.broadcast(self.suffixes), "_suffix", "left")
+        scored = self.trees.transform(self._vectors(known))
         return scored.withColumn("score", vector_to_array("probability")[1])
 
 

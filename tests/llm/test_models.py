@@ -156,6 +156,53 @@ def test_trees_on_held_out_urls(spark):
     assert any(r.verdict == "block" for r in got)
 
 
+def brute_features(url, stats, rate):
+    host, path, _, _ = brute_url(url)
+    url = url or ""
+    query = re.search(r"\?([^#]*)", url)
+    labels = host.split(".")
+    share = [n / len(url) for n in collections.Counter(url).values()]
+    bad, count = stats.get(labels[-1], (None, None))
+    return {
+        "length": len(url),
+        "depth": sum(x != "" for x in path.split("/")),
+        "digit_ratio": sum(c in "0123456789" for c in url) / len(url) if url else 0.0,
+        "entropy": -sum(p * math.log2(p) for p in share),
+        "parameters": sum(x != "" for x in (query.group(1) if query else "").split("&")),
+        "host_length": len(host),
+        "host_labels": len(labels),
+        "host_hyphens": host.count("-"),
+        "longest_label": max(map(len, labels)),
+        "suffix_rate": rate if bad is None else (bad + url_filter.PRIOR * rate) / (count + url_filter.PRIOR),
+        "suffix_weight": 0.0 if bad is None else math.log1p(count),
+    }
+
+
+def test_features_and_suffix_statistics_against_brute_force(spark):
+    made = [u for u in URLS if u and "://" in u] + ["http://a-b.c-d.zz/x?a=1&&b=2&c#f", "http://q.zz", "http://r.yy/1/2//3"]
+    labelled = [(u, i % 3 % 2 if i % 4 else None) for i, u in enumerate(made)]
+    model = url_filter.UrlModel(spark.createDataFrame(labelled, "url STRING, bad INT"))
+    known = [(u, b) for u, b in labelled if b is not None]
+    rate = sum(b for _, b in known) / len(known)
+    stats = {}
+    for u, b in known:
+        bad, count = stats.get(suffix := brute_url(u)[0].split(".")[-1], (0, 0))
+        stats[suffix] = (bad + b, count + 1)
+    rows = url_filter.lexical(url_filter._parsed(spark.createDataFrame([(u,) for u in URLS + made], "url STRING"), "url", F.col("url")))
+    got = model._vectors(rows.join(model.suffixes, "_suffix", "left")).collect()
+    assert len(got) == len(URLS + made) and model.rate == pytest.approx(rate)
+    for r in got:
+        want = brute_features(r.url, stats, rate)
+        assert {n: r[n] for n in url_filter.FEATURES} == pytest.approx(want), r.url
+        assert r._features.toArray().tolist() == pytest.approx([want[n] for n in url_filter.FEATURES])
+
+
+def test_labels_of_unknown_kinds_teach_nothing(spark):
+    urls = ["http://a.example.com/", "http://my-site.example.com/", "http://casino-win.x/", "http://x1.org/", "http:none"]
+    got = queries.labelled_urls(spark.createDataFrame([(u,) for u in urls], "url STRING"))
+    assert [r.bad for r in got.collect()] == [0, None, 1, 0, None]
+
+
 # --- personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
