@@ -104,6 +104,63 @@ def test_no_sample_of_a_large_table_is_empty(spark):
     assert hashes.filter(common.sampled(F.col("h"), 1.0)).count() == 4
 
 
+def brute_languages(rows):
+    """(language, score) of every text, with plain dictionaries and 64-bit numbers."""
+    words_of = lambda t: language_id.LETTERS.findall(t.lower())
+    held = {}
+    for i, text, lang in rows:
+        if fold(i, 5) and text is not None and lang is not None and words_of(text):
+            held.setdefault(lang, collections.Counter()).update(words_of(text))
+    langs = sorted(held)
+
+    def grams(word, order):
+        padded = f" {word} "
+        return list(word) if order == 1 else [padded[k : k + order] for k in range(len(padded) - order + 1)]
+
+    def table(counts):
+        keys, small = set().union(*counts.values()), language_id.SMOOTHING
+        base = {lang: math.log(small / (sum(c.values()) + small * len(keys))) for lang, c in counts.items()}
+        return {k: np.array([base[x] + math.log(counts[x][k] / small + 1) for x in langs]) for k in keys}
+
+    tables = [table(held)]
+    for order in language_id.ORDERS:
+        found = {lang: collections.Counter() for lang in langs}
+        for lang, counts in held.items():
+            for word, n in counts.items():
+                for gram in grams(word, order):
+                    found[lang][gram] += n
+        tables.append(table(found))
+
+    def row(word):
+        if word in tables[0]:
+            return tables[0][word]
+        for order, known in zip(language_id.ORDERS, tables[1:]):
+            rows = [known[g] for g in grams(word, order) if g in known]
+            if rows:
+                return np.mean(rows, axis=0)
+        return np.zeros(len(langs))
+
+    out = {}
+    for i, text, _ in rows:
+        words = words_of(text or "")
+        total = sum((row(w) for w in words), np.zeros(len(langs)))
+        best = int(np.argmax(total))
+        out[i] = (langs[best], 1 / np.exp(total - total[best]).sum()) if words else ("und", 0.0)
+    return out
+
+
+def test_languages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    extra = [(10**6, "zzyzx qqq ñandú", "es"), (10**6 + 1, "123 !", "en"), (10**6 + 2, None, "de"), (10**6 + 3, "Straße über größe", None), (10**6 + 4, "漢字", "fr")]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    want = brute_languages([tuple(r) for r in docs.collect()])
+    got = {r.doc_id: r for r in language_id.held_out_predictions(docs).collect()}
+    assert set(got) == set(want)
+    for i, (lang, score) in want.items():
+        assert (got[i].lang_pred, got[i].held_out) == (lang, fold(i, 5) == 0)
+        assert got[i].score == pytest.approx(score, abs=2e-3)
+
+
 # --- URLs
 
 
