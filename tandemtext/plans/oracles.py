@@ -302,6 +302,10 @@ SELECT doc_id, pos, r // 100 + 1 AS chunk_id, CAST(r % 100 + 1 AS INTEGER) AS li
 # --- sources
 
 ORACLES["scan_articles"] = "SELECT doc_id, text FROM documents"
+ORACLES["scan_articles_explicit"] = "SELECT page_id AS doc_id, html AS text FROM pages"
+ORACLES["article_pairs_jsonl"] = f"""
+WITH sents AS ({_sentences('drop_punct')})
+SELECT doc_id AS article_index, CAST(pos AS BIGINT) AS sentence_index, sentence AS source_text, '[en] ' || sentence AS english FROM sents"""
 ORACLES["scan_json_array"] = """
 SELECT CASE WHEN lang = 'de' THEN 0 ELSE doc_id END AS article_index, CAST(0 AS BIGINT) AS sentence_index, text
 FROM documents WHERE lang NOT IN ('fr', 'es') AND text <> ''"""
@@ -512,3 +516,4 @@ ORACLES["spot_check_sample"] = f"SELECT item_id, text FROM {SAMPLE}"
 ORACLES["spot_check_compare"] = f"""
 SELECT item_id AS sample_id, text AS english_input, text AS reference,
        CASE WHEN left(md5(text), 2) NOT IN ('00', '01', '02') THEN '[en] ' || text END AS predicted FROM {SAMPLE}"""
+ORACLES["spot_check_written"] = ORACLES["spot_check_compare"]

@@ -56,15 +56,18 @@ from ..operators.translate import (
     translate_durably,
 )
 from ..session import scratch_path, stage
-from ..sources.articles import spread_rows
+from ..sources.articles import read_articles, spread_rows
 from ..sources.files import (
     TRANSLATED,
+    default_pairs_path,
     export_chunk_text,
     read_exported_text,
     read_pairs_jsonl,
+    write_article_pairs,
     write_json_arrays,
     write_manifest_json,
     write_pairs_jsonl,
+    write_spot_check,
 )
 from ..sources.json_files import read_manifest_json, read_text_records
 from ..sources.progress import compact_completed, log_completed, read_completed, read_entries
@@ -136,6 +139,26 @@ def scan_articles(spark, sf_dir):
     return load_documents(spark, sf_dir)
 
 
+@query
+def scan_articles_explicit(spark, sf_dir):
+    """Articles from a column that only its user knows to hold them."""
+    return read_articles(spark, f"{sf_dir}/pages.parquet", text_column="html", id_column="page_id")
+
+
+@query
+def article_pairs_jsonl(spark, sf_dir):
+    """Pairs by article and sentence, written as JSON lines below folders that don't exist yet, and read back."""
+    path = f"{scratch_path(spark, 'article-pairs')}/deep/{default_pairs_path('documents.json')}"
+    sentences = split_sentences(_articles(spark, sf_dir), profile="drop_punct")
+    pairs = sentences.select(
+        F.col("doc_id").alias("article_index"), F.col("pos").cast("bigint").alias("sentence_index"),
+        F.col("sentence").alias("source_text"), F.concat(F.lit("[en] "), "sentence").alias("english"),
+    )
+    write_article_pairs(pairs, path, "hiligaynon")
+    back = spark.read.schema("article_index BIGINT, sentence_index BIGINT, hiligaynon STRING, english STRING").json(path)
+    return back.withColumnRenamed("hiligaynon", "source_text")
+
+
 def _json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as array files with gaps: German without an index, French as non-objects, Spanish without text."""
     docs = load_documents(spark, sf_dir, "lang")
@@ -723,6 +746,14 @@ def encode_pad(spark, sf_dir):
     return encoded.select("seq_id", *[F.array_join(c, " ").alias(c) for c in ("input_ids", "attention_mask", "labels")])
 
 
+@query
+def spot_check_written(spark, sf_dir):
+    """The comparison as the JSON that is kept of it."""
+    path, results = scratch_path(spark, "spot-check"), run_spot_check_compare(spark, sf_dir)
+    write_spot_check(results, path)
+    return spark.read.schema(results.schema).json(path)
+
+
 @query
 def run_spot_check_compare(spark, sf_dir):
     items = _table(spark, sf_dir, "benchmark").select(
