@@ -211,7 +211,8 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_colu
     """The rows of ``docs`` whose text has a language, of a score of ``least``; each row is judged where it lies.
 
     Texts in which the model knows no word, and no n-gram of any length, have none: their scores are all the same.
-    A model that knows no language can't reject one: then every text with a letter stays.
+    A model that knows no language can't reject one: then every text with a letter stays. NULL and empty texts go. Repeated
+    rows go or stay together, ids play no part, and columns of any name pass through.
     """
     place = docs.columns.index(text_column)
     learned = bool(model.languages)

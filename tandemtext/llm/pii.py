@@ -356,7 +356,10 @@ def find_personal_data(
 
 
 def redact_personal_data(docs: DataFrame, tagger: Tagger | None, text_column: str = "text") -> DataFrame:
-    """``docs`` with personal data in the text replaced by ``<KIND>``; NULL texts stay NULL, other columns too."""
+    """``docs`` with personal data in the text replaced by ``<KIND>``.
+
+    NULL texts stay NULL. Rows stand alone: repeated rows, NULL ids and columns of any name pass through.
+    """
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
