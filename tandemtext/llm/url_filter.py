@@ -133,7 +133,10 @@ class UrlModel:
             )
             vectors = self._vectors(rows.join(F.broadcast(others), ["_suffix", "_fold"], "left")).select("_label", "_features")
             trainer = GBTClassifier(labelCol="_label", featuresCol="_features", maxIter=TREES, maxDepth=DEPTH, seed=7)
+            # A bounded table, computed again from the written rows if an executor with a part of it is lost.
+            vectors.persist()
             self.trees = trainer.fit(vectors)
+            vectors.unpersist()
 
     def _statistics(self, bad: Column, count: Column) -> list[Column]:
         """Share of bad URLs, drawn towards that of all, and how much there is to go by."""
