@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .lookup import fresh
 
+# Names used on the way; a user's columns of these names are called otherwise meanwhile.
+_HELPERS = {"_row", "_rows", "_part", "_offset", "_first", "_last", "_low", "_high", "_n", "_p", "_carry", "_rank"}
 # monotonically_increasing_id() keeps the partition in the bits above these.
 _ROW_BITS = 33
 
@@ -71,8 +74,13 @@ def with_ordinal(
     With ``within`` the numbers restart per group. The rank inside a (partition,
     group) piece needs one more shuffle, on pieces no larger than a partition;
     only pieces at a partition's edge can continue a group, so the carried
-    offsets are at most two rows per partition.
+    offsets are at most two rows per partition. Columns of any name but ``name`` pass through.
     """
+    own = {c: fresh(df, f"_own{c}") for c in df.columns if c.lower() in _HELPERS or c.lower().startswith("_w_")}
+    if own:
+        renamed, keys = df.withColumnsRenamed(own), [[own.get(c, c) for c in cs] for cs in (order_by, within)]
+        numbered = with_ordinal(renamed, keys[0], name, start, keys[1], arranged)
+        return numbered.withColumnsRenamed({new: old for old, new in own.items()})
     keys = [*within, *order_by]
     numbered = (df if arranged else arrange(df, keys)).withColumn("_row", F.monotonically_increasing_id())
     placed = stage(numbered, "ordinal").withColumn("_part", F.shiftright("_row", _ROW_BITS))

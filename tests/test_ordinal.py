@@ -40,6 +40,16 @@ def test_hot_groups_are_spread(spark):
     assert ranked.filter("k <> t + 1").count() == 0
 
 
+def test_columns_named_like_helpers(spark):
+    rows = [(i, i % 3, f"r{i}", -i, None, i * 2, "p") for i in range(200)]
+    df = spark.createDataFrame(rows, "_n INT, _w_g INT, _row STRING, _part INT, _OFFSET STRING, _first INT, _p STRING").repartition(5)
+    flat = with_ordinal(df, ["_n"])
+    assert flat.columns == [*df.columns, "ordinal"]
+    assert sorted(map(tuple, flat.collect())) == [(*r, r[0] + 1) for r in rows]
+    grouped = with_ordinal(df, ["_n"], "k", within=["_w_g"])
+    assert sorted(map(tuple, grouped.collect())) == [(*r, r[0] // 3 + 1) for r in rows]
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "doc_id BIGINT, pos INT")
     assert with_ordinal(df, ["doc_id", "pos"]).count() == 0
