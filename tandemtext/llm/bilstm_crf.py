@@ -69,23 +69,65 @@ class Tagger:
         states = np.concatenate([ahead, behind], axis=2)
         return states @ self.p["out"] + self.p["bias"], states, (tape0, tape1)
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The best path of each window, (windows, steps)."""
-        scores, _, _ = self.emissions(ids)
+    def best_paths(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The best label of each position; ``scores`` (positions, labels) holds sequences of these lengths one after the other.
+
+        All sequences are walked side by side; those that have ended drop out, so the work is that of the positions.
+        """
         move = (self.p["move"] + self.blocked).astype(scores.dtype)
-        best = scores[0] + (self.p["begin"] + self.blocked_first).astype(scores.dtype)
+        path = np.empty(len(scores), dtype=np.uint8)
         back = np.empty(scores.shape, dtype=np.uint8)
-        for t in range(1, len(scores)):
-            through = best[:, :, None] + move[None]
-            back[t] = through.argmax(axis=1)
-            best = through.max(axis=1) + scores[t]
-        path = np.empty(ids.shape, dtype=np.uint8)
-        path[:, -1] = best.argmax(axis=1)
-        rows = np.arange(len(ids))
-        for t in range(len(scores) - 1, 0, -1):
-            path[:, t - 1] = back[t][rows, path[:, t]]
+        order = np.argsort(-lengths, kind="stable")
+        starts, left = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        longest = int(left[0]) if len(left) else 0
+        # How many sequences have a position t.
+        going = np.searchsorted(-left, -np.arange(longest), side="left")
+        best = scores[starts[: going[0]]] + (self.p["begin"] + self.blocked_first).astype(scores.dtype) if longest else None
+        label = np.zeros(len(left), dtype=np.uint8)
+        for t in range(1, longest):
+            n = going[t]
+            label[n : len(best)] = best[n:].argmax(axis=1)
+            through = best[:n, :, None] + move[None]
+            places = starts[:n] + t
+            back[places] = through.argmax(axis=1)
+            best = through.max(axis=1) + scores[places]
+        if longest:
+            label[: len(best)] = best.argmax(axis=1)
+        for t in range(longest - 1, -1, -1):
+            n = going[t]
+            places = starts[:n] + t
+            path[places] = label[:n]
+            if t:
+                label[:n] = back[places, label[:n]]
         return path
 
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The best path of each window, (windows, steps)."""
+        scores = self.emissions(ids)[0].transpose(1, 0, 2)
+        lengths = np.full(len(ids), ids.shape[1])
+        return self.best_paths(np.ascontiguousarray(scores).reshape(-1, scores.shape[2]), lengths).reshape(ids.shape)
+
+    def decode_overlapping(self, ids: np.ndarray, follows: np.ndarray, batch: int) -> np.ndarray:
+        """One best path for each stretch of windows that overlap by half: labels by half window, (halves, steps).
+
+        ``follows`` says whether a window begins in the middle of the one before it; the first one doesn't. Where two
+        windows meet, their scores are added up, each weighted by how far the position lies inside the window, and
+        the weights of a position sum to one. A stretch has one half more than it has windows.
+        """
+        half = ids.shape[1] // 2
+        first = np.cumsum(np.where(follows, 1, 2)) - 2
+        followed = np.append(follows[1:], False)
+        rise = ((np.arange(half) + 0.5) / half).astype(np.float32)[:, None]
+        scores = np.zeros((len(ids) + int((~follows).sum()), half, self.p["out"].shape[1]), dtype=np.float32)
+        for begin in range(0, len(ids), batch):
+            part = slice(begin, begin + batch)
+            found = self.emissions(ids[part])[0].transpose(1, 0, 2)
+            scores[first[part]] += found[:, :half] * np.where(follows[part, None, None], rise, 1)
+            scores[first[part] + 1] += found[:, half:] * np.where(followed[part, None, None], 1 - rise, 1)
+        begins = first[~follows]
+        lengths = np.diff(np.append(begins, len(scores))) * half
+        return self.best_paths(scores.reshape(-1, scores.shape[2]), lengths).reshape(-1, half)
+
     def gradients(self, ids: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the labels and its gradients."""
         scores, states, tapes = self.emissions(ids, keep=True)

@@ -4,9 +4,10 @@ The tagger is trained on windows around the spans that the rules find in a bound
 their own and in looser spellings (a telephone number without its plus, a card number with dots, ...), so it
 finds spellings that the rules miss. Every span of a kind holds a digit or an at sign: windows that are
 further than a window's half from the next of these can only be tagged "outside" and aren't run.
-All windows of a text overlap by half; each is decoded, and its middle half is what it says of the text, so
-the middles tile the text and spans that cross windows are put together again. A tagged span counts
-if it has the digits of its kind and doesn't touch a span of the rules.
+Windows overlap by half. Where two meet, both score every position, the one in whose middle it lies more than the
+other; the sums make one stretch, and one best path through it is what the tagger says, so a
+span that crosses windows is decided as a whole. A tagged span counts if it has the digits of its kind and
+doesn't touch a span of the rules.
 """
 
 from __future__ import annotations
@@ -135,14 +136,21 @@ def _numbers(text: str) -> np.ndarray:
     return near[(near >= 0) & (near <= last)]
 
 
+def _follows(numbers: np.ndarray) -> np.ndarray:
+    """Whether each window of a text begins in the middle of the one before it."""
+    return np.diff(numbers, prepend=-2) == 1
+
+
 def _tagged(labels: np.ndarray, numbers: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """(start, end, kind) from the middles of the windows of one text."""
-    places = (numbers[:, None] * STRIDE - STRIDE + EDGE + np.arange(STRIDE)[None, :]).ravel()
-    middle = labels[:, EDGE : EDGE + STRIDE].ravel()
+    """(start, end, kind) from the labels of the half windows of one text."""
+    # The first half of each window, and the second one of each stretch's last.
+    halves = np.sort(np.concatenate([numbers, numbers[~np.append(_follows(numbers)[1:], False)] + 1]))
+    places = (halves[:, None] * STRIDE - STRIDE + np.arange(STRIDE)[None, :]).ravel()
+    labels = labels.ravel()
     spans: list[tuple[int, int, int]] = []
-    marked = np.flatnonzero((middle > 0) & (places >= 0) & (places < size))
+    marked = np.flatnonzero((labels > 0) & (places >= 0) & (places < size))
     for i in marked.tolist():
-        place, kind, begins = int(places[i]), (int(middle[i]) - 1) // 2, middle[i] % 2 == 1
+        place, kind, begins = int(places[i]), (int(labels[i]) - 1) // 2, labels[i] % 2 == 1
         if spans and not begins and spans[-1][1] == place and spans[-1][2] == kind:
             spans[-1] = (spans[-1][0], place + 1, kind)
         else:
@@ -281,12 +289,12 @@ def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]
     def flush() -> None:
         if not pending:
             return
-        symbols = np.concatenate(held)
-        labels = np.concatenate([tagger.decode(symbols[i : i + BATCH]) for i in range(0, len(symbols), BATCH)])
+        follows = [_follows(numbers[i]) for i in pending]
+        labels = tagger.decode_overlapping(np.concatenate(held), np.concatenate(follows), BATCH)
         begin = 0
-        for i in pending:
-            part = labels[begin : begin + len(numbers[i])]
-            begin += len(numbers[i])
+        for i, joined in zip(pending, follows):
+            end = begin + len(joined) + int((~joined).sum())
+            part, begin = labels[begin:end], end
             extra = added_spans(texts[i], _tagged(part, numbers[i], len(texts[i])), bases[i])
             found[i] = (bases[i], sorted(bases[i] + extra, key=lambda s: (s[0], s[2], s[1])))
         held.clear()

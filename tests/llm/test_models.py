@@ -336,6 +336,45 @@ def test_best_path_against_all_paths():
         assert (paths[int(np.argmax(value))] == got).all()
 
 
+def test_overlapping_windows_have_one_best_path():
+    """Scores of both windows, weighted by the place in each, and all paths of each stretch tried."""
+    allowed = np.array([[1, 1, 0], [1, 1, 1], [1, 1, 1]], bool)
+    tagger = Tagger(5, 3, allowed, np.array([1, 1, 0], bool), hidden=2)
+    rng = np.random.default_rng(4)
+    tagger.p["move"] = rng.normal(0, 1, (3, 3))
+    tagger.p["out"] *= 4
+    move, begin = tagger.p["move"] + tagger.blocked, tagger.p["begin"] + tagger.blocked_first
+    stretches = [2, 1, 3, 1]
+    ids = rng.integers(0, 5, (sum(stretches), 4))
+    scores = tagger.emissions(ids)[0].transpose(1, 0, 2)
+    want, window = [], 0
+    for size in stretches:
+        total, weight = np.zeros((2 * size + 2, 3)), np.zeros((2 * size + 2, 1))
+        for k in range(size):
+            share = np.array([0.25, 0.75, 0.75, 0.25])[:, None]
+            total[2 * k : 2 * k + 4] += share * scores[window + k]
+            weight[2 * k : 2 * k + 4] += share
+        mean = total / weight
+        window += size
+        paths = np.stack(np.meshgrid(*[range(3)] * len(mean), indexing="ij"), -1).reshape(-1, len(mean))
+        value = begin[paths[:, 0]] + mean[range(len(mean)), paths].sum(1) + move[paths[:, :-1], paths[:, 1:]].sum(1)
+        want.append(paths[value.argmax()])
+    follows = np.concatenate([np.arange(size) > 0 for size in stretches])
+    for batch in (1, 3, 100):
+        got = tagger.decode_overlapping(ids, follows, batch)
+        assert got.ravel().tolist() == np.concatenate(want).tolist()
+    assert allowed[got.ravel()[:-1], got.ravel()[1:]][[i for i in range(got.size - 1) if i not in (5, 9, 17)]].all()
+
+
+def test_labels_of_half_windows_become_spans():
+    numbers = np.array([1, 2, 5])  # two stretches: halves 1 to 3, and 5 and 6
+    labels = np.zeros((5, pii.STRIDE), np.uint8)
+    labels[0, -2:], labels[1], labels[2, 0] = (1, 2), 2, 2  # an email over three halves
+    labels[3, 0], labels[3, 1], labels[4, -1] = 5, 7, 3  # a card, a phone, and an address past the end of the text
+    got = pii._tagged(labels, numbers, 6 * pii.STRIDE - 1)
+    assert got == [(30, 65, 0), (128, 129, 2), (129, 130, 3)]
+
+
 def personal_texts(count):
     random.seed(3)
     words = "the of and to in was for that with this from they have which were".split()
@@ -360,6 +399,20 @@ def test_tagger_adds_spellings_and_leaves_clean_texts_alone(spark):
     assert set(base) <= set(spans) and long[base[-1][0] :] == "u1@v.example.com"
 
 
+def test_spans_are_found_wherever_windows_begin(spark):
+    docs = spark.createDataFrame(personal_texts(1500), "doc_id BIGINT, text STRING")
+    tagger = pii.train_tagger(docs)
+    number = "(415) 555-2671"
+    texts = ["of the to " * 12 + "in " * (k // 3) + "x" * (k % 3) + f" they {number} in the" for k in range(2 * pii.STRIDE)]
+    found = [t[a:b].lstrip("(") for t, (_, spans) in zip(texts, pii.all_spans(texts, tagger)) for a, b, _ in spans]
+    assert found == [number.lstrip("(")] * len(texts)
+    # In one batch or alone, and however long the rest of the text is.
+    assert [pii.all_spans([t], tagger)[0] for t in texts[::9]] == pii.all_spans(texts, tagger)[::9]
+    began = time.perf_counter()
+    assert pii.all_spans(["12 ab 34-5 " * 40_000], tagger)[0][0] == []
+    assert time.perf_counter() - began < 60
+
+
 def test_personal_data_of_odd_rows(spark):
     docs = odd(spark)
     got = pii.find_personal_data(docs, pii.train_tagger(docs)).collect()
