@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -36,6 +36,7 @@ MINIMA = BANDS * ROWS
 # Of 128 minima a pair at 0.75 shares 96 on average, and fewer than 76 with probability 2e-5.
 LEAST_SHARED = 76
 BLOCK = 512
+PAIRS_PER_PLACE, MOST_PLACES = 32, 4_096
 ROWS_PER_BATCH = 1_000
 LINKS = "u bigint, v bigint"
 
@@ -116,18 +117,40 @@ def similar_enough(a: np.ndarray, b: np.ndarray, need: int = NEED) -> bool:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets are similar enough."""
-    with_u = pairs.join(docs.select(F.col("doc_id").alias("u"), F.col("text").alias("_u")), "u")
-    both = with_u.join(docs.select(F.col("doc_id").alias("v"), F.col("text").alias("_v")), "v").select("u", "v", "_u", "_v")
+    """The pairs (u, v) whose full shingle sets are similar enough.
+
+    ``u`` may be in any number of pairs: its text goes once to each place of at most ``PAIRS_PER_PLACE`` of them, not to
+    each pair, and a task holds its set while the texts of its ``v`` pass by. Only the largest have fuller places.
+    """
+    salted = pairs.withColumn("_salt", salt(F.xxhash64("v")))
+    hubs = salted.groupBy("u").agg(F.count(F.lit(1)).alias("_n"), salt_mask("_salt").alias("_mask"))
+    hubs = hubs.withColumn("_places", F.least(F.ceil(F.col("_n") / PAIRS_PER_PLACE), F.lit(MOST_PLACES)).cast("int")).drop("_n")
+    placed = give_back(salted, hubs, ["u"]).withColumn("_place", F.pmod(F.xxhash64("v"), "_places").cast("int"))
+    texts = placed.join(docs.select(F.col("doc_id").alias("v"), "text"), "v")
+    hub_texts = docs.select(F.col("doc_id").alias("u"), "text").join(hubs.drop("_mask"), "u")
+    hub_texts = hub_texts.withColumn("_place", F.explode(F.expr("sequence(0, _places - 1)")))
+    keys = ["u", "_place"]
+    # A NULL ``v`` comes first in its group: the text is that of ``u``.
+    both = hub_texts.select(*keys, F.lit(None).cast("bigint").alias("v"), "text").unionByName(texts.select(*keys, "v", "text"))
+    together = both.repartition(*keys).sortWithinPartitions(*keys, "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Remembered(shingle_set, 64)
+        held, hub = None, []
         for batch in batches:
-            texts = zip(batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary()))
-            good = [similar_enough(sets[u.as_py()], sets[v.as_py()]) for u, v in texts]
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            good = []
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3).cast(pa.binary()))
+            for u, place, v, text in rows:
+                if (u, place) != held:
+                    held, hub = (u, place), []
+                found = shingle_set(text.as_py())
+                if v is None:
+                    hub.append(found)
+                elif any(similar_enough(h, found) for h in hub):
+                    good.append((u, v))
+            if good:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*good)], names=["u", "v"])
 
-    return both.mapInArrow(run, LINKS).distinct()
+    return together.mapInArrow(run, LINKS).distinct()
 
 
 def _shared(a: bytes, b: bytes) -> int:
@@ -207,50 +230,82 @@ def _alike(signs: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
     return others[np.count_nonzero(signs[others] == signs[i], axis=1) >= LEAST_SHARED]
 
 
+def in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """(key, a, b, first, node, component, signature): groups in which members of one key's different components meet.
+
+    ``rows`` has all but a, b and first, and is a written table. What isn't in the largest component of its key is cut into blocks of
+    ``BLOCK`` that meet each other and the blocks of the largest component, which doesn't meet itself. No group holds
+    more than two blocks. Group (a, b) is block a of the others, marked as first, with a later block b of them or a
+    block of the largest component, numbered after them.
+    """
+    salted = rows.withColumn("_salt", salt(F.xxhash64("node")))
+    sizes = salted.groupBy(key, "component").agg(F.count(F.lit(1)).alias("_count"), salt_mask("_salt").alias("_mask"))
+    largest = sizes.groupBy(key).agg(
+        F.max_by("component", F.struct("_count", "component")).alias("_main"),
+        F.max("_count").alias("_n_main"),
+        F.sum("_count").alias("_n"),
+        F.bit_or("_mask").alias("_mask"),
+    )
+    # A key of one component has nothing to compare.
+    largest = largest.filter("_n > _n_main")
+    placed = (
+        give_back(salted, largest, [key])
+        .withColumn("_other", F.col("component") != F.col("_main"))
+        .withColumn("_others", F.ceil((F.col("_n") - F.col("_n_main")) / BLOCK).cast("int"))
+        .withColumn("_mains", F.ceil(F.col("_n_main") / BLOCK).cast("int"))
+        .withColumn("_block", F.pmod(F.xxhash64("node"), F.when(F.col("_other"), F.col("_others")).otherwise(F.col("_mains"))).cast("int"))
+    )
+
+    def group(a: Column, b: Column, first: bool) -> Column:
+        return F.struct(a.alias("a"), b.alias("b"), F.lit(first).alias("first"))
+
+    as_first = F.transform(F.expr("sequence(_block, _others + _mains - 1)"), lambda b: group(F.col("_block"), b, True))
+    as_second = F.transform(F.expr("sequence(0, _block)"), lambda a: group(a, F.col("_block"), False))
+    as_main = F.transform(F.expr("sequence(0, _others - 1)"), lambda a: group(a, F.col("_others") + F.col("_block"), False))
+    earlier = F.filter(as_second, lambda g: g["a"] < g["b"])
+    dealt = placed.withColumn("_g", F.explode(F.when(F.col("_other"), F.concat(as_first, earlier)).otherwise(as_main)))
+    return dealt.select(key, "_g.a", "_g.b", "_g.first", "node", "component", "signature")
+
+
+def _met(group: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of the group's first block the later rows of other components whose signatures agree enough."""
+    _, a, b, first, _, components, signatures = (list(c) for c in zip(*(row[:7] for row in group)))
+    signs = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(group), -1)
+    components, first = np.array(components), np.array(first)
+    second = np.flatnonzero(~first)
+    for i in np.flatnonzero(first).tolist():
+        # A block by itself: each pair once. Two blocks: all pairs across.
+        rest = np.arange(i + 1, len(group)) if a[0] == b[0] else second
+        yield i, _alike(signs, i, rest[components[rest] != components[i]])
+
+
 def families(nodes: DataFrame) -> DataFrame:
     """(node, family): nodes that may still be linked across components have the same family.
 
     ``nodes`` has ``component``. In the buckets of all bands that hold several components, members of different
-    ones are compared by signature. A bucket of n nodes is cut into blocks of ``BLOCK``, and every
-    two blocks meet in a group of their own, so no task holds more than two blocks of a bucket.
-    A group answers with pairs that span what it found alike, at most one for each of its nodes.
+    ones are compared by signature, in blocks. A group answers with pairs that span what it found alike, at most one for
+    each of its nodes.
     """
     rows = nodes.select("node", "component", F.explode("bands").alias("_bucket")).withColumn(
         "_salt", salt(F.xxhash64("node"))
     )
     mixed = (
         rows.groupBy("_bucket")
-        .agg(
-            F.min("component").alias("_low"),
-            F.max("component").alias("_high"),
-            F.count(F.lit(1)).alias("_n"),
-            salt_mask("_salt").alias("_mask"),
-        )
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), salt_mask("_salt").alias("_mask"))
         .filter("_low < _high")
         .drop("_low", "_high")
     )
-    placed = (
-        give_back(rows, mixed, ["_bucket"])
-        .withColumn("_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
-        .withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-        .join(nodes.select("node", "signature"), "node")
-        .withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
-    )
-    first, second = F.least("_block", "_other").alias("_a"), F.greatest("_block", "_other").alias("_b")
-    groups = placed.select("_bucket", first, second, "node", "component", "signature")
-    keys = ["_bucket", "_a", "_b"]
-    together = groups.repartition(*keys).sortWithinPartitions(*keys, "node")
+    # Written first: few buckets are mixed.
+    held = stage(give_back(rows, mixed, ["_bucket"]).join(nodes.select("node", "signature"), "node"), "mixed")
+    keys = ["_bucket", "a", "b"]
+    together = in_blocks(held, "_bucket").repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def spanning(group: list[tuple]) -> Iterator[tuple]:
-        _, _, _, ids, components, signatures = zip(*group)
-        components = np.array(components)
-        signs = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(group), -1)
         sets = Sets()
-        for i in range(len(group) - 1):
-            rest = i + 1 + np.flatnonzero(components[i + 1 :] != components[i])
-            for j in _alike(signs, i, rest).tolist():
+        for i, alike in _met(group):
+            for j in alike.tolist():
                 if sets.join(i, j):
-                    yield ids[i], ids[j]
+                    yield group[i][4], group[j][4]
 
     pairs = together.mapInArrow(lambda batches: _by_group(batches, 3, spanning), LINKS)
     return connected_components(pairs).withColumnRenamed("component", "family")
@@ -264,29 +319,7 @@ def linked_in_families(nodes: DataFrame, members: DataFrame, docs: DataFrame) ->
     answers with links that join components, at most one for each.
     """
     held = stage(members.join(nodes.select("node", "component", "signature"), "node"), "families")
-    sizes = held.groupBy("family", "component").count()
-    largest = sizes.groupBy("family").agg(
-        F.max_by("component", F.struct("count", "component")).alias("_main"),
-        F.max("count").alias("_n_main"),
-        F.sum("count").alias("_n"),
-    )
-    placed = (
-        held.join(largest, "family")
-        .withColumn("_other", F.col("component") != F.col("_main"))
-        .withColumn("_others", F.ceil((F.col("_n") - F.col("_n_main")) / BLOCK).cast("int"))
-        .withColumn("_mains", F.ceil(F.col("_n_main") / BLOCK).cast("int"))
-        .withColumn("_block", F.pmod(F.xxhash64("node"), F.when(F.col("_other"), F.col("_others")).otherwise(F.col("_mains"))).cast("int"))
-    )
-    # Group (a, b): block a of the others, with a later block b of them or a block of the largest, numbered after them.
-    as_first = F.transform(F.expr("sequence(_block, _others + _mains - 1)"), lambda b: F.struct(F.col("_block").alias("a"), b.alias("b"), F.lit(True).alias("first")))
-    as_second = F.transform(F.expr("sequence(0, _block)"), lambda a: F.struct(a.alias("a"), F.col("_block").alias("b"), F.lit(False).alias("first")))
-    as_main = F.transform(
-        F.expr("sequence(0, _others - 1)"),
-        lambda a: F.struct(a.alias("a"), (F.col("_others") + F.col("_block")).alias("b"), F.lit(False).alias("first")),
-    )
-    earlier = F.filter(as_second, lambda g: g["a"] < g["b"])
-    dealt = placed.withColumn("_g", F.explode(F.when(F.col("_other"), F.concat(as_first, earlier)).otherwise(as_main)))
-    dealt = dealt.select("family", "_g.a", "_g.b", "_g.first", "node", "component", "signature")
+    dealt = in_blocks(held, "family")
     # Written first: with its size known, Spark broadcasts it if it is small, and the texts stay where they are.
     texts = stage(dealt.select("node").distinct(), "family_nodes").join(
         docs.select(F.col("doc_id").alias("node"), "text"), "node"
@@ -296,18 +329,13 @@ def linked_in_families(nodes: DataFrame, members: DataFrame, docs: DataFrame) ->
     together = together.repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def links(group: list[tuple]) -> Iterator[tuple]:
-        _, a, b, first, ids, components, signatures, texts = zip(*group)
-        signs = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(group), -1)
-        full = Remembered(lambda i: shingle_set(texts[i].encode()), 2 * BLOCK)
-        first, sets = np.array(first), Sets()
-        for i in np.flatnonzero(first).tolist():
-            # A block by itself: each pair once. Two blocks: all pairs across.
-            rest = np.arange(i + 1, len(group)) if a[0] == b[0] else np.flatnonzero(~first)
-            for j in _alike(signs, i, rest).tolist():
-                u, v = components[i], components[j]
+        full, sets = Remembered(lambda i: shingle_set(group[i][7].encode()), 2 * BLOCK), Sets()
+        for i, alike in _met(group):
+            for j in alike.tolist():
+                u, v = group[i][5], group[j][5]
                 if sets.root(u) != sets.root(v) and similar_enough(full[i], full[j]):
                     sets.join(u, v)
-                    yield ids[i], ids[j]
+                    yield group[i][4], group[j][4]
 
     return together.mapInArrow(lambda batches: _by_group(batches, 3, links), LINKS)
 

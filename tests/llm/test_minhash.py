@@ -58,6 +58,43 @@ def test_links_the_first_bands_miss(spark, monkeypatch):
     assert sorted(map(tuple, minhash_dedup.near_duplicates(docs).collect())) == brute(pairs)
 
 
+def test_pairs_of_a_hub_are_checked_in_many_places(spark, monkeypatch):
+    """A text in most pairs, texts of one word, a repeated id with two texts, and an id without a text."""
+    monkeypatch.setattr(minhash_dedup, "PAIRS_PER_PLACE", 3)
+    monkeypatch.setattr(minhash_dedup, "MOST_PLACES", 20)
+    words = [f"w{i}" for i in range(60)]
+    texts = [(0, " ".join(words))] + [(i, " ".join(words[: 30 + i % 30] + [f"x{i}"] * (i % 4))) for i in range(1, 200)]
+    texts += [(300, "one"), (301, "one"), (302, "two"), (0, "one")]
+    pairs = [(0, i) for i in range(1, 200)] + [(5, 6), (6, 7), (300, 301), (300, 302), (0, 300), (0, 999), (999, 1)]
+    docs = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    got = minhash_dedup.confirmed(spark.createDataFrame(pairs, "u BIGINT, v BIGINT"), docs).collect()
+    sets = {}
+    for i, t in texts:
+        sets.setdefault(i, []).append(shingles(t))
+    want = [(u, v) for u, v in pairs if any(100 * len(a & b) >= 75 * len(a | b) for a in sets.get(u, []) for b in sets.get(v, []))]
+    assert sorted(map(tuple, got)) == sorted(want) and 40 < len(want) < 200
+
+
+def test_blocks_of_a_key_bring_all_components_together(spark, monkeypatch):
+    """Every two members of different components meet, unless the key has one component; the largest isn't dealt to itself."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    rows = [(1, i, 0) for i in range(40)] + [(1, 100 + i, 100 + i % 5) for i in range(15)] + [(2, 200 + i, 200) for i in range(9)] + [(3, 300, 300), (3, 301, 301)]
+    df = spark.createDataFrame([(*r, b"") for r in rows], "key BIGINT, node BIGINT, component BIGINT, signature BINARY")
+    groups = {}
+    for r in minhash_dedup.in_blocks(df, "key").collect():
+        groups.setdefault((r.key, r.a, r.b), []).append((r.first, r.node, r.component))
+    met = [
+        frozenset((x[1], y[1]))
+        for (_, a, b), group in groups.items()
+        for i, x in enumerate(sorted(group, key=lambda g: g[1]))
+        for y in (sorted(group, key=lambda g: g[1])[i + 1 :] if a == b else [g for g in group if not g[0]])
+        if x[0] and x[2] != y[2]
+    ]
+    want = {frozenset((m, n)) for j, m, c in rows for k, n, d in rows if j == k and c != d}
+    assert len(met) == len(set(met)) and set(met) == want
+    assert not any(len({c for _, _, c in group}) == 1 and group[0][2] == 0 for group in groups.values())
+
+
 def test_against_sql(spark):
     docs = spark.createDataFrame(near_copies()[:80], "doc_id BIGINT, text STRING")
     got, want = agree(minhash_dedup.near_duplicates(docs), minhash_dedup.ORACLE, documents=docs.toPandas())
