@@ -47,6 +47,8 @@ EDGE = (WIDTH - STRIDE) // 2
 SAMPLE_DOCS, OTHER_DOCS, WINDOWS_PER_DOC, MOST_WINDOWS = 3_000, 1_000, 6, 3_000
 ROUNDS = 6
 BATCH = 2_048
+# Texts that are held as Python objects at once.
+ROWS_AT_ONCE = 1_000
 SYMBOLS = 130  # ASCII, any other character, outside the text
 LABELS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 
@@ -255,7 +257,7 @@ def train_tagger(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     chosen = held.filter(sampled(F.xxhash64("salt"), share)).select("salt", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             rows = [
                 (salt, *window)
                 for salt, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
@@ -328,13 +330,20 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a bounded number of rows."""
+    for batch in batches:
+        for begin in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(begin, ROWS_AT_ONCE)
+
+
 def _mapped(docs: DataFrame, tagger: Tagger | None, answer, result: str, kinds: list[pa.DataType]) -> DataFrame:
     """``_key`` and ``answer(text, base, spans)`` for rows of (_key, text)."""
     names = [part.split()[0] for part in result.split(", ")]
     schema = f"_key {docs.schema['_key'].dataType.simpleString()}, {result}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = [t if t is not None else "" for t in batch.column(1).to_pylist()]
             if texts:
                 rows = [answer(t, base, spans) for t, (base, spans) in zip(texts, all_spans(texts, tagger))]
@@ -371,7 +380,7 @@ def redact_personal_data(docs: DataFrame, tagger: Tagger | None, text_column: st
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = batch.column(place).to_pylist()
             spans = all_spans([t or "" for t in texts], tagger)
             clean = [t and redacted(t, found) for t, (_, found) in zip(texts, spans)]
