@@ -11,13 +11,15 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from datetime import datetime, timezone
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions.text import SPACE_CHARS, head
@@ -60,6 +62,26 @@ def _attempt(call: Translator, text: str, policy: str, delay: float, retries: in
     return (None, False, retries, error)
 
 
+# About as many bytes of rows become Python objects at a time.
+BYTES_AT_ONCE = 1 << 20
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of about ``BYTES_AT_ONCE``, so that a task's memory doesn't follow the number of its rows."""
+    for batch in batches:
+        step = max(1, batch.num_rows * BYTES_AT_ONCE // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
+def _column(batch: pa.RecordBatch, name: str) -> list:
+    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def _columns(rows: list[tuple], fields: list[pa.Field]) -> list[pa.Array]:
+    return [pa.array(values, field.type) for values, field in zip(zip(*rows), fields)]
+
+
 def apply_translator(
     df: DataFrame,
     make_translator: Callable[[], Translator],
@@ -84,15 +106,16 @@ def apply_translator(
         raise ValueError("retries must be >= 1")
     added = T.StructType.fromDDL(schemas.TRANSLATION)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names, fields = df.columns + added.fieldNames(), list(to_arrow_schema(added))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make_translator()
-        for batch in batches:
-            rows = [_attempt(call, text, policy, delay, retries) for text in batch[col]]
-            out = pd.DataFrame(rows, columns=added.fieldNames(), index=batch.index)
-            yield pd.concat([batch, out], axis=1)
+        for batch in _small(batches):
+            rows = [_attempt(call, text, policy, delay, retries) for text in _column(batch, col)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_columns(rows, fields)], names=names)
 
     spread = df.repartition(workers) if workers else df
-    mapped = spread.mapInPandas(run, T.StructType(df.schema.fields + added.fields))
+    mapped = spread.mapInArrow(run, T.StructType(df.schema.fields + added.fields))
     return mapped.withColumn("error", F.when(F.col("error").isNotNull(), F.concat(F.col("error"), F.lit(": "), head(col, 50))))
 
 
@@ -166,20 +189,22 @@ def translate_chunks(
         "part INT, before BIGINT, pairs INT"
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    fields = list(to_arrow_schema(T.StructType.fromDDL(schema)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call, part, before = make_translator(), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in _small(batches):
             rows = []
-            for chunk_id, lines in zip(batch["chunk_id"], batch["lines"]):
+            for lines in _column(batch, "lines"):
                 done, ok, calls, failure, pairs = _translate_chunk(call, lines, delay, retries)
-                rows.append((chunk_id, lines, done, ok, calls, failure, part, before, pairs))
+                rows.append((done, ok, calls, failure, part, before, pairs))
                 before += pairs
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_columns(rows, fields[2:])], schema=pa.schema(fields))
 
     source = packed.select("chunk_id", "lines")
     if workers:
         source = source.repartitionByRange(workers, "chunk_id").sortWithinPartitions("chunk_id")
-    return stage(source.mapInPandas(run, schema), "translated-chunks")
+    return stage(source.mapInArrow(run, schema), "translated-chunks")
 
 
 RESULT = (
@@ -208,14 +233,13 @@ def translate_durably(
     Turn speculative execution off: it pays for calls twice.
     """
     spark, entry = packed.sparkSession, uuid.uuid4().hex
+    fields = list(to_arrow_schema(T.StructType.fromDDL(RESULT)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make_translator()
-        for batch in batches:
-            for chunk_id, lines in zip(batch["chunk_id"], batch["lines"]):
-                done, ok, calls, failure, pairs = _translate_chunk(call, lines, delay, retries)
-                row = (chunk_id, lines, done, ok, calls, failure, pairs, pd.Timestamp.now("UTC"))
-                yield pd.DataFrame([row], columns=[f.split()[0] for f in RESULT.split(", ")])
+        for batch in _small(batches):
+            rows = [(*_translate_chunk(call, lines, delay, retries), datetime.now(timezone.utc)) for lines in _column(batch, "lines")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_columns(rows, fields[2:])], schema=pa.schema(fields))
 
     open_chunks = packed.select("chunk_id", "lines").join(finished_chunks(spark, folder), "chunk_id", "left_anti")
     numbered = with_ordinal(open_chunks, ["chunk_id"], "_nr", start=0)
@@ -224,7 +248,7 @@ def translate_durably(
         tasks = -(-min(wave, n - low) // chunks_per_task)
         place = whole_div(F.col("_nr") - F.lit(low), chunks_per_task).cast("int")
         dealt = numbered.filter(F.col("_nr").between(low, low + wave - 1)).repartitionById(tasks, place)
-        append_entry(dealt.drop("_nr").mapInPandas(run, RESULT), folder, entry, as_tasks_finish=True)
+        append_entry(dealt.select("chunk_id", "lines").mapInArrow(run, RESULT), folder, entry, as_tasks_finish=True)
     return read_results(spark, folder)
 
 

@@ -172,3 +172,21 @@ def test_zip_by_rank(spark):
     right = spark.createDataFrame([("c", 1, "a1"), ("c", 2, "a2"), ("c", 9, "a3"), ("d", 2, "a4")], "g STRING, t INT, text STRING")
     got = sorted(tuple(r) for r in zip_by_rank(left, right, "g", "t", "text", "text").collect())
     assert got == [("c", 1, "q1", "a1"), ("c", 2, "q2", "a2"), ("d", 1, "q3", "a4")]
+
+
+def test_a_task_holds_few_rows_as_python_objects(spark):
+    """Whatever number of rows a task gets, about a megabyte of them is translated before it is passed on."""
+    import pyarrow as pa
+
+    from tandemtext.operators.translate import BYTES_AT_ONCE, _small
+
+    wide = pa.RecordBatch.from_pydict({"lines": [["x" * 50] * 100] * 3000})
+    parts = list(_small([wide, wide.slice(0, 0)]))
+    assert sum(p.num_rows for p in parts) == 3000 and max(p.nbytes for p in parts) <= BYTES_AT_ONCE and len(parts) < 30
+    assert [p.num_rows for p in _small([pa.RecordBatch.from_pydict({"line": ["y"] * 5000})])] == [5000]
+    long = spark.createDataFrame([(i, ["z" * 2000] * 100) for i in range(40)], "chunk_id BIGINT, lines ARRAY<STRING>").coalesce(1)
+    rows = translate_chunks(long, lambda: lambda text: f"t{text}", delay=0).orderBy("chunk_id").collect()
+    assert [r["before"] for r in rows] == [100 * i for i in range(40)] and all(r["ok"] and r["pairs"] == 100 for r in rows)
+    given = spark.createDataFrame([(1, None, "a"), (None, 2.5, "b")], "n BIGINT, d DOUBLE, line STRING")
+    kept = {r["line"]: (r["n"], r["d"], r["translated"]) for r in apply_translator(given, lambda: lambda text: f"t{text}", delay=0).collect()}
+    assert kept == {"a": (1, None, "ta"), "b": (None, 2.5, "tb")}
