@@ -71,7 +71,8 @@ def chunk_sink(
         rows = carried.select(*columns).unionByName(fresh)
         whole = assign_chunks(rows.filter(F.col("ordinal") <= closed), size)
         whole.write.mode("overwrite").parquet(f"{path}/sentences/batch_id={batch_id}")
-        rows.filter(F.col("ordinal") > closed).coalesce(1).write.mode("overwrite").parquet(f"{path}/open/batch_id={batch_id}")
+        # Less than a chunk is left of the batch, which many tasks read; one file holds it.
+        rows.filter(F.col("ordinal") > closed).repartition(1).write.mode("overwrite").parquet(f"{path}/open/batch_id={batch_id}")
         spark.createDataFrame([(total, closed, size)], STATE).coalesce(1).write.mode("overwrite").parquet(
             f"{path}/state/batch_id={batch_id}"
         )

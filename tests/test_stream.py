@@ -95,3 +95,15 @@ def test_a_gap_in_batch_ids_and_another_size(spark, tmp_path):
     assert rows(read_ingested(spark, out)) == rows(chunked_sentences(articles(spark, 0, 300)))
     with pytest.raises(ValueError):
         chunk_sink(out, 50)(articles(spark, 0, 1), 8)
+
+
+def test_no_task_reads_all_of_a_batch(spark, tmp_path, monkeypatch):
+    """Only what is in no file is brought into one partition in place; the open chunk's few sentences are shuffled there."""
+    merged, kind = [], type(spark.range(1))
+    merge = kind.coalesce
+    monkeypatch.setattr(kind, "coalesce", lambda df, n: merged.append(len(df.inputFiles())) or merge(df, n))
+    rows = [(i, f"Ang nahauna nga pulong {i}. Ang ikaduha nga pulong {i}.") for i in range(25)]
+    sink = str(tmp_path / "sink")
+    chunk_sink(sink, size=20)(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), 0)
+    assert not any(merged)
+    assert spark.read.parquet(f"{sink}/open/batch_id=0").count() == 10 and read_ingested(spark, sink).count() == 50
