@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tandemtext.operators.assemble import assemble_results
 from tandemtext.operators.chunking import mark_translated
 from tandemtext.operators.translate import RESULT, compact_results, finished_chunks, read_results, translate_durably
-from tandemtext.sources.progress import append_entry, compact_completed, log_completed, read_completed, read_entries
+from tandemtext.sources.progress import append_entry, compact_completed, latest, log_completed, read_completed, read_entries
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -191,3 +191,21 @@ def test_a_died_compaction_changes_nothing(spark, tmp_path):
     # Its entry is written, nothing is removed yet.
     append_entry(read_completed(spark, log), log)
     assert sorted(map(tuple, read_completed(spark, log).collect())) == before
+
+
+def test_a_wave_reads_its_own_chunks_only(spark, tmp_path, monkeypatch):
+    """Of 40 waves none scans the table of all of them."""
+    from tandemtext.operators import translate
+
+    read = []
+    monkeypatch.setattr(translate, "append_entry", lambda rows, *a, **k: read.extend([sorted(rows.inputFiles())]))
+    folder = str(tmp_path / "run")
+    translate_durably(chunks(spark, 80, 1), recorder(str(tmp_path / "calls")), folder, delay=0, workers=2, chunks_per_task=1)
+    assert len(read) == 40 and len({file for files in read for file in files}) == sum(map(len, read))
+
+
+def test_the_first_of_each_key_is_read_and_moved_once(spark):
+    rows = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 1, "a"), (None, 5, "d"), (None, None, "c"), (2, 7, "e")], "k INT, at INT, v STRING")
+    first = latest(rows, "k", [F.col("at")])
+    assert sorted(first.collect(), key=str) == sorted([(1, 1, "a"), (None, None, "c"), (2, 7, "e")], key=str)
+    assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString()
