@@ -15,7 +15,9 @@ marked first with two noncharacters around every protected match.
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,8 +81,20 @@ def _dotted(names: list[str]) -> str:
     return "(?:" + "|".join(n.replace(".", r"\.") for n in names) + r")\."
 
 
+def _dotted_by_letter(names: list[str]) -> str:
+    """As ``_dotted`` for names of which none with its period begins another; a letter is tried once for all its names."""
+    ends: dict[str, list[str]] = {}
+    for n in names:
+        ends.setdefault(n[0], []).append(n[1:].replace(".", r"\."))
+    return "(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in ends.items()) + r")\."
+
+
 def match_pattern(profile: str | Profile) -> str:
-    """Everything the profile recognises, exceptions not yet applied."""
+    """Everything the profile recognises, exceptions not yet applied.
+
+    The long lists begin with the characters that a match can begin with: at most positions of a text that
+    is all that is tried.
+    """
     p = profile_of(profile)
     if p.name == "prod":
         return (
@@ -90,8 +104,10 @@ def match_pattern(profile: str | Profile) -> str:
     names = LONG_LIST + (EXTRA_BUSINESS if p.version_numbers else [])
     digits = r"\p{Nd}+"
     version = rf"{digits}\.{digits}\.{digits}{WORD_ENDS}|" if p.version_numbers else ""
+    small = "".join(sorted({n[0] for n in names if not "A" <= n[0] <= "Z"}))
     return (
-        rf"{WORD_STARTS}(?:{version}{digits}\.{digits}{WORD_ENDS}|{digits}\.|[A-Z]\.|{_dotted(names)})"
+        rf"(?=[\p{{Nd}}A-Z{small}]){WORD_STARTS}"
+        rf"(?:{version}{digits}\.{digits}{WORD_ENDS}|{digits}\.|[A-Z]\.|{_dotted_by_letter(names)})"
         rf"|{_ELLIPSIS}"
     )
 
@@ -126,6 +142,12 @@ def _replace_marked_periods(marked: Column, replacement: str) -> Column:
     return F.regexp_replace(marked, rf"\.(?=[\p{{Nd}}.eg]*{SPACE}?{CLOSE})", replacement)
 
 
+def _without_marks(piece: Column, marks: str, instead: str = "") -> Column:
+    """``translate``, which builds a text character by character, only where a piece has a mark."""
+    marked = reduce(operator.or_, [piece.contains(m) for m in marks])
+    return F.when(marked, F.translate(piece, marks, instead)).otherwise(piece)
+
+
 def protect_abbreviations(text: Column | str, profile: str | Profile = "simple", token: str = PERIOD_TOKEN) -> Column:
     """The text with every protected period replaced by ``token``."""
     marked = _replace_marked_periods(_mark_protected(_col(text), profile_of(profile)), token)
@@ -146,10 +168,10 @@ def sentence_array(text: Column | str, profile: str | Profile = "prod") -> Colum
         return F.filter(F.split(strip(text), _prod_gap()), lambda s: s != "")
     if p.drops_punctuation:
         pieces = F.split(_replace_marked_periods(_mark_protected(text, p), DOT), rf"[.!?]+{SPACE}*")
-        pieces = F.transform(pieces, lambda s: strip(F.translate(s, DOT + OPEN + CLOSE, ".")))
+        pieces = F.transform(pieces, lambda s: strip(_without_marks(s, DOT + OPEN + CLOSE, ".")))
     else:
         pieces = F.split(_mark_protected(text, p), _SENTENCE_GAP)
-        pieces = F.transform(pieces, lambda s: F.translate(s, OPEN + CLOSE, ""))
+        pieces = F.transform(pieces, lambda s: _without_marks(s, OPEN + CLOSE))
         if p.strips:
             pieces = F.transform(pieces, strip)
     if p.min_length:

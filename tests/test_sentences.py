@@ -10,6 +10,7 @@ from tandemtext.functions.sentences import (
     PERIOD_TOKEN,
     PROFILES,
     abbreviation_matches,
+    match_pattern,
     protect_abbreviations,
     sentence_array,
     split_sentences,
@@ -145,3 +146,22 @@ def test_unknown_profile():
 def test_patterns_need_no_python(texts):
     plan = split_sentences(texts(["a"]), profile="drop_punct")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Exchange", plan)
+
+
+@pytest.mark.parametrize("profile", ["drop_punct", "full", "full_lookahead", "simple"])
+def test_long_lists_are_tried_where_a_match_can_begin_only(texts, profile):
+    names = LONG_LIST + ([] if profile == "drop_punct" else ["LLC"])
+    pattern = match_pattern(profile)
+    # One character decides before anything else is tried, and each letter is tried once for all its names.
+    assert pattern.startswith("(?=[") and all(pattern.count(f"|{n}|") == 0 for n in names)
+    plain = "|".join(n.replace(".", r"\.") for n in names)
+    version = "" if profile == "drop_punct" else r"\p{Nd}+\.\p{Nd}+\.\p{Nd}+(?![\p{L}\p{N}_])|"
+    plain = (
+        rf"(?<![\p{{L}}\p{{N}}_])(?:{version}\p{{Nd}}+\.\p{{Nd}}+(?![\p{{L}}\p{{N}}_])|\p{{Nd}}+\.|[A-Z]\.|(?:{plain})\.)|\.\.\.+"
+    )
+    rng = random.Random(8)
+    bits = [n + "." for n in names] + ["1", "23", "٣", ".", "...", " ", "x", "é", "_", "Z.", "et al", "i.e", "\ufdd0", "\ufdd2", "e.", "P"]
+    rows = texts(["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(600)])
+    found = F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(0))
+    assert rows.filter(~found.eqNullSafe(F.regexp_extract_all("text", F.lit(f"({plain})"), F.lit(0)))).count() == 0
+    assert rows.filter(F.size(found) > 0).count() > 300
