@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -61,11 +62,23 @@ def kept_in_worker(name: str, make: Callable):
     """
     holder = sys.modules.setdefault("_tandemtext_worker", types.ModuleType("_tandemtext_worker"))
     if getattr(holder, "name", None) != name:
-        holder.name, holder.kept = name, None
-        holder.kept = make()
+        nothing_kept()
+        holder.name, holder.kept = name, make()
     return holder.kept
 
 
+def nothing_kept() -> None:
+    """Drops what an earlier operator left in this Python worker; for operators that keep nothing themselves.
+
+    Else tables and caches of a hundred megabytes stay beside the work of all later stages. Those that refer to
+    themselves go only when the collector runs.
+    """
+    holder = sys.modules.get("_tandemtext_worker")
+    if getattr(holder, "name", None) is not None:
+        holder.name = holder.kept = None
+        gc.collect()
+
+
 class Remembered(dict):
     """A dictionary that computes what it lacks and starts anew when it is full."""
 

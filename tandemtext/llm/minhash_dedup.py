@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .arrow import Remembered, arrow_rows
+from .arrow import Remembered, arrow_rows, nothing_kept
 from .common import give_back, salt, salt_mask
 from .components import connected_components
 
@@ -91,6 +91,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     fields = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_kept()
         for batch in batches:
             rows = []
             for text in batch.column(1).cast(pa.binary()):
@@ -135,6 +136,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     together = both.repartition(*keys).sortWithinPartitions(*keys, "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_kept()
         held, hub = None, []
         for batch in batches:
             good = []
@@ -176,6 +178,7 @@ def first_candidates(nodes: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_kept()
         for batch in batches:
             signatures = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             good = [_shared(a, b) >= LEAST_SHARED for a, b in signatures]
@@ -206,6 +209,7 @@ class Sets:
 
 def _by_group(batches: Iterator[pa.RecordBatch], width: int, answer) -> Iterator[pa.RecordBatch]:
     """(u, v) rows of ``answer(group)`` for each run of rows that are equal in the first ``width`` columns."""
+    nothing_kept()
     group: list[tuple] = []
     found: list[tuple] = []
 

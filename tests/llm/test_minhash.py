@@ -1,8 +1,11 @@
+import gc
 import random
+import weakref
 
 from helpers import COPY, agree, empty, least_reachable, odd
 
-from tandemtext.llm import minhash_dedup
+from tandemtext.llm import minhash_dedup, pii
+from tandemtext.llm.arrow import kept_in_worker
 from tandemtext.llm.components import connected_components
 
 
@@ -131,3 +134,27 @@ def test_components_of_paths_stars_and_null_ends(spark):
 
 def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "u BIGINT, v BIGINT")).collect() == []
+
+
+def test_what_earlier_operators_kept_in_a_worker_goes():
+    class Kept:
+        def __init__(self):
+            self.step = self.run  # refers to itself, as caches with a bound method do
+
+        def run(self):
+            return 1
+
+    gc.disable()
+    try:
+        # By the next operator that keeps something, and by those that keep nothing.
+        for drop in (
+            lambda: kept_in_worker("next", lambda: 0),
+            lambda: list(minhash_dedup._by_group(iter([]), 3, list)),
+            lambda: list(pii._parts(iter([]))),
+        ):
+            kept = weakref.ref(kept_in_worker("one", Kept))
+            assert kept_in_worker("one", Kept) is kept()
+            drop()
+            assert kept() is None
+    finally:
+        gc.enable()
