@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -33,7 +34,7 @@ def per_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
+        for batch in lightly(batches):
             rows = [step(text.as_py()) for text in batch.column(1)]
             columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), list(arrow)[1:])]
             if rows:
@@ -77,6 +78,26 @@ def nothing_kept() -> None:
     if getattr(holder, "name", None) is not None:
         holder.name = holder.kept = None
         gc.collect()
+        hand_back()
+
+
+def hand_back() -> None:
+    """Gives the system what Arrow's pool and the C library hold free; else a worker stays as large as it ever was."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU's library has it
+    if trim:
+        trim(0)
+
+
+def lightly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, whose memory goes back to the system: an idle worker holds no more than it keeps."""
+    try:
+        for batch in batches:
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+    finally:
+        hand_back()
 
 
 class Remembered(dict):

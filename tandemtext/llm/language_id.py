@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .arrow import kept_in_worker, per_text
+from .arrow import kept_in_worker, lightly, per_text
 from .common import crc_remainder, sampled
 
 SAMPLE_DOCS, LEAST_DOCS = 5_000, 500
@@ -219,7 +219,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_colu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _predictor(model).judge
-        for batch in batches:
+        for batch in lightly(batches):
             if learned:
                 found = [judge(text.as_py()) for text in batch.column(place)]
                 kept = [known and score >= least for _, score, known in found]

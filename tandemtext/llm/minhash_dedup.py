@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .arrow import Remembered, arrow_rows, nothing_kept
+from .arrow import Remembered, arrow_rows, lightly, nothing_kept
 from .common import give_back, salt, salt_mask
 from .components import connected_components
 
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing_kept()
-        for batch in batches:
+        for batch in lightly(batches):
             rows = []
             for text in batch.column(1).cast(pa.binary()):
                 found = shingle_set(text.as_py())
@@ -138,7 +138,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing_kept()
         held, hub = None, []
-        for batch in batches:
+        for batch in lightly(batches):
             good = []
             rows = zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3).cast(pa.binary()))
             for u, place, v, text in rows:
@@ -179,7 +179,7 @@ def first_candidates(nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing_kept()
-        for batch in batches:
+        for batch in lightly(batches):
             signatures = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             good = [_shared(a, b) >= LEAST_SHARED for a, b in signatures]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
@@ -216,7 +216,7 @@ def _by_group(batches: Iterator[pa.RecordBatch], width: int, answer) -> Iterator
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["u", "v"])
 
-    for batch in batches:
+    for batch in lightly(batches):
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             if group and row[:width] != group[0][:width]:
                 found += answer(group)

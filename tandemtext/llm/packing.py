@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 from tokenizers import Tokenizer
 
-from .arrow import Remembered, kept_in_worker
+from .arrow import Remembered, kept_in_worker, lightly
 
 SIZE = 2048
 END_ID = 1
@@ -204,7 +204,7 @@ def pack_documents(
         tokenizer = kept_in_worker(f"bytes_{hashlib.sha256(model).hexdigest()}", lambda: CachedTokenizer(model, most_words))
         packer = Packer(tokenizer.sentence_ends(), size, TaskContext.get().partitionId() << 33)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in lightly(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 packer.add(doc_id, np.frombuffer(tokenizer.encode(text.as_py() or "") + end, dtype="<u4"))
                 if packer.tokens >= BLOCK and (rows := packer.rows(last=False)):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import nothing_kept
+from .arrow import lightly, nothing_kept
 from .bilstm_crf import Tagger
 from .common import sampled
 
@@ -334,7 +334,7 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in parts of a bounded number of rows."""
     nothing_kept()
-    for batch in batches:
+    for batch in lightly(batches):
         for begin in range(0, len(batch), ROWS_AT_ONCE):
             yield batch.slice(begin, ROWS_AT_ONCE)
 

@@ -1,7 +1,9 @@
 import gc
 import random
 import weakref
+from pathlib import Path
 
+import pyarrow as pa
 from helpers import COPY, agree, empty, least_reachable, odd
 
 from tandemtext.llm import minhash_dedup, pii
@@ -158,3 +160,37 @@ def test_what_earlier_operators_kept_in_a_worker_goes():
             assert kept() is None
     finally:
         gc.enable()
+
+
+def resident() -> float:
+    """MB of this process."""
+    return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 / 1e6
+
+
+def hundred_megabytes(pins: list) -> list:
+    held = []
+    for i in range(100_000):
+        held.append(bytes(1000))
+        if i % 100 == 0:
+            pins.append(bytes(1000))  # what lives on among it, as in any worker
+    return held
+
+
+def test_what_operators_drop_goes_back_to_the_system():
+    pins = []
+    kept_in_worker("one", lambda: hundred_megabytes(pins))
+    most = resident()
+    list(minhash_dedup._by_group(iter([]), 3, list))
+    assert resident() < most - 70
+
+
+def test_what_a_task_used_goes_back_to_the_system():
+    pins, most = [], []
+
+    def batches():
+        held = hundred_megabytes(pins)
+        most.append(resident())
+        yield pa.record_batch({"_key": pa.array(range(len(held))), "text": pa.array(["x"] * len(held))})
+
+    assert sum(len(part) for part in pii._parts(batches())) == 100_000
+    assert resident() < most[0] - 20
