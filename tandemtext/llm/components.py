@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import give_back, salt, salt_mask
 
+EDGES_PER_FILE = 1_000_000
+
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
     """Adds ``_m``, the smallest ``v`` of each ``u``; a node with most of the edges is met in many tasks."""
@@ -30,6 +32,14 @@ def small_star(edges: DataFrame) -> DataFrame:
     return others.unionByName(found.filter("v = _m").select("u", "v"))
 
 
+def _in_few_files(edges: DataFrame, least: int) -> DataFrame:
+    """A round's few edges don't need a file for each shuffle partition; ``least`` files, and one for each core, stay.
+
+    A file in a local folder starts several processes. No partition grows: a task goes through some one by one.
+    """
+    return edges.coalesce(max(1, least, edges.sparkSession.sparkContext.defaultParallelism))
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links(u, v)``; the component is its smallest node.
 
@@ -38,7 +48,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     path. Self-links, repeated links and links with a NULL end add nothing; no links give no rows.
     """
     high, low = F.greatest("u", "v"), F.least("u", "v")
-    edges = stage(links.filter("u <> v").select(high.alias("u"), low.alias("v")).distinct(), "links")
+    edges = links.filter("u <> v").select(high.alias("u"), low.alias("v")).distinct()
+    # How many there are isn't known yet.
+    edges = stage(_in_few_files(edges, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4), "links")
     before = None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
@@ -46,6 +58,6 @@ def connected_components(links: DataFrame) -> DataFrame:
             break
         before = state
         grown = large_star(edges).distinct()
-        edges = stage(small_star(grown).distinct(), "links")
+        edges = stage(_in_few_files(small_star(grown).distinct(), state[0] // EDGES_PER_FILE), "links")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -134,6 +134,21 @@ def test_components_of_paths_stars_and_null_ends(spark):
     assert got == least_reachable(ids, [x for x in links if x[0] != x[1]])
 
 
+def test_rounds_of_few_edges_have_few_files(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(300)], "u BIGINT, v BIGINT")
+    changed = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        found = connected_components(df)
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(301)}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "u BIGINT, v BIGINT")).collect() == []
 
