@@ -6,8 +6,9 @@ could hold a neighbour: those whose border with its own list is near enough. The
 with the coded vectors come from tables of one query and each code; each coded vector carries what its
 own coding error can hide, so no link is lost at this step. What passes is compared exactly.
 
-Equal vectors are searched once. Lists are cut into blocks, so no task holds more than two blocks, and a block
-answers with counts and with links that span its components, not with all of its pairs.
+Equal vectors are searched once. Vectors are written in packs in the order of their lists, and packs of which one visits a
+list of the other are read together, block by block: nothing is copied or shuffled for a visit. A block answers with counts and
+with links that span its components, not with all of its pairs.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .arrow import arrow_rows
 from .common import give_back, salt, salt_mask, sampled
 from .components import connected_components
 
@@ -28,6 +30,8 @@ LEAST = 0.9
 SAMPLE, MOST_LISTS, SUBSPACES, CODES = 10_000, 2_048, 8, 64
 ROUNDS = 8
 BLOCK = 1_024
+# A pack has so many vectors and bytes of them at most, a file of packs about so many bytes, and a task has so many pairs of packs at once.
+PACK_ROWS, PACK_BYTES, PART_BYTES, PACKS_AT_ONCE = 4_096, 1 << 20, 8 << 20, 8
 # A neighbour's offset has this many standard deviations of its length along a given direction at most.
 DEVIATIONS = 5.0
 # Estimates are 32-bit sums of a few numbers below one.
@@ -80,12 +84,17 @@ class Quantiser:
         spread = np.maximum(along / variance, apart / self.width)
         self.allowed = 2 * reach * np.minimum(np.sqrt(apart), DEVIATIONS * np.sqrt(spread)) + 1e-9
 
-    def place(self, units: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
-        """The list of each vector, and all lists that it has to visit."""
+    def reach(self, units: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The list of each vector, unless it is given, and a table that is true for lists that a vector has to visit."""
         away = _distances(units, self.coarse)
-        own = away.argmin(axis=1)
+        own = away.argmin(axis=1) if own is None else own
         further = away - away[np.arange(len(units)), own][:, None]
-        return own, [np.flatnonzero(row).tolist() for row in further <= self.allowed[own]]
+        return own, further <= self.allowed[own]
+
+    def place(self, units: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        """The list of each vector, and all lists that it has to visit."""
+        own, visits = self.reach(units)
+        return own, [np.flatnonzero(row).tolist() for row in visits]
 
     def code(self, units: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and for each vector the least estimate that a link with it can have."""
@@ -151,8 +160,17 @@ def _array(column: pa.ChunkedArray | pa.Array, width: int, kind=np.float64) -> n
     return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, width)
 
 
-def linked_groups(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
-    """(id, links, least) from every group of every list; ``nodes`` has node, vector, members."""
+def _column(batch: pa.RecordBatch, name: str, row: int, kind) -> np.ndarray:
+    return np.frombuffer(batch.column(name)[row].as_buffer(), dtype=kind)
+
+
+def linked_groups(nodes: DataFrame, quantiser: Quantiser, total: int) -> DataFrame:
+    """(id, links, least) from every two packs that have to meet; ``nodes`` has node, vector, members.
+
+    A pack is one row: neighbouring vectors in the order of their lists. Packs are written once and two of them meet by
+    reading that table again, so a vector is shuffled once, however many lists it visits. Written at once.
+    """
+    spark, width, parts = nodes.sparkSession, quantiser.width, len(quantiser.cuts)
     kind = np.float32 if nodes.schema["vector"].dataType.elementType.typeName() == "float" else np.float64
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,63 +178,76 @@ def linked_groups(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
             if not batch.num_rows:
                 continue
             vectors = np.array(batch.column(1).to_pylist(), dtype=np.float64)
-            units = _units(vectors)
-            own, visits = quantiser.place(units)
+            raw = pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary())
+            own = pa.array(quantiser.reach(_units(vectors))[0], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), raw, batch.column(2), own], names=["node", "raw", "members", "list"])
+
+    indexed = nodes.select("node", "vector", "members").mapInArrow(index, "node bigint, raw binary, members bigint, list int")
+    # One row for each list, of which there are at most MOST_LISTS.
+    sizes = dict(map(tuple, indexed.groupBy("list").count().collect()))
+    sizes = [sizes.get(i, 0) for i in range(len(quantiser.coarse))]
+    spread = F.pmod(F.xxhash64("node"), F.get(F.lit(sizes), "list"))
+    place = F.get(F.lit([sum(sizes[:i]) for i in range(len(sizes))]), "list") + F.coalesce(spread, F.lit(0))
+    enough = int((4 * spark.sparkContext.defaultParallelism) ** 0.5) + 1
+    count = max(1, -(-total * width * np.dtype(kind).itemsize // PART_BYTES), min(-(-total // BLOCK), enough))
+    dealt = indexed.repartitionById(count, F.least(place * count / max(1, total), F.lit(count - 1)).cast("int"))
+    most = max(1, min(PACK_ROWS, PACK_BYTES // (width * np.dtype(kind).itemsize)))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches).sort_by([("list", "ascending"), ("node", "ascending")])
+        for begin in range(0, len(table), most):
+            rows = table.slice(begin, most)
+            units = _units(_array(rows["raw"], width, kind))
+            own = rows["list"].to_numpy()
+            visited = quantiser.reach(units, own)[1].any(axis=0)
             codes, least = quantiser.code(units, own)
+            values = [rows["node"].to_numpy(), b"".join(rows["raw"].to_pylist()), rows["members"].to_numpy(), own, codes, least]
+            lists = [np.unique(own), np.flatnonzero(visited)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary()),
-                    batch.column(2),
-                    pa.array(own, pa.int32()),
-                    pa.array(visits, pa.list_(pa.int32())),
-                    pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array(least, pa.float64()),
-                ],
-                names=["node", "raw", "members", "list", "visits", "codes", "least"],
+                [pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]
+                + [pa.array([v.tolist()], pa.list_(pa.int32())) for v in lists],
+                names=[*held, "holds", "visits"],
             )
 
-    schema = "node bigint, raw binary, members bigint, list int, visits array<int>, codes binary, least double"
-    indexed = stage(nodes.select("node", "vector", "members").mapInArrow(index, schema), "indexed")
+    held = ["node", "raw", "members", "list", "codes", "least"]
+    schema = ", ".join(f"{c} binary" for c in held) + ", holds array<int>, visits array<int>"
+    packed = stage(dealt.mapInArrow(pack, schema), "packed")
 
-    visiting = indexed.select(
-        F.col("node").alias("asking"), F.col("raw").alias("asking_raw"), F.explode("visits").alias("list")
-    )
-    # One row for each list, of which there are at most MOST_LISTS.
-    sizes = F.broadcast(
-        indexed.groupBy("list")
-        .agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("m_blocks"))
-        .join(visiting.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("q_blocks")), "list")
-    )
-    block = lambda of, name: F.pmod(F.xxhash64(of), F.col(name)).alias(name[0])
-    every = lambda name: F.explode(F.expr(f"sequence(0L, {name} - 1)")).alias(name[0])
-    queries = visiting.join(sizes, "list").select(
-        "list", block("asking", "q_blocks"), every("m_blocks"), "asking", "asking_raw"
-    )
-    members = indexed.join(sizes, "list").select(
-        "list", block("node", "m_blocks"), every("q_blocks"), "node", "raw", "members", "codes", "least"
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            found: list[tuple] = []
+            for row in range(batch.num_rows):
+                q_ids = _column(batch, "asking", row, np.int64)
+                if last is None or not np.array_equal(last[0], q_ids):
+                    q_units = _units(_column(batch, "asking_raw", row, kind).reshape(-1, width))
+                    last = q_ids.copy(), q_units, quantiser.reach(q_units, _column(batch, "asking_list", row, np.int32))[1]
+                m_ids, m_sizes = (_column(batch, c, row, np.int64) for c in ("node", "members"))
+                m_units = _units(_column(batch, "raw", row, kind).reshape(-1, width))
+                m_codes = _column(batch, "codes", row, np.uint8).reshape(-1, parts)
+                m_least, m_lists = _column(batch, "least", row, np.float64), _column(batch, "list", row, np.int32)
+                which, begins = np.unique(m_lists, return_index=True)
+                for k, begin, end in zip(which.tolist(), begins, [*begins[1:], len(m_lists)]):
+                    asking = np.flatnonzero(last[2][:, k])
+                    for at in range(0, len(asking), BLOCK):
+                        q = asking[at : at + BLOCK]
+                        for low in range(begin, end, BLOCK):
+                            m = slice(low, min(end, low + BLOCK))
+                            found += compare(
+                                quantiser, k, last[0][q], last[1][q], m_ids[m], m_units[m], m_codes[m], m_least[m], m_sizes[m]
+                            )
+            columns = list(zip(*found)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "links", "least"])
+
+    queries = packed.select(
+        F.col("node").alias("asking"), F.col("raw").alias("asking_raw"), F.col("list").alias("asking_list"), "visits"
     )
-    width, parts = quantiser.width, len(quantiser.cuts)
-
-    def search(key, asking, held):
-        found: list[tuple] = []
-        if len(asking) and len(held):
-            found = compare(
-                quantiser,
-                key[0].as_py(),
-                np.array(asking.column("asking")),
-                _units(_array(asking.column("asking_raw"), width, kind)),
-                np.array(held.column("node")),
-                _units(_array(held.column("raw"), width, kind)),
-                _array(held.column("codes"), parts, np.uint8),
-                np.array(held.column("least")),
-                np.array(held.column("members")),
-            )
-        columns = list(zip(*found)) or [(), (), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["id", "links", "least"])
-
-    keys = ["list", "q", "m"]
-    return queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(search, "id bigint, links bigint, least bigint")
+    meeting = queries.join(packed.drop("visits").hint("shuffle_replicate_nl"), F.arrays_overlap("visits", "holds")).drop("visits", "holds")
+    with arrow_rows(spark, PACKS_AT_ONCE):
+        return stage(meeting.mapInArrow(search, "id bigint, links bigint, least bigint"), "found")
 
 
 def small_groups(nodes: DataFrame, least: float) -> DataFrame:
@@ -251,7 +282,7 @@ def linked_vectors(nodes: DataFrame, least: float) -> DataFrame:
         sample = [row[0] for row in chosen.orderBy("node").select("vector").collect()]
         sample = sample or [own.select("vector").first()[0]]
         quantiser = Quantiser(_units(np.array(sample, dtype=np.float64)), total, least)
-        found = found.unionByName(linked_groups(own, quantiser))
+        found = found.unionByName(linked_groups(own, quantiser, total))
     return found
 
 
@@ -272,6 +303,8 @@ def near_duplicate_vectors(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     good = marked.filter("_good").select("vec_id", "vector").withColumn("_salt", salt(F.xxhash64("vec_id")))
+    # Stands for a vector where rows get their answers back: its numbers, and no zero has a sign.
+    digest = F.unhex(F.sha2(F.transform("vector", lambda x: x + F.lit(0.0)).cast("string"), 256)).alias("_digest")
     nodes = stage(
         good.groupBy("vector").agg(
             F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("members"), salt_mask("_salt").alias("_mask")
@@ -283,12 +316,13 @@ def near_duplicate_vectors(
     components = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
     named = nodes.join(links, F.col("node") == F.col("id"), "left").drop("id").join(components, "node", "left")
     answers = named.select(
-        "vector",
+        digest,
         (F.coalesce("links", F.lit(0)) + F.col("members") - 1).cast("bigint").alias("n_links"),
         F.coalesce("component", "node").alias("component_id"),
         "_mask",
     )
-    linked = give_back(good, answers, ["vector"]).select("vec_id", "n_links", "component_id")
+    rows = good.select("vec_id", "_salt", digest)
+    linked = give_back(rows, answers, ["_digest"]).select("vec_id", "n_links", "component_id")
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

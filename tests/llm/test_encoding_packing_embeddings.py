@@ -190,6 +190,32 @@ def test_one_large_group_of_near_vectors(spark, monkeypatch):
     assert sorted(map(tuple, embedding_dedup.near_duplicate_vectors(df).collect())) == brute(vectors)
 
 
+def test_a_vector_is_shuffled_once_however_many_lists_it_visits(spark, monkeypatch):
+    """Packs are written once and meet by reading them again; results are those of all pairs, whatever the size of a pack."""
+    plans, stage = {}, embedding_dedup.stage
+
+    def watched(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(embedding_dedup, "stage", watched)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "PACK_ROWS", 23)
+    vectors = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(clusters())]
+    df = spark.createDataFrame(vectors, "vec_id BIGINT, embedding ARRAY<FLOAT>")
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, embedding_dedup.near_duplicate_vectors(df.repartition(5)).collect())) == brute(vectors)
+    assert not any("FlatMapCoGroups" in p or "explode(visits" in p for ps in plans.values() for p in ps)
+    assert "Exchange" not in plans["found"][0] and "Exchange" in plans["packed"][0]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows
+
+
+def test_signs_of_zeros_do_not_part_equal_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, -0.0]), (3, [-0.0, 1.0])]
+    got = embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
 def test_embeddings_against_sql(spark):
     vectors = spark.createDataFrame([(i, v) for i, v in enumerate(clusters()[:150])], "vec_id BIGINT, embedding ARRAY<FLOAT>")
     got, want = agree(embedding_dedup.near_duplicate_vectors(vectors), embedding_dedup.ORACLE, embeddings=vectors.toPandas())
