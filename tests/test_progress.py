@@ -209,3 +209,16 @@ def test_the_first_of_each_key_is_read_and_moved_once(spark):
     first = latest(rows, "k", [F.col("at")])
     assert sorted(first.collect(), key=str) == sorted([(1, 1, "a"), (None, None, "c"), (2, 7, "e")], key=str)
     assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_entry_is_finished_by_its_last_wave_only(spark, tmp_path):
+    """A worker that dies in a later wave leaves an entry that compaction takes for one still being written."""
+    folder, calls = str(tmp_path / "run"), str(tmp_path / "calls")
+    with pytest.raises(Exception, match="worker is gone|KeyboardInterrupt|Python worker|abort"):
+        translate_durably(chunks(spark, 8, 1), recorder(calls, dead=("c7l0",)), folder, delay=0, workers=2)
+    entry = [f for f in os.listdir(folder) if f.startswith("entry=")]
+    assert len(entry) == 1 and finished_chunks(spark, folder).count() >= 6
+    assert not os.path.exists(f"{folder}/{entry[0]}/_SUCCESS")
+    assert translate_durably(chunks(spark, 8, 1), recorder(calls), folder, delay=0, workers=2).count() == 8
+    marked = [f for f in os.listdir(folder) if os.path.exists(f"{folder}/{f}/_SUCCESS")]
+    assert len(marked) == 1 and marked != entry
