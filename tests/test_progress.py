@@ -222,3 +222,19 @@ def test_an_entry_is_finished_by_its_last_wave_only(spark, tmp_path):
     assert translate_durably(chunks(spark, 8, 1), recorder(calls), folder, delay=0, workers=2).count() == 8
     marked = [f for f in os.listdir(folder) if os.path.exists(f"{folder}/{f}/_SUCCESS")]
     assert len(marked) == 1 and marked != entry
+
+
+def test_pairs_of_results_are_numbered_without_sorting_texts(spark, tmp_path, monkeypatch):
+    from tandemtext.operators import assemble, ordinal
+
+    monkeypatch.setattr(assemble, "CHUNKS_PER_RANGE", 3)
+    written, stage = [], ordinal.stage
+    monkeypatch.setattr(ordinal, "stage", lambda df, *a, **k: (written.append(df.columns), stage(df, *a, **k))[1])
+    rows = [(c, [f"c{c}l{i}" for i in range(c % 4)], c % 4, c % 5 != 0) for c in [None, *range(1, 30)] if c is not None]
+    rows = [(None, ["x", "y"], 2, True), *rows]
+    done = spark.createDataFrame(rows, "chunk_id BIGINT, lines ARRAY<STRING>, pairs INT, ok BOOLEAN").repartition(3)
+    done = done.withColumn("translated_lines", F.transform("lines", lambda x: F.concat(F.lit("t:"), x)))
+    got = [tuple(r) for r in assemble_results(done, 100).orderBy("seq_id").collect()]
+    lines = [(c, x) for c, xs, _, ok in sorted(rows, key=lambda r: (r[0] is not None, r[0])) if ok for x in xs]
+    assert got == [(101 + i, f"t:{x}", x, c) for i, (c, x) in enumerate(lines)]
+    assert written and not any({"lines", "english", "source_text"} & set(columns) for columns in written)
